@@ -1,0 +1,19 @@
+"""Join helpers: broadcast a rule/dimension side only after checking its size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rule and dimension tables above this many rows are joined by shuffle instead.
+BROADCAST_MAX_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` as is.
+
+    The check counts at most ``max_rows + 1`` rows, so it stays cheap for large inputs;
+    beyond the bound the join is left to the planner (sort-merge or AQE's runtime choice).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
