@@ -365,3 +365,293 @@ reg("mask_rules", f"""SELECT d.time, d.site_id, d.variable,
             AND ((m.bad_below IS NULL AND m.bad_above IS NULL)
                  OR d.observed < m.bad_below OR d.observed > m.bad_above))
         THEN NULL ELSE d.observed END''')} AS observed FROM {DAILY} d""")
+
+# --- provisional chains -----------------------------------------------------------------
+
+WQ_PROV_WIDE = f"""(SELECT * FROM ({_wide_sql('20288', ['siteName', 'startDate'],
+  _prov_selected('20288', False) + ' p')}) w WHERE {_any_flag('20288')})"""
+WQ_PROV_LONG = f"""(SELECT time, site_id, variable, observed FROM (
+  SELECT CAST(startDate AS DATE) AS time, siteName AS site_id,
+         avg(dissolvedOxygen) AS oxygen, avg(chlorophyll) AS chla
+  FROM {WQ_PROV_WIDE} w GROUP BY 1, 2) x
+  UNPIVOT INCLUDE NULLS (observed FOR variable IN (oxygen, chla)))"""
+WQ_PROV = f"""(SELECT * FROM {WQ_PROV_LONG} l
+  WHERE NOT (variable = 'chla' AND site_id IN {site_class('Wadeable Stream')}))"""
+
+reg("provisional_daily", f"""SELECT time, site_id, variable, {r6('observed')} AS observed
+  FROM {WQ_PROV} x""")
+
+PROV_SURFACE_RAW = f"""(SELECT CAST(startDate AS DATE) AS time, siteName AS site_id,
+  'temperature' AS variable, avg(tsdWaterTempMean) AS observed FROM {PROV_TSD_WIDE} w
+  WHERE thermistorDepth <= 1 GROUP BY 1, 2)"""
+
+reg("provisional_surface_daily", f"""SELECT time, site_id, variable, {r6('observed')} AS observed
+  FROM {PROV_SURFACE_RAW} x""")
+
+reg("provisional_profile_hourly", f"""SELECT date_trunc('hour', startDate) AS time,
+  siteName AS site_id, {r6('thermistorDepth')} AS depth, 'temperature' AS variable,
+  {r6('avg(tsdWaterTempMean)')} AS observed FROM {PROV_TSD_WIDE} w GROUP BY 1, 2, 3""")
+
+PRT_WIDE = f"""(SELECT * FROM ({_wide_sql('20053', ['siteName', 'startDate'],
+  _prov_selected('20053', True) + ' p')}) w WHERE {_any_flag('20053')})"""
+PRT_RAW = f"""(SELECT CAST(startDate AS DATE) AS time, siteName AS site_id,
+  'temperature' AS variable, avg(surfWaterTempMean) AS observed FROM {PRT_WIDE} w GROUP BY 1, 2)"""
+
+reg("provisional_point_daily", f"""SELECT time, site_id, variable, {r6('observed')} AS observed
+  FROM {PRT_RAW} x""")
+
+reg("provisional_dispatch", f"""
+  SELECT time, site_id, variable, {r6('observed')} AS observed, '20288' AS product FROM {WQ_PROV} a
+  UNION ALL
+  SELECT time, site_id, variable, {r6('observed')}, '20264' FROM {PROV_SURFACE_RAW} b
+  UNION ALL
+  SELECT time, site_id, variable, {r6('observed')}, '20053' FROM {PRT_RAW} c""")
+
+# --- merges and targets -----------------------------------------------------------------
+
+reg("profile_merge", f"""SELECT time, site_id, {r6('depth')} AS depth, 'temperature' AS variable,
+  {r6('observed')} AS observed FROM {PROFILE} p""")
+
+PRT_QC = qc_sql(PRT_RAW, ["site_id"], "time", "observed", -5.0, 40.0, 7.0, "reject",
+                ["time", "site_id"])
+CUR_RIVER_RAW = f"""(SELECT CAST(startDate AS DATE) AS time, siteID AS site_id,
+  CASE WHEN count(waterTemp) = count(*) THEN avg(waterTemp) END AS observed
+  FROM {CURATED} c WHERE siteID IN {site_class('Non-wadeable River')} GROUP BY 1, 2)"""
+CUR_RIVER = qc_sql(CUR_RIVER_RAW, ["site_id"], "time", "observed", -5.0, 40.0, 5.0, "reject",
+                   ["time", "site_id"])
+PROV_RIVER_RAW = f"""(SELECT CAST(startDate AS DATE) AS time, siteName AS site_id,
+  avg(tsdWaterTempMean) AS observed FROM {PROV_TSD_WIDE} w
+  WHERE thermistorDepth <= 1 AND siteName IN {site_class('Non-wadeable River')} GROUP BY 1, 2)"""
+PROV_RIVER = qc_sql(PROV_RIVER_RAW, ["site_id"], "time", "observed", -5.0, 40.0, 5.0,
+                    "reject", ["time", "site_id"])
+
+
+def mask_sql(site: str, variable: str, time: str, value: str) -> str:
+    return f"""CASE WHEN EXISTS (SELECT 1 FROM {MASKS} m
+          WHERE m.site_id = {site} AND m.variable = {variable}
+            AND (m.date_from IS NULL OR {time} >= m.date_from)
+            AND (m.date_to IS NULL OR {time} <= m.date_to)
+            AND ((m.bad_below IS NULL AND m.bad_above IS NULL)
+                 OR {value} < m.bad_below OR {value} > m.bad_above))
+        THEN NULL ELSE {value} END"""
+
+
+TEMP_MERGED = f"""(SELECT site_id, time, avg(observed) AS observed FROM (
+  SELECT site_id, time, observed FROM {SURFACE} a
+  UNION ALL SELECT site_id, time, observed FROM {STREAM} b
+  UNION ALL SELECT site_id, time, observed FROM {PRT_QC} c
+  UNION ALL SELECT site_id, time, observed FROM {RIVER} d
+  UNION ALL SELECT site_id, time, observed FROM {CUR_RIVER} e
+  UNION ALL SELECT site_id, time, observed FROM {PROV_RIVER} f) u GROUP BY site_id, time)"""
+TEMP_RANGED = f"""(SELECT t.time, t.site_id, 'temperature' AS variable,
+  CASE WHEN t.observed BETWEEN r.lo AND r.hi THEN t.observed END AS observed
+  FROM {TEMP_MERGED} t LEFT JOIN {RANGES} r ON r.variable = 'temperature')"""
+TEMP = f"""(SELECT time, site_id, variable,
+  {mask_sql('g.site_id', 'g.variable', 'g.time', 'g.observed')} AS observed
+  FROM {TEMP_RANGED} g)"""
+
+reg("surface_merge", f"""SELECT time, site_id, variable, {r6('observed')} AS observed FROM {TEMP} t""")
+
+WQ_UNION = f"""(SELECT time, site_id, variable, observed FROM {WQ_DAILY} a
+  UNION ALL SELECT time, site_id, variable, observed FROM {WQ_PROV} b)"""
+WQ_RANGED = f"""(SELECT u.time, u.site_id, u.variable,
+  CASE WHEN u.observed BETWEEN r.lo AND r.hi THEN u.observed END AS observed
+  FROM {WQ_UNION} u LEFT JOIN {RANGES} r ON u.variable = r.variable)"""
+WQ_CLEAN = f"""(SELECT time, site_id, variable,
+  {mask_sql('g.site_id', 'g.variable', 'g.time', 'g.observed')} AS observed FROM {WQ_RANGED} g)"""
+
+reg("targets_long", f"""SELECT time, site_id, variable, {r6('observed')} AS observed FROM (
+  SELECT * FROM {WQ_CLEAN} a UNION ALL SELECT * FROM {TEMP} b) t""")
+
+# --- incremental refresh ----------------------------------------------------------------
+
+reg("month_plan", f"""SELECT DISTINCT site_id, strftime(mx, '%Y-%m') AS latest_month, fetch_month
+  FROM (SELECT site_id, max(time) AS mx FROM {RIVER} r GROUP BY site_id) m,
+  LATERAL (SELECT strftime(CAST(m.mx + INTERVAL 1 MONTH AS DATE), '%Y-%m') AS fetch_month
+           UNION ALL SELECT strftime(DATE '2001-09-15' - INTERVAL 2 DAY, '%Y-%m')) f""")
+
+reg("supersede_provisional", f"""SELECT p.site_id, count(*) AS n, min(p.time) AS first_time,
+  {r6('avg(p.observed)')} AS mean_observed
+  FROM (SELECT CAST(startDateTime AS DATE) AS time, siteID AS site_id,
+               avg(tsdWaterTempMean) AS observed FROM {ARCHIVE_TSD} t GROUP BY 1, 2) p
+  LEFT JOIN (SELECT site_id, date_trunc('month', max(time)) AS latest FROM {DAILY} d
+             GROUP BY site_id) a ON p.site_id = a.site_id
+  WHERE a.latest IS NULL OR date_trunc('month', p.time) > a.latest
+  GROUP BY p.site_id""")
+
+reg("stream_ingest_daily", f"""SELECT {site_of('user_id')} AS site_id, CAST(ts AS DATE) AS time,
+  {r6('avg(value / 19.3)')} AS observed FROM events GROUP BY 1, 2""")
+
+# --- series -----------------------------------------------------------------------------
+
+SERIES_END = "DATE '2001-08-01'"
+SITE_START = f"(SELECT site_id, min(time) AS start FROM {DAILY} d GROUP BY site_id)"
+SERIES_START = f"(SELECT site_id, variable, min(time) AS start FROM {DAILY} d GROUP BY 1, 2)"
+SERIES_KEYS = f"(SELECT DISTINCT site_id, variable FROM {DAILY} d)"
+
+reg("date_spine", f"""SELECT s.site_id, s.variable,
+  CAST(date_diff('day', st.start, {SERIES_END}) + 1 AS BIGINT) AS n_days,
+  st.start AS first, {SERIES_END} AS last
+  FROM {SERIES_KEYS} s JOIN {SITE_START} st ON s.site_id = st.site_id
+  WHERE st.start <= {SERIES_END}""")
+
+reg("series_with_data", f"""SELECT site_id, variable, count(v) AS n_obs, count(*) AS n_rows
+  FROM (SELECT site_id, variable, CASE WHEN observed < 2.0 THEN NULL ELSE observed END AS v
+        FROM {DAILY} d) x GROUP BY 1, 2 HAVING count(v) > 0""")
+
+
+def spine_sql(starts: str, keys_sql: str, join_on: str) -> str:
+    return f"""(SELECT k.site_id, k.variable, CAST(g.t AS DATE) AS time
+  FROM {keys_sql} k JOIN {starts} st ON {join_on},
+  LATERAL (SELECT unnest(generate_series(CAST(st.start AS TIMESTAMP),
+                                         CAST({SERIES_END} AS TIMESTAMP),
+                                         INTERVAL 1 DAY)) AS t) g
+  WHERE st.start <= {SERIES_END})"""
+
+
+DENSE_SITE = f"""(SELECT s.site_id, s.variable, s.time, d.observed
+  FROM {spine_sql(SITE_START, SERIES_KEYS, 'k.site_id = st.site_id')} s
+  LEFT JOIN {DAILY} d ON d.site_id = s.site_id AND d.variable = s.variable AND d.time = s.time)"""
+DENSE_SERIES = f"""(SELECT s.site_id, s.variable, s.time, d.observed
+  FROM {spine_sql(SERIES_START, SERIES_KEYS,
+                  'k.site_id = st.site_id AND k.variable = st.variable')} s
+  LEFT JOIN {DAILY} d ON d.site_id = s.site_id AND d.variable = s.variable AND d.time = s.time)"""
+
+reg("densify_series", f"""SELECT site_id, variable, time, {r6('observed')} AS observed
+  FROM {DENSE_SITE} x""")
+
+
+def interp_sql(source: str, keys: list[str], time: str, value: str, x: str, out: str,
+               cols: list[str]) -> str:
+    part = ", ".join(keys)
+    w_prev = f"PARTITION BY {part} ORDER BY {time} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    w_next = f"PARTITION BY {part} ORDER BY {time} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING"
+    return f"""(SELECT {', '.join(cols)},
+  CASE WHEN {value} IS NOT NULL THEN {value}
+       WHEN pv IS NOT NULL AND nv IS NOT NULL AND nx <> px
+         THEN pv + (nv - pv) * CAST(__x - px AS DOUBLE) / CAST(nx - px AS DOUBLE)
+       WHEN pv IS NOT NULL AND nv IS NOT NULL THEN pv
+       ELSE coalesce(pv, nv) END AS {out}
+  FROM (SELECT *,
+    last_value({value} IGNORE NULLS) OVER ({w_prev}) AS pv,
+    last_value(CASE WHEN {value} IS NOT NULL THEN __x END IGNORE NULLS) OVER ({w_prev}) AS px,
+    first_value({value} IGNORE NULLS) OVER ({w_next}) AS nv,
+    first_value(CASE WHEN {value} IS NOT NULL THEN __x END IGNORE NULLS) OVER ({w_next}) AS nx
+    FROM (SELECT *, {x} AS __x FROM {source} s0) s1) s2)"""
+
+
+reg("interpolate_by_index", f"""SELECT site_id, variable, time, {r6('observed')} AS observed,
+  {r6('filled')} AS filled FROM {interp_sql(DENSE_SERIES, ['site_id', 'variable'], 'time',
+  'observed', 'row_number() OVER (PARTITION BY site_id, variable ORDER BY time)', 'filled',
+  ['site_id', 'variable', 'time', 'observed'])} i""")
+
+SUNDAY_GAPS = f"""(SELECT time, site_id, variable,
+  CASE WHEN dayofweek(time) = 0 THEN NULL ELSE observed END AS observed FROM {DAILY} d)"""
+reg("interpolate_by_time", f"""SELECT site_id, variable, time, {r6('observed')} AS observed,
+  {r6('filled')} AS filled FROM {interp_sql(SUNDAY_GAPS, ['site_id', 'variable'], 'time',
+  'observed', "date_diff('day', DATE '1970-01-01', time)", 'filled',
+  ['site_id', 'variable', 'time', 'observed'])} i""")
+
+reg("diff_sd", f"""SELECT site_id, variable, {r6('stddev_samp(dv)')} AS diff_sd, count(dv) AS n_diff
+  FROM (SELECT site_id, variable,
+          observed - lag(observed) OVER (PARTITION BY site_id, variable ORDER BY time) AS dv
+        FROM {DAILY} d WHERE observed IS NOT NULL) x GROUP BY 1, 2""")
+
+OBS_SD = f"""(SELECT event_id, siteID AS site_id,
+  CASE WHEN dissolvedOxygenFinalQF IS NULL THEN NULL WHEN dissolvedOxygenFinalQF = 1 THEN 0.0
+       ELSE dissolvedOxygenExpUncert END AS p_sd FROM {ARCHIVE_WQ} w)"""
+reg("obs_error_fill", f"""SELECT o.event_id, o.site_id, {r6('''CASE
+    WHEN coalesce(o.p_sd, s.m) = 0 THEN
+      CASE WHEN s.has_na AND s.m <> 0 THEN least(s.mn0, s.m) ELSE s.mn0 END
+    ELSE coalesce(o.p_sd, s.m) END''')} AS p_sd
+  FROM {OBS_SD} o JOIN (SELECT site_id, avg(p_sd) AS m,
+      min(CASE WHEN p_sd <> 0 THEN p_sd END) AS mn0, bool_or(p_sd IS NULL) AS has_na
+    FROM {OBS_SD} x GROUP BY site_id) s ON o.site_id = s.site_id""")
+
+# --- climatology ------------------------------------------------------------------------
+
+CLIM = f"""(SELECT dayofyear(time) AS doy, site_id, variable, avg(observed) AS mean,
+  stddev_samp(observed) AS sd FROM {DAILY} d GROUP BY 1, 2, 3)"""
+reg("climatology_doy", f"""SELECT CAST(doy AS BIGINT) AS doy, site_id, variable,
+  {r6('mean')} AS mean, {r6('sd')} AS sd FROM {CLIM} c""")
+
+CLIM_DAYS = "(SELECT DATE '2000-12-15' + CAST(i AS INTEGER) AS time FROM range(1, 36) r(i))"
+CLIM_WIN = f"""(SELECT d.time, c.site_id, c.variable, c.mean, c.sd
+  FROM {CLIM_DAYS} d JOIN {CLIM} c ON c.doy = dayofyear(d.time))"""
+VARS = "(SELECT * FROM (VALUES ('temperature'), ('oxygen'), ('chla')) v(variable))"
+GRID = f"""(SELECT s.site_id, v.variable, d.time FROM (SELECT DISTINCT site_id FROM {CLIM_WIN} w) s
+  CROSS JOIN {VARS} v CROSS JOIN {CLIM_DAYS} d)"""
+
+reg("forecast_grid", f"SELECT site_id, variable, time FROM {GRID} g")
+
+DENSE_FC = f"""(SELECT g.time, g.site_id, g.variable, w.mean, w.sd FROM {GRID} g
+  LEFT JOIN {CLIM_WIN} w ON g.time = w.time AND g.site_id = w.site_id AND g.variable = w.variable)"""
+reg("densify_forecast", f"""SELECT time, site_id, variable, {r6('mean')} AS mean, {r6('sd')} AS sd
+  FROM {DENSE_FC} x""")
+
+
+def clim_fc(source: str) -> str:
+    interp = interp_sql(source, ["site_id", "variable"], "time", "mean",
+                        "row_number() OVER (PARTITION BY site_id, variable ORDER BY time)", "mu",
+                        ["time", "site_id", "variable", "sd"])
+    return f"""(SELECT time, start_time, site_id, variable, 'normal' AS family, parameter, predicted
+  FROM (SELECT i.time, i.site_id, i.variable, i.mu, s.sigma, s.start_time FROM {interp} i
+        JOIN (SELECT site_id, variable, median(sd) AS sigma,
+                     CAST(min(time) - INTERVAL 1 DAY AS DATE) AS start_time
+              FROM {source} x GROUP BY 1, 2) s
+          ON i.site_id = s.site_id AND i.variable = s.variable) y
+  UNPIVOT INCLUDE NULLS (predicted FOR parameter IN (mu, sigma)))"""
+
+
+reg("climatology_forecast", f"""SELECT time, start_time, site_id, variable, family, parameter,
+  {r6('predicted')} AS predicted FROM {clim_fc(CLIM_WIN)} f""")
+reg("climatology_forecast_dense", f"""SELECT time, start_time, site_id, variable, family,
+  parameter, {r6('predicted')} AS predicted FROM {clim_fc(DENSE_FC)} f""")
+reg("forecast_band", f"""SELECT time, site_id, variable, {r6('mu')} AS mu, {r6('sigma')} AS sigma,
+  {r6('mu - 1.96 * sigma')} AS lower, {r6('mu + 1.96 * sigma')} AS upper FROM (
+  SELECT time, site_id, variable,
+    max(CASE WHEN parameter = 'mu' THEN predicted END) AS mu,
+    max(CASE WHEN parameter = 'sigma' THEN predicted END) AS sigma
+  FROM {clim_fc(CLIM_WIN)} f GROUP BY 1, 2, 3) b""")
+
+# --- random walk ------------------------------------------------------------------------
+
+HIST = f"(SELECT * FROM {DAILY} d WHERE time <= {SERIES_END})"
+reg("rw_analytic", f"""SELECT time, start_time, site_id, variable, family, parameter,
+  {r6('predicted')} AS predicted FROM (
+  SELECT CAST(g.t AS DATE) AS time, {SERIES_END} AS start_time, b.site_id, b.variable,
+    'normal' AS family, b.v AS mu,
+    b.diff_sd * sqrt(CAST(date_diff('day', b.t_last, CAST(g.t AS DATE)) AS DOUBLE)) AS sigma
+  FROM (SELECT l.site_id, l.variable, l.t_last, l.v, s.diff_sd FROM
+          (SELECT site_id, variable, max(time) AS t_last, arg_max(observed, time) AS v
+           FROM {HIST} h WHERE observed IS NOT NULL GROUP BY 1, 2) l
+          LEFT JOIN (SELECT site_id, variable, stddev_samp(dv) AS diff_sd FROM (
+            SELECT site_id, variable,
+              observed - lag(observed) OVER (PARTITION BY site_id, variable ORDER BY time) AS dv
+            FROM {HIST} h WHERE observed IS NOT NULL) q GROUP BY 1, 2) s
+          ON l.site_id = s.site_id AND l.variable = s.variable) b,
+    LATERAL (SELECT unnest(generate_series(CAST({SERIES_END} + 1 AS TIMESTAMP),
+                                           CAST({SERIES_END} + 35 AS TIMESTAMP),
+                                           INTERVAL 1 DAY)) AS t) g) y
+  UNPIVOT INCLUDE NULLS (predicted FOR parameter IN (mu, sigma))""")
+
+reg("ensemble_summary", f"""SELECT time, site_id, variable, {r6('avg(predicted)')} AS mean,
+  {r6('quantile_cont(predicted, 0.975)')} AS upper,
+  {r6('quantile_cont(predicted, 0.025)')} AS lower FROM (
+  SELECT CAST(startDateTime AS DATE) AS time, siteID AS site_id, 'temperature' AS variable,
+    event_id % 2000 + 1 AS ensemble, avg(surfWaterTempMean) AS predicted
+  FROM {ARCHIVE_TSW} t GROUP BY 1, 2, 3, 4) e GROUP BY 1, 2, 3""")
+
+# --- coverage ---------------------------------------------------------------------------
+
+reg("coverage_summary", f"""SELECT variable, min(time) AS begin_date, max(time) AS end_date,
+  count(*) AS n FROM {DAILY} d GROUP BY variable""")
+
+reg("coverage_geo", f"""SELECT n.n_name AS id, n.n_name || ', ' || r.r_name AS geographicDescription,
+  {r6('n.n_nationkey * 7.3 - 90')} AS west, {r6('n.n_nationkey * 7.3 - 90')} AS east,
+  {r6('n.n_nationkey * 2.9 - 30')} AS north, {r6('n.n_nationkey * 2.9 - 30')} AS south,
+  {r6('n.n_regionkey * 100.0')} AS altitude_min, {r6('n.n_regionkey * 100.0 + 50')} AS altitude_max,
+  'meter' AS altitude_units
+  FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
+  WHERE n.n_name IN (SELECT n2.n_name FROM supplier s JOIN nation n2
+                     ON s.s_nationkey = n2.n_nationkey)""")

@@ -291,3 +291,269 @@ def _profile(spark, d):
         tg.curated_lake_hourly(demo.curated_profile(spark, d), s),
         tg.provisional_lake_hourly(demo.provisional(spark, d, "20264"), s,
                                    rules.depth_lookup(spark)))
+
+
+# --- provisional chains -----------------------------------------------------------------
+
+@query("provisional_daily")
+def q_provisional_daily(spark, d):
+    from sensorflow.operators.provisional import provisional_wq_daily
+    return finish(provisional_wq_daily(demo.provisional(spark, d, "20288"), _sites(spark)))
+
+
+@query("provisional_surface_daily")
+def q_provisional_surface_daily(spark, d):
+    from sensorflow.operators.provisional import provisional_tsd_surface_daily
+    return finish(provisional_tsd_surface_daily(demo.provisional(spark, d, "20264"),
+                                                rules.depth_lookup(spark)))
+
+
+@query("provisional_profile_hourly")
+def q_provisional_profile_hourly(spark, d):
+    from sensorflow.operators.provisional import provisional_tsd_profile_hourly
+    return finish(provisional_tsd_profile_hourly(demo.provisional(spark, d, "20264"),
+                                                 rules.depth_lookup(spark)))
+
+
+@query("provisional_point_daily")
+def q_provisional_point_daily(spark, d):
+    from sensorflow.operators.provisional import provisional_point_daily
+    return finish(provisional_point_daily(demo.provisional(spark, d, "20053")))
+
+
+@query("provisional_dispatch")
+def q_provisional_dispatch(spark, d):
+    from sensorflow.operators.provisional import read_product
+    parts = [read_product(demo.provisional(spark, d, p), p, rules.depth_lookup(spark),
+                          _sites(spark)).withColumn("product", F.lit(p))
+             for p in ("20288", "20264", "20053")]
+    return finish(union_all(*parts))
+
+
+# --- merges and the targets table -------------------------------------------------------
+
+def target_inputs(spark, d) -> tg.TargetInputs:
+    """Stand-in sources for one targets run over the benchmark tables."""
+    curated = demo.curated_profile(spark, d)
+    return tg.TargetInputs(
+        sites=_sites(spark), archive_wq=demo.archive_wq(spark, d),
+        archive_tsd=demo.archive_tsd(spark, d), archive_tsw=demo.archive_tsw(spark, d),
+        provisional_wq=demo.provisional(spark, d, "20288"),
+        provisional_tsd=demo.provisional(spark, d, "20264"),
+        provisional_prt=demo.provisional(spark, d, "20053"),
+        curated_lake=curated, curated_river=curated,
+        depth_lookup=rules.depth_lookup(spark), corrections=rules.depth_corrections(spark),
+        ranges=rules.ranges(spark), masks=rules.masks(spark))
+
+
+@query("profile_merge")
+def q_profile_merge(spark, d):
+    return finish(tg.build_expanded_profile(target_inputs(spark, d)))
+
+
+@query("surface_merge")
+def q_surface_merge(spark, d):
+    inp = target_inputs(spark, d)
+    return finish(tg.build_temperature(inp))
+
+
+@query("targets_long")
+def q_targets_long(spark, d):
+    return finish(tg.build_targets(target_inputs(spark, d)))
+
+
+# --- incremental refresh ----------------------------------------------------------------
+
+REFRESH_AS_OF = "2001-09-15"
+
+
+@query("month_plan")
+def q_month_plan(spark, d):
+    from sensorflow.streaming.refresh import month_plan
+    arch = tg.archive_river_daily(demo.archive_tsd(spark, d), _sites(spark))
+    return finish(month_plan(arch, "time", REFRESH_AS_OF, keys=["site_id"]))
+
+
+@query("supersede_provisional")
+def q_supersede_provisional(spark, d):
+    from sensorflow.streaming.refresh import supersede
+    # archive: the daily series (orders); provisional: daily thermistor means (lineitem),
+    # whose records run past the archive's last month at every site
+    arch = demo.daily_series(spark, d)
+    t = demo.archive_tsd(spark, d).withColumnRenamed("siteID", "site_id")
+    prov = daily_mean(t, ["site_id"], "startDateTime", {"observed": "tsdWaterTempMean"})
+    kept = supersede(prov, arch, "time", "time", keys=["site_id"])
+    return finish(kept.groupBy("site_id")
+                  .agg(F.count(F.lit(1)).alias("n"), F.min("time").alias("first_time"),
+                       F.avg("observed").alias("mean_observed")))
+
+
+@query("stream_ingest_daily")
+def q_stream_ingest_daily(spark, d):
+    from sensorflow.streaming.refresh import combine_daily, daily_partials, stream_ingest
+    schema = demo.table(spark, d, "events").schema
+
+    def batch(b):
+        w = b.select(demo.site_of(F.col("user_id")).alias("site_id"), "ts",
+                     (F.col("value") / 19.3).alias("v"))
+        return daily_partials(w, ["site_id"], "ts", "v")
+
+    sink = stream_ingest(spark, d, schema, batch, name_glob="events.parquet")
+    return finish(combine_daily(spark.read.parquet(sink), ["site_id"]))
+
+
+# --- series -----------------------------------------------------------------------------
+
+SERIES_AS_OF = "2001-08-01"
+CLIM_AS_OF = "2000-12-15"
+
+
+@query("date_spine")
+def q_date_spine(spark, d):
+    from sensorflow.operators.series import series_spine
+    s = demo.daily_series(spark, d)
+    sp = series_spine(s, ["site_id", "variable"], "time", SERIES_AS_OF, start_keys=["site_id"])
+    return finish(sp.groupBy("site_id", "variable")
+                  .agg(F.count(F.lit(1)).alias("n_days"), F.min("time").alias("first"),
+                       F.max("time").alias("last")))
+
+
+@query("series_with_data")
+def q_series_with_data(spark, d):
+    from sensorflow.operators.series import series_with_data
+    s = demo.daily_series(spark, d)
+    s = s.withColumn("observed", F.when(F.col("observed") < 2.0, None)
+                     .otherwise(F.col("observed")))
+    return finish(series_with_data(s, ["site_id", "variable"]))
+
+
+@query("densify_series")
+def q_densify_series(spark, d):
+    from sensorflow.operators.series import densify
+    s = demo.daily_series(spark, d)
+    return finish(densify(s, ["site_id", "variable"], "time", SERIES_AS_OF,
+                          start_keys=["site_id"]))
+
+
+@query("interpolate_by_index")
+def q_interpolate_by_index(spark, d):
+    from sensorflow.operators.series import densify, interpolate
+    s = densify(demo.daily_series(spark, d), ["site_id", "variable"], "time", SERIES_AS_OF)
+    return finish(interpolate(s, ["site_id", "variable"], "time", "observed", "filled",
+                              by="index"))
+
+
+@query("interpolate_by_time")
+def q_interpolate_by_time(spark, d):
+    from sensorflow.operators.series import interpolate
+    s = demo.daily_series(spark, d)
+    s = s.withColumn("observed", F.when(F.dayofweek("time") == 1, None)
+                     .otherwise(F.col("observed")))
+    return finish(interpolate(s, ["site_id", "variable"], "time", "observed", "filled",
+                              by="time"))
+
+
+@query("diff_sd")
+def q_diff_sd(spark, d):
+    from sensorflow.operators.series import diff_sd
+    return finish(diff_sd(demo.daily_series(spark, d), ["site_id", "variable"]))
+
+
+@query("obs_error_fill")
+def q_obs_error_fill(spark, d):
+    from sensorflow.operators.series import obs_error_fill
+    w = demo.archive_wq(spark, d).select(
+        "event_id", F.col("siteID").alias("site_id"),
+        F.when(F.col("dissolvedOxygenFinalQF").isNull(), F.lit(None).cast("double"))
+        .when(F.col("dissolvedOxygenFinalQF") == 1, F.lit(0.0))
+        .otherwise(F.col("dissolvedOxygenExpUncert")).alias("p_sd"))
+    return finish(obs_error_fill(w, ["site_id"], "p_sd"))
+
+
+# --- climatology ------------------------------------------------------------------------
+
+@query("climatology_doy")
+def q_climatology_doy(spark, d):
+    from sensorflow.operators.climatology import doy_stats
+    return finish(doy_stats(demo.daily_series(spark, d)))
+
+
+@query("forecast_grid")
+def q_forecast_grid(spark, d):
+    from sensorflow.operators.climatology import climatology_window, forecast_grid
+    f = climatology_window(demo.daily_series(spark, d), CLIM_AS_OF, rules.HORIZON_DAYS)
+    return finish(forecast_grid(f, CLIM_AS_OF, rules.HORIZON_DAYS, rules.TARGET_VARIABLES))
+
+
+@query("densify_forecast")
+def q_densify_forecast(spark, d):
+    from sensorflow.operators.climatology import densify_forecast
+    return finish(densify_forecast(demo.daily_series(spark, d), CLIM_AS_OF,
+                                   rules.HORIZON_DAYS, rules.TARGET_VARIABLES))
+
+
+@query("climatology_forecast")
+def q_climatology_forecast(spark, d):
+    from sensorflow.operators.climatology import climatology_forecast
+    return finish(climatology_forecast(demo.daily_series(spark, d), CLIM_AS_OF,
+                                       rules.HORIZON_DAYS))
+
+
+@query("climatology_forecast_dense")
+def q_climatology_forecast_dense(spark, d):
+    from sensorflow.operators.climatology import climatology_forecast
+    return finish(climatology_forecast(demo.daily_series(spark, d), CLIM_AS_OF,
+                                       rules.HORIZON_DAYS, densify=True))
+
+
+@query("forecast_band")
+def q_forecast_band(spark, d):
+    from sensorflow.operators.climatology import climatology_forecast, forecast_band
+    f = climatology_forecast(demo.daily_series(spark, d), CLIM_AS_OF, rules.HORIZON_DAYS)
+    return finish(forecast_band(f))
+
+
+# --- random walk ------------------------------------------------------------------------
+
+@query("rw_analytic")
+def q_rw_analytic(spark, d):
+    from sensorflow.operators.randomwalk import rw_analytic
+    return finish(rw_analytic(demo.daily_series(spark, d), SERIES_AS_OF, rules.HORIZON_DAYS))
+
+
+@query("rw_ensemble")
+def q_rw_ensemble(spark, d):
+    from sensorflow.operators.randomwalk import rw_ensemble
+    return finish(rw_ensemble(demo.daily_series(spark, d), SERIES_AS_OF, rules.HORIZON_DAYS))
+
+
+@query("ensemble_summary")
+def q_ensemble_summary(spark, d):
+    from sensorflow.operators.randomwalk import ensemble_summary
+    e = demo.archive_tsw(spark, d)
+    # members: events folded onto a fixed ensemble size, one mean per member
+    ens = (e.groupBy(F.to_date("startDateTime").alias("time"),
+                     F.col("siteID").alias("site_id"),
+                     (F.col("event_id") % rules.ENSEMBLE_SIZE + 1).alias("ensemble"))
+           .agg(F.avg("surfWaterTempMean").alias("predicted"))
+           .withColumn("variable", F.lit("temperature")))
+    return finish(ensemble_summary(ens))
+
+
+# --- coverage ---------------------------------------------------------------------------
+
+@query("coverage_summary")
+def q_coverage_summary(spark, d):
+    from sensorflow.operators.coverage import temporal_coverage
+    return finish(temporal_coverage(demo.daily_series(spark, d), "time", ["variable"]))
+
+
+@query("coverage_geo")
+def q_coverage_geo(spark, d):
+    from sensorflow.operators.coverage import geo_coverage
+    geo = demo.geo_rows(spark, d)
+    listed = (demo.table(spark, d, "supplier")
+              .join(demo.table(spark, d, "nation"),
+                    F.col("s_nationkey") == F.col("n_nationkey"))
+              .select(F.col("n_name").alias("site_id")))
+    return finish(geo_coverage(geo, listed))

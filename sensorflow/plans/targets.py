@@ -229,18 +229,22 @@ def build_expanded_profile(inp: TargetInputs) -> DataFrame:
         provisional_lake_hourly(inp.provisional_tsd, inp.sites, inp.depth_lookup))
 
 
-def build_targets(inp: TargetInputs, profile: DataFrame | None = None) -> DataFrame:
-    """The whole targets table.  Pass ``profile`` to reuse a materialised hourly profile."""
-    wq = wq_targets(archive_wq_daily(inp.archive_wq, inp.sites),
-                    provisional_wq_daily(inp.provisional_wq, inp.sites),
-                    inp.ranges, inp.masks)
+def build_temperature(inp: TargetInputs, profile: DataFrame | None = None) -> DataFrame:
+    """Daily surface temperature of lakes, streams and rivers, merged and cleaned."""
     prof = profile if profile is not None else build_expanded_profile(inp)
-    temp = temperature_targets([
+    return temperature_targets([
         surface_daily(prof),
         archive_stream_daily(inp.archive_tsw),
         provisional_stream_daily(inp.provisional_prt),
         archive_river_daily(inp.archive_tsd, inp.sites),
         curated_river_daily(inp.curated_river, inp.sites),
         provisional_river_daily(inp.provisional_tsd, inp.sites, inp.depth_lookup),
-    ], inp.ranges, inp.masks)
-    return finalize_targets(wq, temp)
+    ], inp.ranges, inp.masks).select("time", "site_id", "variable", "observed")
+
+
+def build_targets(inp: TargetInputs, profile: DataFrame | None = None) -> DataFrame:
+    """The whole targets table.  Pass ``profile`` to reuse a materialised hourly profile."""
+    wq = wq_targets(archive_wq_daily(inp.archive_wq, inp.sites),
+                    provisional_wq_daily(inp.provisional_wq, inp.sites),
+                    inp.ranges, inp.masks)
+    return finalize_targets(wq, build_temperature(inp, profile))

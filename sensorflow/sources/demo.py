@@ -165,3 +165,21 @@ def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
                     site_of(F.col("o_custkey")).alias("site_id"), var.alias("variable"),
                     (F.col("o_totalprice") / 9973).alias("observed"))
     return rows.groupBy("time", "site_id", "variable").agg(F.avg("observed").alias("observed"))
+
+
+def geo_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested geographic-coverage rows (SRC-12 schema) built from nation x region."""
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    j = n.join(r, F.col("n_regionkey") == F.col("r_regionkey"))
+    lon = (F.col("n_nationkey") * 7.3 - 90).cast("string")
+    lat = (F.col("n_nationkey") * 2.9 - 30).cast("string")
+    return j.select(
+        F.col("n_name").alias("id"),
+        F.concat_ws(", ", "n_name", "r_name").alias("geographicDescription"),
+        F.struct(lon.alias("westBoundingCoordinate"), lon.alias("eastBoundingCoordinate"),
+                 lat.alias("northBoundingCoordinate"), lat.alias("southBoundingCoordinate"),
+                 F.struct((F.col("n_regionkey") * 100.0).alias("altitudeMinimum"),
+                          (F.col("n_regionkey") * 100.0 + 50).alias("altitudeMaximum"),
+                          F.lit("meter").alias("altitudeUnits")).alias("boundingAltitudes"))
+        .alias("boundingCoordinates"))
