@@ -3,17 +3,21 @@
 A plain ``Window.partitionBy(series)`` sends every row of a series to one task; a series
 that holds a third of all rows then becomes one giant sort.  Here each series is cut into
 calendar buckets (month by default, any monotone function of the order key works) and
-the window runs per (series, bucket).  A bucket-level summary — one row per bucket,
-far smaller than the data — carries the state across bucket edges:
+the window runs per (series, bucket).  A bucket-level summary — one row per bucket —
+carries the state across bucket edges:
 
 * ``lag_columns``      previous row's values (the first row of a bucket takes the last
                        row of the nearest earlier bucket)
 * ``known_neighbours`` last non-missing value at/before and first at/after each row
 * ``row_index``        1-based position of the row in its whole series
 
-The summary is joined back on (series, bucket), which is how the windowed data is
-already hash-partitioned, so the large side is not shuffled again.  Series keys are packed
-into one struct so that NULL key values still form their own series, as in a window.
+Plan shape: the rows take one hash exchange on (series, bucket) and a sort + window.  The
+bucket summary is a second, partial (map-side) hash aggregate over the input columns —
+``max_by``/``min_by`` per column keep primitive buffers — so only one row per bucket is
+shuffled for it; it gets a small window over buckets and is joined back on (series,
+bucket), which is how the windowed rows are already partitioned, so the large side is
+not shuffled again (AQE broadcasts the summary when it is small at run time).  Series keys are packed into
+one struct so that NULL key values still form their own series, as in a window.
 Rows are assumed unique on (series, order keys); callers add a tiebreak column if not.
 """
 
@@ -45,13 +49,44 @@ def year_bucket(col) -> Column:
 def _prepare(df: DataFrame, keys: Sequence[str], order: Sequence, bucket) -> DataFrame:
     sk = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("_"))
     b = bucket if bucket is not None else month_bucket(_col(order[0]))
-    return df.withColumn(SK, sk).withColumn(BK, b)
+    return df.withColumn(SK, sk).withColumn(BK, b.cast("long"))
 
 
-def _order_struct(order: Sequence) -> Column:
+def _window(order: Sequence):
+    return Window.partitionBy(SK, BK).orderBy(*[_col(o) for o in order])
+
+
+def _edges(d: DataFrame, w) -> DataFrame:
+    """Mark the first row of each (series, bucket)."""
+    return d.withColumn("__first", F.lag(F.lit(1)).over(w).isNull())
+
+
+def _buckets():
+    return Window.partitionBy(SK).orderBy(BK)
+
+
+def _earlier():
+    return _buckets().rangeBetween(Window.unboundedPreceding, -1)
+
+
+def _later():
+    return _buckets().rangeBetween(1, Window.unboundedFollowing)
+
+
+def _ordering(order: Sequence) -> Column:
+    """Single order column as is (hash-aggregatable); several packed in a struct."""
+    if len(order) == 1:
+        return _col(order[0])
     return F.struct(*[_col(o).alias(f"o{i}") for i, o in enumerate(order)])
 
 
+def _extreme(fn, value: Column, ordering: Column, known: Column | None = None) -> Column:
+    """``max_by``/``min_by`` of one column; rows where ``known`` is false are skipped
+    (a NULL ordering is ignored by both aggregates)."""
+    o = ordering if known is None else F.when(known, ordering)
+    return fn(value, o)
+
+
 def lag_columns(df: DataFrame, keys: Sequence[str], order: Sequence, cols: Sequence[str],
                 bucket: Column | None = None, prefix: str = "prev_") -> DataFrame:
     """Add ``prefix + c`` = value of ``c`` on the previous row of the same series.
@@ -59,22 +94,24 @@ def lag_columns(df: DataFrame, keys: Sequence[str], order: Sequence, cols: Seque
     Equivalent to ``F.lag(c).over(Window.partitionBy(keys).orderBy(order))``.
     """
     d = _prepare(df, keys, order, bucket)
-    w = Window.partitionBy(SK, BK).orderBy(*[_col(o) for o in order])
-    d = d.withColumn("__has_prev", F.lag(F.lit(1)).over(w))
+    # bucket summary straight from the input: per-column max_by keeps the aggregation
+    # buffers primitive, so it runs as a partial hash aggregate before a tiny shuffle
+    ordering = _ordering(order)
+    last = d.groupBy(SK, BK).agg(
+        *[_extreme(F.max_by, F.col(c), ordering).alias("__l_" + c) for c in cols])
+    carry = last.select(SK, BK, *[F.lag("__l_" + c).over(_buckets()).alias("__c_" + c)
+                                  for c in cols])
+    w = _window(order)
+    d = _edges(d, w)
     for c in cols:
         d = d.withColumn("__lag_" + c, F.lag(F.col(c)).over(w))
-    last = (d.groupBy(SK, BK)
-            .agg(F.max_by(F.struct(*[F.col(c).alias(c) for c in cols]), _order_struct(order))
-                 .alias("__last")))
-    wb = Window.partitionBy(SK).orderBy(BK)
-    carry = last.select(SK, BK, F.lag("__last").over(wb).alias("__carry"))
     d = d.join(carry, [SK, BK], "left")
     out = d
     for c in cols:
-        out = out.withColumn(prefix + c,
-                             F.when(F.col("__has_prev").isNull(), F.col("__carry")[c])
+        out = out.withColumn(prefix + c, F.when(F.col("__first"), F.col("__c_" + c))
                              .otherwise(F.col("__lag_" + c)))
-    return out.drop(SK, BK, "__has_prev", "__carry", *["__lag_" + c for c in cols])
+    return out.drop(SK, BK, "__first", *["__lag_" + c for c in cols],
+                    *["__c_" + c for c in cols])
 
 
 def known_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence, value: str,
@@ -87,22 +124,26 @@ def known_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence, value:
     """
     d = _prepare(df, keys, order, bucket).withColumn("__x", x)
     v = F.col(value)
-    known = F.when(v.isNotNull(), F.struct(v.alias("v"), F.col("__x").alias("x")))
-    ordk = F.when(v.isNotNull(), _order_struct(order))
-    w = Window.partitionBy(SK, BK).orderBy(*[_col(o) for o in order])
+    isk = v.isNotNull()
+    ordering = _ordering(order)
+    summary = d.groupBy(SK, BK).agg(
+        _extreme(F.max_by, v, ordering, isk).alias("__lv"),
+        _extreme(F.max_by, F.col("__x"), ordering, isk).alias("__lx"),
+        _extreme(F.min_by, v, ordering, isk).alias("__fv"),
+        _extreme(F.min_by, F.col("__x"), ordering, isk).alias("__fx"))
+    lk = F.when(F.col("__lv").isNotNull(), F.struct(F.col("__lv").alias("v"),
+                                                   F.col("__lx").alias("x")))
+    fk = F.when(F.col("__fv").isNotNull(), F.struct(F.col("__fv").alias("v"),
+                                                   F.col("__fx").alias("x")))
+    carry = summary.select(SK, BK,
+                           F.last(lk, ignorenulls=True).over(_earlier()).alias("__cp"),
+                           F.first(fk, ignorenulls=True).over(_later()).alias("__cn"))
+    known = F.when(isk, F.struct(v.alias("v"), F.col("__x").alias("x")))
+    w = _window(order)
     d = (d.withColumn("__pk", F.last(known, ignorenulls=True)
                       .over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
          .withColumn("__nk", F.first(known, ignorenulls=True)
                      .over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))))
-    summary = d.groupBy(SK, BK).agg(F.max_by(known, ordk).alias("__lastk"),
-                                    F.min_by(known, ordk).alias("__firstk"))
-    wb = Window.partitionBy(SK).orderBy(BK)
-    carry = summary.select(
-        SK, BK,
-        F.last("__lastk", ignorenulls=True)
-        .over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("__cp"),
-        F.first("__firstk", ignorenulls=True)
-        .over(wb.rowsBetween(1, Window.unboundedFollowing)).alias("__cn"))
     d = d.join(carry, [SK, BK], "left")
     prev = F.coalesce(F.col("__pk"), F.col("__cp"))
     nxt = F.coalesce(F.col("__nk"), F.col("__cn"))
@@ -115,11 +156,11 @@ def row_index(df: DataFrame, keys: Sequence[str], order: Sequence, name: str = "
               bucket: Column | None = None) -> DataFrame:
     """Add the 1-based row position within the whole series (``row_number``)."""
     d = _prepare(df, keys, order, bucket)
-    w = Window.partitionBy(SK, BK).orderBy(*[_col(o) for o in order])
-    d = d.withColumn("__rn", F.row_number().over(w))
     counts = d.groupBy(SK, BK).agg(F.count(F.lit(1)).alias("__n"))
-    wb = Window.partitionBy(SK).orderBy(BK).rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(SK, BK, F.coalesce(F.sum("__n").over(wb), F.lit(0)).alias("__off"))
+    offs = counts.select(SK, BK, F.coalesce(F.sum("__n").over(_earlier()), F.lit(0))
+                         .alias("__off"))
+    w = _window(order)
+    d = d.withColumn("__rn", F.row_number().over(w))
     d = d.join(offs, [SK, BK], "left")
     return d.withColumn(name, (F.col("__off") + F.col("__rn")).cast("long")).drop(
         SK, BK, "__rn", "__off")
@@ -136,8 +177,7 @@ def linear_fill(df: DataFrame, keys: Sequence[str], order: Sequence, value: str,
     d = known_neighbours(df, keys, order, value, x, bucket, prefix="__n_")
     pv, px, nv, nx = (F.col("__n_prev_v"), F.col("__n_prev_x"),
                       F.col("__n_next_v"), F.col("__n_next_x"))
-    xc = x
-    interp = pv + (nv - pv) * (xc - px).cast("double") / (nx - px).cast("double")
+    interp = pv + (nv - pv) * (x - px).cast("double") / (nx - px).cast("double")
     filled = (F.when(F.col(value).isNotNull(), F.col(value))
               .when(pv.isNotNull() & nv.isNotNull() & (nx != px), interp)
               .when(pv.isNotNull() & nv.isNotNull(), pv)
