@@ -66,14 +66,15 @@ def stream_ingest(spark: SparkSession, source: str, schema: T.StructType | str,
     run = uuid.uuid4().hex[:12]
     sink = sink or shared_path(spark, "sensorflow", "ingest", run, "sink")
     checkpoint = checkpoint or shared_path(spark, "sensorflow", "ingest", run, "checkpoint")
-    reader = spark.readStream.format(fmt).schema(schema)
+    reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true")
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
     stream = reader.load(source)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch_fn(batch).withColumn("batch_id", F.lit(batch_id)).write.mode("append") \
-            .parquet(sink)
+        # one directory per micro-batch, overwritten on a retry: at-least-once delivery
+        # of a batch still leaves exactly one copy of its rows
+        batch_fn(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     q = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
