@@ -8,12 +8,26 @@ from pyspark.sql import functions as F
 # Rule and dimension tables above this many rows are joined by shuffle instead.
 BROADCAST_MAX_ROWS = 200_000
 
+# Decisions for tables that read no files (their rows live in the plan, so the size is
+# fixed), keyed by the plan's semantic hash.
+_DECIDED: dict[tuple[int, int], bool] = {}
+
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` as is.
 
     The check counts at most ``max_rows + 1`` rows, so it stays cheap for large inputs;
-    beyond the bound the join is left to the planner (sort-merge or AQE's runtime choice).
+    beyond the bound the join is left to the planner (sort-merge, with AQE's skew split
+    and runtime broadcast).  For tables built from in-plan rows the answer is remembered.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = None
+    if not df.inputFiles():
+        key = (df.semanticHash(), max_rows)
+        if key in _DECIDED:
+            return F.broadcast(df) if _DECIDED[key] else df
+    small = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        if len(_DECIDED) > 10_000:
+            _DECIDED.clear()
+        _DECIDED[key] = small
+    return F.broadcast(df) if small else df

@@ -4,9 +4,9 @@ State-space model per (site, variable) daily series:
     x[1] ~ N(x_ic, s^2),  x[t] ~ N(x[t-1], s^2),  y[t] ~ N(x[t], obs_sd^2),  s ~ U(1e-6, 100)
 
 Given s the model is linear-Gaussian, so the ensemble is drawn exactly instead of by
-MCMC: the Kalman likelihood of s on a log grid gives its posterior, 2000 draws of s are
-taken from it, each draw filters the series (all draws at once, vectorised) and walks the
-state forward to the horizon.  Each series is one ``applyInPandas`` group; a group is a
+MCMC: the Kalman likelihood of s on a grid gives its posterior (the same vectorised
+filter pass gives the filtered state for every grid value), 2000 draws of s are taken from
+it, each draw starts from its filtered state and walks forward to the horizon.  Each series is one ``applyInPandas`` group; a group is a
 daily series (bounded by its calendar span), and the groups run in parallel.
 
 ``rw_analytic`` is the closed-form persistence forecast (last value, sd of daily
@@ -70,8 +70,12 @@ def rw_analytic(targets: DataFrame, as_of, horizon: int = HORIZON_DAYS,
 
 # --- exact-likelihood ensemble ------------------------------------------------------------
 
-def _kalman_loglik(y: np.ndarray, s: np.ndarray, x_ic: float, r: float) -> np.ndarray:
-    """Log-likelihood of the observed y for each process sd in ``s`` (vectorised)."""
+def _kalman(y: np.ndarray, s: np.ndarray, x_ic: float, r: float):
+    """Kalman filter for every process sd in ``s`` at once (vectorised over ``s``).
+
+    Returns the log-likelihood of the observed ``y`` (NaN = missing) and the filtered
+    mean and variance of the state at the last index.
+    """
     q = s * s
     m = np.full_like(s, x_ic, dtype=float)
     p = q.copy()
@@ -86,40 +90,31 @@ def _kalman_loglik(y: np.ndarray, s: np.ndarray, x_ic: float, r: float) -> np.nd
             k = p / v
             m = m + k * e
             p = (1 - k) * p
-    return ll
+    return ll, m, p
 
 
-def _filter_last(y: np.ndarray, s: np.ndarray, x_ic: float, r: float):
-    """Filtered mean and variance of the state at the last index, per draw of s."""
-    q = s * s
-    m = np.full_like(s, x_ic, dtype=float)
-    p = q.copy()
-    for t, yt in enumerate(y):
-        if t > 0:
-            p = p + q
-        if not np.isnan(yt):
-            v = p + r
-            k = p / v
-            m = m + k * (yt - m)
-            p = (1 - k) * p
-    return m, p
-
+def _posterior_draws(y: np.ndarray, n: int, rng, x_ic: float, r: float):
+    """Draws of s from its grid posterior under the U(S_MIN, S_MAX) prior, with the
+    filtered state (mean, variance) at the last index for each draw.
 
-def _posterior_draws(y: np.ndarray, n: int, rng, x_ic: float, r: float) -> np.ndarray:
-    """Draws of s from its grid posterior under the U(S_MIN, S_MAX) prior."""
+    A coarse log grid locates the posterior mass, a fine linear grid resolves it; draws
+    are jittered inside their grid cell and their filtered state is interpolated
+    between the two neighbouring grid points.
+    """
     coarse = np.geomspace(S_MIN, S_MAX, 200)
-    ll = _kalman_loglik(y, coarse, x_ic, r)
+    ll, _, _ = _kalman(y, coarse, x_ic, r)
     w = np.exp(ll - ll.max()) * coarse          # log grid: ds is proportional to s
     i = np.flatnonzero(w > w.max() * 1e-10)
     lo = coarse[max(i[0] - 1, 0)]
     hi = coarse[min(i[-1] + 1, len(coarse) - 1)]
     fine = np.linspace(lo, hi, 400)
-    ll = _kalman_loglik(y, fine, x_ic, r)
+    ll, m, p = _kalman(y, fine, x_ic, r)
     w = np.exp(ll - ll.max())
     w = w / w.sum()
     k = rng.choice(len(fine), size=n, p=w)
     step = (hi - lo) / (len(fine) - 1)
-    return np.clip(fine[k] + rng.uniform(-0.5, 0.5, n) * step, S_MIN, S_MAX)
+    s = np.clip(fine[k] + rng.uniform(-0.5, 0.5, n) * step, lo, hi)
+    return s, np.interp(s, fine, m), np.interp(s, fine, p)
 
 
 def _ensemble_group(pdf: pd.DataFrame, as_of, horizon: int, n: int, x_ic: float,
@@ -132,8 +127,7 @@ def _ensemble_group(pdf: pd.DataFrame, as_of, horizon: int, n: int, x_ic: float,
     site, var = pdf["site_id"].iloc[0], pdf["variable"].iloc[0]
     times = pd.to_datetime(pdf["time"]).dt.date.to_numpy()
     y = pdf["observed"].to_numpy(dtype=float)
-    hist = times <= as_of
-    yh = y[hist]
+    yh = y[times <= as_of]
     if np.isnan(yh).all():
         return pd.DataFrame({"time": pd.Series([], dtype=object),
                              "start_time": pd.Series([], dtype=object),
@@ -143,9 +137,8 @@ def _ensemble_group(pdf: pd.DataFrame, as_of, horizon: int, n: int, x_ic: float,
                              "predicted": pd.Series([], dtype=float)})
     r = obs_sd * obs_sd
     rng = np.random.default_rng(xxhash.xxh64_intdigest(f"{site}|{var}|{seed}"))
-    s = _posterior_draws(yh, n, rng, x_ic, r)
-    m, p = _filter_last(yh, s, x_ic, r)
-    x = m + np.sqrt(p) * rng.standard_normal(n)
+    s, m, p = _posterior_draws(yh, n, rng, x_ic, r)
+    x = m + np.sqrt(np.maximum(p, 0.0)) * rng.standard_normal(n)
     days = [as_of + dt.timedelta(days=h) for h in range(1, horizon + 1)]
     out = np.empty((horizon, n))
     for h in range(horizon):

@@ -49,18 +49,13 @@ def year_bucket(col) -> Column:
 def _prepare(df: DataFrame, keys: Sequence[str], order: Sequence, bucket) -> DataFrame:
     sk = F.struct(*[F.col(k) for k in keys]) if keys else F.struct(F.lit(0).alias("_"))
     b = bucket if bucket is not None else month_bucket(_col(order[0]))
-    return df.withColumn(SK, sk).withColumn(BK, b.cast("long"))
+    return df.withColumns({SK: sk, BK: b.cast("long")})
 
 
 def _window(order: Sequence):
     return Window.partitionBy(SK, BK).orderBy(*[_col(o) for o in order])
 
 
-def _edges(d: DataFrame, w) -> DataFrame:
-    """Mark the first row of each (series, bucket)."""
-    return d.withColumn("__first", F.lag(F.lit(1)).over(w).isNull())
-
-
 def _buckets():
     return Window.partitionBy(SK).orderBy(BK)
 
@@ -102,14 +97,11 @@ def lag_columns(df: DataFrame, keys: Sequence[str], order: Sequence, cols: Seque
     carry = last.select(SK, BK, *[F.lag("__l_" + c).over(_buckets()).alias("__c_" + c)
                                   for c in cols])
     w = _window(order)
-    d = _edges(d, w)
-    for c in cols:
-        d = d.withColumn("__lag_" + c, F.lag(F.col(c)).over(w))
+    d = d.withColumns({"__first": F.lag(F.lit(1)).over(w).isNull(),
+                       **{"__lag_" + c: F.lag(F.col(c)).over(w) for c in cols}})
     d = d.join(carry, [SK, BK], "left")
-    out = d
-    for c in cols:
-        out = out.withColumn(prefix + c, F.when(F.col("__first"), F.col("__c_" + c))
-                             .otherwise(F.col("__lag_" + c)))
+    out = d.withColumns({prefix + c: F.when(F.col("__first"), F.col("__c_" + c))
+                         .otherwise(F.col("__lag_" + c)) for c in cols})
     return out.drop(SK, BK, "__first", *["__lag_" + c for c in cols],
                     *["__c_" + c for c in cols])
 
@@ -140,15 +132,16 @@ def known_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence, value:
                            F.first(fk, ignorenulls=True).over(_later()).alias("__cn"))
     known = F.when(isk, F.struct(v.alias("v"), F.col("__x").alias("x")))
     w = _window(order)
-    d = (d.withColumn("__pk", F.last(known, ignorenulls=True)
-                      .over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-         .withColumn("__nk", F.first(known, ignorenulls=True)
-                     .over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))))
+    d = d.withColumns({
+        "__pk": F.last(known, ignorenulls=True)
+        .over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "__nk": F.first(known, ignorenulls=True)
+        .over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))})
     d = d.join(carry, [SK, BK], "left")
     prev = F.coalesce(F.col("__pk"), F.col("__cp"))
     nxt = F.coalesce(F.col("__nk"), F.col("__cn"))
-    d = (d.withColumn(prefix + "prev_v", prev["v"]).withColumn(prefix + "prev_x", prev["x"])
-         .withColumn(prefix + "next_v", nxt["v"]).withColumn(prefix + "next_x", nxt["x"]))
+    d = d.withColumns({prefix + "prev_v": prev["v"], prefix + "prev_x": prev["x"],
+                       prefix + "next_v": nxt["v"], prefix + "next_x": nxt["x"]})
     return d.drop(SK, BK, "__x", "__pk", "__nk", "__cp", "__cn")
 
 

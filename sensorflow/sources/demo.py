@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorflow.functions.timefmt import hour_floor
+from sensorflow.sources.tables import inline_table
 
 # The stand-in site list (index = key % 12) and the site dimension.
 SITES = ["BARC", "CRAM", "LIRO", "PRLA", "PRPO", "SUGG", "TOOK",
@@ -60,7 +61,7 @@ def site_of(key: Column) -> Column:
 
 
 def sites(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SITE_DIMENSION, SITE_SCHEMA)
+    return inline_table(spark, SITE_DIMENSION, SITE_SCHEMA)
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sensorflow.sources.tables import inline_table
+
 D = dt.date
 
 # ---------------------------------------------------------------------------------------
@@ -140,23 +142,23 @@ QC_SCHEMA = "source string, lo double, hi double, spike double, by_depth boolean
 
 
 def depth_lookup(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(THERMISTOR_DEPTHS, DEPTH_LOOKUP_SCHEMA)
+    return inline_table(spark, THERMISTOR_DEPTHS, DEPTH_LOOKUP_SCHEMA)
 
 
 def depth_corrections(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DEPTH_CORRECTIONS, CORRECTIONS_SCHEMA)
+    return inline_table(spark, DEPTH_CORRECTIONS, CORRECTIONS_SCHEMA)
 
 
 def ranges(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RANGES, RANGES_SCHEMA)
+    return inline_table(spark, RANGES, RANGES_SCHEMA)
 
 
 def masks(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(MASKS, MASKS_SCHEMA)
+    return inline_table(spark, MASKS, MASKS_SCHEMA)
 
 
 def qc_params(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(QC_PARAMS, QC_SCHEMA)
+    return inline_table(spark, QC_PARAMS, QC_SCHEMA)
 
 
 def qc_setting(source: str) -> dict:
