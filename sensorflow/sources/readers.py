@@ -94,3 +94,10 @@ def read_targets(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
         return (spark.read.schema(schemas.TARGETS).option("header", True)
                 .option("nullValue", "NA").csv(path))
     return spark.read.schema(schemas.TARGETS).parquet(path)
+
+
+def read_forecast(spark: SparkSession, path: str,
+                  schema: T.StructType = schemas.CLIMATOLOGY_FORECAST) -> DataFrame:
+    """A forecast file written by ``sinks.write_forecast`` (header CSV, ``NA`` missing)."""
+    return (spark.read.schema(schema).option("header", True).option("nullValue", "NA")
+            .csv(path))

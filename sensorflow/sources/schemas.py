@@ -40,3 +40,6 @@ EXPANDED_PROFILE = _st(("time", TS), ("site_id", S), ("depth", D), ("variable",
 CLIMATOLOGY_FORECAST = _st(("time", DT), ("start_time", DT), ("site_id", S),
                            ("variable", S), ("family", S), ("parameter", S),
                            ("predicted", D))
+
+ENSEMBLE_FORECAST = _st(("time", DT), ("start_time", DT), ("site_id", S), ("variable", S),
+                        ("ensemble", I), ("predicted", D))

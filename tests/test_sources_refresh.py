@@ -149,3 +149,39 @@ def test_csv_sink_roundtrip_and_forecast_name(spark, tmp):            # SNK-1, S
                                                                    key=lambda r: r.time)
     fp = write_forecast(df, tmp, "aquatics", "climatology")
     assert fp.endswith("aquatics-2024-02-01-climatology.csv.gz")
+
+
+def test_dimension_csv_readers(spark, tmp):                            # SRC-9, SRC-10
+    with open(os.path.join(tmp, "sites.csv"), "w") as f:
+        f.write("field_site_id,field_site_subtype,aquatics\nBARC,Lake,1\nHARV,,0\n")
+    with open(os.path.join(tmp, "depths.csv"), "w") as f:
+        f.write("siteName,verticalIndex,thermistorDepth\nBARC,0501,0.05\n")
+    s = readers.read_sites(spark, os.path.join(tmp, "sites.csv")).collect()
+    assert [(r.field_site_id, r.aquatics) for r in s] == [("BARC", 1), ("HARV", 0)]
+    d = readers.read_depth_lookup(spark, os.path.join(tmp, "depths.csv")).first()
+    assert (d.verticalIndex, d.thermistorDepth) == ("0501", 0.05)   # leading zero kept
+
+
+def test_forecast_file_roundtrip(spark, tmp):                          # SRC-13, SNK-3
+    from sensorflow.operators.climatology import climatology_forecast
+    t = spark.createDataFrame([(D(2019, 3, 1), "A", "oxygen", 1.0),
+                               (D(2018, 3, 1), "A", "oxygen", 2.0)],
+                              "time date, site_id string, variable string, observed double")
+    f = climatology_forecast(t, "2020-02-28", 2)
+    path = write_forecast(f, tmp, "aquatics", "climatology")
+    back = readers.read_forecast(spark, path)
+    check_columns(back, schemas.CLIMATOLOGY_FORECAST.fieldNames())
+    assert back.count() == f.count()
+
+
+def test_windowed_daily_stream(spark, tmp):                            # optional watermark rollup
+    from sensorflow.streaming.refresh import windowed_daily
+    schema = "site_id string, ts timestamp, v double"
+    spark.createDataFrame([("A", T(2024, 1, 1, 1), 1.0), ("A", T(2024, 1, 1, 5), 3.0),
+                           ("A", T(2024, 1, 4, 1), 9.0)], schema).write.parquet(f"{tmp}/in")
+    stream = spark.readStream.schema(schema).parquet(f"{tmp}/in")
+    q = (windowed_daily(stream, ["site_id"], "ts", "v").writeStream.outputMode("update")
+         .format("memory").queryName("wd_test").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {(r.site_id, r.time): r.observed for r in spark.table("wd_test").collect()}
+    assert got[("A", D(2024, 1, 1))] == 2.0 and got[("A", D(2024, 1, 4))] == 9.0
