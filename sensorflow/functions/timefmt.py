@@ -45,3 +45,20 @@ def parse_timestamp(col, formats=TIMESTAMP_FORMATS) -> Column:
     """Parse text to a zone-free timestamp, trying each layout; NULL when none fits."""
     c = _c(col)
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)).cast("timestamp_ntz") for f in formats])
+
+
+def event_time(col) -> Column:
+    """Zone-free timestamp -> zoned event time at the same UTC wall clock.
+
+    Streaming watermarks need a zoned timestamp; going through epoch seconds (not a cast,
+    which would use the session zone) keeps UTC-aligned windows equal to calendar days.
+    """
+    c = _c(col)
+    secs = (F.unix_date(F.to_date(c)).cast("long") * 86400 + F.hour(c) * 3600
+            + F.minute(c) * 60 + F.second(c))
+    return F.timestamp_seconds(secs)
+
+
+def utc_day(col) -> Column:
+    """Calendar date (UTC) of a zoned timestamp, independent of the session zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(_c(col)) / 86400).cast("int"))

@@ -259,12 +259,21 @@ reg("curated_hourly_strict", f"""SELECT time, site_id, {r6('depth')} AS depth,
   {r6('observed')} AS observed, 'temperature' AS variable FROM {CUR_LAKE} h""")
 
 
-def _prov_selected(product: str, thirty: bool) -> str:
+def fresh(product: str) -> str:
+    """Provisional records of months after the archive's latest month (superseding)."""
+    arch = {"20288": ARCHIVE_WQ, "20264": ARCHIVE_TSD, "20053": ARCHIVE_TSW}[product]
+    latest = f"(SELECT date_trunc('month', max(startDateTime)) FROM {arch} a)"
+    return f"""(SELECT * FROM {provisional(product)} p
+  WHERE {latest} IS NULL OR date_trunc('month', startDate) > {latest})"""
+
+
+def _prov_selected(product: str, thirty: bool, is_fresh: bool = False) -> str:
     terms = ", ".join(_lit(t) for t in rules.PRODUCTS[product])
     cond = f"termName IN ({terms}) AND horizontalIndex IN ('101', '111', '103')"
     if thirty:
         cond += " AND temporalIndex = '030'"
-    return f"(SELECT * FROM {provisional(product)} p WHERE {cond})"
+    src = fresh(product) if is_fresh else provisional(product)
+    return f"(SELECT * FROM {src} p WHERE {cond})"
 
 
 def _any_flag(product: str, alias: str = "w") -> str:
@@ -272,24 +281,37 @@ def _any_flag(product: str, alias: str = "w") -> str:
     return " OR ".join(f"{alias}.{f} <> 1" for f in flags)
 
 
-PROV_TSD_JOINED = f"""(SELECT p.*, l.thermistorDepth FROM {_prov_selected('20264', True)} p
+def tsd_wide(is_fresh: bool = False) -> str:
+    joined = f"""(SELECT p.*, l.thermistorDepth FROM {_prov_selected('20264', True, is_fresh)} p
   JOIN {LOOKUP} l ON p.siteName = l.siteName AND p.verticalIndex = l.verticalIndex)"""
-PROV_TSD_WIDE = f"""(SELECT * FROM ({_wide_sql('20264', ['siteName', 'startDate', 'verticalIndex',
-  'thermistorDepth'], PROV_TSD_JOINED + ' j')}) w WHERE {_any_flag('20264')})"""
-PROV_LAKE_RAW = f"""(SELECT siteName AS site_id, thermistorDepth AS depth,
+    return f"""(SELECT * FROM ({_wide_sql('20264', ['siteName', 'startDate', 'verticalIndex',
+  'thermistorDepth'], joined + ' j')}) w WHERE {_any_flag('20264')})"""
+
+
+def prov_lake(is_fresh: bool = False) -> str:
+    raw = f"""(SELECT siteName AS site_id, thermistorDepth AS depth,
   date_trunc('hour', startDate) AS time, avg(tsdWaterTempMean) AS observed
-  FROM {PROV_TSD_WIDE} w WHERE siteName IN {site_class('Lake')} GROUP BY 1, 2, 3)"""
-PROV_LAKE = qc_sql(PROV_LAKE_RAW, ["site_id", "depth"], "time", "observed", -5.0, 40.0, 5.0,
-                   "keep", ["time", "site_id", "depth"])
+  FROM {tsd_wide(is_fresh)} w WHERE siteName IN {site_class('Lake')} GROUP BY 1, 2, 3)"""
+    return qc_sql(raw, ["site_id", "depth"], "time", "observed", -5.0, 40.0, 5.0, "keep",
+                  ["time", "site_id", "depth"])
 
-PROFILE = f"""(SELECT time, site_id, depth, avg(observed) AS observed FROM (
+
+def profile(is_fresh: bool = False) -> str:
+    return f"""(SELECT time, site_id, depth, avg(observed) AS observed FROM (
   SELECT time, site_id, depth, observed FROM {LAKE_HOURLY} a
   UNION ALL SELECT time, site_id, depth, observed FROM {CUR_LAKE} b
-  UNION ALL SELECT time, site_id, depth, observed FROM {PROV_LAKE} c) u
+  UNION ALL SELECT time, site_id, depth, observed FROM {prov_lake(is_fresh)} c) u
   GROUP BY time, site_id, depth)"""
 
-SURFACE = f"""(SELECT CAST(time AS DATE) AS time, site_id, avg(observed) AS observed
-  FROM {PROFILE} p WHERE depth <= 1 GROUP BY 1, 2)"""
+
+def surface(is_fresh: bool = False) -> str:
+    return f"""(SELECT CAST(time AS DATE) AS time, site_id, avg(observed) AS observed
+  FROM {profile(is_fresh)} p WHERE depth <= 1 GROUP BY 1, 2)"""
+
+
+PROV_TSD_WIDE = tsd_wide()
+PROFILE = profile()
+SURFACE = surface()
 
 reg("surface_daily", f"""SELECT time, site_id, 'temperature' AS variable,
   {r6('observed')} AS observed FROM {SURFACE} s""")
@@ -368,16 +390,20 @@ reg("mask_rules", f"""SELECT d.time, d.site_id, d.variable,
 
 # --- provisional chains -----------------------------------------------------------------
 
-WQ_PROV_WIDE = f"""(SELECT * FROM ({_wide_sql('20288', ['siteName', 'startDate'],
-  _prov_selected('20288', False) + ' p')}) w WHERE {_any_flag('20288')})"""
-WQ_PROV_LONG = f"""(SELECT time, site_id, variable, observed FROM (
+def wq_prov(is_fresh: bool = False) -> str:
+    wide = f"""(SELECT * FROM ({_wide_sql('20288', ['siteName', 'startDate'],
+  _prov_selected('20288', False, is_fresh) + ' p')}) w WHERE {_any_flag('20288')})"""
+    long = f"""(SELECT time, site_id, variable, observed FROM (
   SELECT CAST(startDate AS DATE) AS time, siteName AS site_id,
          avg(dissolvedOxygen) AS oxygen, avg(chlorophyll) AS chla
-  FROM {WQ_PROV_WIDE} w GROUP BY 1, 2) x
+  FROM {wide} w GROUP BY 1, 2) x
   UNPIVOT INCLUDE NULLS (observed FOR variable IN (oxygen, chla)))"""
-WQ_PROV = f"""(SELECT * FROM {WQ_PROV_LONG} l
+    return f"""(SELECT * FROM {long} l
   WHERE NOT (variable = 'chla' AND site_id IN {site_class('Wadeable Stream')}))"""
 
+
+WQ_PROV = wq_prov()
+
 reg("provisional_daily", f"""SELECT time, site_id, variable, {r6('observed')} AS observed
   FROM {WQ_PROV} x""")
 
@@ -392,10 +418,14 @@ reg("provisional_profile_hourly", f"""SELECT date_trunc('hour', startDate) AS ti
   siteName AS site_id, {r6('thermistorDepth')} AS depth, 'temperature' AS variable,
   {r6('avg(tsdWaterTempMean)')} AS observed FROM {PROV_TSD_WIDE} w GROUP BY 1, 2, 3""")
 
-PRT_WIDE = f"""(SELECT * FROM ({_wide_sql('20053', ['siteName', 'startDate'],
-  _prov_selected('20053', True) + ' p')}) w WHERE {_any_flag('20053')})"""
-PRT_RAW = f"""(SELECT CAST(startDate AS DATE) AS time, siteName AS site_id,
-  'temperature' AS variable, avg(surfWaterTempMean) AS observed FROM {PRT_WIDE} w GROUP BY 1, 2)"""
+def prt_raw(is_fresh: bool = False) -> str:
+    wide = f"""(SELECT * FROM ({_wide_sql('20053', ['siteName', 'startDate'],
+  _prov_selected('20053', True, is_fresh) + ' p')}) w WHERE {_any_flag('20053')})"""
+    return f"""(SELECT CAST(startDate AS DATE) AS time, siteName AS site_id,
+  'temperature' AS variable, avg(surfWaterTempMean) AS observed FROM {wide} w GROUP BY 1, 2)"""
+
+
+PRT_RAW = prt_raw()
 
 reg("provisional_point_daily", f"""SELECT time, site_id, variable, {r6('observed')} AS observed
   FROM {PRT_RAW} x""")
@@ -410,9 +440,9 @@ reg("provisional_dispatch", f"""
 # --- merges and targets -----------------------------------------------------------------
 
 reg("profile_merge", f"""SELECT time, site_id, {r6('depth')} AS depth, 'temperature' AS variable,
-  {r6('observed')} AS observed FROM {PROFILE} p""")
+  {r6('observed')} AS observed FROM {profile(True)} p""")
 
-PRT_QC = qc_sql(PRT_RAW, ["site_id"], "time", "observed", -5.0, 40.0, 7.0, "reject",
+PRT_QC = qc_sql(prt_raw(True), ["site_id"], "time", "observed", -5.0, 40.0, 7.0, "reject",
                 ["time", "site_id"])
 CUR_RIVER_RAW = f"""(SELECT CAST(startDate AS DATE) AS time, siteID AS site_id,
   CASE WHEN count(waterTemp) = count(*) THEN avg(waterTemp) END AS observed
@@ -420,7 +450,7 @@ CUR_RIVER_RAW = f"""(SELECT CAST(startDate AS DATE) AS time, siteID AS site_id,
 CUR_RIVER = qc_sql(CUR_RIVER_RAW, ["site_id"], "time", "observed", -5.0, 40.0, 5.0, "reject",
                    ["time", "site_id"])
 PROV_RIVER_RAW = f"""(SELECT CAST(startDate AS DATE) AS time, siteName AS site_id,
-  avg(tsdWaterTempMean) AS observed FROM {PROV_TSD_WIDE} w
+  avg(tsdWaterTempMean) AS observed FROM {tsd_wide(True)} w
   WHERE thermistorDepth <= 1 AND siteName IN {site_class('Non-wadeable River')} GROUP BY 1, 2)"""
 PROV_RIVER = qc_sql(PROV_RIVER_RAW, ["site_id"], "time", "observed", -5.0, 40.0, 5.0,
                     "reject", ["time", "site_id"])
@@ -437,7 +467,7 @@ def mask_sql(site: str, variable: str, time: str, value: str) -> str:
 
 
 TEMP_MERGED = f"""(SELECT site_id, time, avg(observed) AS observed FROM (
-  SELECT site_id, time, observed FROM {SURFACE} a
+  SELECT site_id, time, observed FROM {surface(True)} a
   UNION ALL SELECT site_id, time, observed FROM {STREAM} b
   UNION ALL SELECT site_id, time, observed FROM {PRT_QC} c
   UNION ALL SELECT site_id, time, observed FROM {RIVER} d
@@ -453,7 +483,7 @@ TEMP = f"""(SELECT time, site_id, variable,
 reg("surface_merge", f"""SELECT time, site_id, variable, {r6('observed')} AS observed FROM {TEMP} t""")
 
 WQ_UNION = f"""(SELECT time, site_id, variable, observed FROM {WQ_DAILY} a
-  UNION ALL SELECT time, site_id, variable, observed FROM {WQ_PROV} b)"""
+  UNION ALL SELECT time, site_id, variable, observed FROM {wq_prov(True)} b)"""
 WQ_RANGED = f"""(SELECT u.time, u.site_id, u.variable,
   CASE WHEN u.observed BETWEEN r.lo AND r.hi THEN u.observed END AS observed
   FROM {WQ_UNION} u LEFT JOIN {RANGES} r ON u.variable = r.variable)"""
@@ -655,3 +685,5 @@ reg("coverage_geo", f"""SELECT n.n_name AS id, n.n_name || ', ' || r.r_name AS g
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey
   WHERE n.n_name IN (SELECT n2.n_name FROM supplier s JOIN nation n2
                      ON s.s_nationkey = n2.n_nationkey)""")
+
+reg("stream_watermark_daily", ORACLE["stream_ingest_daily"])

@@ -557,3 +557,17 @@ def q_coverage_geo(spark, d):
                     F.col("s_nationkey") == F.col("n_nationkey"))
               .select(F.col("n_name").alias("site_id")))
     return finish(geo_coverage(geo, listed))
+
+
+@query("stream_watermark_daily")
+def q_stream_watermark_daily(spark, d):
+    from sensorflow.streaming.refresh import latest_rollup, stream_rollup
+    schema = demo.table(spark, d, "events").schema
+
+    def prepare(s):
+        return s.select(demo.site_of(F.col("user_id")).alias("site_id"), "ts",
+                        (F.col("value") / 19.3).alias("v"))
+
+    sink = stream_rollup(spark, d, schema, prepare, ["site_id"], "ts", "v",
+                         name_glob="events.parquet")
+    return finish(latest_rollup(spark, sink, ["site_id"]))

@@ -24,6 +24,7 @@ from sensorflow.operators.quality import (
 from sensorflow.operators.reshape import to_long, union_all
 from sensorflow.operators.rollup import daily_mean, hourly_mean, merge_sources
 from sensorflow.sources.rules import ACCEPT_FAILED_AFTER, qc_setting
+from sensorflow.streaming.refresh import supersede
 
 LAKE = "Lake"
 RIVER = "Non-wadeable River"
@@ -220,13 +221,22 @@ class TargetInputs:
     corrections: DataFrame
     ranges: DataFrame
     masks: DataFrame
+    supersede: bool = True
+
+    def fresh(self, provisional: DataFrame, archive: DataFrame) -> DataFrame:
+        """Provisional records of months after the archive's latest month (the superseded
+        months are simply not read)."""
+        if not self.supersede:
+            return provisional
+        return supersede(provisional, archive, "startDate", "startDateTime")
 
 
 def build_expanded_profile(inp: TargetInputs) -> DataFrame:
     return profile_merge(
         archive_lake_hourly(inp.archive_tsd, inp.sites, inp.corrections),
         curated_lake_hourly(inp.curated_lake, inp.sites),
-        provisional_lake_hourly(inp.provisional_tsd, inp.sites, inp.depth_lookup))
+        provisional_lake_hourly(inp.fresh(inp.provisional_tsd, inp.archive_tsd), inp.sites,
+                                inp.depth_lookup))
 
 
 def build_temperature(inp: TargetInputs, profile: DataFrame | None = None) -> DataFrame:
@@ -235,16 +245,18 @@ def build_temperature(inp: TargetInputs, profile: DataFrame | None = None) -> Da
     return temperature_targets([
         surface_daily(prof),
         archive_stream_daily(inp.archive_tsw),
-        provisional_stream_daily(inp.provisional_prt),
+        provisional_stream_daily(inp.fresh(inp.provisional_prt, inp.archive_tsw)),
         archive_river_daily(inp.archive_tsd, inp.sites),
         curated_river_daily(inp.curated_river, inp.sites),
-        provisional_river_daily(inp.provisional_tsd, inp.sites, inp.depth_lookup),
+        provisional_river_daily(inp.fresh(inp.provisional_tsd, inp.archive_tsd), inp.sites,
+                                inp.depth_lookup),
     ], inp.ranges, inp.masks).select("time", "site_id", "variable", "observed")
 
 
 def build_targets(inp: TargetInputs, profile: DataFrame | None = None) -> DataFrame:
     """The whole targets table.  Pass ``profile`` to reuse a materialised hourly profile."""
     wq = wq_targets(archive_wq_daily(inp.archive_wq, inp.sites),
-                    provisional_wq_daily(inp.provisional_wq, inp.sites),
+                    provisional_wq_daily(inp.fresh(inp.provisional_wq, inp.archive_wq),
+                                         inp.sites),
                     inp.ranges, inp.masks)
     return finalize_targets(wq, build_temperature(inp, profile))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sensorflow.functions.timefmt import event_time, utc_day
 from sensorflow.operators.joins import broadcast_if_small
 from sensorflow.session import shared_path
 
@@ -99,8 +100,55 @@ def combine_daily(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def windowed_daily(stream: DataFrame, keys: Sequence[str], time: str, value: str,
                    watermark: str = "48 hours") -> DataFrame:
-    """Streaming daily mean with a watermark for late provisional records (append mode)."""
+    """Streaming daily mean with a watermark for late provisional records."""
+    if isinstance(stream.schema[time].dataType, T.TimestampNTZType):
+        stream = stream.withColumn(time, event_time(time))
     return (stream.withWatermark(time, watermark)
             .groupBy(*keys, F.window(time, "1 day"))
             .agg(F.avg(value).alias("observed"))
-            .select(*keys, F.col("window.start").cast("date").alias("time"), "observed"))
+            .select(*keys, utc_day(F.col("window.start")).alias("time"), "observed"))
+
+
+def stream_rollup(spark: SparkSession, source: str, schema: T.StructType | str,
+                  prepare: Callable[[DataFrame], DataFrame], keys: Sequence[str], time: str,
+                  value: str, watermark: str = "48 hours", sink: str | None = None,
+                  checkpoint: str | None = None, fmt: str = "parquet",
+                  name_glob: str | None = None) -> str:
+    """Stateful daily rollup of a file stream: event-time windows with a watermark.
+
+    Late records within ``watermark`` still update their day; later ones are dropped by
+    the state store.  Update mode emits each changed day per micro-batch; every batch is
+    written to its own (retry-safe) directory and :func:`latest_rollup` keeps the last
+    version of each day, so the result is whole even for days still open.
+    """
+    run = uuid.uuid4().hex[:12]
+    sink = sink or shared_path(spark, "sensorflow", "rollup", run, "sink")
+    checkpoint = checkpoint or shared_path(spark, "sensorflow", "rollup", run, "checkpoint")
+    reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true")
+    if name_glob:
+        reader = reader.option("pathGlobFilter", name_glob)
+    rows = prepare(reader.load(source))
+    if isinstance(rows.schema[time].dataType, T.TimestampNTZType):
+        rows = rows.withColumn(time, event_time(time))
+    agg = (rows.withWatermark(time, watermark)
+           .groupBy(*keys, F.window(time, "1 day").alias("__w"))
+           .agg(F.sum(value).alias("sum"), F.count(value).alias("count"))
+           .select(*keys, utc_day(F.col("__w.start")).alias("time"), "sum", "count"))
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+
+    q = (agg.writeStream.outputMode("update").foreachBatch(write_batch)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return sink
+
+
+def latest_rollup(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFrame:
+    """The last emitted version of each (keys, day) of a :func:`stream_rollup` sink."""
+    d = spark.read.parquet(sink)
+    last = d.groupBy(*keys, "time").agg(
+        F.max_by(F.struct("sum", "count"), F.col("batch_id")).alias("__v"))
+    return last.select(*keys, "time", F.when(F.col("__v.count") > 0,
+                                             F.col("__v.sum") / F.col("__v.count"))
+                       .alias("observed"))
