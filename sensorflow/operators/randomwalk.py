@@ -52,17 +52,17 @@ def rw_analytic(targets: DataFrame, as_of, horizon: int = HORIZON_DAYS,
     keys = list(keys)
     hist = targets.where(F.col(time) <= _d(as_of))
     known = series_with_data(hist, keys, value).select(*keys)
+    # primitive aggregation buffers keep this a partial hash aggregate
     last = (hist.where(F.col(value).isNotNull()).groupBy(*keys)
-            .agg(F.max_by(F.struct(F.col(time).alias("t"), F.col(value).alias("v")),
-                          F.col(time)).alias("__last")))
+            .agg(F.max(time).alias("__t"), F.max_by(value, time).alias("__v")))
     sd = diff_sd(hist, keys, time, value)
     b = known.join(last, keys).join(sd, keys, "left")
     start, end = F.date_add(_d(as_of), 1), F.date_add(_d(as_of), horizon)
-    f = b.select(*keys, "__last", "diff_sd",
+    f = b.select(*keys, "__t", "__v", "diff_sd",
                  F.explode(F.sequence(start, end, F.expr("INTERVAL 1 DAY"))).alias("time"))
-    lead = F.datediff(F.col("time"), F.col("__last.t")).cast("double")
+    lead = F.datediff(F.col("time"), F.col("__t")).cast("double")
     f = f.select("time", _d(as_of).alias("start_time"), *keys,
-                 F.col("__last.v").alias("mu"), (F.col("diff_sd") * F.sqrt(lead)).alias("sigma"))
+                 F.col("__v").alias("mu"), (F.col("diff_sd") * F.sqrt(lead)).alias("sigma"))
     long = to_long(f, ["time", "start_time", *keys], ["mu", "sigma"], "parameter", "predicted")
     return long.withColumn("family", F.lit("normal")).select(
         "time", "start_time", *keys, "family", "parameter", "predicted")

@@ -192,9 +192,14 @@ def provisional_river_daily(long: DataFrame, sites: DataFrame, lookup: DataFrame
 
 def temperature_targets(daily_sources: list[DataFrame], ranges: DataFrame,
                         masks: DataFrame) -> DataFrame:
-    """Mean of the daily temperature sources per (site, day), gross range, masks."""
-    m = merge_sources(*daily_sources, keys=["site_id", "time"], mode="mean")
-    m = m.withColumn("variable", F.lit("temperature"))
+    """Mean of the daily temperature sources per (site, day), gross range, masks.
+
+    ``variable`` stays a merge key taken from the sources, so the gross-range lookup is
+    an equi-join on it (a literal column would be folded into a keyless join).
+    """
+    src = [d.withColumn("variable", F.lit("temperature")) if "variable" not in d.columns
+           else d for d in daily_sources]
+    m = merge_sources(*src, keys=["site_id", "time", "variable"], mode="mean")
     return mask_rules(gross_range(m, ranges), masks)
 
 
