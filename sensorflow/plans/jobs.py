@@ -52,3 +52,31 @@ def run_persistence(spark: SparkSession, targets_path: str, out_dir: str, as_of:
     """Random-walk ensemble forecast file (one row per member and day)."""
     f = rw_ensemble(read_targets(spark, targets_path, fmt), as_of, horizon, members)
     return write_forecast(f, out_dir, "aquatics", team)
+
+
+def run_metadata(spark: SparkSession, forecast_path: str, geo_path: str,
+                 sites: list[str] | None = None,
+                 required_columns: list[str] | None = None) -> dict:
+    """Coverage summary of a forecast file: theme/team from its name, column contract,
+    first/last forecast day and the geographic coverage of the listed (or all) sites.
+
+    Only small results reach the driver: two dates and one row per listed site.
+    """
+    from pyspark.sql import functions as F
+
+    from sensorflow.functions.names import parse_forecast_name
+    from sensorflow.operators.coverage import check_columns, geo_coverage, temporal_coverage
+    from sensorflow.sources.readers import read_forecast, read_geo
+
+    f = read_forecast(spark, forecast_path)
+    if required_columns is not None:
+        check_columns(f, required_columns)
+    name = spark.range(1).select(parse_forecast_name(F.lit(forecast_path)).alias("p")) \
+        .first()["p"]
+    cov = temporal_coverage(f, "time").first()
+    listed = (spark.createDataFrame([(s,) for s in sites], "site_id string") if sites
+              else f.select("site_id").distinct())
+    geo = [r.asDict() for r in geo_coverage(read_geo(spark, geo_path), listed).collect()]
+    return {"theme": name["theme"], "team": name["team"],
+            "begin_date": str(cov["begin_date"]), "end_date": str(cov["end_date"]),
+            "geographic_coverage": geo}

@@ -27,3 +27,28 @@ def test_targets_job_writes_and_forecasts(spark):
     assert spark.read.parquet(paths["expanded_profile"]).count() > 0
     fp = run_climatology(spark, paths["targets"], out, "2024-01-20", horizon=7)
     assert "aquatics-2024-01-21-climatology.csv.gz" in fp
+
+
+def test_metadata_job(spark):
+    import json
+    import os
+
+    from sensorflow.plans.jobs import run_metadata
+    out = tempfile.mkdtemp(prefix="sensorflow-meta-")
+    paths = run_targets(spark, target_inputs(spark, "/root/testdata/sf0.001"), out, csv=False)
+    fp = run_climatology(spark, paths["targets"], out, "2024-01-20", horizon=5)
+    geo = [{"id": "BARC", "geographicDescription": "BARC",
+            "boundingCoordinates": {"westBoundingCoordinate": "-82.0",
+                                    "eastBoundingCoordinate": "-82.0",
+                                    "northBoundingCoordinate": "29.6",
+                                    "southBoundingCoordinate": "29.6",
+                                    "boundingAltitudes": {"altitudeMinimum": 27,
+                                                          "altitudeMaximum": 27,
+                                                          "altitudeUnits": "meter"}}}]
+    gp = os.path.join(out, "geo.json")
+    with open(gp, "w") as f:
+        json.dump(geo, f)
+    m = run_metadata(spark, fp, gp, sites=["BARC", "POSE"])
+    assert (m["theme"], m["team"]) == ("aquatics", "climatology")
+    assert m["begin_date"] == "2024-01-21" and m["end_date"] <= "2024-01-25"
+    assert [g["id"] for g in m["geographic_coverage"]] == ["BARC"]
