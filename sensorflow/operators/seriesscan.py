@@ -65,7 +65,9 @@ def _earlier():
 
 
 def _later():
-    return _buckets().rangeBetween(1, Window.unboundedFollowing)
+    # reversed order + preceding frame: O(n) where a following frame would be O(n^2)
+    return (Window.partitionBy(SK).orderBy(F.col(BK).desc())
+            .rangeBetween(Window.unboundedPreceding, -1))
 
 
 def _ordering(order: Sequence) -> Column:
@@ -129,14 +131,17 @@ def known_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence, value:
                                                    F.col("__fx").alias("x")))
     carry = summary.select(SK, BK,
                            F.last(lk, ignorenulls=True).over(_earlier()).alias("__cp"),
-                           F.first(fk, ignorenulls=True).over(_later()).alias("__cn"))
+                           F.last(fk, ignorenulls=True).over(_later()).alias("__cn"))
     known = F.when(isk, F.struct(v.alias("v"), F.col("__x").alias("x")))
     w = _window(order)
+    # next known = last known over the reversed order (a growing frame, O(n) per bucket;
+    # a current..unbounded-following frame would be re-aggregated per row)
+    w_rev = Window.partitionBy(SK, BK).orderBy(*[_col(o).desc() for o in order])
     d = d.withColumns({
         "__pk": F.last(known, ignorenulls=True)
         .over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        "__nk": F.first(known, ignorenulls=True)
-        .over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))})
+        "__nk": F.last(known, ignorenulls=True)
+        .over(w_rev.rowsBetween(Window.unboundedPreceding, Window.currentRow))})
     d = d.join(carry, [SK, BK], "left")
     prev = F.coalesce(F.col("__pk"), F.col("__cp"))
     nxt = F.coalesce(F.col("__nk"), F.col("__cn"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +33,7 @@ def read_files(spark: SparkSession, root: str, fmt: str = "parquet",
     df = r.load(root)
     df = df.withColumn("source_file", F.col("_metadata.file_name"))
     if name_codes:
-        pattern = "(" + "|".join(sorted(set(name_codes), key=len, reverse=True)) + ")"
+        pattern = "(" + "|".join(re.escape(c) for c in sorted(set(name_codes), key=len,
+                                                               reverse=True)) + ")"
         df = df.where(F.regexp_extract("source_file", pattern, 1) != "")
     return df

@@ -4,6 +4,8 @@ of a source (one multi-file scan); filters and column selections are pushed to t
 
 from __future__ import annotations
 
+import re
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +43,8 @@ def read_curated_csv(spark: SparkSession, paths: str | Sequence[str],
           .option("mode", "PERMISSIVE").csv(p))
     df = df.withColumn("source_file", F.col("_metadata.file_name"))
     if sites:
-        pattern = "(" + "|".join(sorted(set(sites), key=len, reverse=True)) + ")"
+        pattern = "(" + "|".join(re.escape(c) for c in sorted(set(sites), key=len,
+                                                               reverse=True)) + ")"
         df = df.where(F.regexp_extract("source_file", pattern, 1) != "")
     out = df.withColumn("startDate", parse_timestamp(F.col("startDate")))
     for c in ("sensorDepth", "waterTemp"):
