@@ -13,6 +13,7 @@ from sensorflow.operators.climatology import climatology_forecast
 from sensorflow.operators.randomwalk import rw_ensemble
 from sensorflow.plans.targets import TargetInputs, build_expanded_profile, build_targets
 from sensorflow.sources.readers import read_targets
+from sensorflow.sources.rules import EXPANDED_FILE, TARGETS_FILE, THEME
 from sensorflow.sources.schemas import EXPANDED_PROFILE
 from sensorflow.sources.sinks import write_csv_gz, write_forecast, write_parquet
 
@@ -30,11 +31,11 @@ def run_targets(spark: SparkSession, inputs: TargetInputs, out_dir: str,
     paths = {"expanded_profile": profile_path, "targets": targets_path}
     if csv:
         t = spark.read.parquet(targets_path).select("time", "site_id", "variable", "observed")
-        paths["targets_csv"] = write_csv_gz(t, f"{out}/aquatics-targets.csv.gz",
+        paths["targets_csv"] = write_csv_gz(t, f"{out}/{TARGETS_FILE}",
                                             sort_by=("site_id", "time", "variable"))
         paths["expanded_csv"] = write_csv_gz(
             profile.select("time", "site_id", "depth", "variable", "observed"),
-            f"{out}/aquatics-expanded-observations.csv.gz",
+            f"{out}/{EXPANDED_FILE}",
             sort_by=("time", "site_id", "depth"))
     return paths
 
@@ -43,7 +44,7 @@ def run_climatology(spark: SparkSession, targets_path: str, out_dir: str, as_of:
                     horizon: int = 35, team: str = "climatology", fmt: str = "parquet") -> str:
     """Day-of-year climatology forecast file for the ``horizon`` days after ``as_of``."""
     f = climatology_forecast(read_targets(spark, targets_path, fmt), as_of, horizon)
-    return write_forecast(f, out_dir, "aquatics", team)
+    return write_forecast(f, out_dir, THEME, team)
 
 
 def run_persistence(spark: SparkSession, targets_path: str, out_dir: str, as_of: str,
@@ -51,7 +52,7 @@ def run_persistence(spark: SparkSession, targets_path: str, out_dir: str, as_of:
                     fmt: str = "parquet") -> str:
     """Random-walk ensemble forecast file (one row per member and day)."""
     f = rw_ensemble(read_targets(spark, targets_path, fmt), as_of, horizon, members)
-    return write_forecast(f, out_dir, "aquatics", team)
+    return write_forecast(f, out_dir, THEME, team)
 
 
 def run_metadata(spark: SparkSession, forecast_path: str, geo_path: str,

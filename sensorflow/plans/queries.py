@@ -125,7 +125,7 @@ def q_parse_timestamps(spark, d):
 def q_parse_forecast_name(spark, d):
     s = demo.daily_series(spark, d)
     names = (s.groupBy("site_id").agg(F.min("time").alias("first"))
-             .select("site_id", F.concat_ws("-", F.lit("aquatics"),
+             .select("site_id", F.concat_ws("-", F.lit(rules.THEME),
                                             F.date_format("first", "yyyy-MM-dd"),
                                             F.concat(F.lower("site_id"), F.lit(".csv.gz")))
                      .alias("file")))

@@ -132,6 +132,11 @@ HORIZON_DAYS = 35
 ENSEMBLE_SIZE = 2000
 X_IC = 0.3
 
+# Forecast theme and the published output file names.
+THEME = "aquatics"
+TARGETS_FILE = "aquatics-targets.csv.gz"
+EXPANDED_FILE = "aquatics-expanded-observations.csv.gz"
+
 DEPTH_LOOKUP_SCHEMA = "siteName string, verticalIndex string, thermistorDepth double"
 CORRECTIONS_SCHEMA = ("site_id string, vertical_position int, valid_from date, "
                       "valid_to date, depth double")

@@ -47,12 +47,12 @@ def test_targets_job_from_files(spark):
     _write(spark, [
         ("BARC", "tsdWaterTempMean", T(2024, 2, 1, 6, 0), 5.0, None, "501", "103", "030"),
         ("BARC", "tsdWaterTempFinalQF", T(2024, 2, 1, 6, 0), None, 0, "501", "103", "030"),
-    ], schemas.PROVISIONAL, f"{root}/prov/site=BARC/ms=2024-02/NEON.D03.BARC.DP1.20264")
+    ], schemas.PROVISIONAL, f"{root}/prov/site=BARC/ms=2024-02/records.BARC.20264")
     os.makedirs(f"{root}/curated_lake")
-    with open(f"{root}/curated_lake/NEON.D03.BARC.DP0.20005.csv", "w") as f:
+    with open(f"{root}/curated_lake/profile.BARC.20005.csv", "w") as f:
         f.write("siteID,startDate,sensorDepth,waterTemp\nBARC,2023-12-31 10:15,0.6,23.0\n")
     os.makedirs(f"{root}/curated_river")
-    with open(f"{root}/curated_river/NEON.D03.FLNT.DP0.20005.csv", "w") as f:
+    with open(f"{root}/curated_river/profile.FLNT.20005.csv", "w") as f:
         f.write("siteID,startDate,sensorDepth,waterTemp\nFLNT,2023-12-31 10:15,0.5,NA\n")
     cfg = {"sites": f"{root}/sites.csv", "archive_wq": f"{root}/wq",
            "archive_tsd": f"{root}/tsd", "archive_tsw": f"{root}/tsw",

@@ -29,7 +29,7 @@ def test_read_curated_csv_na_and_site_subset(spark, tmp):              # SRC-8,
     for site, body in [("BARC", "BARC,2020-01-01 00:10,0.5,NA\nBARC,2020-01-01 00:40,0.5,4.0\n"),
                        ("CRAM", "CRAM,2020-01-01 01:00,1.0,5.0\n"),
                        ("TOOK", "TOOK,2020-01-01T02:00,x,6.0\n")]:
-        with open(os.path.join(tmp, f"NEON.D03.{site}.DP0.20005.csv"), "w") as f:
+        with open(os.path.join(tmp, f"profile.{site}.20005.csv"), "w") as f:
             f.write("siteID,startDate,sensorDepth,waterTemp\n" + body)
     df = readers.read_curated_csv(spark, tmp, sites=["BARC", "TOOK"])
     rows = sorted(df.collect(), key=lambda r: r.startDate)
