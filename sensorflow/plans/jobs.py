@@ -8,6 +8,7 @@ read back, which also cuts the lineage before the targets are built.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from sensorflow.operators.climatology import climatology_forecast
 from sensorflow.operators.randomwalk import rw_ensemble
@@ -23,11 +24,13 @@ def run_targets(spark: SparkSession, inputs: TargetInputs, out_dir: str,
     """Build and write the expanded profile and the targets table."""
     out = out_dir.rstrip("/")
     profile_path = write_parquet(build_expanded_profile(inputs), f"{out}/expanded_profile",
-                                 partition_by=("site_id",), sort_within=("depth", "time"))
+                                 partition_by=("site_id",), sort_within=("depth", "time"),
+                                 cluster_by=("site_id", F.date_format("time", "yyyy-MM")))
     profile = spark.read.schema(EXPANDED_PROFILE).parquet(profile_path)
     targets = build_targets(inputs, profile=profile.select(*EXPANDED_PROFILE.fieldNames()))
     targets_path = write_parquet(targets, f"{out}/targets", partition_by=("variable",),
-                                 sort_within=("site_id", "time"))
+                                 sort_within=("site_id", "time"),
+                                 cluster_by=("variable", "site_id", F.year("time")))
     paths = {"expanded_profile": profile_path, "targets": targets_path}
     if csv:
         t = spark.read.parquet(targets_path).select("time", "site_id", "variable", "observed")

@@ -12,9 +12,15 @@ from sensorflow.functions.names import forecast_file_name
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                  sort_within: Sequence[str] = ()) -> str:
-    """Main form of every output: Parquet, optionally partitioned and locally sorted."""
-    d = df.sortWithinPartitions(*sort_within) if sort_within else df
+                  sort_within: Sequence[str] = (), cluster_by: Sequence = ()) -> str:
+    """Main form of every output: Parquet, optionally partitioned and locally sorted.
+
+    ``cluster_by`` hash-distributes rows first (e.g. partition column + month), so each
+    output partition is written by few tasks instead of every task writing a small file
+    for every partition value, while a hot partition value still spreads over months.
+    """
+    d = df.repartition(*cluster_by) if cluster_by else df
+    d = d.sortWithinPartitions(*sort_within) if sort_within else d
     w = d.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

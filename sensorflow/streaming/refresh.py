@@ -56,13 +56,15 @@ def supersede(provisional: DataFrame, archive: DataFrame, prov_time: str, arch_t
 def stream_ingest(spark: SparkSession, source: str, schema: T.StructType | str,
                   batch_fn: Callable[[DataFrame], DataFrame], sink: str | None = None,
                   fmt: str = "parquet", name_glob: str | None = None,
-                  checkpoint: str | None = None) -> str:
+                  checkpoint: str | None = None,
+                  max_files_per_trigger: int | None = None) -> str:
     """Ingest new files under ``source`` once (``availableNow``) and append to ``sink``.
 
     The streaming checkpoint remembers which files were processed, so a rerun reads only
     files that arrived since.  ``batch_fn`` turns one micro-batch into rows to append
-    (e.g. partial daily sums and counts).  Paths default to the shared checkpoint folder.
-    Returns the sink path.
+    (e.g. partial daily sums and counts).  ``max_files_per_trigger`` bounds a micro-batch
+    so a large backlog is processed in several batches.  Paths default to the shared
+    checkpoint folder.  Returns the sink path.
     """
     run = uuid.uuid4().hex[:12]
     sink = sink or shared_path(spark, "sensorflow", "ingest", run, "sink")
@@ -70,6 +72,8 @@ def stream_ingest(spark: SparkSession, source: str, schema: T.StructType | str,
     reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true")
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.load(source)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -113,7 +117,8 @@ def stream_rollup(spark: SparkSession, source: str, schema: T.StructType | str,
                   prepare: Callable[[DataFrame], DataFrame], keys: Sequence[str], time: str,
                   value: str, watermark: str = "48 hours", sink: str | None = None,
                   checkpoint: str | None = None, fmt: str = "parquet",
-                  name_glob: str | None = None) -> str:
+                  name_glob: str | None = None,
+                  max_files_per_trigger: int | None = None) -> str:
     """Stateful daily rollup of a file stream: event-time windows with a watermark.
 
     Late records within ``watermark`` still update their day; later ones are dropped by
@@ -127,6 +132,8 @@ def stream_rollup(spark: SparkSession, source: str, schema: T.StructType | str,
     reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true")
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = prepare(reader.load(source))
     if isinstance(rows.schema[time].dataType, T.TimestampNTZType):
         rows = rows.withColumn(time, event_time(time))
