@@ -73,13 +73,20 @@ def provisional_tsd_surface_daily(long: DataFrame, lookup: DataFrame,
             .select("time", "site_id", "variable", "observed"))
 
 
-def provisional_tsd_profile_hourly(long: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Hourly mean temperature per sensor depth (product 20264); depths not rounded."""
+def provisional_tsd_profile_hourly(long: DataFrame, lookup: DataFrame,
+                                   round_depth: bool = False) -> DataFrame:
+    """Hourly mean temperature per sensor depth (product 20264).
+
+    Depths are kept as looked up by default (so 0.05 m and a rounded archive 0.1 m stay
+    separate cells in the merge, as published); ``round_depth=True`` rounds them to 0.1 m
+    like the archive and curated sources.
+    """
     d = _select_terms(long, "20264", thirty_minute=True)
     d = lookup_depth(d, lookup)
     wide = _pivot(d, ["siteName", "startDate", "verticalIndex", "thermistorDepth"], "20264")
     hourly = hourly_mean(wide, ["siteName", "thermistorDepth"], "startDate",
-                         {"observed": "tsdWaterTempMean"})
+                         {"observed": "tsdWaterTempMean"},
+                         round_depth="thermistorDepth" if round_depth else None)
     return (hourly.withColumnRenamed("siteName", "site_id")
             .withColumnRenamed("thermistorDepth", "depth")
             .withColumn("variable", F.lit("temperature"))

@@ -209,3 +209,14 @@ def test_keep_existing_and_drop_matching(spark):                       # PRJ-6,
     df = spark.createDataFrame([(1, 2, 3)], "x int, flagged_spike int, temp_change int")
     assert keep_existing(df, ["temp_change", "missing", "x"]).columns == ["temp_change", "x"]
     assert drop_matching(df, "flag|temp_change").columns == ["x"]
+
+
+def test_provisional_depths_rounding_option(spark):                     # S5
+    from sensorflow.operators.provisional import provisional_tsd_profile_hourly
+    recs = [("BARC", "tsdWaterTempMean", T(2024, 1, 1, 0, 0), 5.0, None, "501", "103", "030"),
+            ("BARC", "tsdWaterTempFinalQF", T(2024, 1, 1, 0, 0), None, 0, "501", "103", "030")]
+    from sensorflow.sources import schemas
+    long = spark.createDataFrame(recs, schemas.PROVISIONAL)
+    raw = provisional_tsd_profile_hourly(long, rules.depth_lookup(spark)).first()
+    rnd = provisional_tsd_profile_hourly(long, rules.depth_lookup(spark), round_depth=True).first()
+    assert (raw.depth, rnd.depth) == (0.05, 0.1)
