@@ -3,7 +3,7 @@
 All four readers share one shape: keep the product's terms and positions, combine the
 value fields, pivot terms to columns, keep rows where any flag passes, roll up, go long.
 They take the long records as a DataFrame (any format, read once over all files by
-``sources.provisional.read_provisional``) and stay one Spark plan.
+``sources.readers.read_provisional``) and stay one Spark plan.
 """
 
 from __future__ import annotations
