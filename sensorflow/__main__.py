@@ -3,9 +3,9 @@
   targets      --config inputs.json --out DIR      raw sources -> targets + expanded profile
   climatology  --targets PATH --as-of YYYY-MM-DD --out DIR [--horizon 35]
   persistence  --targets PATH --as-of YYYY-MM-DD --out DIR [--horizon 35] [--members 2000]
-  metadata     --forecast PATH --geo PATH [--sites A,B]
+  metadata     --forecast PATH --geo PATH [--sites A,B] [--metadata run.yml]
 
-``inputs.json`` names the source paths (formats in parentheses):
+``inputs.json`` (or .yml) names the source paths (formats in parentheses):
   archive_wq, archive_tsd, archive_tsw (parquet), provisional_root (+ provisional_format),
   curated_lake, curated_river (csv), sites (csv), depth_lookup (csv, optional).
 Rule tables default to ``sources.rules``.  The session is the cluster's own
@@ -20,6 +20,18 @@ import json
 from pyspark.sql import SparkSession
 
 
+def load_config(path: str) -> dict:
+    """JSON, or YAML when the file ends in .yml/.yaml (needs PyYAML)."""
+    with open(path) as f:
+        if path.endswith((".yml", ".yaml")):
+            try:
+                import yaml
+            except ImportError as e:  # pragma: no cover - optional dependency
+                raise SystemExit("YAML configuration needs PyYAML") from e
+            return yaml.safe_load(f)
+        return json.load(f)
+
+
 def _session(local: bool) -> SparkSession:
     if local:
         from sensorflow.session import local_session
@@ -65,12 +77,14 @@ def main(argv=None) -> None:
     p.add_argument("--forecast")
     p.add_argument("--geo")
     p.add_argument("--sites")
+    p.add_argument("--metadata", help="run metadata document (.yml/.yaml or .json)")
+    p.add_argument("--issue-time")
+    p.add_argument("--iteration-id")
     p.add_argument("--local", action="store_true")
     a = p.parse_args(argv)
     spark = _session(a.local)
     if a.job == "targets":
-        with open(a.config) as f:
-            cfg = json.load(f)
+        cfg = load_config(a.config)
         print(json.dumps(jobs.run_targets(spark, _inputs(spark, cfg), a.out)))
     elif a.job == "climatology":
         print(jobs.run_climatology(spark, a.targets, a.out, a.as_of, a.horizon))
@@ -78,7 +92,10 @@ def main(argv=None) -> None:
         print(jobs.run_persistence(spark, a.targets, a.out, a.as_of, a.horizon, a.members))
     else:
         sites = a.sites.split(",") if a.sites else None
-        print(json.dumps(jobs.run_metadata(spark, a.forecast, a.geo, sites), default=str))
+        meta = load_config(a.metadata) if a.metadata else None
+        print(json.dumps(jobs.run_metadata(spark, a.forecast, a.geo, sites, metadata=meta,
+                                           issue_time=a.issue_time,
+                                           iteration_id=a.iteration_id), default=str))
 
 
 if __name__ == "__main__":

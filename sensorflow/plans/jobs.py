@@ -60,12 +60,19 @@ def run_persistence(spark: SparkSession, targets_path: str, out_dir: str, as_of:
 
 def run_metadata(spark: SparkSession, forecast_path: str, geo_path: str,
                  sites: list[str] | None = None,
-                 required_columns: list[str] | None = None) -> dict:
+                 required_columns: list[str] | None = None,
+                 metadata: dict | None = None, issue_time: str | None = None,
+                 iteration_id: str | None = None) -> dict:
     """Coverage summary of a forecast file: theme/team from its name, column contract,
     first/last forecast day and the geographic coverage of the listed (or all) sites.
 
-    Only small results reach the driver: two dates and one row per listed site.
+    ``metadata`` is the run's metadata document (e.g. loaded from YAML): its ``sites``
+    list is the default site list and its ``metadata.forecast`` block is returned with
+    the issue time, iteration id and project (team) filled in.  Only small results reach
+    the driver: two dates and one row per listed site.
     """
+    if sites is None and metadata and metadata.get("sites"):
+        sites = list(metadata["sites"])
     from pyspark.sql import functions as F
 
     from sensorflow.functions.names import parse_forecast_name
@@ -81,6 +88,13 @@ def run_metadata(spark: SparkSession, forecast_path: str, geo_path: str,
     listed = (spark.createDataFrame([(s,) for s in sites], "site_id string") if sites
               else f.select("site_id").distinct())
     geo = [r.asDict() for r in geo_coverage(read_geo(spark, geo_path), listed).collect()]
-    return {"theme": name["theme"], "team": name["team"],
-            "begin_date": str(cov["begin_date"]), "end_date": str(cov["end_date"]),
-            "geographic_coverage": geo}
+    out = {"theme": name["theme"], "team": name["team"],
+           "begin_date": str(cov["begin_date"]), "end_date": str(cov["end_date"]),
+           "geographic_coverage": geo}
+    if metadata is not None:
+        forecast = dict((metadata.get("metadata") or {}).get("forecast") or {})
+        forecast["forecast_issue_time"] = issue_time
+        forecast["forecast_iteration_id"] = iteration_id
+        forecast["forecast_project_id"] = name["team"]
+        out["forecast"] = forecast
+    return out

@@ -52,3 +52,13 @@ def test_metadata_job(spark):
     assert (m["theme"], m["team"]) == ("aquatics", "climatology")
     assert m["begin_date"] == "2024-01-21" and m["end_date"] <= "2024-01-25"
     assert [g["id"] for g in m["geographic_coverage"]] == ["BARC"]
+    yml = os.path.join(out, "run.yml")
+    with open(yml, "w") as f:
+        f.write("team_name: t\nsites: [BARC]\nmetadata:\n  forecast:\n"
+                "    timestep: 1 day\n    forecast_horizon: 5 days\n")
+    from sensorflow.__main__ import load_config
+    m2 = run_metadata(spark, fp, gp, metadata=load_config(yml), issue_time="2024-01-20",
+                      iteration_id="it-1")
+    assert [g["id"] for g in m2["geographic_coverage"]] == ["BARC"]
+    assert m2["forecast"]["forecast_project_id"] == "climatology"
+    assert m2["forecast"]["timestep"] == "1 day"
