@@ -6,6 +6,7 @@ import io
 import tempfile
 
 import pytest
+
 from sensorflow.operators.quality import gross_range, mask_rules, qc_series
 from sensorflow.plans.queries import QUERIES
 from sensorflow.sources import readers, rules, schemas
