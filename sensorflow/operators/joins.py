@@ -10,7 +10,7 @@ BROADCAST_MAX_ROWS = 200_000
 
 # Decisions for tables that read no files (their rows live in the plan, so the size is
 # fixed), keyed by the plan's semantic hash.
-_DECIDED: dict[tuple[int, int], bool] = {}
+_DECIDED: dict[tuple[int, str, int], bool] = {}
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -22,7 +22,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     """
     key = None
     if not df.inputFiles():
-        key = (df.semanticHash(), max_rows)
+        key = (df.semanticHash(), df.schema.simpleString(), max_rows)
         if key in _DECIDED:
             return F.broadcast(df) if _DECIDED[key] else df
     small = df.limit(max_rows + 1).count() <= max_rows
