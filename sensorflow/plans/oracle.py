@@ -30,6 +30,13 @@ def _values(rows, cols, types) -> str:
     return f"(SELECT * FROM (VALUES {body}) t({', '.join(cols)}))"
 
 
+def _dbl(v: float) -> str:
+    return f"CAST({v!r} AS DOUBLE)"
+
+
+OXY, CHLA, QTY = _dbl(demo.OXYGEN_SCALE), _dbl(demo.CHLA_SCALE), _dbl(demo.QUANTITY_SCALE)
+VAL, PRICE = _dbl(demo.VALUE_SCALE), _dbl(demo.PRICE_SCALE)
+
 SITE_LIST = "[" + ", ".join(_lit(s) for s in demo.SITES) + "]"
 
 
@@ -56,9 +63,9 @@ HPOS = ("CASE k % 4 WHEN 0 THEN '101' WHEN 1 THEN '102' WHEN 2 THEN '103' "
 
 ARCHIVE_WQ = f"""(SELECT event_id, {site_of('user_id')} AS siteID, ts AS startDateTime,
   CASE WHEN k % 10 = 0 THEN NULL ELSE CAST(k % 12 AS DOUBLE) / 8 END AS sensorDepth,
-  value / 19.3 AS dissolvedOxygen, value / 100 AS dissolvedOxygenExpUncert,
+  value * {OXY} AS dissolvedOxygen, value / 100 AS dissolvedOxygenExpUncert,
   CASE WHEN k % 13 = 0 THEN NULL WHEN k % 7 = 0 THEN 1 ELSE 0 END AS dissolvedOxygenFinalQF,
-  value / 2.1 AS chlorophyll, value / 200 AS chlorophyllExpUncert,
+  value * {CHLA} AS chlorophyll, value / 200 AS chlorophyllExpUncert,
   CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END AS chlorophyllFinalQF
   FROM {EVENTS_K})"""
 
@@ -66,12 +73,12 @@ ARCHIVE_TSD = f"""(SELECT l_orderkey, l_linenumber, {site_of('l_suppkey')} AS si
   l_shipdate + to_minutes(CAST((l_orderkey % 48) * 30 AS BIGINT)) AS startDateTime,
   CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE l_linenumber + 501 END AS verticalPosition,
   CAST(l_linenumber AS DOUBLE) / 4 AS thermistorDepth,
-  l_quantity / 2.3 - 2 AS tsdWaterTempMean, l_tax AS tsdWaterTempExpUncert,
+  l_quantity * {QTY} - 2 AS tsdWaterTempMean, l_tax AS tsdWaterTempExpUncert,
   CASE WHEN l_discount > 0.085 THEN 1 ELSE 0 END AS tsdWaterTempFinalQF
   FROM lineitem)"""
 
 ARCHIVE_TSW = f"""(SELECT event_id, {site_of('user_id')} AS siteID, ts AS startDateTime,
-  {HPOS} AS horizontalPosition, value / 9.7 - 5 AS surfWaterTempMean,
+  {HPOS} AS horizontalPosition, value * {VAL} - 5 AS surfWaterTempMean,
   value / 100 AS surfWaterTempExpUncert, CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END AS finalQF
   FROM {EVENTS_K})"""
 
@@ -81,7 +88,7 @@ def provisional(product: str) -> str:
                      for a, b in demo.TERM_MAP[product].items())
     return f"""(SELECT {site_of('user_id')} AS siteName, term AS termName,
   date_trunc('hour', ts) AS startDate,
-  CASE WHEN term LIKE '%QF' THEN NULL ELSE value / 9.7 END AS doubleValue,
+  CASE WHEN term LIKE '%QF' THEN NULL ELSE value * {VAL} END AS doubleValue,
   CASE WHEN term LIKE '%QF' THEN CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END END AS intValue,
   CAST(k % 8 + 501 AS VARCHAR) AS verticalIndex, {HPOS} AS horizontalIndex,
   CASE WHEN k % 9 = 0 THEN '001' ELSE '030' END AS temporalIndex, '{product}' AS product
@@ -90,13 +97,13 @@ def provisional(product: str) -> str:
 
 CURATED = f"""(SELECT {site_of('user_id')} AS siteID, ts AS startDate,
   CAST(k % 12 AS DOUBLE) / 8 AS sensorDepth,
-  CASE WHEN k % 11 = 0 THEN NULL ELSE value / 9.7 - 5 END AS waterTemp FROM {EVENTS_K})"""
+  CASE WHEN k % 11 = 0 THEN NULL ELSE value * {VAL} - 5 END AS waterTemp FROM {EVENTS_K})"""
 
 DAILY = f"""(SELECT time, site_id, variable, avg(observed) AS observed FROM (
   SELECT CAST(o_orderdate AS DATE) AS time, {site_of('o_custkey')} AS site_id,
     CASE WHEN o_orderstatus = 'F' THEN 'temperature' WHEN o_orderstatus = 'O' THEN 'oxygen'
          ELSE 'chla' END AS variable,
-    o_totalprice / 9973 AS observed FROM orders) GROUP BY time, site_id, variable)"""
+    o_totalprice * {PRICE} AS observed FROM orders) GROUP BY time, site_id, variable)"""
 
 
 def r6(x: str) -> str:
@@ -510,7 +517,7 @@ reg("supersede_provisional", f"""SELECT p.site_id, count(*) AS n, min(p.time) AS
   GROUP BY p.site_id""")
 
 reg("stream_ingest_daily", f"""SELECT {site_of('user_id')} AS site_id, CAST(ts AS DATE) AS time,
-  {r6('avg(value / 19.3)')} AS observed FROM events GROUP BY 1, 2""")
+  {r6('avg(value * ' + OXY + ')')} AS observed FROM events GROUP BY 1, 2""")
 
 # --- series -----------------------------------------------------------------------------
 

@@ -395,7 +395,7 @@ def q_stream_ingest_daily(spark, d):
 
     def batch(b):
         w = b.select(demo.site_of(F.col("user_id")).alias("site_id"), "ts",
-                     (F.col("value") / 19.3).alias("v"))
+                     (F.col("value") * demo.OXYGEN_SCALE).alias("v"))
         return daily_partials(w, ["site_id"], "ts", "v")
 
     sink = stream_ingest(spark, d, schema, batch, name_glob="events.parquet")
@@ -566,7 +566,7 @@ def q_stream_watermark_daily(spark, d):
 
     def prepare(s):
         return s.select(demo.site_of(F.col("user_id")).alias("site_id"), "ts",
-                        (F.col("value") / 19.3).alias("v"))
+                        (F.col("value") * demo.OXYGEN_SCALE).alias("v"))
 
     sink = stream_rollup(spark, d, schema, prepare, ["site_id"], "ts", "v",
                          name_glob="events.parquet")

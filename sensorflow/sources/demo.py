@@ -12,9 +12,9 @@ the benchmark tables.  Each view has the schema of one sensor source (FIXTURES.m
 
 Site codes come from a fixed 12-entry list indexed by a key of the source row; missing
 values are injected by rules on the ``k`` property of an event.  Measurements are scaled
-by non-decimal divisors (9.7, 19.3, ...) so that means almost never land exactly on a
-rounding tie, which keeps 6-place comparisons with the oracle independent of summation
-order.
+by multipliers whose binary mantissas are long and odd, so no mean can sit exactly on a
+threshold (spike, range) or on a 6-place rounding tie; comparisons with the oracle then do
+not depend on summation order.
 """
 
 from __future__ import annotations
@@ -38,6 +38,13 @@ SITE_DIMENSION = [
 ]
 SITE_SCHEMA = "field_site_id string, field_site_subtype string, aquatics int"
 
+# Stand-in scale factors (close to 1/19.3, 1/2.1, 1/2.3, 1/9.7, 1/9973).
+OXYGEN_SCALE = 0.0518134715
+CHLA_SCALE = 0.4761904762
+QUANTITY_SCALE = 0.4347826087
+VALUE_SCALE = 0.1030927835
+PRICE_SCALE = 0.0001002707
+
 # event_type -> term name, per provisional product (stand-in choice).
 TERM_MAP = {
     "20288": {"view": "dissolvedOxygen", "click": "chlorophyll",
@@ -83,11 +90,11 @@ def archive_wq(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("startDateTime"),
         F.when(k % 10 == 0, F.lit(None).cast("double"))
         .otherwise((k % 12).cast("double") / 8).alias("sensorDepth"),
-        (F.col("value") / 19.3).alias("dissolvedOxygen"),
+        (F.col("value") * OXYGEN_SCALE).alias("dissolvedOxygen"),
         (F.col("value") / 100).alias("dissolvedOxygenExpUncert"),
         F.when(k % 13 == 0, F.lit(None).cast("int")).when(k % 7 == 0, 1).otherwise(0)
         .alias("dissolvedOxygenFinalQF"),
-        (F.col("value") / 2.1).alias("chlorophyll"),
+        (F.col("value") * CHLA_SCALE).alias("chlorophyll"),
         (F.col("value") / 200).alias("chlorophyllExpUncert"),
         F.when(k % 5 == 0, 1).otherwise(0).alias("chlorophyllFinalQF"),
     )
@@ -103,7 +110,7 @@ def archive_tsd(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_partkey") % 50 == 0, F.lit(None).cast("int"))
         .otherwise(F.col("l_linenumber") + 501).alias("verticalPosition"),
         (F.col("l_linenumber").cast("double") / 4).alias("thermistorDepth"),
-        (F.col("l_quantity") / 2.3 - 2).alias("tsdWaterTempMean"),
+        (F.col("l_quantity") * QUANTITY_SCALE - 2).alias("tsdWaterTempMean"),
         F.col("l_tax").alias("tsdWaterTempExpUncert"),
         F.when(F.col("l_discount") > 0.085, 1).otherwise(0).alias("tsdWaterTempFinalQF"),
     )
@@ -117,7 +124,7 @@ def archive_tsw(spark: SparkSession, sf_dir: str) -> DataFrame:
         site_of(F.col("user_id")).alias("siteID"),
         F.col("ts").alias("startDateTime"),
         _hpos(k).alias("horizontalPosition"),
-        (F.col("value") / 9.7 - 5).alias("surfWaterTempMean"),
+        (F.col("value") * VALUE_SCALE - 5).alias("surfWaterTempMean"),
         (F.col("value") / 100).alias("surfWaterTempExpUncert"),
         F.when(k % 7 == 0, 1).otherwise(0).alias("finalQF"),
     )
@@ -135,7 +142,7 @@ def provisional(spark: SparkSession, sf_dir: str, product: str) -> DataFrame:
         site_of(F.col("user_id")).alias("siteName"),
         term.alias("termName"),
         hour_floor(F.col("ts")).alias("startDate"),
-        F.when(is_flag, F.lit(None).cast("double")).otherwise(F.col("value") / 9.7)
+        F.when(is_flag, F.lit(None).cast("double")).otherwise(F.col("value") * VALUE_SCALE)
         .alias("doubleValue"),
         F.when(is_flag, F.when(k % 3 == 0, 1).otherwise(0)).alias("intValue"),
         (k % 8 + 501).cast("string").alias("verticalIndex"),
@@ -152,7 +159,8 @@ def curated_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         site_of(F.col("user_id")).alias("siteID"),
         F.col("ts").alias("startDate"),
         ((k % 12).cast("double") / 8).alias("sensorDepth"),
-        F.when(k % 11 == 0, F.lit(None).cast("double")).otherwise(F.col("value") / 9.7 - 5)
+        F.when(k % 11 == 0, F.lit(None).cast("double")).otherwise(
+            F.col("value") * VALUE_SCALE - 5)
         .alias("waterTemp"),
     )
 
@@ -164,7 +172,7 @@ def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(F.col("o_orderstatus") == "O", "oxygen").otherwise("chla"))
     rows = o.select(F.to_date("o_orderdate").alias("time"),
                     site_of(F.col("o_custkey")).alias("site_id"), var.alias("variable"),
-                    (F.col("o_totalprice") / 9973).alias("observed"))
+                    (F.col("o_totalprice") * PRICE_SCALE).alias("observed"))
     return rows.groupBy("time", "site_id", "variable").agg(F.avg("observed").alias("observed"))
 
 
