@@ -90,46 +90,81 @@ def mask_rules(df: DataFrame, masks: DataFrame, site: str = "site_id",
     return d.drop("__m_site", "__m_var", "__rules")
 
 
-def qc_flags(value: Column, prev: Column, lo: float, hi: float, spike: float) -> Column:
-    """Three-valued final flag: outside [lo, hi], |change| > spike, or change == 0."""
+def _num(v) -> Column:
+    return v if isinstance(v, Column) else F.lit(v)
+
+
+def qc_flags(value: Column, prev: Column, lo, hi, spike) -> Column:
+    """Three-valued final flag: outside [lo, hi], |change| > spike, or change == 0.
+
+    ``lo``, ``hi`` and ``spike`` are numbers or per-row columns.
+    """
     change = value - prev
-    return ((F.abs(change) > F.lit(spike)) | ~value.between(F.lit(lo), F.lit(hi))
+    return ((F.abs(change) > _num(spike)) | ~value.between(_num(lo), _num(hi))
             | (change == 0))
 
 
 def qc_series(df: DataFrame, keys: Sequence[str], time="time",
-              value: str = "observed", lo: float = -5.0, hi: float = 40.0,
-              spike: float = 5.0, unknown: str = "keep", bucket: Column | None = None,
-              flat_digits: int | None = None) -> DataFrame:
+              value: str = "observed", lo=-5.0, hi=40.0, spike=5.0, unknown="keep",
+              bucket: Column | None = None, flat_digits: int | None = None) -> DataFrame:
     """Per-series range / spike / flat-line test on consecutive rows (ordered by time).
 
     ``time`` is the order key, or a list of order keys (time first, then tiebreaks).
+    ``lo``, ``hi``, ``spike`` are numbers or per-row columns (e.g. joined from a
+    parameter table), so several sources can be tested in one pass.
 
     ``unknown='keep'``: a value is removed only when a test is definitely failed.
     ``unknown='reject'``: a value is kept only when every test is definitely passed, so
     the first row of a series and any row after a missing one are removed too.
-    Rows are never dropped, only values nulled.  ``flat_digits`` compares rounded
-    values for the flat-line test (means can differ in the last bit by summation order).
+    ``unknown`` may also be a boolean column (true = keep).  Rows are never dropped, only
+    values nulled.  ``flat_digits`` compares rounded values for the flat-line test (means
+    can differ in the last bit by summation order).
     """
     order = [time] if isinstance(time, str) else list(time)
     d = lag_columns(df, keys, order, [value], bucket=bucket, prefix="__prev_")
     v, p = F.col(value), F.col("__prev_" + value)
     if flat_digits is not None:
-        v_flat, p_flat = F.round(v, flat_digits), F.round(p, flat_digits)
         change = v - p
-        flag = ((F.abs(change) > F.lit(spike)) | ~v.between(F.lit(lo), F.lit(hi))
-                | (v_flat - p_flat == 0))
+        flag = ((F.abs(change) > _num(spike)) | ~v.between(_num(lo), _num(hi))
+                | (F.round(v, flat_digits) - F.round(p, flat_digits) == 0))
     else:
         flag = qc_flags(v, p, lo, hi, spike)
-    if unknown == "keep":
-        out = F.when(flag == F.lit(True), F.lit(None).cast("double")).otherwise(v)
+    keep = F.when(flag == F.lit(True), F.lit(None).cast("double")).otherwise(v)
+    reject = F.when(flag == F.lit(False), v)
+    if isinstance(unknown, Column):
+        out = F.when(unknown, keep).otherwise(reject)
+    elif unknown == "keep":
+        out = keep
     elif unknown == "reject":
-        out = F.when(flag == F.lit(False), v)
+        out = reject
     else:
-        raise ValueError("unknown must be 'keep' or 'reject'")
+        raise ValueError("unknown must be 'keep', 'reject' or a boolean column")
     return d.withColumn(value, out).drop("__prev_" + value)
 
 
+def qc_by_source(df: DataFrame, params: DataFrame, keys: Sequence[str], time="time",
+                 value: str = "observed", source: str = "source") -> DataFrame:
+    """Series QC for several sources in one pass, thresholds taken per source.
+
+    ``params`` is the (source, lo, hi, spike, by_depth) table: ``by_depth`` true keeps
+    values whose test is unknown.  ``keys`` must include the source column, so every
+    source stays its own series; one bucketed scan (one large shuffle) replaces one per
+    source.
+    """
+    prm = broadcast_if_small(params.select(
+        F.col("source").alias("__q_src"), F.col("lo").alias("__q_lo"),
+        F.col("hi").alias("__q_hi"), F.col("spike").alias("__q_spike"),
+        F.col("by_depth").alias("__q_keep")))
+    d = df.join(prm, F.col(source) == F.col("__q_src"), "left")
+    d = d.withColumn("__q_orig", F.col(value))
+    d = qc_series(d, keys, time, value, lo=F.col("__q_lo"), hi=F.col("__q_hi"),
+                  spike=F.col("__q_spike"), unknown=F.col("__q_keep"))
+    # a source without a parameter row is passed through untested
+    d = d.withColumn(value, F.when(F.col("__q_src").isNull(), F.col("__q_orig"))
+                     .otherwise(F.col(value)))
+    return d.drop("__q_src", "__q_lo", "__q_hi", "__q_spike", "__q_keep", "__q_orig")
+
+
 def rate_of_change(df: DataFrame, keys: Sequence[str], time="time",
                    value: str = "observed", out: str = "change",
                    bucket: Column | None = None) -> DataFrame:

@@ -19,17 +19,27 @@ from sensorflow.operators.provisional import (
     provisional_tsd_surface_daily, provisional_wq_daily,
 )
 from sensorflow.operators.quality import (
-    gross_range, mask_rules, qc_series, qf_mask, qf_or_after_date,
+    gross_range, mask_rules, qc_by_source, qc_series, qf_mask, qf_or_after_date,
 )
 from sensorflow.operators.reshape import to_long, union_all
 from sensorflow.operators.rollup import daily_mean, hourly_mean, merge_sources
-from sensorflow.sources.rules import ACCEPT_FAILED_AFTER, qc_setting
+from sensorflow.sources.rules import ACCEPT_FAILED_AFTER, qc_params, qc_setting
 from sensorflow.streaming.refresh import supersede
 
 LAKE = "Lake"
 RIVER = "Non-wadeable River"
 STREAM = "Wadeable Stream"
 
+# Pass ``qc=RAW`` to a source builder to get its rows before the series QC (the targets
+# build QCs all sources of a merge in one pass with ``qc_by_source``).
+RAW = False
+
+
+def _qc(df: DataFrame, keys: list[str], qc, source: str) -> DataFrame:
+    if qc is RAW:
+        return df
+    return qc_series(df, keys, "time", "observed", **(qc or qc_setting(source)))
+
 
 def sites_of(sites: DataFrame, subtype: str) -> DataFrame:
     return sites.where(F.col("field_site_subtype") == F.lit(subtype)).select(
@@ -100,8 +110,7 @@ def archive_lake_hourly(tsd: DataFrame, sites: DataFrame, corrections: DataFrame
     d = qf_or_after_date(d, "tsdWaterTempFinalQF", "startDateTime", ACCEPT_FAILED_AFTER)
     h = hourly_mean(d, ["site_id", "depth"], "startDateTime", {"observed": "tsdWaterTempMean"},
                     round_depth="depth")
-    h = qc_series(h, ["site_id", "depth"], "time", "observed",
-                  **(qc or qc_setting("lake_portal")))
+    h = _qc(h, ["site_id", "depth"], qc, "lake_portal")
     return h.withColumn("variable", F.lit("temperature"))
 
 
@@ -114,8 +123,7 @@ def curated_lake_hourly(curated: DataFrame, sites: DataFrame, qc: dict | None =
                  nan_to_null(F.col("waterTemp")).alias("waterTemp"))
     h = hourly_mean(d, ["site_id", "depth"], "startDate", {"observed": "waterTemp"},
                     strict=True, round_depth="depth")
-    h = qc_series(h, ["site_id", "depth"], "time", "observed",
-                  **(qc or qc_setting("lake_curated")))
+    h = _qc(h, ["site_id", "depth"], qc, "lake_curated")
     return h.withColumn("variable", F.lit("temperature"))
 
 
@@ -123,8 +131,7 @@ def provisional_lake_hourly(long: DataFrame, sites: DataFrame, lookup: DataFrame
                             qc: dict | None = None) -> DataFrame:
     d = in_sites(long, sites, LAKE, "siteName")
     h = provisional_tsd_profile_hourly(d, lookup)
-    return qc_series(h, ["site_id", "depth"], "time", "observed",
-                     **(qc or qc_setting("lake_provisional")))
+    return _qc(h, ["site_id", "depth"], qc, "lake_provisional")
 
 
 def profile_merge(*hourly: DataFrame) -> DataFrame:
@@ -150,8 +157,7 @@ def archive_stream_daily(tsw: DataFrame, qc: dict | None = None) -> DataFrame:
     d = d.select(F.col("siteID").alias("site_id"), "startDateTime",
                  nan_to_null(F.col("surfWaterTempMean")).alias("surfWaterTempMean"))
     daily = daily_mean(d, ["site_id"], "startDateTime", {"observed": "surfWaterTempMean"})
-    daily = qc_series(daily, ["site_id"], "time", "observed",
-                      **(qc or qc_setting("stream_portal")))
+    daily = _qc(daily, ["site_id"], qc, "stream_portal")
     return daily.withColumn("variable", F.lit("temperature"))
 
 
@@ -161,8 +167,7 @@ def archive_river_daily(tsd: DataFrame, sites: DataFrame, qc: dict | None = None
     d = d.select(F.col("siteID").alias("site_id"), "startDateTime",
                  nan_to_null(F.col("tsdWaterTempMean")).alias("tsdWaterTempMean"))
     daily = daily_mean(d, ["site_id"], "startDateTime", {"observed": "tsdWaterTempMean"})
-    daily = qc_series(daily, ["site_id"], "time", "observed",
-                      **(qc or qc_setting("river_portal")))
+    daily = _qc(daily, ["site_id"], qc, "river_portal")
     return daily.withColumn("variable", F.lit("temperature"))
 
 
@@ -172,22 +177,19 @@ def curated_river_daily(curated: DataFrame, sites: DataFrame, qc: dict | None =
     d = d.select(F.col("siteID").alias("site_id"), "startDate",
                  nan_to_null(F.col("waterTemp")).alias("waterTemp"))
     daily = daily_mean(d, ["site_id"], "startDate", {"observed": "waterTemp"}, strict=True)
-    daily = qc_series(daily, ["site_id"], "time", "observed",
-                      **(qc or qc_setting("river_curated")))
+    daily = _qc(daily, ["site_id"], qc, "river_curated")
     return daily.withColumn("variable", F.lit("temperature"))
 
 
 def provisional_stream_daily(long: DataFrame, qc: dict | None = None) -> DataFrame:
     d = provisional_point_daily(long)
-    return qc_series(d, ["site_id"], "time", "observed",
-                     **(qc or qc_setting("stream_provisional")))
+    return _qc(d, ["site_id"], qc, "stream_provisional")
 
 
 def provisional_river_daily(long: DataFrame, sites: DataFrame, lookup: DataFrame,
                             qc: dict | None = None) -> DataFrame:
     d = provisional_tsd_surface_daily(in_sites(long, sites, RIVER, "siteName"), lookup)
-    return qc_series(d, ["site_id"], "time", "observed",
-                     **(qc or qc_setting("river_provisional")))
+    return _qc(d, ["site_id"], qc, "river_provisional")
 
 
 def temperature_targets(daily_sources: list[DataFrame], ranges: DataFrame,
@@ -227,6 +229,13 @@ class TargetInputs:
     ranges: DataFrame
     masks: DataFrame
     supersede: bool = True
+    qc_params: DataFrame | None = None
+
+    def qc(self) -> DataFrame:
+        """Per-source QC parameters (source, lo, hi, spike, by_depth)."""
+        if self.qc_params is not None:
+            return self.qc_params
+        return qc_params(self.sites.sparkSession)
 
     def fresh(self, provisional: DataFrame, archive: DataFrame) -> DataFrame:
         """Provisional records of months after the archive's latest month (the superseded
@@ -236,26 +245,45 @@ class TargetInputs:
         return supersede(provisional, archive, "startDate", "startDateTime")
 
 
+def _tag(df: DataFrame, source: str, cols: list[str]) -> DataFrame:
+    return df.select(*cols).withColumn("source", F.lit(source))
+
+
 def build_expanded_profile(inp: TargetInputs) -> DataFrame:
-    return profile_merge(
-        archive_lake_hourly(inp.archive_tsd, inp.sites, inp.corrections),
-        curated_lake_hourly(inp.curated_lake, inp.sites),
-        provisional_lake_hourly(inp.fresh(inp.provisional_tsd, inp.archive_tsd), inp.sites,
-                                inp.depth_lookup))
+    """Hourly lake profile: three sources QC'd in one pass (each its own series), then
+    the mean of the source means per (time, site, depth)."""
+    cols = ["time", "site_id", "depth", "observed"]
+    u = union_all(
+        _tag(archive_lake_hourly(inp.archive_tsd, inp.sites, inp.corrections, qc=RAW),
+             "lake_portal", cols),
+        _tag(curated_lake_hourly(inp.curated_lake, inp.sites, qc=RAW), "lake_curated", cols),
+        _tag(provisional_lake_hourly(inp.fresh(inp.provisional_tsd, inp.archive_tsd),
+                                     inp.sites, inp.depth_lookup, qc=RAW),
+             "lake_provisional", cols))
+    q = qc_by_source(u, inp.qc(), ["source", "site_id", "depth"])
+    return profile_merge(q.select(*cols))
 
 
 def build_temperature(inp: TargetInputs, profile: DataFrame | None = None) -> DataFrame:
-    """Daily surface temperature of lakes, streams and rivers, merged and cleaned."""
+    """Daily surface temperature of lakes, streams and rivers, merged and cleaned.
+
+    The five stream/river sources are QC'd in one pass with their own thresholds, then
+    merged with the lake surface means."""
     prof = profile if profile is not None else build_expanded_profile(inp)
-    return temperature_targets([
-        surface_daily(prof),
-        archive_stream_daily(inp.archive_tsw),
-        provisional_stream_daily(inp.fresh(inp.provisional_prt, inp.archive_tsw)),
-        archive_river_daily(inp.archive_tsd, inp.sites),
-        curated_river_daily(inp.curated_river, inp.sites),
-        provisional_river_daily(inp.fresh(inp.provisional_tsd, inp.archive_tsd), inp.sites,
-                                inp.depth_lookup),
-    ], inp.ranges, inp.masks).select("time", "site_id", "variable", "observed")
+    cols = ["time", "site_id", "variable", "observed"]
+    u = union_all(
+        _tag(archive_stream_daily(inp.archive_tsw, qc=RAW), "stream_portal", cols),
+        _tag(provisional_stream_daily(inp.fresh(inp.provisional_prt, inp.archive_tsw),
+                                      qc=RAW), "stream_provisional", cols),
+        _tag(archive_river_daily(inp.archive_tsd, inp.sites, qc=RAW), "river_portal", cols),
+        _tag(curated_river_daily(inp.curated_river, inp.sites, qc=RAW), "river_curated",
+             cols),
+        _tag(provisional_river_daily(inp.fresh(inp.provisional_tsd, inp.archive_tsd),
+                                     inp.sites, inp.depth_lookup, qc=RAW),
+             "river_provisional", cols))
+    q = qc_by_source(u, inp.qc(), ["source", "site_id"])
+    return temperature_targets([surface_daily(prof), q.select(*cols)], inp.ranges,
+                               inp.masks).select(*cols)
 
 
 def build_targets(inp: TargetInputs, profile: DataFrame | None = None) -> DataFrame:
