@@ -220,3 +220,22 @@ def test_provisional_depths_rounding_option(spark):                     # S5
     raw = provisional_tsd_profile_hourly(long, rules.depth_lookup(spark)).first()
     rnd = provisional_tsd_profile_hourly(long, rules.depth_lookup(spark), round_depth=True).first()
     assert (raw.depth, rnd.depth) == (0.05, 0.1)
+
+
+def test_qc_by_source_uses_each_sources_parameters(spark):              # QC params table
+    from sensorflow.operators.quality import qc_by_source
+    vals = [10.0, 16.0, 16.5]
+    rows = [(src, "S", D(2020, 1, i + 1), v) for src in ("strict", "lenient", "unlisted")
+            for i, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "source string, site_id string, time date, "
+                                     "observed double")
+    params = spark.createDataFrame([("strict", -5.0, 40.0, 5.0, False),
+                                    ("lenient", -5.0, 40.0, 7.0, True)], rules.QC_SCHEMA)
+    out = qc_by_source(df, params, ["source", "site_id"])
+    got = {(r.source, r.time.day): r.observed for r in out.collect()}
+    # strict: first row lost (unknown), 10->16 is a 6 jump > 5 removed, 16.5 kept
+    assert [got[("strict", d)] for d in (1, 2, 3)] == [None, None, 16.5]
+    # lenient: unknown kept, a 6 jump is within 7
+    assert [got[("lenient", d)] for d in (1, 2, 3)] == [10.0, 16.0, 16.5]
+    # a source without parameters passes through untested
+    assert [got[("unlisted", d)] for d in (1, 2, 3)] == vals
