@@ -285,12 +285,10 @@ def q_mask_rules(spark, d):
 
 
 def _profile(spark, d):
-    s = _sites(spark)
-    return tg.profile_merge(
-        tg.archive_lake_hourly(demo.archive_tsd(spark, d), s, rules.depth_corrections(spark)),
-        tg.curated_lake_hourly(demo.curated_profile(spark, d), s),
-        tg.provisional_lake_hourly(demo.provisional(spark, d, "20264"), s,
-                                   rules.depth_lookup(spark)))
+    """Hourly lake profile from all three sources (provisional months not superseded)."""
+    import dataclasses
+    return tg.build_expanded_profile(dataclasses.replace(target_inputs(spark, d),
+                                                         supersede=False))
 
 
 # --- provisional chains -----------------------------------------------------------------
