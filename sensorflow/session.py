@@ -34,8 +34,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared folder and is only read here.  When it is
-    unset (tests, local runs) a fresh local folder is created and registered.
+    On a cluster the setting names a shared folder and is only read here (unset is an
+    error there).  In local mode (tests) an unset setting gets a fresh local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -43,6 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="sensorflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
