@@ -121,10 +121,14 @@ def stream_rollup(spark: SparkSession, source: str, schema: T.StructType | str,
                   max_files_per_trigger: int | None = None) -> str:
     """Stateful daily rollup of a file stream: event-time windows with a watermark.
 
-    Late records within ``watermark`` still update their day; later ones are dropped by
-    the state store.  Update mode emits each changed day per micro-batch; every batch is
-    written to its own (retry-safe) directory and :func:`latest_rollup` keeps the last
-    version of each day, so the result is whole even for days still open.
+    Records up to ``watermark`` late still update their open day.  The watermark bounds
+    the state: days older than it are evicted.  Spark does not guarantee to drop a record
+    that arrives behind the watermark; in update mode such a record re-opens its day as
+    a fresh partial.  Update mode emits each changed day per micro-batch. Each batch is
+    written to its own directory (retry-safe), and :func:`latest_rollup` keeps the last
+    version of each day, so days still open are included.  When every late record must
+    count exactly, use :func:`stream_ingest` with :func:`daily_partials` and
+    :func:`combine_daily`, which stays exact for any lateness.
     """
     run = uuid.uuid4().hex[:12]
     sink = sink or shared_path(spark, "sensorflow", "rollup", run, "sink")

@@ -185,3 +185,24 @@ def test_windowed_daily_stream(spark, tmp):                            # optiona
     q.awaitTermination()
     got = {(r.site_id, r.time): r.observed for r in spark.table("wd_test").collect()}
     assert got[("A", D(2024, 1, 1))] == 2.0 and got[("A", D(2024, 1, 4))] == 9.0
+
+
+def test_stream_rollup_updates_open_days_across_batches(spark, tmp):    # watermark
+    import time as _time
+
+    from sensorflow.streaming.refresh import latest_rollup, stream_rollup
+    schema = "site_id string, ts timestamp_ntz, v double"
+    spark.createDataFrame([("A", T(2024, 1, 10, 6), 1.0), ("A", T(2024, 1, 10, 8), 3.0)],
+                          schema).coalesce(1).write.parquet(f"{tmp}/in/b1")
+    _time.sleep(1.1)   # the file source orders files by modification time
+    spark.createDataFrame([("A", T(2024, 1, 9, 6), 6.0),        # within 48 h: kept
+                           ("A", T(2024, 1, 10, 9), 8.0)],      # updates an open day
+                          schema).coalesce(1).write.parquet(f"{tmp}/in/b2")
+    sink = stream_rollup(spark, f"{tmp}/in", schema, lambda s: s, ["site_id"], "ts", "v",
+                         watermark="48 hours", sink=f"{tmp}/sink", checkpoint=f"{tmp}/ck",
+                         max_files_per_trigger=1)
+    parts = spark.read.parquet(sink)
+    assert parts.select("batch_id").distinct().count() == 2     # two micro-batches
+    got = {r.time: r.observed for r in latest_rollup(spark, sink, ["site_id"]).collect()}
+    # the open day carries all its records across batches: mean(1, 3, 8) = 4
+    assert got == {D(2024, 1, 10): 4.0, D(2024, 1, 9): 6.0}
