@@ -694,3 +694,9 @@ reg("coverage_geo", f"""SELECT n.n_name AS id, n.n_name || ', ' || r.r_name AS g
                      ON s.s_nationkey = n2.n_nationkey)""")
 
 reg("stream_watermark_daily", ORACLE["stream_ingest_daily"])
+
+reg("rw_ensemble_shape", f"""SELECT s.site_id, s.variable, {SERIES_END} + CAST(r.i AS INTEGER) AS time,
+  CAST({rules.ENSEMBLE_SIZE} AS BIGINT) AS n_members, CAST({rules.ENSEMBLE_SIZE} AS BIGINT) AS n_finite,
+  CAST({rules.ENSEMBLE_SIZE} AS BIGINT) AS n_distinct, {SERIES_END} AS start_time
+  FROM (SELECT DISTINCT site_id, variable FROM {HIST} h WHERE observed IS NOT NULL) s,
+       range(1, {rules.HORIZON_DAYS + 1}) r(i)""")

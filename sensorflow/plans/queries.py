@@ -569,3 +569,16 @@ def q_stream_watermark_daily(spark, d):
     sink = stream_rollup(spark, d, schema, prepare, ["site_id"], "ts", "v",
                          name_glob="events.parquet")
     return finish(latest_rollup(spark, sink, ["site_id"]))
+
+
+@query("rw_ensemble_shape")
+def q_rw_ensemble_shape(spark, d):
+    """Deterministic structure of the random ensemble: members and finite draws per day."""
+    from sensorflow.operators.randomwalk import rw_ensemble
+    e = rw_ensemble(demo.daily_series(spark, d), SERIES_AS_OF, rules.HORIZON_DAYS)
+    finite = F.when(~F.isnan("predicted") & F.col("predicted").isNotNull(), 1)
+    return finish(e.groupBy("site_id", "variable", "time")
+                  .agg(F.count(F.lit(1)).alias("n_members"),
+                       F.count(finite).alias("n_finite"),
+                       F.countDistinct("ensemble").alias("n_distinct"),
+                       F.min("start_time").alias("start_time")))
