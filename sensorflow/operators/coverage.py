@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorflow.operators.joins import broadcast_if_small
 
 GEO_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
@@ -58,6 +57,10 @@ def flatten_geo(geo: DataFrame) -> DataFrame:
 
 
 def geo_coverage(geo: DataFrame, sites: DataFrame, site_col: str = "site_id") -> DataFrame:
-    """Geographic coverage rows of the sites present in ``sites`` (semi join)."""
-    s = broadcast_if_small(sites.select(F.col(site_col).alias("id")).distinct())
+    """Geographic coverage rows of the sites present in ``sites`` (semi join).
+
+    ``sites`` may be derived from a forecast file, so no size pre-check (it would scan
+    the file twice); the planner picks the join from run-time sizes.
+    """
+    s = sites.select(F.col(site_col).alias("id")).distinct()
     return flatten_geo(geo).join(s, "id", "left_semi")

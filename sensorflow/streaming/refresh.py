@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorflow.functions.timefmt import event_time, utc_day
-from sensorflow.operators.joins import broadcast_if_small
 from sensorflow.session import shared_path
 
 
@@ -44,9 +43,11 @@ def supersede(provisional: DataFrame, archive: DataFrame, prov_time: str, arch_t
     """
     month = F.date_trunc("month", F.col(prov_time)).cast("date")
     if keys:
+        # one row per key, derived from the archive: AQE broadcasts it at run time when
+        # small (a pre-check would scan the archive an extra time)
         latest = archive.groupBy(*keys).agg(
             F.date_trunc("month", F.max(arch_time)).cast("date").alias("__latest"))
-        d = provisional.join(broadcast_if_small(latest), list(keys), "left")
+        d = provisional.join(latest, list(keys), "left")
         keep = F.col("__latest").isNull() | (month > F.col("__latest"))
         return d.where(keep).drop("__latest")
     latest = archive.select(F.date_trunc("month", F.max(arch_time)).cast("date")).scalar()
