@@ -3,7 +3,7 @@
 reshape      coalesce_value, terms_to_columns (long -> wide), to_long, union_all,
              keep_existing, drop_matching, empty_frame
 quality      qf_mask, any_flag_passes, qf_or_after_date, gross_range, mask_rules,
-             qc_series, qc_by_source, rate_of_change
+             qc_series, qc_by_source, qc_incremental, rate_of_change
 depth        correct_depth (interval join), validate_corrections, lookup_depth,
              surface_only, in_depth_window
 rollup       hourly_mean, daily_mean (skip or strict), merge_sources (mean or union)

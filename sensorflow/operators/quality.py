@@ -172,3 +172,23 @@ def rate_of_change(df: DataFrame, keys: Sequence[str], time="time",
     order = [time] if isinstance(time, str) else list(time)
     d = lag_columns(df, keys, order, [value], bucket=bucket, prefix="__prev_")
     return d.withColumn(out, F.col(value) - F.col("__prev_" + value)).drop("__prev_" + value)
+
+
+def qc_incremental(new: DataFrame, history: DataFrame, keys: Sequence[str],
+                   time: str = "time", value: str = "observed", **qc) -> DataFrame:
+    """Series QC of newly arrived rows only (a daily refresh), equal to QC over the full
+    history restricted to the new rows.
+
+    The only context the test needs is the previous row of each series: the last history
+    row before the series' first new row, taken with a hash aggregate (``max_by``) and
+    dropped again after the test.  ``qc`` takes the keyword arguments of ``qc_series``.
+    """
+    first_new = new.groupBy(*keys).agg(F.min(time).alias("__first_new"))
+    prior = (history.join(first_new, list(keys)).where(F.col(time) < F.col("__first_new"))
+             .groupBy(*keys).agg(F.max_by(value, time).alias(value),
+                                 F.max(time).alias(time)))
+    ctx = prior.select(*keys, time, value).withColumn("__ctx", F.lit(True))
+    rows = new.withColumn("__ctx", F.lit(False))
+    u = rows.unionByName(ctx, allowMissingColumns=True)
+    q = qc_series(u, keys, time, value, **qc)
+    return q.where(~F.col("__ctx")).drop("__ctx")

@@ -239,3 +239,24 @@ def test_qc_by_source_uses_each_sources_parameters(spark):              # QC par
     assert [got[("lenient", d)] for d in (1, 2, 3)] == [10.0, 16.0, 16.5]
     # a source without parameters passes through untested
     assert [got[("unlisted", d)] for d in (1, 2, 3)] == vals
+
+
+def test_incremental_qc_equals_full_history(spark):                     # daily refresh
+    import random
+
+    from sensorflow.operators.quality import qc_incremental
+    rnd = random.Random(3)
+    rows = [(s, D(2020, 1, 1) + dt.timedelta(days=i),
+             None if rnd.random() < 0.1 else round(rnd.uniform(0, 20), 1))
+            for s in ("A", "B") for i in range(120)]
+    full = spark.createDataFrame(rows, "site_id string, time date, observed double")
+    cut = F.lit(D(2020, 3, 15))
+    hist, new = full.where(F.col("time") < cut), full.where(F.col("time") >= cut)
+    for mode in ("keep", "reject"):
+        want = qc_series(full, ["site_id"], "time", spike=6.0, unknown=mode) \
+            .where(F.col("time") >= cut)
+        got = qc_incremental(new, hist, ["site_id"], spike=6.0, unknown=mode)
+        assert sorted(map(tuple, got.select("site_id", "time", "observed").collect()),
+                      key=lambda t: (t[0], t[1])) == sorted(
+            map(tuple, want.select("site_id", "time", "observed").collect()),
+            key=lambda t: (t[0], t[1]))
