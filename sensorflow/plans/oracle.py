@@ -700,3 +700,7 @@ reg("rw_ensemble_shape", f"""SELECT s.site_id, s.variable, {SERIES_END} + CAST(r
   CAST({rules.ENSEMBLE_SIZE} AS BIGINT) AS n_distinct, {SERIES_END} AS start_time
   FROM (SELECT DISTINCT site_id, variable FROM {HIST} h WHERE observed IS NOT NULL) s,
        range(1, {rules.HORIZON_DAYS + 1}) r(i)""")
+
+reg("qc_incremental", f"""SELECT time, site_id, variable, {r6('observed')} AS observed FROM
+  {qc_sql(DAILY, ['site_id', 'variable'], 'time', 'observed', 0.5, 40.0, 20.0, 'keep',
+          ['time', 'site_id', 'variable'])} q WHERE time >= DATE '2000-01-01'""")

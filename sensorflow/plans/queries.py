@@ -582,3 +582,18 @@ def q_rw_ensemble_shape(spark, d):
                        F.count(finite).alias("n_finite"),
                        F.countDistinct("ensemble").alias("n_distinct"),
                        F.min("start_time").alias("start_time")))
+
+
+# Refresh cut for the incremental QC query: rows from this day on are the "new" part.
+INCREMENTAL_CUT = "2000-01-01"
+
+
+@query("qc_incremental")
+def q_qc_incremental(spark, d):
+    from sensorflow.operators.quality import qc_incremental
+    s = demo.daily_series(spark, d)
+    cut = F.to_date(F.lit(INCREMENTAL_CUT))
+    out = qc_incremental(s.where(F.col("time") >= cut), s.where(F.col("time") < cut),
+                         ["site_id", "variable"], "time", "observed", lo=0.5, hi=40.0,
+                         spike=20.0, unknown="keep")
+    return finish(out.select("time", "site_id", "variable", "observed"))
