@@ -183,13 +183,17 @@ def rw_ensemble(targets: DataFrame, as_of: str, horizon: int = HORIZON_DAYS,
 
 
 def ensemble_summary(ensemble: DataFrame, keys=("time", "site_id", "variable"),
-                     value: str = "predicted") -> DataFrame:
+                     value: str = "predicted", exact: bool = True,
+                     accuracy: int = 10000) -> DataFrame:
     """Mean and 95 % interval (type-7 quantiles) per forecast key.
 
     A group holds the members of one forecast key, bounded by the ensemble size, so the
-    exact ``percentile`` is safe here.
+    exact ``percentile`` is safe here.  ``exact=False`` uses ``percentile_approx`` (a
+    mergeable sketch of bounded size) for groups without such a bound.
     """
-    q = F.percentile(F.col(value), F.array(F.lit(0.025), F.lit(0.975)))
+    probs = F.array(F.lit(0.025), F.lit(0.975))
+    q = (F.percentile(F.col(value), probs) if exact
+         else F.percentile_approx(F.col(value), probs, accuracy))
     return (ensemble.groupBy(*keys).agg(F.avg(value).alias("mean"), q.alias("__q"))
             .select(*keys, "mean", F.col("__q")[1].alias("upper"),
                     F.col("__q")[0].alias("lower")))

@@ -99,3 +99,15 @@ def test_rw_ensemble_properties(spark):                                # FCT-6,
     a = ens.agg(F.sum("predicted")).first()[0]
     b = again.agg(F.sum("predicted")).first()[0]
     assert abs(a - b) < 1e-6
+
+
+def test_ensemble_summary_exact_and_sketch(spark):                     # AGG-10, AGG-11
+    rows = [(D(2020, 1, 1), "A", "t", i, float(i)) for i in range(1, 101)]
+    e = spark.createDataFrame(rows, "time date, site_id string, variable string, "
+                                    "ensemble int, predicted double")
+    ex = ensemble_summary(e).first()
+    # type-7 quantiles: h = (n - 1) p + 1
+    assert ex.mean == 50.5
+    assert abs(ex.lower - 3.475) < 1e-9 and abs(ex.upper - 97.525) < 1e-9
+    ap = ensemble_summary(e, exact=False).first()
+    assert abs(ap.lower - 3.475) <= 1 and abs(ap.upper - 97.525) <= 1
