@@ -21,7 +21,13 @@ from sensorflow.sources.sinks import write_csv_gz, write_forecast, write_parquet
 
 def run_targets(spark: SparkSession, inputs: TargetInputs, out_dir: str,
                 csv: bool = True) -> dict[str, str]:
-    """Build and write the expanded profile and the targets table."""
+    """Build and write the expanded profile and the targets table.
+
+    The depth-correction rules are validated first (no overlapping intervals per sensor).
+    """
+    from sensorflow.operators.depth import validate_corrections
+
+    validate_corrections(inputs.corrections)
     out = out_dir.rstrip("/")
     profile_path = write_parquet(build_expanded_profile(inputs), f"{out}/expanded_profile",
                                  partition_by=("site_id",), sort_within=("depth", "time"),
