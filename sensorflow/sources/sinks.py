@@ -42,8 +42,15 @@ def write_csv_gz(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> str:
 
 def forecast_path(df: DataFrame, base: str, theme: str, team: str,
                   time: str = "time") -> str:
-    """``<base>/<theme>-<first forecast day>-<team>.csv.gz`` from the data's first day."""
-    name = df.select(forecast_file_name(theme, F.min(time), team).alias("n")).first()["n"]
+    """``<base>/<theme>-<first forecast day>-<team>.csv.gz`` from the data's first day.
+
+    An empty forecast has no first day and is rejected rather than written unnamed.
+    """
+    first = df.select(F.min(time).alias("d")).first()["d"]
+    if first is None:
+        raise ValueError("empty forecast: no forecast day to name the file after")
+    name = df.sparkSession.range(1).select(
+        forecast_file_name(theme, F.lit(first), team).alias("n")).first()["n"]
     return f"{base.rstrip('/')}/{name}"
 
 

@@ -9,8 +9,12 @@ from sensorflow.__main__ import main
 
 def test_forecast_commands(spark, capsys):
     root = tempfile.mkdtemp(prefix="sensorflow-cli-")
-    rows = [(dt.date(2024, 1, 1) + dt.timedelta(days=i), "BARC", v, 10.0 + (i % 3))
-            for i in range(40) for v in ("temperature", "oxygen")]
+    # a year before and the weeks up to the issue date: the climatology needs the same
+    # days of year in earlier years
+    days = [dt.date(2023, 1, 20) + dt.timedelta(days=i) for i in range(40)]
+    days += [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(40)]
+    rows = [(d, "BARC", v, 10.0 + (i % 3)) for i, d in enumerate(days)
+            for v in ("temperature", "oxygen")]
     spark.createDataFrame(rows, "time date, site_id string, variable string, "
                                 "observed double").write.parquet(f"{root}/targets")
     main(["climatology", "--local", "--targets", f"{root}/targets", "--as-of",
@@ -22,3 +26,12 @@ def test_forecast_commands(spark, capsys):
         "aquatics-2024-02-10-climatology.csv.gz", "aquatics-2024-02-10-persistence.csv.gz"]
     ens = spark.read.option("header", True).csv(out[1])
     assert ens.count() == 2 * 3 * 20            # series x days x members
+
+
+def test_empty_forecast_is_not_written(spark):
+    import pytest
+
+    from sensorflow.sources.sinks import write_forecast
+    empty = spark.createDataFrame([], "time date, site_id string, variable string")
+    with pytest.raises(ValueError):
+        write_forecast(empty, tempfile.mkdtemp(), "aquatics", "climatology")
