@@ -4,19 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, SparkSession
 
-from .common import table
+from .common import in_bucket, table
 from .exact_dedup import exact_dedup
+from .language import identify_language
+
+
+def held_out() -> Column:
+    """Rows that no training sees: crc32(doc_id as text) mod 4 is 2."""
+    return in_bucket("doc_id", 4, 2)
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return (identify_language(docs, ~held_out())
+            .select("doc_id", held_out().alias("held_out"), "lang_pred", "score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op7_language_id": op7_language_id,
 }
 
 ORACLE: dict[str, str] = {
