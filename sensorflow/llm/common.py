@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,3 +44,38 @@ def in_bucket(id_col: str | Column, parts: int, part: int) -> Column:
     """crc32 of the id as text, modulo ``parts``, equals ``part``; false where the id is NULL."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % parts == part, F.lit(False))
+
+
+def ranges(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
+    """Half-open ranges of neighbours whose sizes add up to ``most`` at most, one at least."""
+    start, total = 0, 0
+    sizes = list(sizes)
+    for i, n in enumerate(sizes):
+        if i > start and total + n > most:
+            yield start, i
+            start, total = i, 0
+        total += n
+    if sizes:
+        yield start, len(sizes)
+
+
+def map_texts(df: DataFrame, id_col: str, text_col: str, fields: str,
+              work: Callable[[list[str]], list], block_chars: int) -> DataFrame:
+    """The id column beside what ``work`` returns for the texts, in blocks of ``block_chars``.
+
+    ``work`` gets texts (NULL as empty) and returns one sequence per field of ``fields`` (DDL).
+    Ids pass through as Arrow arrays, so NULL and large ones stay as they are.
+    """
+    names = [f.split()[0] for f in fields.split(",")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for a, b in ranges([len(t) for t in texts], block_chars):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").slice(a, b - a), *map(pa.array, work(texts[a:b]))],
+                    ["id", *names])
+
+    kind = dict(df.dtypes)[id_col]
+    return (df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+            .mapInArrow(run, f"id {kind}, {fields}").withColumnRenamed("id", id_col))

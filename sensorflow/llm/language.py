@@ -7,14 +7,14 @@ fewest phrases per character describes the text best.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_texts
+
 #: Labelled characters per language that its automaton is built from (a bounded sample).
 TRAIN_CHARS = 40_000
 #: Labelled documents aimed at per language when drawing that sample.
@@ -113,9 +113,9 @@ class LanguageModel:
                 np.add.at(out[:, lang], who, ended + 1)
         return out
 
-    def judge(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def judge(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Language and margin of each text."""
-        folded = [fold(t) if isinstance(t, str) else np.zeros(0, np.uint32) for t in texts]
+        folded = [fold(t) for t in texts]
         known = np.array([bool(x.any()) for x in folded], bool)
         pred, score = np.full(len(folded), UNDETERMINED, object), np.zeros(len(folded))
         if not self.languages or not known.any():
@@ -212,15 +212,5 @@ def identify_language(docs: DataFrame, train_rows: Column, id_col: str = "doc_id
                   train_chars)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sizes = batch["text"].str.len().fillna(0)
-            block = (sizes.cumsum() // (PIECE * PIECES_AT_ONCE)).astype(int)
-            for _, b in batch.groupby(block, sort=False):
-                pred, score = shared.value.judge(b["text"])
-                yield pd.DataFrame({"id": b["id"], "lang_pred": pred, "score": score})
-
-    kind = dict(docs.dtypes)[id_col]
-    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .mapInPandas(judge, f"id {kind}, lang_pred string, score double")
-            .withColumnRenamed("id", id_col))
+    return map_texts(docs, id_col, text_col, "lang_pred string, score double",
+                     lambda texts: list(shared.value.judge(texts)), PIECE * PIECES_AT_ONCE)

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .bpe import bpe_round_trip
 from .common import in_bucket, table
 from .exact_dedup import exact_dedup
 from .language import identify_language
@@ -26,9 +29,18 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out().alias("held_out"), "lang_pred", "score"))
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = bpe_round_trip(table(spark, sf_dir, "documents"),
+                            public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                            public_tokenizers.PATTERN)
+    return tokens.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op7_language_id": op7_language_id,
+    "op8_byte_bpe": op8_byte_bpe,
 }
 
 ORACLE: dict[str, str] = {
