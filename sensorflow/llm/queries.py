@@ -12,6 +12,7 @@ from .bpe import bpe_round_trip
 from .common import in_bucket, table
 from .exact_dedup import exact_dedup
 from .language import identify_language
+from .near_dedup import NearParams, near_duplicates
 
 
 def held_out() -> Column:
@@ -19,6 +20,10 @@ def held_out() -> Column:
     return in_bucket("doc_id", 4, 2)
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), NearParams(words=4, percent=80))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -38,6 +43,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op7_language_id": op7_language_id,
     "op8_byte_bpe": op8_byte_bpe,
