@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip
 from .common import in_bucket, table
+from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
 from .language import identify_language
 from .near_dedup import NearParams, near_duplicates
@@ -28,6 +29,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return (identify_language(docs, ~held_out())
@@ -45,6 +50,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_decontaminate": op4_decontaminate,
     "op7_language_id": op7_language_id,
     "op8_byte_bpe": op8_byte_bpe,
 }
