@@ -14,6 +14,7 @@ from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
 from .language import identify_language
 from .near_dedup import NearParams, near_duplicates
+from .secrets import listed, scan_secrets
 
 
 def held_out() -> Column:
@@ -47,12 +48,24 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+                        listed(F.array_sort(F.concat("base", "added"))).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_decontaminate": op4_decontaminate,
     "op7_language_id": op7_language_id,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_secret_scan": op9_secret_scan,
 }
 
 ORACLE: dict[str, str] = {
