@@ -60,22 +60,27 @@ def ranges(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
 
 
 def map_texts(df: DataFrame, id_col: str, text_col: str, fields: str,
-              work: Callable[[list[str]], list], block_chars: int) -> DataFrame:
-    """The id column beside what ``work`` returns for the texts, in blocks of ``block_chars``.
+              work: Callable[[list[str]], list], block_chars: int,
+              carry: tuple[str, ...] = ()) -> DataFrame:
+    """The id and ``carry`` columns beside what ``work`` returns for the texts, in blocks of
+    about ``block_chars``.
 
     ``work`` gets texts (NULL as empty) and returns one sequence per field of ``fields`` (DDL).
     Ids pass through as Arrow arrays, so NULL and large ones stay as they are.
     """
     names = [f.split()[0] for f in fields.split(",")]
+    kept = [f"c{i}" for i in range(len(carry) + 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             for a, b in ranges([len(t) for t in texts], block_chars):
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").slice(a, b - a), *map(pa.array, work(texts[a:b]))],
-                    ["id", *names])
-
-    kind = dict(df.dtypes)[id_col]
-    return (df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, f"id {kind}, {fields}").withColumnRenamed("id", id_col))
+                    [*(batch.column(k).slice(a, b - a) for k in kept),
+                     *map(pa.array, work(texts[a:b]))], [*kept, *names])
+
+    kinds = dict(df.dtypes)
+    own = [id_col, *carry]
+    out = (df.select(*(F.col(c).alias(k) for c, k in zip(own, kept)), F.col(text_col).alias("text"))
+           .mapInArrow(run, ", ".join([f"{k} {kinds[c]}" for c, k in zip(own, kept)] + [fields])))
+    return out.select(*(F.col(k).alias(c) for c, k in zip(own, kept)), *names)

@@ -12,6 +12,7 @@ from .bpe import bpe_round_trip
 from .common import in_bucket, table
 from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
+from .html_text import extract_text
 from .language import identify_language
 from .near_dedup import NearParams, near_duplicates
 from .secrets import listed, scan_secrets
@@ -59,6 +60,11 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         listed(F.array_sort(F.concat("base", "added"))).alias("spans"))
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract_text(table(spark, sf_dir, "pages"), carry=("url",))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_exact_dedup": op3_exact_dedup,
@@ -66,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": op7_language_id,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_secret_scan": op9_secret_scan,
+    "op10_html_extraction": op10_html_extraction,
 }
 
 ORACLE: dict[str, str] = {
