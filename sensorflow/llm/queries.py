@@ -16,6 +16,7 @@ from .html_text import extract_text
 from .language import identify_language
 from .near_dedup import NearParams, near_duplicates
 from .secrets import listed, scan_secrets
+from .url_filter import judge_urls
 
 
 def held_out() -> Column:
@@ -35,6 +36,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return (identify_language(docs, ~held_out())
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_decontaminate": op4_decontaminate,
+    "op5_url_filter": op5_url_filter,
     "op7_language_id": op7_language_id,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_secret_scan": op9_secret_scan,
