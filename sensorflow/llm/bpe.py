@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import heapq
 from itertools import islice
+from operator import itemgetter
 
 import duckdb
 import numpy as np
@@ -16,11 +17,11 @@ from .common import map_texts, ranges
 
 #: Pieces known to a worker; beyond it the older half is forgotten and encoded again if met.
 CACHED_PIECES = 300_000
-#: Bytes of pieces in one query, and characters of text in one step of a worker.
-QUERY_BYTES = 250_000
-STEP_CHARS = 2_000_000
-#: A recursive query keeps every intermediate row, which grows with the square of a piece;
-#: pieces of more bytes than this are contracted with a heap instead, to the same ids.
+#: Intermediate rows of one query at most, and characters of text in one step of a worker.
+QUERY_ROWS = 3_000_000
+STEP_CHARS = 4_000_000
+#: A recursive query keeps every intermediate row, about half the square of a piece's bytes;
+#: longer pieces than this are contracted with a heap instead, to the same ids.
 LONG_PIECE = 96
 
 #: Each round joins the words' adjacent tokens with the merge table, contracts every word's
@@ -46,8 +47,8 @@ WITH RECURSIVE step(round, word, pos, token, next_pos, next_token) AS (
           CASE WHEN s.pos = hit THEN after_token WHEN s.next_pos = hit THEN merged ELSE s.next_token END
    FROM step s JOIN merge USING (word) WHERE s.pos <> gone))
 SELECT word, list(token ORDER BY pos) AS ids
-FROM (SELECT *, max(round) OVER (PARTITION BY word) AS last_round FROM step)
-WHERE round = last_round GROUP BY word ORDER BY word
+FROM step JOIN (SELECT word, max(round) AS round FROM step GROUP BY word) USING (word, round)
+GROUP BY word ORDER BY word
 """
 
 DECODE = """
@@ -81,27 +82,26 @@ class Codec:
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM tokens")
         self.known: dict[str, tuple[bytes, bytes]] = {}
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
-        """Ids of each piece; a piece that is a token keeps its rank, the others contract."""
-        out: list[list[int] | None] = [None] * len(pieces)
+    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids (little-endian unsigned 32-bit) of each piece; a piece that is a token
+        keeps its rank, the others contract."""
+        out = [b""] * len(pieces)
         todo = []
         for i, p in enumerate(pieces):
             if p in self.ranks:
-                out[i] = [self.ranks[p]]
+                out[i] = pack([self.ranks[p]])
             elif len(p) > LONG_PIECE:
-                out[i] = contract(p, self.ranks)
+                out[i] = pack(contract(p, self.ranks))
             elif p:
                 todo.append(i)
-            else:
-                out[i] = []
         todo.sort(key=lambda i: len(pieces[i]))
-        for a, b in ranges([len(pieces[i]) for i in todo], QUERY_BYTES):
+        for a, b in ranges([len(pieces[i]) ** 2 // 2 for i in todo], QUERY_ROWS):
             block = todo[a:b]
             for i, ids in zip(block, self._contract_all([pieces[i] for i in block])):
                 out[i] = ids
         return out
 
-    def _contract_all(self, pieces: list[bytes]) -> list[list[int]]:
+    def _contract_all(self, pieces: list[bytes]) -> list[bytes]:
         token = self.byte_ids[np.frombuffer(b"".join(pieces), np.uint8)]
         size = np.array([len(p) for p in pieces])
         word = np.repeat(np.arange(len(pieces), dtype=np.int32), size)
@@ -110,39 +110,46 @@ class Codec:
         start_rows = pa.table({"word": word, "pos": pos, "token": token,  # noqa: F841
                                "next_pos": pa.array(pos + 1, mask=last),
                                "next_token": pa.array(np.roll(token, -1), mask=last)})
-        return self.con.sql(ENCODE).to_arrow_table()["ids"].to_pylist()
+        ids = self.con.sql(ENCODE).to_arrow_table()["ids"].combine_chunks()
+        packed = ids.values.to_numpy().astype("<u4").tobytes()
+        at = (ids.offsets.to_numpy() * 4).tolist()
+        return [packed[a:b] for a, b in zip(at, at[1:])]
 
-    def decode(self, sequences: list[list[int]]) -> list[bytes]:
-        """Bytes of each id sequence."""
+    def decode(self, sequences: list[bytes]) -> list[bytes]:
+        """Bytes of each sequence of packed ids."""
         out = [b""] * len(sequences)
-        for a, b in ranges([len(x) for x in sequences], QUERY_BYTES):
-            size = [len(x) for x in sequences[a:b]]
-            flat = [t for x in sequences[a:b] for t in x]
+        for a, b in ranges([len(x) // 4 for x in sequences], QUERY_ROWS):
+            size = [len(x) // 4 for x in sequences[a:b]]
+            flat = np.frombuffer(b"".join(sequences[a:b]), "<u4").astype(np.int32)
             ids = pa.table({"word": np.repeat(np.arange(a, b), size),  # noqa: F841
-                            "pos": np.arange(len(flat)), "token": pa.array(flat, pa.int32())})
+                            "pos": np.arange(len(flat)), "token": flat})
             found = self.con.sql(DECODE).to_arrow_table()
             for word, hexed in zip(found["word"].to_pylist(), found["hex"].to_pylist()):
                 out[word] = bytes.fromhex(hexed)
         return out
 
     def both(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
-        """Packed ids (little-endian unsigned 32-bit) and their decoded bytes, per text."""
+        """Packed ids and their decoded bytes, per text."""
         split = [self.split(t) for t in texts]
-        new = list({p for pieces in split for p in pieces if p not in self.known})
+        met = set().union(*split)
+        new = list(met - self.known.keys())
         if len(self.known) + len(new) > CACHED_PIECES:
             keep = max(0, CACHED_PIECES // 2 - len(new))
             self.known = dict(islice(self.known.items(), max(0, len(self.known) - keep), None))
-            new = list({p for pieces in split for p in pieces if p not in self.known})
+            new = list(met - self.known.keys())
         ids = self.encode_pieces([p.encode() for p in new])
-        for p, i, d in zip(new, ids, self.decode(ids)):
-            self.known[p] = (np.array(i, "<u4").tobytes(), d)
+        self.known.update(zip(new, zip(ids, self.decode(ids))))
         out = []
         for pieces in split:
-            found = [self.known[p] for p in pieces]
-            out.append((b"".join([f[0] for f in found]), b"".join([f[1] for f in found])))
+            found = list(map(self.known.__getitem__, pieces))
+            out.append((b"".join(map(itemgetter(0), found)), b"".join(map(itemgetter(1), found))))
         return out
 
 
+def pack(ids: list[int]) -> bytes:
+    return np.array(ids, "<u4").tobytes()
+
+
 def contract(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one piece: a heap of adjacent pairs by rank and position."""
     part: list[bytes | None] = [bytes([b]) for b in piece]
