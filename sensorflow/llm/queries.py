@@ -16,6 +16,7 @@ from .html_text import extract_text
 from .language import identify_language
 from .near_dedup import NearParams, near_duplicates
 from .secrets import listed, scan_secrets
+from .toxicity import learn, score_toxicity
 from .url_filter import judge_urls
 
 
@@ -40,6 +41,13 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = learn(docs, table(spark, sf_dir, "labels"), ~held_out())
+    found = score_toxicity(docs, model)
+    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return (identify_language(docs, ~held_out())
@@ -75,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_decontaminate": op4_decontaminate,
     "op5_url_filter": op5_url_filter,
+    "op6_toxicity": op6_toxicity,
     "op7_language_id": op7_language_id,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_secret_scan": op9_secret_scan,
