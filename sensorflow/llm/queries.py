@@ -18,6 +18,7 @@ from .near_dedup import NearParams, near_duplicates
 from .secrets import listed, scan_secrets
 from .toxicity import learn, score_toxicity
 from .url_filter import judge_urls
+from .warc import read_warc, warc_folder, write_warc
 
 
 def held_out() -> Column:
@@ -29,6 +30,11 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), NearParams(words=4, percent=80))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = write_warc(table(spark, sf_dir, "pages"), warc_folder(spark))
+    return read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -80,6 +86,7 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_warc": op2_warc,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_decontaminate": op4_decontaminate,
     "op5_url_filter": op5_url_filter,
@@ -91,6 +98,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op2_warc": r"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+        s AS (SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes,
+                     sha1(h) AS payload_digest FROM p),
+        m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS last FROM s)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> last THEN last END AS refers_to
+        FROM m""",
     "op3_exact_dedup": r"""
         WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
                    FROM documents)
