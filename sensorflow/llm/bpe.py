@@ -182,8 +182,9 @@ _CODECS: dict[int, Codec] = {}
 
 
 def bpe_round_trip(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_tokens, ids (packed little-endian unsigned 32-bit), decoded.
+                   text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: id, the ``carry`` columns, n_tokens, ids (packed little-endian
+    unsigned 32-bit) and decoded bytes.
 
     ``vocabulary`` is the path of a rank file, read on the driver and broadcast (its size is
     that of one vocabulary); ``pattern`` splits a text into pieces that are encoded alone.
@@ -205,4 +206,4 @@ def bpe_round_trip(docs: DataFrame, vocabulary: str, pattern: str, id_col: str =
                 pa.array([decoded for _, decoded in found], pa.binary())]
 
     return map_texts(docs, id_col, text_col, "n_tokens long, ids binary, decoded binary", work,
-                     STEP_CHARS)
+                     STEP_CHARS, carry)

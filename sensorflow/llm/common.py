@@ -70,10 +70,11 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, fields: str,
     """
     names = [f.split()[0] for f in fields.split(",")]
     kept = [f"c{i}" for i in range(len(carry) + 1)]
+    read = f"c{carry.index(text_col) + 1}" if text_col in carry else "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
+            texts = [t or "" for t in batch.column(read).to_pylist()]
             for a, b in ranges([len(t) for t in texts], block_chars):
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(k).slice(a, b - a) for k in kept),
@@ -81,6 +82,7 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, fields: str,
 
     kinds = dict(df.dtypes)
     own = [id_col, *carry]
-    out = (df.select(*(F.col(c).alias(k) for c, k in zip(own, kept)), F.col(text_col).alias("text"))
+    extra = [] if text_col in carry else [F.col(text_col).alias("text")]
+    out = (df.select(*(F.col(c).alias(k) for c, k in zip(own, kept)), *extra)
            .mapInArrow(run, ", ".join([f"{k} {kinds[c]}" for c, k in zip(own, kept)] + [fields])))
     return out.select(*(F.col(k).alias(c) for c, k in zip(own, kept)), *names)

@@ -198,8 +198,9 @@ def labelled_sample(docs: DataFrame, train_rows: Column, text_col: str, label_co
 
 def identify_language(docs: DataFrame, train_rows: Column, id_col: str = "doc_id",
                       text_col: str = "text", label_col: str = "lang",
-                      train_chars: int = TRAIN_CHARS, train_docs: int = TRAIN_DOCS) -> DataFrame:
-    """One row per input row: id, lang_pred, score.
+                      train_chars: int = TRAIN_CHARS, train_docs: int = TRAIN_DOCS,
+                      carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: id, the ``carry`` columns, lang_pred, score.
 
     ``train_rows`` selects the rows whose labels may be learnt from; the automata come from a
     bounded sample of them (``train_docs`` texts and ``train_chars`` characters per language),
@@ -213,4 +214,4 @@ def identify_language(docs: DataFrame, train_rows: Column, id_col: str = "doc_id
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     return map_texts(docs, id_col, text_col, "lang_pred string, score double",
-                     lambda texts: list(shared.value.judge(texts)), PIECE * PIECES_AT_ONCE)
+                     lambda texts: list(shared.value.judge(texts)), PIECE * PIECES_AT_ONCE, carry)
