@@ -153,17 +153,15 @@ def train(samples: dict[str, list[str]], chars: int = TRAIN_CHARS) -> LanguageMo
     tables = []
     for lang in folded:
         step = suffix_automaton([int(symbol_of[p]) for p in folded[lang]])
-        stopped = len(step)  # a text's end leads here, and nothing leads away
-        root = np.zeros(width, np.int32)
+        alone = len(step)  # an unseen symbol is a phrase of its own: nothing continues it
+        stopped = alone + 1  # a text's end leads here, and nothing leads away
+        root = np.full(width, alone, np.int32)
         for c, q in step[0].items():
             root[c] = q
         # where no transition fits, the phrase ends and the next one starts with this symbol
         table = np.empty((stopped + 1, width), np.int32)
         table[:stopped] = (root * width) << 1 | 1
         table[0] = (root * width) << 1
-        unseen = np.ones(width, bool)
-        unseen[list(step[0])] = False
-        table[0, unseen] = 1  # an unseen symbol is a phrase of its own
         for s, out in enumerate(step):
             for c, q in out.items():
                 table[s, c] = (q * width) << 1
