@@ -128,25 +128,45 @@ def _mismatches(a: str, b: str, longs: int) -> Column:
     return reduce(lambda x, y: x + y, map(lanes, range(longs)))
 
 
+def _sets(docs: DataFrame, ids: DataFrame, p: NearParams) -> DataFrame:
+    """(_id, hashes): the packed shingle sets of the documents that ``ids`` names."""
+    return map_texts(docs.join(ids, docs["_id"] == ids["id"], "left_semi"), "_id", "_text",
+                     "hashes array<bigint>",
+                     lambda texts: [pa.array([shingles(t, p.words).view(np.int64) for t in texts],
+                                             pa.list_(pa.int64()))], 2_000_000)
+
+
+def _rare_first(docs: DataFrame, ids: DataFrame, p: NearParams) -> DataFrame:
+    """(id, n, pos, h): the rarest shingles of each document that ``ids`` names, rarest first.
+
+    Documents with ``percent`` similarity share a shingle among as many of each one's rarest
+    as could miss from the other; the order is the same for all (frequency, then hash).
+    """
+    ids = written(ids.distinct(), "ids")
+    sets = _sets(docs, ids, p).select(F.col("_id").alias("id"), F.xxhash64("hashes").alias("s"),
+                                      F.size("hashes").alias("n"), "hashes")
+    held = written(sets.dropDuplicates(["id", "s"]).select("id", "s", "n", F.explode("hashes").alias("h")), "held")
+    often = held.groupBy("h").agg(F.count(F.lit(1)).alias("often")).select(F.struct("h").alias("_k"), "often")
+    ranked = (held.withColumn("_k", F.struct("h")).join(often, "_k").groupBy("id", "s", "n")
+              .agg(F.array_sort(F.collect_list(F.struct("often", "h"))).alias("all")))
+    missing = F.col("n") - F.ceil(F.col("n") * p.percent / 100)
+    return ranked.select("id", "n", F.posexplode(F.slice("all", F.lit(1), (missing + 1).cast("int"))).alias("pos", "x")
+                         ).select("id", "n", "pos", "x.h")
+
+
 def _linked(pairs: DataFrame, docs: DataFrame, p: NearParams) -> DataFrame:
     """The pairs (u, v) whose full shingle sets are at least ``percent`` similar."""
     pairs = written(pairs.select("u", "v").distinct(), "pairs")
     ids = written(pairs.select(F.col("u").alias("id")).union(pairs.select("v")).distinct(), "ids")
-    sets = map_texts(docs.join(ids, docs["_id"] == ids["id"], "left_semi"), "_id", "_text",
-                     "hashes binary",
-                     lambda texts: [[shingles(t, p.words).tobytes() for t in texts]], 2_000_000)
-    sets = written(sets, "sets")
+    sets = written(_sets(docs, ids, p), "sets")
     left = sets.select(F.col("_id").alias("u"), F.col("hashes").alias("hu"))
     right = sets.select(F.col("_id").alias("v"), F.col("hashes").alias("hv"))
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keep, seen, known = [], None, np.zeros(0, np.uint64)
+            keep = []
             for hu, hv in zip(b.column("hu"), b.column("hv")):
-                hu = hu.as_py()
-                if hu != seen:  # neighbours share their u
-                    seen, known = hu, np.frombuffer(hu, np.uint64)
-                other = np.frombuffer(hv.as_py(), np.uint64)
+                known, other = (h.values.to_numpy().view(np.uint64) for h in (hu, hv))
                 small, large = sorted((known, other), key=len)
                 at = np.searchsorted(large, small)
                 common = int((large[np.minimum(at, len(large) - 1)] == small).sum())
@@ -168,9 +188,9 @@ def near_duplicates(docs: DataFrame, p: NearParams = NearParams(), id_col: str =
     member takes the one that its packed signature agrees with best.  Pairs whose signatures
     agree enough are compared on full sets, and links join components.  A
     bucket whose members form one component is done; in the others, every member outside the
-    bucket's commonest component meets all members of other components.  So no pair of a
-    bucket that could still join two components goes untested, and none within a component
-    is formed again.
+    bucket's commonest component meets the members of other components that share one of its rarest
+    shingles, as every link needs.  So no pair of a bucket that could still join two
+    components goes untested, and none within a component is formed again.
 
     The id is the document: rows that repeat it with other texts share a component.  Texts
     without words have no shingles and stay alone.  Rows with a NULL id are alone, too, with
@@ -205,16 +225,20 @@ def near_duplicates(docs: DataFrame, p: NearParams = NearParams(), id_col: str =
                                            F.max("component").alias("hi"), *aggs)
         return found.filter("lo <> hi").select(F.struct("key").alias("_k"), *found.columns[3:])
 
+    def agreeing(pairs: DataFrame) -> DataFrame:
+        """The pairs (u, v) whose sizes and signatures allow a link, with their mismatches."""
+        return (pairs.join(signed.alias("a"), F.col("u") == F.col("a.id"))
+                .select("u", "v", F.struct("a.*").alias("a"))
+                .join(signed.alias("b"), F.col("v") == F.col("b.id")).filter(similar)
+                .select("u", "v", mismatches.alias("mismatches")))
+
     def star(components: DataFrame | None, centre: Column) -> DataFrame:
         members = buckets(components)
         centres = mixed(members, centre.alias("c"))
         pairs = (members.withColumn("_k", F.struct("key")).join(centres, "_k")
-                 .select("id", F.col("c.id").alias("c"), (F.col("component") != F.col("c.component")).alias("x"))
-                 .filter("x").select("c", "id").distinct())
-        return (pairs.join(signed.alias("a"), F.col("c") == F.col("a.id"))
-                .select(F.col("c").alias("u"), pairs["id"].alias("v"), F.struct("a.*").alias("a"))
-                .join(signed.alias("b"), F.col("v") == F.col("b.id")).filter(similar)
-                .groupBy("v").agg(F.min_by("u", mismatches).alias("u")))
+                 .filter(F.col("component") != F.col("c.component"))
+                 .select(F.col("c.id").alias("u"), F.col("id").alias("v")).distinct())
+        return agreeing(pairs).groupBy("v").agg(F.min_by("u", "mismatches").alias("u"))
 
     def strays(components: DataFrame) -> DataFrame:
         members = buckets(components)
@@ -224,14 +248,19 @@ def near_duplicates(docs: DataFrame, p: NearParams = NearParams(), id_col: str =
         commonest = (members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
                      .groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"))
                      .select(F.struct("key").alias("_k"), F.col("top.component").alias("main")))
-        full = members.join(signed, "id").withColumn("_k", F.struct("key")).join(commonest, "_k")
-        full = written(full.drop("_k"), "full")
-        a, b = full.filter("component <> main").alias("a"), full.alias("b")
-        # of two strays the smaller id leads; members of the main component always come second
-        once = (F.col("b.component") == F.col("b.main")) | (F.col("a.id") < F.col("b.id"))
-        return (a.join(b, (F.col("a.key") == F.col("b.key"))
-                       & (F.col("a.component") != F.col("b.component")) & once & similar)
-                .select(F.col("a.id").alias("u"), F.col("b.id").alias("v")))
+        ids = (members.withColumn("_k", F.struct("key")).join(commonest, "_k")
+               .groupBy("id", "component").agg(F.max(F.col("component") != F.col("main")).alias("stray")))
+        rare = written(_rare_first(docs, members.select("id"), p).join(ids, "id"), "rare")
+        a, b = rare.filter("stray").alias("a"), rare.alias("b")
+        both = F.col("a.n") + F.col("b.n")
+        common = F.ceil(both * p.percent / (100 + p.percent))  # that a link needs at least
+        # of two strays the smaller id leads; others always come second
+        once = ~F.col("b.stray") | (F.col("a.id") < F.col("b.id"))
+        pairs = (a.join(b, (F.col("a.h") == F.col("b.h"))
+                        & (F.col("a.component") != F.col("b.component")) & once
+                        & (F.col("a.pos") <= F.col("a.n") - common) & (F.col("b.pos") <= F.col("b.n") - common))
+                 .select(F.col("a.id").alias("u"), F.col("b.id").alias("v")).distinct())
+        return agreeing(pairs)
 
     drawn = F.min(F.struct(F.xxhash64("id", "key").alias("draw"), "id", "component"))
     links = _linked(star(None, F.min(F.struct("id", "component"))), docs, p)
