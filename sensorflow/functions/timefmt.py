@@ -9,15 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted text layouts of the curated/archive time strings.
-TIMESTAMP_FORMATS = (
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm'Z'",
-    "yyyy-MM-dd'T'HH:mm:ss'Z'",
-)
+# Accepted text layouts of the curated/archive time strings: date, space or T, minutes or
+# seconds, and Z after the T form.
+TIMESTAMP_TEXT = r"^\d{4}-\d{2}-\d{2}( \d{2}:\d{2}(:\d{2})?|T\d{2}:\d{2}(:\d{2})?Z?)$"
 
 
 def _c(col) -> Column:
@@ -41,24 +35,15 @@ def month_key(col) -> Column:
     return F.date_format(_c(col), "yyyy-MM")
 
 
-def parse_timestamp(col, formats=TIMESTAMP_FORMATS) -> Column:
-    """Parse text to a zone-free timestamp, trying each layout; NULL when none fits."""
+def parse_timestamp(col) -> Column:
+    """Parse text to a zone-free timestamp whatever the session zone; NULL where no layout
+    fits."""
     c = _c(col)
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)).cast("timestamp_ntz") for f in formats])
+    return F.when(c.rlike(TIMESTAMP_TEXT), F.regexp_replace(c, "Z$", "").try_cast("timestamp_ntz"))
 
 
-def event_time(col) -> Column:
-    """Zone-free timestamp -> zoned event time at the same UTC wall clock.
-
-    Streaming watermarks need a zoned timestamp; going through epoch seconds (not a cast,
-    which would use the session zone) keeps UTC-aligned windows equal to calendar days.
-    """
-    c = _c(col)
-    secs = (F.unix_date(F.to_date(c)).cast("long") * 86400 + F.hour(c) * 3600
-            + F.minute(c) * 60 + F.second(c))
-    return F.timestamp_seconds(secs)
-
-
-def utc_day(col) -> Column:
-    """Calendar date (UTC) of a zoned timestamp, independent of the session zone."""
-    return F.date_from_unix_date(F.floor(F.unix_seconds(_c(col)) / 86400).cast("int"))
+def utc_wall_clock(col) -> Column:
+    """Zoned timestamp -> zone-free timestamp of its UTC wall clock (no session zone in it)."""
+    seconds = (F.unix_micros(_c(col)).cast("decimal(18,0)") / 1_000_000).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), seconds)

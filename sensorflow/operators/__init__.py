@@ -12,10 +12,9 @@ series       date_range, series_spine, densify, series_with_data, interpolate, d
              obs_error_fill
 climatology  doy_stats, climatology_window, forecast_grid, densify_forecast,
              climatology_forecast, forecast_band
-randomwalk   rw_analytic, rw_ensemble, ensemble_summary
+randomwalk   rw_analytic, ensemble_summary
 provisional  provisional_wq_daily, provisional_tsd_surface_daily,
              provisional_tsd_profile_hourly, provisional_point_daily, read_product,
              drop_variable_for_class
 coverage     check_columns, temporal_coverage, flatten_geo, geo_coverage
-joins        broadcast_if_small
 """

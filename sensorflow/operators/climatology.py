@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorflow.functions.missing import nan_to_null
 from sensorflow.operators.reshape import to_long
-from sensorflow.operators.series import date_range, interpolate
+from sensorflow.operators.series import date_range
 
 
 def _d(v):
@@ -17,12 +17,14 @@ def _d(v):
 
 
 def doy_stats(targets: DataFrame, time: str = "time", keys=("site_id", "variable"),
-              value: str = "observed") -> DataFrame:
+              value: str = "observed", as_of=None) -> DataFrame:
     """Mean and sample sd per (day of year, site, variable), missing values skipped.
 
-    Algebraic aggregates only: partial aggregation on the map side, one small shuffle.
+    Only rows up to ``as_of`` count when it is given.  Algebraic aggregates only: partial
+    aggregation on the map side, one small shuffle.
     """
-    d = targets.withColumn("doy", F.dayofyear(F.col(time)))
+    d = targets if as_of is None else targets.where(F.col(time) <= _d(as_of))
+    d = d.withColumn("doy", F.dayofyear(F.col(time)))
     return d.groupBy("doy", *keys).agg(nan_to_null(F.avg(value)).alias("mean"),
                                        F.stddev_samp(value).alias("sd"))
 
@@ -45,16 +47,19 @@ def forecast_grid(series_sites: DataFrame, as_of, horizon: int,
 
 
 def climatology_window(targets: DataFrame, as_of, horizon: int = 35) -> DataFrame:
-    """Climatology rows mapped onto the forecast dates by day of year.
+    """Day-of-year mean and sd of the history up to ``as_of`` for each forecast date.
 
-    Joining on ``dayofyear(date)`` maps each forecast date to its own year, so a window
-    that crosses New Year gets January dates of the next year.  The date side is
-    ``horizon`` rows (a parameter), so it is broadcast.
+    Rows meet the forecast dates by ``dayofyear`` before they are aggregated, so days of
+    year outside the window never reach the shuffle, and a window that crosses New Year gets
+    January dates of the next year.  The date side has ``horizon`` rows (a parameter) and is
+    broadcast.
     """
-    spark = targets.sparkSession
-    clim = doy_stats(targets)
-    days = F.broadcast(forecast_days(spark, as_of, horizon))
-    return clim.join(days, "doy").select("time", "site_id", "variable", "mean", "sd")
+    days = forecast_days(targets.sparkSession, as_of, horizon).withColumnRenamed("time", "__day")
+    hist = targets.where(F.col("time") <= _d(as_of))
+    d = hist.withColumn("doy", F.dayofyear("time")).join(F.broadcast(days), "doy")
+    return (d.groupBy(F.col("__day").alias("time"), "site_id", "variable")
+            .agg(nan_to_null(F.avg("observed")).alias("mean"),
+                 F.stddev_samp("observed").alias("sd")))
 
 
 def densify_forecast(targets: DataFrame, as_of, horizon: int = 35,
@@ -78,11 +83,23 @@ def climatology_forecast(targets: DataFrame, as_of, horizon: int = 35,
     """
     f = (densify_forecast(targets, as_of, horizon, variables) if densify
          else climatology_window(targets, as_of, horizon))
-    keys = ["site_id", "variable"]
-    f = interpolate(f, keys, "time", "mean", "mu", by="index")
-    stats = f.groupBy(*keys).agg(F.median("sd").alias("sigma"),
-                                 F.date_sub(F.min("time"), 1).alias("start_time"))
-    f = f.join(stats, keys, "inner")
+    # a series has ``horizon`` rows at most here, so plain windows over it are bounded
+    whole = Window.partitionBy("site_id", "variable")
+    ordered = whole.orderBy("time")
+    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    onward = ordered.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    f = f.withColumn("__i", F.row_number().over(ordered))
+    known = F.when(F.col("mean").isNotNull(), F.struct("mean", "__i"))
+    f = f.withColumns({"__p": F.last(known, ignorenulls=True).over(upto),
+                       "__n": F.first(known, ignorenulls=True).over(onward),
+                       "sigma": F.median("sd").over(whole),
+                       "start_time": F.date_sub(F.min("time").over(whole), 1)})
+    p, n = F.col("__p"), F.col("__n")
+    line = p["mean"] + (n["mean"] - p["mean"]) * (F.col("__i") - p["__i"]).cast("double") / (
+        n["__i"] - p["__i"]).cast("double")
+    f = f.withColumn("mu", F.when(F.col("mean").isNotNull(), F.col("mean"))
+                     .when(p.isNotNull() & n.isNotNull(), line)
+                     .otherwise(F.coalesce(p["mean"], n["mean"])))
     long = to_long(f.select("time", "start_time", "site_id", "variable", "mu", "sigma"),
                    ["time", "start_time", "site_id", "variable"], ["mu", "sigma"],
                    "parameter", "predicted")

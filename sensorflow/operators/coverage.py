@@ -26,9 +26,13 @@ GEO_SCHEMA = T.StructType([
 ])
 
 
-def check_columns(df: DataFrame, required: Sequence[str], ordered: bool = True) -> None:
-    """Raise ValueError unless the columns equal ``required`` (in order when ``ordered``)."""
-    have = list(df.columns)
+def check_columns(df: DataFrame | Sequence[str], required: Sequence[str],
+                  ordered: bool = True) -> None:
+    """Raise ValueError unless the columns equal ``required`` (in order when ``ordered``).
+
+    ``df`` may be the names themselves, e.g. a file's header.
+    """
+    have = list(df.columns if isinstance(df, DataFrame) else df)
     ok = have == list(required) if ordered else sorted(have) == sorted(required)
     if not ok:
         raise ValueError(f"column names {have} do not match required {list(required)}")

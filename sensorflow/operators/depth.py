@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.operators.joins import broadcast_if_small
-
 
 def validate_corrections(corrections: DataFrame) -> None:
-    """Raise if two correction rows of one (site, position) overlap in time.
+    """Raise if two different correction rows of one (site, position) overlap in time.
 
-    The correction table is a small rule table; the check is a self-join on it.
+    The correction table is a small rule table; the check is a self-join on it.  A row that
+    is repeated as it is counts once.
     """
-    a = corrections.alias("a")
-    b = corrections.alias("b")
+    rows = corrections.distinct()
+    a, b = rows.alias("a"), rows.alias("b")
     lo = F.to_date(F.lit("0001-01-01"))
     hi = F.to_date(F.lit("9999-12-31"))
     overlap = a.join(
@@ -35,36 +34,41 @@ def validate_corrections(corrections: DataFrame) -> None:
 def correct_depth(df: DataFrame, corrections: DataFrame, site: str = "site_id",
                   position: str = "verticalPosition", time: str = "startDateTime",
                   depth: str = "depth") -> DataFrame:
-    """Replace ``depth`` where a correction row covers (site, position, date).
+    """Replace ``depth`` where a correction row covers (site, position, date); NULL bound = open.
 
-    A left interval join: equi-keys (site, position) plus ``valid_from <= date <= valid_to``
-    (NULL bound = open), planned as a broadcast hash join with a residual predicate.
-    Rows without a matching rule keep their depth.
+    The distinct rules of one sensor are packed into one row, so the join on (site, position)
+    never multiplies data rows.  Of several rules that cover a date the one that starts last
+    counts (``validate_corrections`` rejects such tables).  Other rows keep their depth.
     """
-    c = broadcast_if_small(corrections.select(
-        F.col("site_id").alias("__c_site"), F.col("vertical_position").alias("__c_pos"),
-        F.col("valid_from").alias("__c_from"), F.col("valid_to").alias("__c_to"),
-        F.col("depth").alias("__c_depth")))
+    packed = corrections.groupBy(F.col("site_id").alias("__c_site"),
+                                 F.col("vertical_position").alias("__c_pos")).agg(
+        F.sort_array(F.collect_set(F.struct("valid_from", "valid_to", "depth")), asc=False)
+        .alias("__c_rules"))
     day = F.to_date(F.col(time))
-    cond = ((F.col(site) == F.col("__c_site"))
-            & (F.col(position).cast("int") == F.col("__c_pos"))
-            & (F.col("__c_from").isNull() | (day >= F.col("__c_from")))
-            & (F.col("__c_to").isNull() | (day <= F.col("__c_to"))))
-    d = df.join(c, cond, "left")
-    d = d.withColumn(depth, F.coalesce(F.col("__c_depth"), F.col(depth)))
-    return d.drop("__c_site", "__c_pos", "__c_from", "__c_to", "__c_depth")
+
+    def covers(r):
+        return ((r["valid_from"].isNull() | (day >= r["valid_from"]))
+                & (r["valid_to"].isNull() | (day <= r["valid_to"])))
+
+    d = df.join(packed, (F.col(site) == F.col("__c_site"))
+                & (F.col(position).cast("int") == F.col("__c_pos")), "left")
+    rule = F.get(F.filter("__c_rules", covers), F.lit(0))
+    d = d.withColumn(depth, F.coalesce(rule["depth"], F.col(depth)))
+    return d.drop("__c_site", "__c_pos", "__c_rules")
 
 
 def lookup_depth(df: DataFrame, lookup: DataFrame,
                  keys=("siteName", "verticalIndex")) -> DataFrame:
-    """Attach the sensor depth; sensors missing from the lookup are dropped (inner join)."""
-    lk = lookup
+    """Attach the sensor depth; sensors missing from the lookup are dropped (inner join).
+
+    A sensor that the lookup repeats counts once."""
+    lk = lookup.dropDuplicates(list(keys))
     for k in keys:
         lk = lk.withColumn(k, F.col(k).cast("string"))
     d = df
     for k in keys:
         d = d.withColumn(k, F.col(k).cast("string"))
-    return d.join(broadcast_if_small(lk), list(keys), "inner")
+    return d.join(lk, list(keys), "inner")
 
 
 def surface_only(df: DataFrame, depth: str = "depth", max_depth: float = 1.0) -> DataFrame:

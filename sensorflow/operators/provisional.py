@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.operators.depth import lookup_depth, surface_only
-from sensorflow.operators.joins import broadcast_if_small
 from sensorflow.operators.quality import any_flag_passes
 from sensorflow.operators.reshape import coalesce_value, terms_to_columns, to_long
 from sensorflow.operators.rollup import daily_mean, hourly_mean
@@ -45,7 +44,7 @@ def drop_variable_for_class(df: DataFrame, sites: DataFrame, subtype: str,
     rules = (sites.where(F.col("field_site_subtype") == F.lit(subtype))
              .select(F.col("field_site_id").alias(site),
                      F.explode(F.array(*[F.lit(v) for v in variables])).alias(variable)))
-    return df.join(broadcast_if_small(rules), [site, variable], "left_anti")
+    return df.join(rules, [site, variable], "left_anti")
 
 
 def provisional_wq_daily(long: DataFrame, sites: DataFrame | None = None) -> DataFrame:

@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.operators.joins import broadcast_if_small
 from sensorflow.operators.seriesscan import lag_columns
 
 
@@ -44,12 +43,12 @@ def gross_range(df: DataFrame, ranges: DataFrame, variable: str = "variable",
                 value: str = "observed", unknown: str = "null") -> DataFrame:
     """Values outside the inclusive [lo, hi] of their variable become NULL; rows stay.
 
+    Of several ranges of a variable the value has to be inside all.
     ``unknown='null'`` also removes values of variables without a range row (as the
     published targets do); ``'keep'`` leaves them.
     """
-    r = broadcast_if_small(ranges.select(F.col("variable").alias("__gr_var"),
-                                         F.col("lo").alias("__gr_lo"),
-                                         F.col("hi").alias("__gr_hi")))
+    r = (ranges.groupBy(F.col("variable").alias("__gr_var"))
+         .agg(F.max("lo").alias("__gr_lo"), F.min("hi").alias("__gr_hi")))
     d = df.join(r, F.col(variable) == F.col("__gr_var"), "left")
     inside = F.col(value).between(F.col("__gr_lo"), F.col("__gr_hi"))
     if unknown == "keep":
@@ -63,15 +62,15 @@ def mask_rules(df: DataFrame, masks: DataFrame, site: str = "site_id",
                value: str = "observed") -> DataFrame:
     """Apply manual mask rules keyed by (site, variable); a value goes when any rule fires.
 
-    Rules of one key are packed into an array (one row per key), so the broadcast join
+    The distinct rules of one key are packed into an array (one row per key), so the join
     never multiplies data rows; the rule test is a higher-order ``exists``.
     """
     packed = (masks.groupBy("site_id", "variable")
-              .agg(F.collect_list(F.struct("date_from", "date_to", "bad_below",
+              .agg(F.collect_set(F.struct("date_from", "date_to", "bad_below",
                                            "bad_above")).alias("__rules"))
               .withColumnRenamed("site_id", "__m_site")
               .withColumnRenamed("variable", "__m_var"))
-    d = df.join(broadcast_if_small(packed),
+    d = df.join(packed,
                 (F.col(site) == F.col("__m_site")) & (F.col(variable) == F.col("__m_var")),
                 "left")
     day = F.to_date(F.col(time))
@@ -106,7 +105,7 @@ def qc_flags(value: Column, prev: Column, lo, hi, spike) -> Column:
 
 def qc_series(df: DataFrame, keys: Sequence[str], time="time",
               value: str = "observed", lo=-5.0, hi=40.0, spike=5.0, unknown="keep",
-              bucket: Column | None = None, flat_digits: int | None = None) -> DataFrame:
+              bucket: Column | None = None, flat_digits: int | None = 9) -> DataFrame:
     """Per-series range / spike / flat-line test on consecutive rows (ordered by time).
 
     ``time`` is the order key, or a list of order keys (time first, then tiebreaks).
@@ -117,8 +116,8 @@ def qc_series(df: DataFrame, keys: Sequence[str], time="time",
     ``unknown='reject'``: a value is kept only when every test is definitely passed, so
     the first row of a series and any row after a missing one are removed too.
     ``unknown`` may also be a boolean column (true = keep).  Rows are never dropped, only
-    values nulled.  ``flat_digits`` compares rounded values for the flat-line test (means
-    can differ in the last bit by summation order).
+    values nulled.  The flat-line test compares values rounded to ``flat_digits`` places:
+    the last bits of a mean depend on the order in which its values were added.
     """
     order = [time] if isinstance(time, str) else list(time)
     d = lag_columns(df, keys, order, [value], bucket=bucket, prefix="__prev_")
@@ -149,20 +148,20 @@ def qc_by_source(df: DataFrame, params: DataFrame, keys: Sequence[str], time="ti
     ``params`` is the (source, lo, hi, spike, by_depth) table: ``by_depth`` true keeps
     values whose test is unknown.  ``keys`` must include the source column, so every
     source stays its own series; one bucketed scan (one large shuffle) replaces one per
-    source.
+    source.  A row of a source without parameters is an error.
     """
-    prm = broadcast_if_small(params.select(
+    prm = params.select(
         F.col("source").alias("__q_src"), F.col("lo").alias("__q_lo"),
         F.col("hi").alias("__q_hi"), F.col("spike").alias("__q_spike"),
-        F.col("by_depth").alias("__q_keep")))
+        F.col("by_depth").alias("__q_keep")).dropDuplicates(["__q_src"])
     d = df.join(prm, F.col(source) == F.col("__q_src"), "left")
-    d = d.withColumn("__q_orig", F.col(value))
+    unknown = F.raise_error(F.concat(F.lit("no QC parameters for source "),
+                                     F.coalesce(F.col(source), F.lit("NULL")))).cast("boolean")
+    d = d.withColumn("__q_keep", F.when(F.col("__q_src").isNull(), unknown)
+                     .otherwise(F.col("__q_keep")))
     d = qc_series(d, keys, time, value, lo=F.col("__q_lo"), hi=F.col("__q_hi"),
                   spike=F.col("__q_spike"), unknown=F.col("__q_keep"))
-    # a source without a parameter row is passed through untested
-    d = d.withColumn(value, F.when(F.col("__q_src").isNull(), F.col("__q_orig"))
-                     .otherwise(F.col(value)))
-    return d.drop("__q_src", "__q_lo", "__q_hi", "__q_spike", "__q_keep", "__q_orig")
+    return d.drop("__q_src", "__q_lo", "__q_hi", "__q_spike", "__q_keep")
 
 
 def rate_of_change(df: DataFrame, keys: Sequence[str], time="time",
@@ -176,19 +175,24 @@ def rate_of_change(df: DataFrame, keys: Sequence[str], time="time",
 
 def qc_incremental(new: DataFrame, history: DataFrame, keys: Sequence[str],
                    time: str = "time", value: str = "observed", **qc) -> DataFrame:
-    """Series QC of newly arrived rows only (a daily refresh), equal to QC over the full
-    history restricted to the new rows.
-
-    The only context the test needs is the previous row of each series: the last history
-    row before the series' first new row, taken with a hash aggregate (``max_by``) and
-    dropped again after the test.  ``qc`` takes the keyword arguments of ``qc_series``.
+    """Series QC of what newly arrived rows can change, for a daily refresh.
+
+    New rows may fall between old ones, so each series is tested again from its first new
+    row on: the result holds the new rows and the old rows after it, as QC over the full
+    history would give them, and is to replace them.  The row before the first new one is
+    context, taken with a hash aggregate.  ``history`` holds values as they were before QC;
+    only what lies in or before the touched range is read, and NULL keys form series, too.
+    ``qc`` takes the keyword arguments of ``qc_series``.
     """
-    first_new = new.groupBy(*keys).agg(F.min(time).alias("__first_new"))
-    prior = (history.join(first_new, list(keys)).where(F.col(time) < F.col("__first_new"))
-             .groupBy(*keys).agg(F.max_by(value, time).alias(value),
-                                 F.max(time).alias(time)))
-    ctx = prior.select(*keys, time, value).withColumn("__ctx", F.lit(True))
-    rows = new.withColumn("__ctx", F.lit(False))
-    u = rows.unionByName(ctx, allowMissingColumns=True)
+    keys = list(keys)
+    first = new.groupBy(*keys).agg(F.min(time).alias("__first"))
+    first = first.select(*[F.col(k).alias(f"__n_{k}") for k in keys], "__first")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__n_{k}")) for k in keys])
+    touched = history.join(first, same).drop(*[f"__n_{k}" for k in keys])
+    later = touched.where(F.col(time) >= F.col("__first")).drop("__first")
+    context = (touched.where(F.col(time) < F.col("__first")).groupBy(*keys)
+               .agg(F.max_by(value, time).alias(value), F.max(time).alias(time)))
+    rows = new.unionByName(later, allowMissingColumns=True).withColumn("__ctx", F.lit(False))
+    u = rows.unionByName(context.withColumn("__ctx", F.lit(True)), allowMissingColumns=True)
     q = qc_series(u, keys, time, value, **qc)
     return q.where(~F.col("__ctx")).drop("__ctx")

@@ -1,40 +1,13 @@
-"""Random-walk (persistence) forecasts.
-
-State-space model per (site, variable) daily series:
-    x[1] ~ N(x_ic, s^2),  x[t] ~ N(x[t-1], s^2),  y[t] ~ N(x[t], obs_sd^2),  s ~ U(1e-6, 100)
-
-Given s the model is linear-Gaussian, so the ensemble is drawn exactly instead of by
-MCMC: the Kalman likelihood of s on a grid gives its posterior (the same vectorised
-filter pass gives the filtered state for every grid value), 2000 draws of s are taken from
-it, each draw starts from its filtered state and walks forward to the horizon.  Each series is one ``applyInPandas`` group; a group is a
-daily series (bounded by its calendar span), and the groups run in parallel.
-
-``rw_analytic`` is the closed-form persistence forecast (last value, sd of daily
-differences x sqrt(lead)) and stays entirely in the DataFrame API.
-"""
+"""Persistence forecast in closed form, and summaries of forecast ensembles."""
 
 from __future__ import annotations
 
-import sys
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.operators.reshape import to_long
-from sensorflow.operators.series import densify, diff_sd, series_with_data
-from sensorflow.sources.rules import ENSEMBLE_SIZE, HORIZON_DAYS, OBSERVATION_SD, X_IC
-
-ENSEMBLE_SCHEMA = ("time date, start_time date, site_id string, variable string, "
-                   "ensemble int, predicted double")
-
-S_MIN, S_MAX = 1e-6, 100.0
-
-# The grouped-map function is shipped to the Python workers by value, so executors need
-# numpy, pandas and xxhash but not this package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from sensorflow.operators.seriesscan import lag_columns
+from sensorflow.sources.rules import HORIZON_DAYS
 
 
 def _d(v):
@@ -47,16 +20,15 @@ def rw_analytic(targets: DataFrame, as_of, horizon: int = HORIZON_DAYS,
     """Closed-form persistence forecast in long mu/sigma form.
 
     mu = last known value up to ``as_of``; sigma = sd of successive differences of the
-    known values x sqrt(days since that value).  Series without data are skipped.
+    known values x sqrt(days since that value).  Series without data are skipped.  Last value,
+    its day and the sd come from one aggregate over the lagged rows.
     """
     keys = list(keys)
-    hist = targets.where(F.col(time) <= _d(as_of))
-    known = series_with_data(hist, keys, value).select(*keys)
-    # primitive aggregation buffers keep this a partial hash aggregate
-    last = (hist.where(F.col(value).isNotNull()).groupBy(*keys)
-            .agg(F.max(time).alias("__t"), F.max_by(value, time).alias("__v")))
-    sd = diff_sd(hist, keys, time, value)
-    b = known.join(last, keys).join(sd, keys, "left")
+    known = targets.where((F.col(time) <= _d(as_of)) & F.col(value).isNotNull())
+    lagged = lag_columns(known, keys, [time], [value], prefix="__p_")
+    b = lagged.groupBy(*keys).agg(
+        F.max(time).alias("__t"), F.max_by(value, time).alias("__v"),
+        F.stddev_samp(F.col(value) - F.col("__p_" + value)).alias("diff_sd"))
     start, end = F.date_add(_d(as_of), 1), F.date_add(_d(as_of), horizon)
     f = b.select(*keys, "__t", "__v", "diff_sd",
                  F.explode(F.sequence(start, end, F.expr("INTERVAL 1 DAY"))).alias("time"))
@@ -68,120 +40,6 @@ def rw_analytic(targets: DataFrame, as_of, horizon: int = HORIZON_DAYS,
         "time", "start_time", *keys, "family", "parameter", "predicted")
 
 
-# --- exact-likelihood ensemble ------------------------------------------------------------
-
-def _kalman(y: np.ndarray, s: np.ndarray, x_ic: float, r: float):
-    """Kalman filter for every process sd in ``s`` at once (vectorised over ``s``).
-
-    Returns the log-likelihood of the observed ``y`` (NaN = missing) and the filtered
-    mean and variance of the state at the last index.
-    """
-    q = s * s
-    m = np.full_like(s, x_ic, dtype=float)
-    p = q.copy()
-    ll = np.zeros_like(s, dtype=float)
-    for t, yt in enumerate(y):
-        if t > 0:
-            p = p + q
-        if not np.isnan(yt):
-            v = p + r
-            e = yt - m
-            ll += -0.5 * (np.log(2 * np.pi * v) + e * e / v)
-            k = p / v
-            m = m + k * e
-            p = (1 - k) * p
-    return ll, m, p
-
-
-def _posterior_draws(y: np.ndarray, n: int, rng, x_ic: float, r: float):
-    """Draws of s from its grid posterior under the U(S_MIN, S_MAX) prior, with the
-    filtered state (mean, variance) at the last index for each draw.
-
-    A coarse log grid locates the posterior mass, a fine linear grid resolves it; draws
-    are jittered inside their grid cell and their filtered state is interpolated
-    between the two neighbouring grid points.
-    """
-    coarse = np.geomspace(S_MIN, S_MAX, 200)
-    ll, _, _ = _kalman(y, coarse, x_ic, r)
-    w = np.exp(ll - ll.max()) * coarse          # log grid: ds is proportional to s
-    i = np.flatnonzero(w > w.max() * 1e-10)
-    lo = coarse[max(i[0] - 1, 0)]
-    hi = coarse[min(i[-1] + 1, len(coarse) - 1)]
-    fine = np.linspace(lo, hi, 400)
-    ll, m, p = _kalman(y, fine, x_ic, r)
-    w = np.exp(ll - ll.max())
-    w = w / w.sum()
-    k = rng.choice(len(fine), size=n, p=w)
-    step = (hi - lo) / (len(fine) - 1)
-    s = np.clip(fine[k] + rng.uniform(-0.5, 0.5, n) * step, lo, hi)
-    return s, np.interp(s, fine, m), np.interp(s, fine, p)
-
-
-def _ensemble_group(pdf: pd.DataFrame, as_of, horizon: int, n: int, x_ic: float,
-                    obs_sd: float, seed: int) -> pd.DataFrame:
-    import datetime as dt
-
-    import xxhash
-
-    pdf = pdf.sort_values("time")
-    site, var = pdf["site_id"].iloc[0], pdf["variable"].iloc[0]
-    times = pd.to_datetime(pdf["time"]).dt.date.to_numpy()
-    y = pdf["observed"].to_numpy(dtype=float)
-    yh = y[times <= as_of]
-    if np.isnan(yh).all():
-        return pd.DataFrame({"time": pd.Series([], dtype=object),
-                             "start_time": pd.Series([], dtype=object),
-                             "site_id": pd.Series([], dtype=object),
-                             "variable": pd.Series([], dtype=object),
-                             "ensemble": pd.Series([], dtype=np.int32),
-                             "predicted": pd.Series([], dtype=float)})
-    r = obs_sd * obs_sd
-    rng = np.random.default_rng(xxhash.xxh64_intdigest(f"{site}|{var}|{seed}"))
-    s, m, p = _posterior_draws(yh, n, rng, x_ic, r)
-    x = m + np.sqrt(np.maximum(p, 0.0)) * rng.standard_normal(n)
-    days = [as_of + dt.timedelta(days=h) for h in range(1, horizon + 1)]
-    out = np.empty((horizon, n))
-    for h in range(horizon):
-        x = x + s * rng.standard_normal(n)
-        out[h] = x + obs_sd * rng.standard_normal(n)
-    return pd.DataFrame({
-        "time": np.repeat(days, n),
-        "start_time": as_of,
-        "site_id": site,
-        "variable": var,
-        "ensemble": np.tile(np.arange(1, n + 1, dtype=np.int32), horizon),
-        "predicted": out.reshape(-1),
-    })
-
-
-def rw_ensemble(targets: DataFrame, as_of: str, horizon: int = HORIZON_DAYS,
-                n_members: int = ENSEMBLE_SIZE, x_ic: float = X_IC,
-                obs_sd: float = OBSERVATION_SD, seed: int = 329) -> DataFrame:
-    """Ensemble random-walk forecast: ``n_members`` draws per series and forecast day.
-
-    Series are densified from the site's first date to ``as_of`` (missing days are
-    predicted, not observed); series without any value are skipped.  The seed of a group
-    is a hash of (site, variable, seed), so results do not depend on partitioning.
-    """
-    import datetime as dt
-
-    as_of_d = dt.date.fromisoformat(as_of)
-    hist = targets.where(F.col("time") <= _d(as_of)).select(
-        "time", "site_id", "variable", "observed")
-    keys = ["site_id", "variable"]
-    live = series_with_data(hist, keys).select(*keys)
-    dense = densify(hist.join(live, keys, "left_semi"), keys, "time", as_of,
-                    start_keys=["site_id"])
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _ensemble_group(pdf, as_of_d, horizon, n_members, x_ic, obs_sd, seed)
-
-    # an explicit hash partitioning by series keeps the grouped map spread over the
-    # cluster (AQE would otherwise coalesce the small-in-bytes, compute-heavy input)
-    parts = max(dense.sparkSession.sparkContext.defaultParallelism, 1)
-    return dense.repartition(parts, *keys).groupBy(*keys).applyInPandas(fn, ENSEMBLE_SCHEMA)
-
-
 def ensemble_summary(ensemble: DataFrame, keys=("time", "site_id", "variable"),
                      value: str = "predicted", exact: bool = True,
                      accuracy: int = 10000) -> DataFrame:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorflow.functions.missing import is_finite
-from sensorflow.operators.seriesscan import lag_columns, linear_fill, row_index
+from sensorflow.operators.seriesscan import lag_columns, linear_fill
 
 
 def _d(v) -> Column:
@@ -22,6 +23,12 @@ def date_range(spark: SparkSession, start, days: int, name: str = "time") -> Dat
     return spark.range(0, days).select(F.date_add(_d(start), F.col("id").cast("int")).alias(name))
 
 
+def _same(left: str, right: str, keys: Sequence[str]) -> Column:
+    """Null-safe equality of ``keys``, so that NULL keys form series, too."""
+    return reduce(lambda a, b: a & b,
+                  [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+
+
 def series_spine(df: DataFrame, keys: Sequence[str], time: str, end,
                  start_keys: Sequence[str] | None = None, name: str = "time") -> DataFrame:
     """One row per day of each series, from its first date to ``end`` inclusive.
@@ -31,19 +38,25 @@ def series_spine(df: DataFrame, keys: Sequence[str], time: str, end,
     expands from one bounds row, so the spine size is series x calendar days.
     """
     start_keys = list(start_keys) if start_keys is not None else list(keys)
-    series = df.select(*keys).distinct()
-    starts = df.groupBy(*start_keys).agg(F.min(time).alias("__start"))
-    b = series.join(starts, list(start_keys), "inner")
-    return (b.where(F.col("__start") <= _d(end))
-            .select(*keys, F.explode(F.sequence(F.col("__start"), _d(end),
-                                                F.expr("INTERVAL 1 DAY"))).alias(name)))
+    series = df.select(*keys).distinct().alias("s")
+    starts = df.groupBy(*start_keys).agg(F.min(time).alias("__start")).alias("b")
+    b = series.join(starts, _same("s", "b", start_keys)).where(F.col("__start") <= _d(end))
+    return b.select(*[F.col(f"s.{k}") for k in keys],
+                    F.explode(F.sequence(F.col("__start"), _d(end),
+                                         F.expr("INTERVAL 1 DAY"))).alias(name))
 
 
 def densify(df: DataFrame, keys: Sequence[str], time: str, end,
             start_keys: Sequence[str] | None = None) -> DataFrame:
-    """Left-join each series onto its daily spine: missing days become NULL rows."""
-    spine = series_spine(df, keys, time, end, start_keys, name=time)
-    return spine.join(df, [*keys, time], "left")
+    """Each series on its daily spine: missing days up to ``end`` become NULL rows, and every
+    row of ``df`` stays, later ones and undated ones too."""
+    keys = list(keys)
+    others = [c for c in df.columns if c not in (*keys, time)]
+    spine = series_spine(df, keys, time, end, start_keys, name=time).alias("p")
+    dense = spine.join(df.alias("d"), _same("p", "d", [*keys, time]), "left").select(
+        *[F.col(f"p.{c}") for c in (*keys, time)], *[F.col(f"d.{c}") for c in others])
+    beyond = df.where(F.col(time).isNull() | (F.col(time) > _d(end)))
+    return dense.unionByName(beyond.select(*dense.columns))
 
 
 def series_with_data(df: DataFrame, keys: Sequence[str], value: str = "observed") -> DataFrame:
@@ -61,8 +74,7 @@ def interpolate(df: DataFrame, keys: Sequence[str], time: str, value: str, out:
     ``by='time'`` on the day number, so uneven spacing is respected.
     """
     if by == "index":
-        d = row_index(df, keys, [time], name="__idx")
-        return linear_fill(d, keys, [time], value, F.col("__idx"), out).drop("__idx")
+        return linear_fill(df, keys, [time], value, None, out)
     if by == "time":
         x = F.datediff(F.col(time), F.to_date(F.lit("1970-01-01")))
         return linear_fill(df, keys, [time], value, x, out)

@@ -109,14 +109,18 @@ def lag_columns(df: DataFrame, keys: Sequence[str], order: Sequence, cols: Seque
 
 
 def known_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence, value: str,
-                     x: Column, bucket: Column | None = None,
+                     x: Column | None = None, bucket: Column | None = None,
                      prefix: str = "") -> DataFrame:
     """Add the nearest known (non-NULL) ``value`` at/before and at/after each row.
 
     New columns: ``{prefix}prev_v, {prefix}prev_x, {prefix}next_v, {prefix}next_x`` where
-    ``x`` is the position of that known row (row index, day number, ...).
+    ``x`` is the position of that known row (a day number, ...), and ``{prefix}x``, the
+    row's own.  Without ``x`` positions are row numbers of the series: the row number in its
+    bucket plus the rows of earlier buckets, which the same bucket summary counts.
     """
-    d = _prepare(df, keys, order, bucket).withColumn("__x", x)
+    d = _prepare(df, keys, order, bucket)
+    by_row = x is None
+    d = d.withColumn("__x", F.row_number().over(_window(order)) if by_row else x)
     v = F.col(value)
     isk = v.isNotNull()
     ordering = _ordering(order)
@@ -124,15 +128,23 @@ def known_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence, value:
         _extreme(F.max_by, v, ordering, isk).alias("__lv"),
         _extreme(F.max_by, F.col("__x"), ordering, isk).alias("__lx"),
         _extreme(F.min_by, v, ordering, isk).alias("__fv"),
-        _extreme(F.min_by, F.col("__x"), ordering, isk).alias("__fx"))
+        _extreme(F.min_by, F.col("__x"), ordering, isk).alias("__fx"),
+        F.count(F.lit(1)).alias("__n"))
+    if by_row:
+        rows_before = F.coalesce(F.sum("__n").over(_earlier()), F.lit(0))
+        summary = summary.withColumn("__off", rows_before).withColumns(
+            {"__lx": F.col("__lx") + F.col("__off"), "__fx": F.col("__fx") + F.col("__off")})
+    else:
+        summary = summary.withColumn("__off", F.lit(0))
     lk = F.when(F.col("__lv").isNotNull(), F.struct(F.col("__lv").alias("v"),
                                                    F.col("__lx").alias("x")))
     fk = F.when(F.col("__fv").isNotNull(), F.struct(F.col("__fv").alias("v"),
                                                    F.col("__fx").alias("x")))
-    carry = summary.select(SK, BK,
+    carry = summary.select(SK, BK, "__off",
                            F.last(lk, ignorenulls=True).over(_earlier()).alias("__cp"),
                            F.last(fk, ignorenulls=True).over(_later()).alias("__cn"))
     known = F.when(isk, F.struct(v.alias("v"), F.col("__x").alias("x")))
+    off = F.col("__off") if by_row else F.lit(0)
     w = _window(order)
     # next known = last known over the reversed order (a growing frame, O(n) per bucket;
     # a current..unbounded-following frame would be re-aggregated per row)
@@ -143,11 +155,13 @@ def known_neighbours(df: DataFrame, keys: Sequence[str], order: Sequence, value:
         "__nk": F.last(known, ignorenulls=True)
         .over(w_rev.rowsBetween(Window.unboundedPreceding, Window.currentRow))})
     d = d.join(carry, [SK, BK], "left")
-    prev = F.coalesce(F.col("__pk"), F.col("__cp"))
-    nxt = F.coalesce(F.col("__nk"), F.col("__cn"))
-    d = d.withColumns({prefix + "prev_v": prev["v"], prefix + "prev_x": prev["x"],
-                       prefix + "next_v": nxt["v"], prefix + "next_x": nxt["x"]})
-    return d.drop(SK, BK, "__x", "__pk", "__nk", "__cp", "__cn")
+    pk, nk, cp, cn = (F.col(c) for c in ("__pk", "__nk", "__cp", "__cn"))
+    d = d.withColumns({prefix + "prev_v": F.coalesce(pk["v"], cp["v"]),
+                       prefix + "prev_x": F.coalesce(pk["x"] + off, cp["x"]),
+                       prefix + "next_v": F.coalesce(nk["v"], cn["v"]),
+                       prefix + "next_x": F.coalesce(nk["x"] + off, cn["x"]),
+                       prefix + "x": F.col("__x") + off})
+    return d.drop(SK, BK, "__x", "__off", "__pk", "__nk", "__cp", "__cn")
 
 
 def row_index(df: DataFrame, keys: Sequence[str], order: Sequence, name: str = "idx",
@@ -165,8 +179,9 @@ def row_index(df: DataFrame, keys: Sequence[str], order: Sequence, name: str = "
 
 
 def linear_fill(df: DataFrame, keys: Sequence[str], order: Sequence, value: str,
-                x: Column, out: str, bucket: Column | None = None) -> DataFrame:
-    """Linear interpolation of ``value`` along ``x`` inside each series, ends held constant.
+                x: Column | None, out: str, bucket: Column | None = None) -> DataFrame:
+    """Linear interpolation of ``value`` along ``x`` (the row number if None) inside each
+    series, ends held constant.
 
     Known values are kept; a gap between two known rows is filled on the straight line
     through them; leading/trailing gaps take the nearest known value (``rule = 2``);
@@ -175,10 +190,11 @@ def linear_fill(df: DataFrame, keys: Sequence[str], order: Sequence, value: str,
     d = known_neighbours(df, keys, order, value, x, bucket, prefix="__n_")
     pv, px, nv, nx = (F.col("__n_prev_v"), F.col("__n_prev_x"),
                       F.col("__n_next_v"), F.col("__n_next_x"))
+    x = F.col("__n_x")
     interp = pv + (nv - pv) * (x - px).cast("double") / (nx - px).cast("double")
     filled = (F.when(F.col(value).isNotNull(), F.col(value))
               .when(pv.isNotNull() & nv.isNotNull() & (nx != px), interp)
               .when(pv.isNotNull() & nv.isNotNull(), pv)
               .otherwise(F.coalesce(pv, nv)))
     return d.withColumn(out, filled).drop("__n_prev_v", "__n_prev_x", "__n_next_v",
-                                          "__n_next_x")
+                                          "__n_next_x", "__n_x")

@@ -11,11 +11,11 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from sensorflow.operators.climatology import climatology_forecast
-from sensorflow.operators.randomwalk import rw_ensemble
+from sensorflow.operators.randomwalk import rw_analytic
 from sensorflow.plans.targets import TargetInputs, build_expanded_profile, build_targets
 from sensorflow.sources.readers import read_targets
 from sensorflow.sources.rules import EXPANDED_FILE, TARGETS_FILE, THEME
-from sensorflow.sources.schemas import EXPANDED_PROFILE
+from sensorflow.sources.schemas import CLIMATOLOGY_FORECAST, EXPANDED_PROFILE, PROVISIONAL
 from sensorflow.sources.sinks import write_csv_gz, write_forecast, write_parquet
 
 
@@ -49,6 +49,43 @@ def run_targets(spark: SparkSession, inputs: TargetInputs, out_dir: str,
     return paths
 
 
+def run_refresh(spark: SparkSession, incoming: str, landing: str, checkpoint: str, product: str,
+                fmt: str = "parquet", name_glob: str | None = None,
+                max_files_per_trigger: int | None = None) -> str:
+    """Lands the provisional files of one product that arrived since the last run.
+
+    The file stream's checkpoint remembers the files read, so a second run with the same
+    ``checkpoint`` reads only new ones.  Records go to ``product=/site=/ms=`` directories,
+    which later runs of the targets job prune by.  Returns the landing.
+    """
+    from sensorflow.sources.landing import land
+
+    reader = spark.readStream.format(fmt).schema(PROVISIONAL).option("recursiveFileLookup", "true")
+    if name_glob:
+        reader = reader.option("pathGlobFilter", name_glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+
+    def write_batch(batch, batch_id: int) -> None:
+        land(batch, landing, f"{product}-{batch_id}", product)
+
+    q = (reader.load(incoming).writeStream.foreachBatch(write_batch)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return landing
+
+
+def run_month_plan(spark: SparkSession, targets_path: str, as_of: str, lag_days: int = 2,
+                   fmt: str = "parquet") -> list[dict]:
+    """Months to fetch next per variable: the one after the latest archived day and the current
+    one.  One row per variable and month reaches the driver."""
+    from sensorflow.streaming.refresh import month_plan
+
+    targets = read_targets(spark, targets_path, fmt).where(F.col("observed").isNotNull())
+    plan = month_plan(targets, "time", as_of, lag_days, keys=["variable"])
+    return [r.asDict() for r in plan.orderBy("variable", "fetch_month").collect()]
+
+
 def run_climatology(spark: SparkSession, targets_path: str, out_dir: str, as_of: str,
                     horizon: int = 35, team: str = "climatology", fmt: str = "parquet") -> str:
     """Day-of-year climatology forecast file for the ``horizon`` days after ``as_of``."""
@@ -57,10 +94,11 @@ def run_climatology(spark: SparkSession, targets_path: str, out_dir: str, as_of:
 
 
 def run_persistence(spark: SparkSession, targets_path: str, out_dir: str, as_of: str,
-                    horizon: int = 35, members: int = 2000, team: str = "persistence",
+                    horizon: int = 35, team: str = "persistence",
                     fmt: str = "parquet") -> str:
-    """Random-walk ensemble forecast file (one row per member and day)."""
-    f = rw_ensemble(read_targets(spark, targets_path, fmt), as_of, horizon, members)
+    """Closed-form persistence forecast file (mu and sigma per series and day)."""
+    f = rw_analytic(read_targets(spark, targets_path, fmt), as_of, horizon)
+    f = f.select(*CLIMATOLOGY_FORECAST.fieldNames())
     return write_forecast(f, out_dir, THEME, team)
 
 
@@ -83,11 +121,11 @@ def run_metadata(spark: SparkSession, forecast_path: str, geo_path: str,
 
     from sensorflow.functions.names import parse_forecast_name
     from sensorflow.operators.coverage import check_columns, geo_coverage, temporal_coverage
-    from sensorflow.sources.readers import read_forecast, read_geo
+    from sensorflow.sources.readers import forecast_columns, read_forecast, read_geo
 
-    f = read_forecast(spark, forecast_path)
     if required_columns is not None:
-        check_columns(f, required_columns)
+        check_columns(forecast_columns(spark, forecast_path), required_columns)
+    f = read_forecast(spark, forecast_path)
     name = spark.range(1).select(parse_forecast_name(F.lit(forecast_path)).alias("p")) \
         .first()["p"]
     cov = temporal_coverage(f, "time").first()

@@ -61,7 +61,10 @@ EVENTS_K = ("(SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) A
 HPOS = ("CASE k % 4 WHEN 0 THEN '101' WHEN 1 THEN '102' WHEN 2 THEN '103' "
         "ELSE '111' END")
 
-ARCHIVE_WQ = f"""(SELECT event_id, {site_of('user_id')} AS siteID, ts AS startDateTime,
+ARCHIVED = ("ts - to_days(CAST(CASE WHEN (user_id % 12) % 4 = 0 THEN 31 "
+            "WHEN (user_id % 12) % 4 = 2 THEN 1826 ELSE 0 END AS INTEGER))")
+
+ARCHIVE_WQ = f"""(SELECT event_id, {site_of('user_id')} AS siteID, {ARCHIVED} AS startDateTime,
   CASE WHEN k % 10 = 0 THEN NULL ELSE CAST(k % 12 AS DOUBLE) / 8 END AS sensorDepth,
   value * {OXY} AS dissolvedOxygen, value / 100 AS dissolvedOxygenExpUncert,
   CASE WHEN k % 13 = 0 THEN NULL WHEN k % 7 = 0 THEN 1 ELSE 0 END AS dissolvedOxygenFinalQF,
@@ -70,14 +73,14 @@ ARCHIVE_WQ = f"""(SELECT event_id, {site_of('user_id')} AS siteID, ts AS startDa
   FROM {EVENTS_K})"""
 
 ARCHIVE_TSD = f"""(SELECT l_orderkey, l_linenumber, {site_of('l_suppkey')} AS siteID,
-  l_shipdate + to_minutes(CAST((l_orderkey % 48) * 30 AS BIGINT)) AS startDateTime,
+  l_shipdate + to_years({demo.TSD_YEARS}) + to_minutes(CAST((l_orderkey % 48) * 30 AS BIGINT)) AS startDateTime,
   CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE l_linenumber + 501 END AS verticalPosition,
   CAST(l_linenumber AS DOUBLE) / 4 AS thermistorDepth,
   l_quantity * {QTY} - 2 AS tsdWaterTempMean, l_tax AS tsdWaterTempExpUncert,
   CASE WHEN l_discount > 0.085 THEN 1 ELSE 0 END AS tsdWaterTempFinalQF
   FROM lineitem)"""
 
-ARCHIVE_TSW = f"""(SELECT event_id, {site_of('user_id')} AS siteID, ts AS startDateTime,
+ARCHIVE_TSW = f"""(SELECT event_id, {site_of('user_id')} AS siteID, {ARCHIVED} AS startDateTime,
   {HPOS} AS horizontalPosition, value * {VAL} - 5 AS surfWaterTempMean,
   value / 100 AS surfWaterTempExpUncert, CASE WHEN k % 7 = 0 THEN 1 ELSE 0 END AS finalQF
   FROM {EVENTS_K})"""
@@ -99,7 +102,8 @@ CURATED = f"""(SELECT {site_of('user_id')} AS siteID, ts AS startDate,
   CAST(k % 12 AS DOUBLE) / 8 AS sensorDepth,
   CASE WHEN k % 11 = 0 THEN NULL ELSE value * {VAL} - 5 END AS waterTemp FROM {EVENTS_K})"""
 
-DAILY = f"""(SELECT time, site_id, variable, avg(observed) AS observed FROM (
+DAILY = f"""(SELECT time, site_id, variable, CASE WHEN day(time) = 1 THEN 15.0::DOUBLE
+  WHEN day(time) IN (2, 3) THEN 5.0::DOUBLE ELSE avg(observed) END AS observed FROM (
   SELECT CAST(o_orderdate AS DATE) AS time, {site_of('o_custkey')} AS site_id,
     CASE WHEN o_orderstatus = 'F' THEN 'temperature' WHEN o_orderstatus = 'O' THEN 'oxygen'
          ELSE 'chla' END AS variable,
@@ -118,9 +122,9 @@ def site_class(subtype: str) -> str:
     return f"(SELECT field_site_id FROM {SITES} s WHERE field_site_subtype = '{subtype}')"
 
 
-def qc_case(value: str, chg: str, lo: float, hi: float, spike: float, mode: str) -> str:
-    flag = (f"(abs({chg}) > {spike} OR NOT ({value} BETWEEN {lo} AND {hi}) "
-            f"OR {chg} = 0)")
+def qc_case(value: str, prev: str, lo: float, hi: float, spike: float, mode: str) -> str:
+    flag = (f"(abs({value} - {prev}) > {spike} OR NOT ({value} BETWEEN {lo} AND {hi}) "
+            f"OR round({value}, 9) - round({prev}, 9) = 0)")
     if mode == "keep":
         return f"CASE WHEN {flag} IS TRUE THEN NULL ELSE {value} END"
     return f"CASE WHEN {flag} IS FALSE THEN {value} END"
@@ -161,10 +165,11 @@ reg("drop_variable_for_class", f"""SELECT time, site_id, variable, {r6('observed
 reg("qf_mask_daily", f"""SELECT time, site_id, variable, {r6('observed')} AS observed
   FROM {WQ_DAILY_LONG} x""")
 
+FAILED_CUTOFF = "2020-07-01"
 reg("qf_or_after_date", f"""SELECT siteID AS site_id, CAST(year(startDateTime) AS BIGINT) AS year,
   CAST(tsdWaterTempFinalQF AS BIGINT) AS qf, count(*) AS n FROM {ARCHIVE_TSD} t
   WHERE tsdWaterTempFinalQF = 0
-     OR (tsdWaterTempFinalQF = 1 AND CAST(startDateTime AS DATE) > DATE '1996-01-01')
+     OR (tsdWaterTempFinalQF = 1 AND CAST(startDateTime AS DATE) > DATE '{FAILED_CUTOFF}')
   GROUP BY 1, 2, 3""")
 
 reg("value_coalesce", f"""SELECT siteName, termName, startDate, verticalIndex,
@@ -185,8 +190,9 @@ reg("parse_forecast_name", f"""SELECT site_id,
   'aquatics' AS theme, first AS issue_date, lower(site_id) AS team
   FROM (SELECT site_id, min(time) AS first FROM {DAILY} d GROUP BY site_id) x""")
 
-reg("file_subset_by_site", """SELECT 'events.parquet' AS source_file, count(*) AS n
-  FROM events""")
+reg("file_subset_by_site", """SELECT 'customer.parquet' AS source_file, count(*) AS n FROM customer
+  UNION ALL SELECT 'nation.parquet', count(*) FROM nation
+  UNION ALL SELECT 'supplier.parquet', count(*) FROM supplier""")
 
 # --- reshape ----------------------------------------------------------------------------
 
@@ -217,8 +223,7 @@ reg("any_flag_passes", f"""SELECT siteName, startDate, {_WQ_COLS} FROM {WQ_WIDE}
 
 reg("union_by_name", f"""SELECT time, site_id, variable, {r6('observed')} AS observed,
   CAST(NULL AS VARCHAR) AS source FROM {WQ_DAILY} a
-  UNION ALL SELECT time, site_id, variable, {r6('observed')}, 'orders' FROM {DAILY} b
-  WHERE variable = 'temperature'""")
+  UNION ALL SELECT time, site_id, variable, {r6('observed')}, 'orders' FROM {DAILY} b""")
 
 reg("empty_source_union", f"""SELECT time, site_id, variable, {r6('observed')} AS observed
   FROM {WQ_DAILY} x""")
@@ -244,8 +249,8 @@ LAKE_HOURLY_RAW = f"""(SELECT site_id, ROUND(depth, 1) AS depth,
 def qc_sql(source: str, keys: list[str], time: str, value: str, lo, hi, spike, mode,
            cols: list[str]) -> str:
     part = ", ".join(keys)
-    return f"""(SELECT {', '.join(cols)}, {qc_case(value, '__chg', lo, hi, spike, mode)} AS {value}
-  FROM (SELECT *, {value} - lag({value}) OVER (PARTITION BY {part} ORDER BY {time}) AS __chg
+    return f"""(SELECT {', '.join(cols)}, {qc_case(value, '__prev', lo, hi, spike, mode)} AS {value}
+  FROM (SELECT *, lag({value}) OVER (PARTITION BY {part} ORDER BY {time}) AS __prev
         FROM {source} s0) s1)"""
 
 
@@ -267,11 +272,15 @@ reg("curated_hourly_strict", f"""SELECT time, site_id, {r6('depth')} AS depth,
 
 
 def fresh(product: str) -> str:
-    """Provisional records of months after the archive's latest month (superseding)."""
-    arch = {"20288": ARCHIVE_WQ, "20264": ARCHIVE_TSD, "20053": ARCHIVE_TSW}[product]
-    latest = f"(SELECT date_trunc('month', max(startDateTime)) FROM {arch} a)"
-    return f"""(SELECT * FROM {provisional(product)} p
-  WHERE {latest} IS NULL OR date_trunc('month', startDate) > {latest})"""
+    """Provisional records of months after the latest one that the site's archive fills."""
+    archive = {"20288": f"SELECT site_id, time, observed FROM {WQ_DAILY} a",
+               "20264": f"SELECT site_id, time, observed FROM {LAKE_HOURLY_RAW} a "
+                        f"UNION ALL SELECT site_id, time, observed FROM {RIVER_RAW} b",
+               "20053": f"SELECT site_id, time, observed FROM {STREAM_RAW} a"}[product]
+    latest = f"""(SELECT site_id, date_trunc('month', max(time)) AS latest FROM ({archive}) e
+  WHERE observed IS NOT NULL GROUP BY site_id)"""
+    return f"""(SELECT p.* FROM {provisional(product)} p LEFT JOIN {latest} a ON p.siteName = a.site_id
+  WHERE a.latest IS NULL OR date_trunc('month', p.startDate) > a.latest)"""
 
 
 def _prov_selected(product: str, thirty: bool, is_fresh: bool = False) -> str:
@@ -386,6 +395,7 @@ reg("gross_range", f"""SELECT d.time, d.site_id, d.variable,
   {r6('CASE WHEN d.observed BETWEEN r.lo AND r.hi THEN d.observed END')} AS observed
   FROM {DAILY} d LEFT JOIN {RANGES} r ON d.variable = r.variable""")
 
+MOVED = f"(SELECT CAST(time + INTERVAL 20 YEAR AS DATE) AS time, site_id, variable, observed FROM {DAILY} m)"
 reg("mask_rules", f"""SELECT d.time, d.site_id, d.variable,
   {r6('''CASE WHEN EXISTS (SELECT 1 FROM ''' + MASKS + ''' m
           WHERE m.site_id = d.site_id AND m.variable = d.variable
@@ -393,7 +403,7 @@ reg("mask_rules", f"""SELECT d.time, d.site_id, d.variable,
             AND (m.date_to IS NULL OR d.time <= m.date_to)
             AND ((m.bad_below IS NULL AND m.bad_above IS NULL)
                  OR d.observed < m.bad_below OR d.observed > m.bad_above))
-        THEN NULL ELSE d.observed END''')} AS observed FROM {DAILY} d""")
+        THEN NULL ELSE d.observed END''')} AS observed FROM {MOVED} d""")
 
 # --- provisional chains -----------------------------------------------------------------
 
@@ -505,14 +515,14 @@ reg("targets_long", f"""SELECT time, site_id, variable, {r6('observed')} AS obse
 reg("month_plan", f"""SELECT DISTINCT site_id, strftime(mx, '%Y-%m') AS latest_month, fetch_month
   FROM (SELECT site_id, max(time) AS mx FROM {RIVER} r GROUP BY site_id) m,
   LATERAL (SELECT strftime(CAST(m.mx + INTERVAL 1 MONTH AS DATE), '%Y-%m') AS fetch_month
-           UNION ALL SELECT strftime(DATE '2001-09-15' - INTERVAL 2 DAY, '%Y-%m')) f""")
+           UNION ALL SELECT strftime(DATE '2022-12-15' - INTERVAL 2 DAY, '%Y-%m')) f""")
 
 reg("supersede_provisional", f"""SELECT p.site_id, count(*) AS n, min(p.time) AS first_time,
   {r6('avg(p.observed)')} AS mean_observed
   FROM (SELECT CAST(startDateTime AS DATE) AS time, siteID AS site_id,
                avg(tsdWaterTempMean) AS observed FROM {ARCHIVE_TSD} t GROUP BY 1, 2) p
-  LEFT JOIN (SELECT site_id, date_trunc('month', max(time)) AS latest FROM {DAILY} d
-             GROUP BY site_id) a ON p.site_id = a.site_id
+  LEFT JOIN (SELECT site_id, date_trunc('month', max(time) + to_years({demo.TSD_YEARS})) AS latest
+             FROM {DAILY} d GROUP BY site_id) a ON p.site_id = a.site_id
   WHERE a.latest IS NULL OR date_trunc('month', p.time) > a.latest
   GROUP BY p.site_id""")
 
@@ -546,9 +556,12 @@ def spine_sql(starts: str, keys_sql: str, join_on: str) -> str:
   WHERE st.start <= {SERIES_END})"""
 
 
+# The end lies inside the data: later rows stay, without a spine under them.
+DENSE_END = "DATE '2000-03-15'"
 DENSE_SITE = f"""(SELECT s.site_id, s.variable, s.time, d.observed
-  FROM {spine_sql(SITE_START, SERIES_KEYS, 'k.site_id = st.site_id')} s
-  LEFT JOIN {DAILY} d ON d.site_id = s.site_id AND d.variable = s.variable AND d.time = s.time)"""
+  FROM {spine_sql(SITE_START, SERIES_KEYS, 'k.site_id = st.site_id').replace(SERIES_END, DENSE_END)} s
+  LEFT JOIN {DAILY} d ON d.site_id = s.site_id AND d.variable = s.variable AND d.time = s.time
+  UNION ALL SELECT site_id, variable, time, observed FROM {DAILY} l WHERE time > {DENSE_END})"""
 DENSE_SERIES = f"""(SELECT s.site_id, s.variable, s.time, d.observed
   FROM {spine_sql(SERIES_START, SERIES_KEYS,
                   'k.site_id = st.site_id AND k.variable = st.variable')} s
@@ -613,8 +626,10 @@ reg("climatology_doy", f"""SELECT CAST(doy AS BIGINT) AS doy, site_id, variable,
   {r6('mean')} AS mean, {r6('sd')} AS sd FROM {CLIM} c""")
 
 CLIM_DAYS = "(SELECT DATE '2000-12-15' + CAST(i AS INTEGER) AS time FROM range(1, 36) r(i))"
+CLIM_HIST = f"""(SELECT dayofyear(time) AS doy, site_id, variable, avg(observed) AS mean,
+  stddev_samp(observed) AS sd FROM {DAILY} d WHERE time <= DATE '2000-12-15' GROUP BY 1, 2, 3)"""
 CLIM_WIN = f"""(SELECT d.time, c.site_id, c.variable, c.mean, c.sd
-  FROM {CLIM_DAYS} d JOIN {CLIM} c ON c.doy = dayofyear(d.time))"""
+  FROM {CLIM_DAYS} d JOIN {CLIM_HIST} c ON c.doy = dayofyear(d.time))"""
 VARS = "(SELECT * FROM (VALUES ('temperature'), ('oxygen'), ('chla')) v(variable))"
 GRID = f"""(SELECT s.site_id, v.variable, d.time FROM (SELECT DISTINCT site_id FROM {CLIM_WIN} w) s
   CROSS JOIN {VARS} v CROSS JOIN {CLIM_DAYS} d)"""
@@ -693,14 +708,14 @@ reg("coverage_geo", f"""SELECT n.n_name AS id, n.n_name || ', ' || r.r_name AS g
   WHERE n.n_name IN (SELECT n2.n_name FROM supplier s JOIN nation n2
                      ON s.s_nationkey = n2.n_nationkey)""")
 
-reg("stream_watermark_daily", ORACLE["stream_ingest_daily"])
-
-reg("rw_ensemble_shape", f"""SELECT s.site_id, s.variable, {SERIES_END} + CAST(r.i AS INTEGER) AS time,
-  CAST({rules.ENSEMBLE_SIZE} AS BIGINT) AS n_members, CAST({rules.ENSEMBLE_SIZE} AS BIGINT) AS n_finite,
-  CAST({rules.ENSEMBLE_SIZE} AS BIGINT) AS n_distinct, {SERIES_END} AS start_time
-  FROM (SELECT DISTINCT site_id, variable FROM {HIST} h WHERE observed IS NOT NULL) s,
-       range(1, {rules.HORIZON_DAYS + 1}) r(i)""")
+reg("refresh_landing", f"""SELECT time, site_id, variable, {r6('observed')} AS observed
+  FROM {PRT_RAW} x WHERE site_id IN ('BARC', 'MAYF', 'TOMB')""")
 
-reg("qc_incremental", f"""SELECT time, site_id, variable, {r6('observed')} AS observed FROM
+# New rows lie between old ones and after them; each series is retested from its first new row.
+NEW_ROWS = f"""(SELECT * FROM {DAILY} n WHERE time >= DATE '2000-01-01'
+  OR (time >= DATE '1999-03-01' AND dayofyear(time) % 7 = 0))"""
+reg("qc_incremental", f"""SELECT q.time, q.site_id, q.variable, {r6('q.observed')} AS observed FROM
   {qc_sql(DAILY, ['site_id', 'variable'], 'time', 'observed', 0.5, 40.0, 20.0, 'keep',
-          ['time', 'site_id', 'variable'])} q WHERE time >= DATE '2000-01-01'""")
+          ['time', 'site_id', 'variable'])} q
+  JOIN (SELECT site_id, variable, min(time) AS first FROM {NEW_ROWS} n GROUP BY 1, 2) f
+    ON q.site_id = f.site_id AND q.variable = f.variable AND q.time >= f.first""")

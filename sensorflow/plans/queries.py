@@ -7,6 +7,7 @@ doubles to 6 places and widens integers so results compare exactly with the SQL
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ from sensorflow.operators.reshape import (
 )
 from sensorflow.operators.rollup import daily_mean, hourly_mean
 from sensorflow.plans import targets as tg
+from sensorflow.session import shared_path
 from sensorflow.sources import demo, rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,14 +82,12 @@ def q_drop_variable_for_class(spark, d):
     return finish(tg.archive_wq_daily(demo.archive_wq(spark, d), _sites(spark)))
 
 
-# The stand-in thermistor data spans 1992-1998, so the cut-off sits inside that span.
-DEMO_FAILED_CUTOFF = "1996-01-01"
 
 
 @query("qf_or_after_date")
 def q_qf_or_after_date(spark, d):
     t = qf_or_after_date(demo.archive_tsd(spark, d), "tsdWaterTempFinalQF", "startDateTime",
-                         F.to_date(F.lit(DEMO_FAILED_CUTOFF)))
+                         rules.ACCEPT_FAILED_AFTER)
     return finish(t.groupBy(F.col("siteID").alias("site_id"),
                             F.year("startDateTime").alias("year"),
                             F.col("tsdWaterTempFinalQF").alias("qf"))
@@ -136,8 +136,8 @@ def q_parse_forecast_name(spark, d):
 @query("file_subset_by_site")
 def q_file_subset_by_site(spark, d):
     from sensorflow.sources.files import read_files
-    df = read_files(spark, d, fmt="parquet", name_glob="events*.parquet",
-                    name_codes=["events"])
+    df = read_files(spark, d, fmt="parquet", schema="n_name string", name_glob="*.parquet",
+                    name_codes=["customer", "nation", "supplier"])
     return finish(df.groupBy("source_file").agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -170,8 +170,7 @@ def q_any_flag_passes(spark, d):
 @query("union_by_name")
 def q_union_by_name(spark, d):
     a = tg.archive_wq_daily(demo.archive_wq(spark, d), _sites(spark))
-    b = (demo.daily_series(spark, d).where(F.col("variable") == "temperature")
-         .withColumn("source", F.lit("orders")))
+    b = demo.daily_series(spark, d).withColumn("source", F.lit("orders"))
     return finish(union_all(a, b))
 
 
@@ -270,7 +269,8 @@ def q_qc_strict(spark, d):
                   "l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
     order = ["l_shipdate", "l_orderkey", "l_partkey", "l_suppkey", "l_quantity"]
     q = qc_series(s.withColumn("observed", F.col("l_quantity")), ["series", "l_linenumber"],
-                  order, "observed", lo=2.0, hi=45.0, spike=30.0, unknown="reject")
+                  order, "observed", lo=2.0, hi=45.0, spike=30.0, unknown="reject",
+                  bucket=F.unix_date(F.to_date("l_shipdate")))
     return finish(q.select("series", "l_linenumber", "l_orderkey", "observed"))
 
 
@@ -281,7 +281,9 @@ def q_gross_range(spark, d):
 
 @query("mask_rules")
 def q_mask_rules(spark, d):
-    return finish(mask_rules(demo.daily_series(spark, d), rules.masks(spark)))
+    s = demo.daily_series(spark, d)  # moved by twenty years, into the rules' dates
+    s = s.withColumn("time", F.add_months("time", 240))
+    return finish(mask_rules(s, rules.masks(spark)))
 
 
 def _profile(spark, d):
@@ -362,7 +364,7 @@ def q_targets_long(spark, d):
 
 # --- incremental refresh ----------------------------------------------------------------
 
-REFRESH_AS_OF = "2001-09-15"
+REFRESH_AS_OF = "2022-12-15"
 
 
 @query("month_plan")
@@ -377,7 +379,8 @@ def q_supersede_provisional(spark, d):
     from sensorflow.streaming.refresh import supersede
     # archive: the daily series (orders); provisional: daily thermistor means (lineitem),
     # whose records run past the archive's last month at every site
-    arch = demo.daily_series(spark, d)
+    arch = demo.daily_series(spark, d).withColumn(
+        "time", F.add_months("time", 12 * demo.TSD_YEARS))
     t = demo.archive_tsd(spark, d).withColumnRenamed("siteID", "site_id")
     prov = daily_mean(t, ["site_id"], "startDateTime", {"observed": "tsdWaterTempMean"})
     kept = supersede(prov, arch, "time", "time", keys=["site_id"])
@@ -396,13 +399,16 @@ def q_stream_ingest_daily(spark, d):
                      (F.col("value") * demo.OXYGEN_SCALE).alias("v"))
         return daily_partials(w, ["site_id"], "ts", "v")
 
-    sink = stream_ingest(spark, d, schema, batch, name_glob="events.parquet")
+    run = shared_path(spark, "ingest", uuid.uuid4().hex)
+    sink = stream_ingest(spark, d, schema, batch, f"{run}/sink", f"{run}/checkpoint",
+                         name_glob="events.parquet")
     return finish(combine_daily(spark.read.parquet(sink), ["site_id"]))
 
 
 # --- series -----------------------------------------------------------------------------
 
 SERIES_AS_OF = "2001-08-01"
+DENSE_END = "2000-03-15"
 CLIM_AS_OF = "2000-12-15"
 
 
@@ -429,7 +435,7 @@ def q_series_with_data(spark, d):
 def q_densify_series(spark, d):
     from sensorflow.operators.series import densify
     s = demo.daily_series(spark, d)
-    return finish(densify(s, ["site_id", "variable"], "time", SERIES_AS_OF,
+    return finish(densify(s, ["site_id", "variable"], "time", DENSE_END,
                           start_keys=["site_id"]))
 
 
@@ -519,12 +525,6 @@ def q_rw_analytic(spark, d):
     return finish(rw_analytic(demo.daily_series(spark, d), SERIES_AS_OF, rules.HORIZON_DAYS))
 
 
-@query("rw_ensemble")
-def q_rw_ensemble(spark, d):
-    from sensorflow.operators.randomwalk import rw_ensemble
-    return finish(rw_ensemble(demo.daily_series(spark, d), SERIES_AS_OF, rules.HORIZON_DAYS))
-
-
 @query("ensemble_summary")
 def q_ensemble_summary(spark, d):
     from sensorflow.operators.randomwalk import ensemble_summary
@@ -557,43 +557,29 @@ def q_coverage_geo(spark, d):
     return finish(geo_coverage(geo, listed))
 
 
-@query("stream_watermark_daily")
-def q_stream_watermark_daily(spark, d):
-    from sensorflow.streaming.refresh import latest_rollup, stream_rollup
-    schema = demo.table(spark, d, "events").schema
-
-    def prepare(s):
-        return s.select(demo.site_of(F.col("user_id")).alias("site_id"), "ts",
-                        (F.col("value") * demo.OXYGEN_SCALE).alias("v"))
-
-    sink = stream_rollup(spark, d, schema, prepare, ["site_id"], "ts", "v",
-                         name_glob="events.parquet")
-    return finish(latest_rollup(spark, sink, ["site_id"]))
-
-
-@query("rw_ensemble_shape")
-def q_rw_ensemble_shape(spark, d):
-    """Deterministic structure of the random ensemble: members and finite draws per day."""
-    from sensorflow.operators.randomwalk import rw_ensemble
-    e = rw_ensemble(demo.daily_series(spark, d), SERIES_AS_OF, rules.HORIZON_DAYS)
-    finite = F.when(~F.isnan("predicted") & F.col("predicted").isNotNull(), 1)
-    return finish(e.groupBy("site_id", "variable", "time")
-                  .agg(F.count(F.lit(1)).alias("n_members"),
-                       F.count(finite).alias("n_finite"),
-                       F.countDistinct("ensemble").alias("n_distinct"),
-                       F.min("start_time").alias("start_time")))
-
-
-# Refresh cut for the incremental QC query: rows from this day on are the "new" part.
-INCREMENTAL_CUT = "2000-01-01"
+@query("refresh_landing")
+def q_refresh_landing(spark, d):
+    """Provisional files landed by the refresh job, read back for three sites and one month."""
+    from sensorflow.operators.provisional import provisional_point_daily
+    from sensorflow.plans.jobs import run_refresh
+    from sensorflow.sources.readers import read_provisional
+    from sensorflow.sources.schemas import PROVISIONAL
+    run = shared_path(spark, "refresh", uuid.uuid4().hex)
+    (demo.provisional(spark, d, "20053").select(*PROVISIONAL.fieldNames())
+     .write.parquet(f"{run}/incoming"))
+    run_refresh(spark, f"{run}/incoming", f"{run}/landing", f"{run}/checkpoint", "20053")
+    long = read_provisional(spark, f"{run}/landing", "20053", fmt="parquet",
+                            sites=["BARC", "MAYF", "TOMB"], months=["2024-01"])
+    return finish(provisional_point_daily(long))
 
 
 @query("qc_incremental")
 def q_qc_incremental(spark, d):
+    """New rows after the old ones and, one day in seven, between them."""
     from sensorflow.operators.quality import qc_incremental
     s = demo.daily_series(spark, d)
-    cut = F.to_date(F.lit(INCREMENTAL_CUT))
-    out = qc_incremental(s.where(F.col("time") >= cut), s.where(F.col("time") < cut),
-                         ["site_id", "variable"], "time", "observed", lo=0.5, hi=40.0,
-                         spike=20.0, unknown="keep")
+    is_new = (F.col("time") >= F.lit("2000-01-01").cast("date")) | (
+        (F.col("time") >= F.lit("1999-03-01").cast("date")) & (F.dayofyear("time") % 7 == 0))
+    out = qc_incremental(s.where(is_new), s.where(~is_new), ["site_id", "variable"], "time",
+                         "observed", lo=0.5, hi=40.0, spike=20.0, unknown="keep")
     return finish(out.select("time", "site_id", "variable", "observed"))

@@ -6,6 +6,8 @@ before a merge, the gross range and manual masks after it.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -13,7 +15,6 @@ from pyspark.sql import functions as F
 
 from sensorflow.functions.missing import nan_to_null
 from sensorflow.operators.depth import correct_depth, in_depth_window, surface_only
-from sensorflow.operators.joins import broadcast_if_small
 from sensorflow.operators.provisional import (
     drop_variable_for_class, provisional_point_daily, provisional_tsd_profile_hourly,
     provisional_tsd_surface_daily, provisional_wq_daily,
@@ -23,7 +24,9 @@ from sensorflow.operators.quality import (
 )
 from sensorflow.operators.reshape import to_long, union_all
 from sensorflow.operators.rollup import daily_mean, hourly_mean, merge_sources
-from sensorflow.sources.rules import ACCEPT_FAILED_AFTER, qc_params, qc_setting
+from sensorflow.sources.rules import (
+    ACCEPT_FAILED_AFTER, STREAM_POSITIONS, qc_params, qc_setting,
+)
 from sensorflow.streaming.refresh import supersede
 
 LAKE = "Lake"
@@ -50,7 +53,7 @@ def in_sites(df: DataFrame, sites: DataFrame, subtype: str | None, col: str) ->
     """Semi join on the site dimension (all aquatic sites, or one class of them)."""
     s = (sites_of(sites, subtype) if subtype else
          sites.select(F.col("field_site_id").alias("__site")))
-    return df.join(broadcast_if_small(s), F.col(col) == F.col("__site"), "left_semi")
+    return df.join(s, F.col(col) == F.col("__site"), "left_semi")
 
 
 # --- water quality ----------------------------------------------------------------------
@@ -99,7 +102,8 @@ def wq_targets(wq_archive_daily: DataFrame, wq_provisional_daily: DataFrame | No
 # --- lake profiles ----------------------------------------------------------------------
 
 def archive_lake_hourly(tsd: DataFrame, sites: DataFrame, corrections: DataFrame,
-                        qc: dict | None = None) -> DataFrame:
+                        qc: dict | None = None,
+                        accept_failed_after=ACCEPT_FAILED_AFTER) -> DataFrame:
     """Archive thermistor chain at lakes -> QC'd hourly profile (time, site_id, depth, ...)."""
     d = in_sites(tsd, sites, LAKE, "siteID")
     d = d.select(F.col("siteID").alias("site_id"), "startDateTime",
@@ -107,7 +111,7 @@ def archive_lake_hourly(tsd: DataFrame, sites: DataFrame, corrections: DataFrame
                  nan_to_null(F.col("tsdWaterTempMean")).alias("tsdWaterTempMean"),
                  "tsdWaterTempFinalQF")
     d = correct_depth(d, corrections, "site_id", "verticalPosition", "startDateTime", "depth")
-    d = qf_or_after_date(d, "tsdWaterTempFinalQF", "startDateTime", ACCEPT_FAILED_AFTER)
+    d = qf_or_after_date(d, "tsdWaterTempFinalQF", "startDateTime", accept_failed_after)
     h = hourly_mean(d, ["site_id", "depth"], "startDateTime", {"observed": "tsdWaterTempMean"},
                     round_depth="depth")
     h = _qc(h, ["site_id", "depth"], qc, "lake_portal")
@@ -151,9 +155,10 @@ def surface_daily(profile: DataFrame, max_depth: float = 1.0) -> DataFrame:
 
 # --- streams and rivers -----------------------------------------------------------------
 
-def archive_stream_daily(tsw: DataFrame, qc: dict | None = None) -> DataFrame:
+def archive_stream_daily(tsw: DataFrame, qc: dict | None = None,
+                         positions: Sequence[str] = STREAM_POSITIONS) -> DataFrame:
     """Point surface temperature (upstream positions, passed flags) -> QC'd daily mean."""
-    d = tsw.where(F.col("horizontalPosition").isin("101", "111") & (F.col("finalQF") == 0))
+    d = tsw.where(F.col("horizontalPosition").isin(*positions) & (F.col("finalQF") == 0))
     d = d.select(F.col("siteID").alias("site_id"), "startDateTime",
                  nan_to_null(F.col("surfWaterTempMean")).alias("surfWaterTempMean"))
     daily = daily_mean(d, ["site_id"], "startDateTime", {"observed": "surfWaterTempMean"})
@@ -230,6 +235,8 @@ class TargetInputs:
     masks: DataFrame
     supersede: bool = True
     qc_params: DataFrame | None = None
+    accept_failed_after: dt.date = ACCEPT_FAILED_AFTER
+    stream_positions: Sequence[str] = STREAM_POSITIONS
 
     def qc(self) -> DataFrame:
         """Per-source QC parameters (source, lo, hi, spike, by_depth)."""
@@ -237,12 +244,26 @@ class TargetInputs:
             return self.qc_params
         return qc_params(self.sites.sparkSession)
 
-    def fresh(self, provisional: DataFrame, archive: DataFrame) -> DataFrame:
-        """Provisional records of months after the archive's latest month (the superseded
-        months are simply not read)."""
+    def lake_hourly(self) -> DataFrame:
+        return archive_lake_hourly(self.archive_tsd, self.sites, self.corrections, qc=RAW,
+                                   accept_failed_after=self.accept_failed_after)
+
+    def river_daily(self) -> DataFrame:
+        return archive_river_daily(self.archive_tsd, self.sites, qc=RAW)
+
+    def stream_daily(self) -> DataFrame:
+        return archive_stream_daily(self.archive_tsw, qc=RAW, positions=self.stream_positions)
+
+    def fresh(self, provisional: DataFrame, entering: DataFrame) -> DataFrame:
+        """Provisional records of months after the latest one that a site's archive fills.
+
+        ``entering`` holds the archive rows of the same site class that enter the target;
+        rows without a value fill nothing.  Sites that the archive lacks keep all records.
+        """
         if not self.supersede:
             return provisional
-        return supersede(provisional, archive, "startDate", "startDateTime")
+        known = entering.where(F.col("observed").isNotNull())
+        return supersede(provisional, known, "startDate", "time", {"siteName": "site_id"})
 
 
 def _tag(df: DataFrame, source: str, cols: list[str]) -> DataFrame:
@@ -254,10 +275,9 @@ def build_expanded_profile(inp: TargetInputs) -> DataFrame:
     the mean of the source means per (time, site, depth)."""
     cols = ["time", "site_id", "depth", "observed"]
     u = union_all(
-        _tag(archive_lake_hourly(inp.archive_tsd, inp.sites, inp.corrections, qc=RAW),
-             "lake_portal", cols),
+        _tag(inp.lake_hourly(), "lake_portal", cols),
         _tag(curated_lake_hourly(inp.curated_lake, inp.sites, qc=RAW), "lake_curated", cols),
-        _tag(provisional_lake_hourly(inp.fresh(inp.provisional_tsd, inp.archive_tsd),
+        _tag(provisional_lake_hourly(inp.fresh(inp.provisional_tsd, inp.lake_hourly()),
                                      inp.sites, inp.depth_lookup, qc=RAW),
              "lake_provisional", cols))
     q = qc_by_source(u, inp.qc(), ["source", "site_id", "depth"])
@@ -272,13 +292,13 @@ def build_temperature(inp: TargetInputs, profile: DataFrame | None = None) -> Da
     prof = profile if profile is not None else build_expanded_profile(inp)
     cols = ["time", "site_id", "variable", "observed"]
     u = union_all(
-        _tag(archive_stream_daily(inp.archive_tsw, qc=RAW), "stream_portal", cols),
-        _tag(provisional_stream_daily(inp.fresh(inp.provisional_prt, inp.archive_tsw),
+        _tag(inp.stream_daily(), "stream_portal", cols),
+        _tag(provisional_stream_daily(inp.fresh(inp.provisional_prt, inp.stream_daily()),
                                       qc=RAW), "stream_provisional", cols),
-        _tag(archive_river_daily(inp.archive_tsd, inp.sites, qc=RAW), "river_portal", cols),
+        _tag(inp.river_daily(), "river_portal", cols),
         _tag(curated_river_daily(inp.curated_river, inp.sites, qc=RAW), "river_curated",
              cols),
-        _tag(provisional_river_daily(inp.fresh(inp.provisional_tsd, inp.archive_tsd),
+        _tag(provisional_river_daily(inp.fresh(inp.provisional_tsd, inp.river_daily()),
                                      inp.sites, inp.depth_lookup, qc=RAW),
              "river_provisional", cols))
     q = qc_by_source(u, inp.qc(), ["source", "site_id"])
@@ -288,8 +308,8 @@ def build_temperature(inp: TargetInputs, profile: DataFrame | None = None) -> Da
 
 def build_targets(inp: TargetInputs, profile: DataFrame | None = None) -> DataFrame:
     """The whole targets table.  Pass ``profile`` to reuse a materialised hourly profile."""
-    wq = wq_targets(archive_wq_daily(inp.archive_wq, inp.sites),
-                    provisional_wq_daily(inp.fresh(inp.provisional_wq, inp.archive_wq),
-                                         inp.sites),
+    archived = archive_wq_daily(inp.archive_wq, inp.sites)
+    wq = wq_targets(archived, provisional_wq_daily(inp.fresh(inp.provisional_wq, archived),
+                                                   inp.sites),
                     inp.ranges, inp.masks)
     return finalize_targets(wq, build_temperature(inp, profile))

@@ -1,9 +1,8 @@
-"""Session helpers: a local session for tests/bench and the shared checkpoint folder."""
+"""Session helpers: a local session for tests and the bench, and the shared folder."""
 
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -18,40 +17,22 @@ _CONF = {
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "sensorflow") -> SparkSession:
+                  app: str = "sensorflow", conf: dict[str, str] | None = None) -> SparkSession:
     """Local session for tests and the bench; clusters bring their own session."""
     b = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     b = b.config("spark.driver.memory", os.environ.get("SENSORFLOW_DRIVER_MEMORY", "16g"))
-    for k, v in _CONF.items():
+    for k, v in {**_CONF, **(conf or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster the setting names a shared folder and is only read here (unset is an
-    error there).  In local mode (tests) an unset setting gets a fresh local folder.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        configured = tempfile.mkdtemp(prefix="sensorflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
-
-
 def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A path under the shared checkpoint folder (for written intermediate tables)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([base, *parts])
+    """A path in the folder that the cluster names in ``spark.checkpoint.dir``, or below the SQL
+    warehouse where that is unset; both are shared by all executors."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+    return "/".join([base.rstrip("/"), *parts])

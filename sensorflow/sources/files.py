@@ -6,7 +6,7 @@ import re
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,9 +17,9 @@ def read_files(spark: SparkSession, root: str, fmt: str = "parquet",
                **options) -> DataFrame:
     """Read all files under ``root`` as one DataFrame with a ``source_file`` column.
 
-    ``name_glob`` keeps files whose name matches (e.g. ``'*20288*'``, by product code);
-    ``name_codes`` keeps files whose name contains one of the codes (e.g. site codes),
-    as a broadcast semi join on the code extracted from the file name.
+    ``name_glob`` keeps files whose name matches; ``name_codes`` keeps files whose name has
+    one of the codes (e.g. site codes) as a part of its own, by a filter on the file-name
+    metadata column, which skips whole files.
     """
     r = spark.read.format(fmt)
     if schema is not None:
@@ -32,8 +32,34 @@ def read_files(spark: SparkSession, root: str, fmt: str = "parquet",
         r = r.option(k, v)
     df = r.load(root)
     df = df.withColumn("source_file", F.col("_metadata.file_name"))
-    if name_codes:
-        pattern = "(" + "|".join(re.escape(c) for c in sorted(set(name_codes), key=len,
-                                                               reverse=True)) + ")"
-        df = df.where(F.regexp_extract("source_file", pattern, 1) != "")
-    return df
+    return df.where(has_code("source_file", name_codes)) if name_codes else df
+
+
+def has_code(column: str, codes: Sequence[str]) -> Column:
+    """True where the text has one of ``codes`` between other characters than letters and
+    digits."""
+    alternatives = "|".join(re.escape(c) for c in sorted(set(codes)))
+    return F.col(column).rlike(f"(^|[^0-9A-Za-z])({alternatives})([^0-9A-Za-z]|$)")
+
+
+def read_csv_by_name(spark: SparkSession, paths: str | Sequence[str],
+                     schema: T.StructType) -> DataFrame:
+    """CSV files with a header, ``NA`` = missing, columns chosen by their names.
+
+    All columns are read as text under the header's names, in whatever order; the schema's
+    columns are selected and cast (text that does not fit becomes NULL), others are left
+    out.  A column that the header lacks is an error, and so are files of one path whose
+    headers differ; several paths may each have a header of their own.
+    """
+    parts = []
+    for p in [paths] if isinstance(paths, str) else list(paths):
+        df = spark.read.option("header", True).option("nullValue", "NA").option("enforceSchema", False).csv(p)
+        missing = [c for c in schema.fieldNames() if c not in df.columns]
+        if missing:
+            raise ValueError(f"{p} has no column {', '.join(missing)}; its header is {', '.join(df.columns)}")
+        parts.append(df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields],
+                               F.col("_metadata.file_name").alias("source_file")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

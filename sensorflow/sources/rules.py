@@ -1,7 +1,8 @@
 """Rule and dimension tables.
 
 The processing never hard-codes a site name, threshold or sensor depth: every rule is a row
-of one of these small tables and enters the plan as a (size-checked) broadcast join.  The
+of one of these small tables and enters the plan as a join, which the planner broadcasts
+by its known size.  The
 values below are the defaults that reproduce the published targets; callers pass their own
 tables to change them.
 """
@@ -123,14 +124,13 @@ PRODUCTS = {
 # Horizontal positions kept (upstream 101/111, lake and river 103) and the
 # 30-minute temporal index.
 HORIZONTAL_KEEP = ["101", "111", "103"]
+STREAM_POSITIONS = ("101", "111")
 TEMPORAL_30MIN = "030"
 
-# Target variables and the observation error used by the random walk.
+# Target variables, forecast horizon and ensemble size.
 TARGET_VARIABLES = ["temperature", "oxygen", "chla"]
-OBSERVATION_SD = 0.01
 HORIZON_DAYS = 35
 ENSEMBLE_SIZE = 2000
-X_IC = 0.3
 
 # Forecast theme and the published output file names.
 THEME = "aquatics"

@@ -3,12 +3,14 @@ executor's recomputed task) leaves exactly one copy."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.functions.names import forecast_file_name
+from sensorflow.session import shared_path
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
@@ -44,7 +46,8 @@ def forecast_path(df: DataFrame, base: str, theme: str, team: str,
                   time: str = "time") -> str:
     """``<base>/<theme>-<first forecast day>-<team>.csv.gz`` from the data's first day.
 
-    An empty forecast has no first day and is rejected rather than written unnamed.
+    An empty forecast has no first day and is rejected rather than written unnamed.  ``df``
+    is read for its first day, so pass a written forecast.
     """
     first = df.select(F.min(time).alias("d")).first()["d"]
     if first is None:
@@ -55,6 +58,14 @@ def forecast_path(df: DataFrame, base: str, theme: str, team: str,
 
 
 def write_forecast(df: DataFrame, base: str, theme: str, team: str) -> str:
-    """Write a forecast under its standard file name; returns the path."""
-    path = forecast_path(df, base, theme, team)
-    return write_csv_gz(df, path, sort_by=("site_id", "variable", "time"))
+    """Write a forecast under its standard file name; returns the path.
+
+    The forecast is computed once: it is written to the shared folder as Parquet, and the
+    name and the sorted file come from that.
+    """
+    spark = df.sparkSession
+    once = shared_path(spark, "forecasts", uuid.uuid4().hex)
+    df.write.parquet(once)
+    stored = spark.read.schema(df.schema).parquet(once)
+    path = forecast_path(stored, base, theme, team)
+    return write_csv_gz(stored, path, sort_by=("site_id", "variable", "time"))

@@ -1,3 +1,2 @@
 """Incremental refresh: month_plan, supersede, stream_ingest + daily_partials +
-combine_daily (exact for any lateness), stream_rollup + latest_rollup and windowed_daily
-(watermarked event-time rollups)."""
+combine_daily (exact for any lateness)."""

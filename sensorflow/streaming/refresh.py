@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorflow.functions.timefmt import event_time, utc_day
-from sensorflow.session import shared_path
-
 
 def _d(v):
     return v if not isinstance(v, str) else F.to_date(F.lit(v))
@@ -34,42 +31,39 @@ def month_plan(archive: DataFrame, time: str, as_of, lag_days: int = 2,
 
 
 def supersede(provisional: DataFrame, archive: DataFrame, prov_time: str, arch_time: str,
-              keys: Sequence[str] = ()) -> DataFrame:
-    """Drop provisional rows of months already covered by the archive.
+              keys: Mapping[str, str] | Sequence[str]) -> DataFrame:
+    """Drop provisional rows of months that the archive already covers for their series.
 
-    A provisional row survives when its month is later than the latest archived month
-    (per ``keys`` when given, else over the whole archive).  Nothing is deleted; the
-    superseded rows are just not read.
+    ``keys`` maps provisional columns to archive columns (or lists names that both share),
+    e.g. the site.  A row survives when its month is later than the latest archived month of
+    its key, or when the archive has nothing of that key.  Nothing is deleted; superseded
+    rows are just not read.  Pass the archive rows that really enter the target.
     """
+    pairs = dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
+    if not pairs:
+        raise ValueError("superseding needs a key: one latest month must not decide for all sites")
+    latest = archive.groupBy(*[F.col(a).alias(f"__a_{p}") for p, a in pairs.items()]).agg(
+        F.date_trunc("month", F.max(arch_time)).cast("date").alias("__latest"))
+    same = reduce(lambda x, y: x & y,
+                  [F.col(p).eqNullSafe(F.col(f"__a_{p}")) for p in pairs])
     month = F.date_trunc("month", F.col(prov_time)).cast("date")
-    if keys:
-        # one row per key, derived from the archive: AQE broadcasts it at run time when
-        # small (a pre-check would scan the archive an extra time)
-        latest = archive.groupBy(*keys).agg(
-            F.date_trunc("month", F.max(arch_time)).cast("date").alias("__latest"))
-        d = provisional.join(latest, list(keys), "left")
-        keep = F.col("__latest").isNull() | (month > F.col("__latest"))
-        return d.where(keep).drop("__latest")
-    latest = archive.select(F.date_trunc("month", F.max(arch_time)).cast("date")).scalar()
-    return provisional.where(latest.isNull() | (month > latest))
+    d = provisional.join(latest, same, "left")
+    keep = F.col("__latest").isNull() | (month > F.col("__latest"))
+    return d.where(keep).drop("__latest", *[f"__a_{p}" for p in pairs])
 
 
 def stream_ingest(spark: SparkSession, source: str, schema: T.StructType | str,
-                  batch_fn: Callable[[DataFrame], DataFrame], sink: str | None = None,
+                  batch_fn: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str,
                   fmt: str = "parquet", name_glob: str | None = None,
-                  checkpoint: str | None = None,
                   max_files_per_trigger: int | None = None) -> str:
-    """Ingest new files under ``source`` once (``availableNow``) and append to ``sink``.
+    """Ingest new files under ``source`` once (``availableNow``) and add them to ``sink``.
 
-    The streaming checkpoint remembers which files were processed, so a rerun reads only
-    files that arrived since.  ``batch_fn`` turns one micro-batch into rows to append
-    (e.g. partial daily sums and counts).  ``max_files_per_trigger`` bounds a micro-batch
-    so a large backlog is processed in several batches.  Paths default to the shared
-    checkpoint folder.  Returns the sink path.
+    The checkpoint remembers which files were processed, so a rerun with the same
+    ``checkpoint`` reads only files that arrived since.  ``batch_fn`` turns one micro-batch
+    into rows to add (e.g. partial daily sums and counts, which stay exact however late a
+    record is).  ``max_files_per_trigger`` bounds a micro-batch so a large backlog is
+    processed in several batches.  Returns the sink path.
     """
-    run = uuid.uuid4().hex[:12]
-    sink = sink or shared_path(spark, "sensorflow", "ingest", run, "sink")
-    checkpoint = checkpoint or shared_path(spark, "sensorflow", "ingest", run, "checkpoint")
     reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true")
     if name_glob:
         reader = reader.option("pathGlobFilter", name_glob)
@@ -101,66 +95,3 @@ def combine_daily(partials: DataFrame, keys: Sequence[str]) -> DataFrame:
                                             F.sum("count").alias("c"))
     return s.select(*keys, "time", F.when(F.col("c") > 0, F.col("s") / F.col("c"))
                     .alias("observed"))
-
-
-def windowed_daily(stream: DataFrame, keys: Sequence[str], time: str, value: str,
-                   watermark: str = "48 hours") -> DataFrame:
-    """Streaming daily mean with a watermark for late provisional records."""
-    if isinstance(stream.schema[time].dataType, T.TimestampNTZType):
-        stream = stream.withColumn(time, event_time(time))
-    return (stream.withWatermark(time, watermark)
-            .groupBy(*keys, F.window(time, "1 day"))
-            .agg(F.avg(value).alias("observed"))
-            .select(*keys, utc_day(F.col("window.start")).alias("time"), "observed"))
-
-
-def stream_rollup(spark: SparkSession, source: str, schema: T.StructType | str,
-                  prepare: Callable[[DataFrame], DataFrame], keys: Sequence[str], time: str,
-                  value: str, watermark: str = "48 hours", sink: str | None = None,
-                  checkpoint: str | None = None, fmt: str = "parquet",
-                  name_glob: str | None = None,
-                  max_files_per_trigger: int | None = None) -> str:
-    """Stateful daily rollup of a file stream: event-time windows with a watermark.
-
-    Records up to ``watermark`` late still update their open day.  The watermark bounds
-    the state: days older than it are evicted.  Spark does not guarantee to drop a record
-    that arrives behind the watermark; in update mode such a record re-opens its day as
-    a fresh partial.  Update mode emits each changed day per micro-batch. Each batch is
-    written to its own directory (retry-safe), and :func:`latest_rollup` keeps the last
-    version of each day, so days still open are included.  When every late record must
-    count exactly, use :func:`stream_ingest` with :func:`daily_partials` and
-    :func:`combine_daily`, which stays exact for any lateness.
-    """
-    run = uuid.uuid4().hex[:12]
-    sink = sink or shared_path(spark, "sensorflow", "rollup", run, "sink")
-    checkpoint = checkpoint or shared_path(spark, "sensorflow", "rollup", run, "checkpoint")
-    reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true")
-    if name_glob:
-        reader = reader.option("pathGlobFilter", name_glob)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = prepare(reader.load(source))
-    if isinstance(rows.schema[time].dataType, T.TimestampNTZType):
-        rows = rows.withColumn(time, event_time(time))
-    agg = (rows.withWatermark(time, watermark)
-           .groupBy(*keys, F.window(time, "1 day").alias("__w"))
-           .agg(F.sum(value).alias("sum"), F.count(value).alias("count"))
-           .select(*keys, utc_day(F.col("__w.start")).alias("time"), "sum", "count"))
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
-
-    q = (agg.writeStream.outputMode("update").foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return sink
-
-
-def latest_rollup(spark: SparkSession, sink: str, keys: Sequence[str]) -> DataFrame:
-    """The last emitted version of each (keys, day) of a :func:`stream_rollup` sink."""
-    d = spark.read.parquet(sink)
-    last = d.groupBy(*keys, "time").agg(
-        F.max_by(F.struct("sum", "count"), F.col("batch_id")).alias("__v"))
-    return last.select(*keys, "time", F.when(F.col("__v.count") > 0,
-                                             F.col("__v.sum") / F.col("__v.count"))
-                       .alias("observed"))

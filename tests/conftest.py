@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,7 +14,9 @@ SF_DIR = os.environ.get("SENSORFLOW_TEST_SF", "/root/testdata/sf0.01")
 @pytest.fixture(scope="session")
 def spark():
     from sensorflow.session import local_session
-    s = local_session(cpus="*", shuffle_partitions=8, app="sensorflow-tests")
+    shared = tempfile.mkdtemp(prefix="sensorflow-shared-")
+    s = local_session(cpus="*", shuffle_partitions=8, app="sensorflow-tests",
+                      conf={"spark.checkpoint.dir": f"file://{shared}"})
     yield s
     s.stop()
 

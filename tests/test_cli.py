@@ -1,6 +1,7 @@
 """The forecast commands of the command line on a small targets table."""
 
 import datetime as dt
+import json
 import os
 import tempfile
 
@@ -20,12 +21,17 @@ def test_forecast_commands(spark, capsys):
     main(["climatology", "--local", "--targets", f"{root}/targets", "--as-of",
           "2024-02-09", "--out", root, "--horizon", "3"])
     main(["persistence", "--local", "--targets", f"{root}/targets", "--as-of",
-          "2024-02-09", "--out", root, "--horizon", "3", "--members", "20"])
+          "2024-02-09", "--out", root, "--horizon", "3"])
     out = capsys.readouterr().out.split()
     assert [os.path.basename(p) for p in out] == [
         "aquatics-2024-02-10-climatology.csv.gz", "aquatics-2024-02-10-persistence.csv.gz"]
-    ens = spark.read.option("header", True).csv(out[1])
-    assert ens.count() == 2 * 3 * 20            # series x days x members
+    from sensorflow.sources import readers, schemas
+    for path in out:
+        f = readers.read_forecast(spark, path, schemas.CLIMATOLOGY_FORECAST)
+        assert f.count() == 2 * 3 * 2           # series x days x (mu, sigma)
+    main(["months", "--local", "--targets", f"{root}/targets", "--as-of", "2024-02-20"])
+    plan = json.loads(capsys.readouterr().out)
+    assert {p["fetch_month"] for p in plan} == {"2024-02", "2024-03"}
 
 
 def test_empty_forecast_is_not_written(spark):

@@ -3,12 +3,10 @@
 import datetime as dt
 import math
 
-from pyspark.sql import functions as F
-
 from sensorflow.operators.climatology import (
     climatology_forecast, climatology_window, doy_stats, forecast_band,
 )
-from sensorflow.operators.randomwalk import ensemble_summary, rw_analytic, rw_ensemble
+from sensorflow.operators.randomwalk import ensemble_summary, rw_analytic
 from sensorflow.operators.series import densify, diff_sd, interpolate, obs_error_fill
 
 D = dt.date
@@ -61,6 +59,13 @@ def test_densify_interpolate_diff_sd(spark):                           # JON-4,
     by_time = {r.time: r.f for r in interpolate(dn.where("site_id = 'A'"), ["site_id"],
                                                 "time", "observed", "f", by="time").collect()}
     assert by_time[D(2020, 1, 3)] == 3.0 and by_time[D(2020, 1, 5)] == 4.0
+    inside = densify(t, ["site_id", "variable"], "time", "2020-01-02", start_keys=["site_id"])
+    kept = {(r.site_id, r.time): r.observed for r in inside.collect()}
+    # the row after the end stays, without a spine under it
+    assert kept == {("A", D(2020, 1, 1)): 1.0, ("A", D(2020, 1, 2)): None, ("A", D(2020, 1, 4)): 4.0,
+                    ("B", D(2020, 1, 2)): 2.0}
+    late = _targets(spark, [(D(2021, 1, 1), None, "t", 7.0), (None, "A", "t", 8.0)])
+    assert densify(late, ["site_id", "variable"], "time", "2020-01-02").count() == 2
     sd = {r.site_id: r.diff_sd for r in diff_sd(
         _targets(spark, rows + [(D(2020, 1, 9), "A", "t", 4.0)]), ["site_id", "variable"])
         .collect()}
@@ -85,20 +90,11 @@ def test_rw_analytic_sqrt_growth(spark):                               # FCT-8
     assert abs(sig[D(2020, 1, 9)] - base * math.sqrt(5)) < 1e-12
 
 
-def test_rw_ensemble_properties(spark):                                # FCT-6, FCT-7
-    rows = [(D(2020, 1, 1) + dt.timedelta(days=i), "A", "temperature",
-             10.0 + 0.5 * math.sin(i) if i % 5 else None) for i in range(120)]
-    ens = rw_ensemble(_targets(spark, rows), "2020-04-29", horizon=10, n_members=400)
-    assert ens.count() == 10 * 400
-    s = {r.time: r for r in ensemble_summary(ens).collect()}
-    first, last = s[D(2020, 4, 30)], s[D(2020, 5, 9)]
-    assert abs(first.mean - rows[-1][3]) < 1.5          # starts near the last value
-    assert (last.upper - last.lower) > (first.upper - first.lower)   # spread grows
-    again = rw_ensemble(_targets(spark, rows), "2020-04-29", horizon=10, n_members=400)
-    # reproducible: the per-series seed comes from a hash of (site, variable, seed)
-    a = ens.agg(F.sum("predicted")).first()[0]
-    b = again.agg(F.sum("predicted")).first()[0]
-    assert abs(a - b) < 1e-6
+def test_climatology_ignores_what_comes_after_the_issue_date(spark):   # FCT-5
+    rows = [(D(2018, 1, 5), "A", "oxygen", 4.0), (D(2019, 1, 5), "A", "oxygen", 6.0)]
+    later = rows + [(D(2020, 1, 5), "A", "oxygen", 999.0), (D(2021, 1, 5), "A", "oxygen", 999.0)]
+    a, b = (sorted(climatology_forecast(_targets(spark, r), "2020-01-01", 10).collect()) for r in (rows, later))
+    assert a == b and len(a) == 2
 
 
 def test_ensemble_summary_exact_and_sketch(spark):                     # AGG-10, AGG-11

@@ -19,8 +19,8 @@ def _write(spark, rows, schema, path):
 def test_targets_job_from_files(spark):
     root = tempfile.mkdtemp(prefix="sensorflow-e2e-")
     with open(f"{root}/sites.csv", "w") as f:
-        f.write("field_site_id,field_site_subtype,aquatics\n"
-                "BARC,Lake,1\nFLNT,Non-wadeable River,1\nMAYF,Wadeable Stream,1\n")
+        f.write("domain,aquatics,field_site_id,field_site_subtype\n"
+                "D1,1,BARC,Lake\nD2,1,FLNT,Non-wadeable River\nD3,1,MAYF,Wadeable Stream\n")
     # water quality: BARC oxygen mean(8, 10) = 9 (the 2 m row is outside the surface
     # window), chla 10 (the second value failed its flag); MAYF oxygen 6, no chla (stream)
     _write(spark, [
@@ -47,10 +47,10 @@ def test_targets_job_from_files(spark):
     _write(spark, [
         ("BARC", "tsdWaterTempMean", T(2024, 2, 1, 6, 0), 5.0, None, "501", "103", "030"),
         ("BARC", "tsdWaterTempFinalQF", T(2024, 2, 1, 6, 0), None, 0, "501", "103", "030"),
-    ], schemas.PROVISIONAL, f"{root}/prov/site=BARC/ms=2024-02/records.BARC.20264")
+    ], schemas.PROVISIONAL, f"{root}/prov/product=20264/site=BARC/ms=2024-02")
     os.makedirs(f"{root}/curated_lake")
     with open(f"{root}/curated_lake/profile.BARC.20005.csv", "w") as f:
-        f.write("siteID,startDate,sensorDepth,waterTemp\nBARC,2023-12-31 10:15,0.6,23.0\n")
+        f.write("depthFlag,waterTemp,startDate,siteID,sensorDepth\n0,23.0,2023-12-31 10:15,BARC,0.6\n")
     os.makedirs(f"{root}/curated_river")
     with open(f"{root}/curated_river/profile.FLNT.20005.csv", "w") as f:
         f.write("siteID,startDate,sensorDepth,waterTemp\nFLNT,2023-12-31 10:15,0.5,NA\n")

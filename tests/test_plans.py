@@ -12,7 +12,7 @@ from sensorflow.plans.queries import QUERIES
 from sensorflow.sources import readers, rules, schemas
 
 SMALL = "/root/testdata/sf0.001"
-EXECUTES_AT_BUILD = {"stream_ingest_daily", "stream_watermark_daily"}
+EXECUTES_AT_BUILD = {"stream_ingest_daily", "refresh_landing"}
 
 
 def plan(df, mode="formatted") -> str:
@@ -50,7 +50,7 @@ def test_provisional_filters_reach_the_scan(spark):
     recs = [("BARC", "tsdWaterTempMean", dt.datetime(2024, 1, 1), 5.0, None, "501", "103",
              "030")]
     spark.createDataFrame(recs, schemas.PROVISIONAL).write.parquet(
-        f"{root}/site=BARC/records.20264")
+        f"{root}/product=20264/site=BARC")
     from sensorflow.operators.provisional import provisional_tsd_surface_daily
     long = readers.read_provisional(spark, root, "20264", fmt="parquet")
     p = plan(provisional_tsd_surface_daily(long, rules.depth_lookup(spark)))
@@ -64,3 +64,37 @@ def test_wq_scan_prunes_columns(spark):
     read = [ln for ln in p.splitlines() if "ReadSchema" in ln][0]
     # event_type is not needed by the water-quality view, so it is never read
     assert "event_type" not in read and "value" in read
+
+
+def test_building_the_targets_runs_no_job(spark):
+    from sensorflow.plans.queries import target_inputs
+    from sensorflow.plans.targets import build_targets
+    tracker, group = spark.sparkContext.statusTracker(), "build-only"
+    inputs = target_inputs(spark, SMALL)
+    spark.sparkContext.setJobGroup(group, "composing a plan")
+    build_targets(inputs)
+    assert list(tracker.getJobIdsForGroup(group)) == []
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_every_branch_of_the_targets_has_rows(spark):
+    from sensorflow.plans import targets as tg
+    from sensorflow.plans.queries import target_inputs
+    inp = target_inputs(spark, "/root/testdata/sf0.01")
+    wq = tg.archive_wq_daily(inp.archive_wq, inp.sites)
+    branches = {
+        "lake": inp.lake_hourly(), "river": inp.river_daily(), "stream": inp.stream_daily(), "wq": wq,
+        "new wq": inp.fresh(inp.provisional_wq, wq), "new prt": inp.fresh(inp.provisional_prt, inp.stream_daily()),
+        "new lake": inp.fresh(inp.provisional_tsd, inp.lake_hourly()),
+        "new river": inp.fresh(inp.provisional_tsd, inp.river_daily())}
+    assert all(df.limit(1).count() for df in branches.values())
+    # and superseding takes some of the provisional records, not all
+    for name, whole in (("new wq", inp.provisional_wq), ("new prt", inp.provisional_prt)):
+        assert 0 < branches[name].count() < whole.count()
+
+
+def test_climatology_needs_few_shuffles(spark):
+    from sensorflow.operators.climatology import climatology_forecast
+    from sensorflow.sources import demo
+    p = plan(climatology_forecast(demo.daily_series(spark, SMALL), "2000-12-15"), "simple")
+    assert p.count("Exchange hashpartitioning") <= 4

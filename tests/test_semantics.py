@@ -225,7 +225,7 @@ def test_provisional_depths_rounding_option(spark):                     # S5
 def test_qc_by_source_uses_each_sources_parameters(spark):              # QC params table
     from sensorflow.operators.quality import qc_by_source
     vals = [10.0, 16.0, 16.5]
-    rows = [(src, "S", D(2020, 1, i + 1), v) for src in ("strict", "lenient", "unlisted")
+    rows = [(src, "S", D(2020, 1, i + 1), v) for src in ("strict", "lenient")
             for i, v in enumerate(vals)]
     df = spark.createDataFrame(rows, "source string, site_id string, time date, "
                                      "observed double")
@@ -237,8 +237,9 @@ def test_qc_by_source_uses_each_sources_parameters(spark):              # QC par
     assert [got[("strict", d)] for d in (1, 2, 3)] == [None, None, 16.5]
     # lenient: unknown kept, a 6 jump is within 7
     assert [got[("lenient", d)] for d in (1, 2, 3)] == [10.0, 16.0, 16.5]
-    # a source without parameters passes through untested
-    assert [got[("unlisted", d)] for d in (1, 2, 3)] == vals
+    # a source without parameters, e.g. a misspelt one, is an error
+    with pytest.raises(Exception, match="no QC parameters for source lenient"):
+        qc_by_source(df, params.where("source = 'strict'"), ["source", "site_id"]).collect()
 
 
 def test_incremental_qc_equals_full_history(spark):                     # daily refresh
@@ -260,3 +261,57 @@ def test_incremental_qc_equals_full_history(spark):                     # daily
                       key=lambda t: (t[0], t[1])) == sorted(
             map(tuple, want.select("site_id", "time", "observed").collect()),
             key=lambda t: (t[0], t[1]))
+
+
+def test_incremental_qc_with_new_rows_between_old_ones(spark):
+    import random
+
+    from sensorflow.operators.quality import qc_incremental
+    rnd = random.Random(4)
+    rows = [(s, D(2020, 1, 1) + dt.timedelta(days=i), round(rnd.uniform(0, 20), 1))
+            for s in ("A", None) for i in range(60)]
+    full = spark.createDataFrame(rows, "site_id string, time date, observed double")
+    is_new = (F.dayofyear("time") % 2 == 0) & (F.col("time") >= F.lit(D(2020, 1, 20)))
+    got = qc_incremental(full.where(is_new), full.where(~is_new), ["site_id"], spike=6.0)
+    want = qc_series(full, ["site_id"], "time", spike=6.0).where(F.col("time") >= F.lit(D(2020, 1, 20)))
+    cols = ["site_id", "time", "observed"]
+    assert sorted(map(str, got.select(cols).collect())) == sorted(map(str, want.select(cols).collect()))
+
+
+def test_repeated_rules_do_not_multiply_rows(spark):
+    from sensorflow.operators.depth import correct_depth, lookup_depth, validate_corrections
+    rule = ("S", 1, None, D(2021, 1, 1), 0.5)
+    rules_twice = spark.createDataFrame([rule, rule, ("S", 1, D(2021, 1, 2), None, 0.7)], rules.CORRECTIONS_SCHEMA)
+    validate_corrections(rules_twice)
+    df = spark.createDataFrame([("S", 1, T(2020, 5, 1), 9.0), ("S", 1, T(2021, 1, 1, 23), 9.0),
+                                ("S", 1, T(2021, 1, 2), 9.0), ("S", 2, T(2020, 5, 1), 9.0), (None, 1, T(2020, 5, 1), 9.0)],
+                               "site_id string, verticalPosition int, startDateTime timestamp_ntz, depth double")
+    got = correct_depth(df, rules_twice).collect()
+    assert sorted(r.depth for r in got) == [0.5, 0.5, 0.7, 9.0, 9.0]
+    lookup = spark.createDataFrame([("S", "1", 0.1), ("S", "1", 0.1)], rules.DEPTH_LOOKUP_SCHEMA)
+    long = spark.createDataFrame([("S", "1")], "siteName string, verticalIndex string")
+    assert lookup_depth(long, lookup).count() == 1
+
+
+def test_values_on_thresholds_and_ties(spark):
+    rows = [("S", D(2020, 1, i + 1), v) for i, v in enumerate([40.0, 35.0, 35.0 + 1e-12, 40.1, -5.0])]
+    df = spark.createDataFrame(rows, "site_id string, time date, observed double")
+    got = {r.time.day: r.observed for r in qc_series(df, ["site_id"], "time", spike=50.0).collect()}
+    # the edges are inside; a change below the ninth place is none
+    assert got == {1: 40.0, 2: 35.0, 3: None, 4: None, 5: -5.0}
+    spike = {r.time.day: r.observed for r in qc_series(df, ["site_id"], "time", spike=5.0).collect()}
+    assert spike[2] == 35.0 and spike[4] is None
+
+
+def test_superseding_goes_by_the_values_that_enter(spark):
+    """An archive that has only failed records of a month does not cover it, nor another site's."""
+    from sensorflow.plans.targets import archive_wq_daily
+    from sensorflow.sources import demo, schemas
+    wq = spark.createDataFrame([
+        ("BARC", T(2024, 1, 5), "0.5", "8", "0", 0, "1", "0", 0), ("BARC", T(2024, 2, 5), "0.5", "8", "0", 1, "1", "0", 1),
+        ("FLNT", T(2024, 3, 5), "0.5", "8", "0", 0, "1", "0", 0)], schemas.ARCHIVE_WATER_QUALITY)
+    from sensorflow.streaming.refresh import supersede
+    entering = archive_wq_daily(wq, demo.sites(spark)).where("observed IS NOT NULL")
+    prov = spark.createDataFrame([("BARC", T(2024, m, 9)) for m in (1, 2, 3)], "siteName string, startDate timestamp_ntz")
+    kept = supersede(prov, entering, "startDate", "time", {"siteName": "site_id"}).collect()
+    assert sorted(r.startDate.month for r in kept) == [2, 3]

@@ -45,9 +45,9 @@ def test_read_provisional_by_product_and_site(spark, tmp):             # SRC-5..
     df = spark.createDataFrame(recs, schemas.PROVISIONAL)
     for site in ("BARC", "MAYF"):
         df.where(F.col("siteName") == site).coalesce(1).write.parquet(
-            f"{tmp}/site={site}/ms=2024-01/p20288")
+            f"{tmp}/product=20288/site={site}/ms=2024-01")
     spark.createDataFrame([recs[0]], schemas.PROVISIONAL).write.parquet(
-        f"{tmp}/site=BARC/ms=2024-01/p20053")
+        f"{tmp}/product=20053/site=BARC/ms=2024-01")
     long = readers.read_provisional(spark, tmp, "20288", fmt="parquet")
     assert long.count() == 3
     only = readers.read_provisional(spark, tmp, "20288", fmt="parquet", sites=["BARC"])
@@ -62,30 +62,24 @@ def test_read_provisional_by_product_and_site(spark, tmp):             # SRC-5..
         readers.read_provisional(spark, tmp, "12345", fmt="parquet")
 
 
+def place(code, name, lon, lat, low, high):
+    return {"id": code, "geographicDescription": name,
+            "boundingCoordinates": {"westBoundingCoordinate": lon, "eastBoundingCoordinate": lon,
+                                    "northBoundingCoordinate": lat, "southBoundingCoordinate": lat,
+                                    "boundingAltitudes": {"altitudeMinimum": low, "altitudeMaximum": high,
+                                                          "altitudeUnits": "meter"}}}
+
+
 def test_geo_json_and_coverage(spark, tmp):                            # SRC-12, MET-3
-    geo = [{"id": "AAAA", "geographicDescription": "AAAA, D01",
-            "boundingCoordinates": {"westBoundingCoordinate": "-78.1",
-                                    "eastBoundingCoordinate": "-78.1",
-                                    "northBoundingCoordinate": "38.9",
-                                    "southBoundingCoordinate": "38.9",
-                                    "boundingAltitudes": {"altitudeMinimum": 276,
-                                                          "altitudeMaximum": 300,
-                                                          "altitudeUnits": "meter"}}},
-           {"id": "BBBB", "geographicDescription": "BBBB, D02",
-            "boundingCoordinates": {"westBoundingCoordinate": "-82.0",
-                                    "eastBoundingCoordinate": "-82.0",
-                                    "northBoundingCoordinate": "29.7",
-                                    "southBoundingCoordinate": "29.7",
-                                    "boundingAltitudes": {"altitudeMinimum": 27,
-                                                          "altitudeMaximum": 27,
-                                                          "altitudeUnits": "meter"}}}]
+    geo = [place("QQ01", "Invented pond", "12.5", "47.25", 410, 415),
+           place("QQ02", "Invented brook", "-3.75", "55.5", 88, 90)]
     p = os.path.join(tmp, "geo.json")
     with open(p, "w") as f:
         json.dump(geo, f)
     g = readers.read_geo(spark, p)
-    sites = spark.createDataFrame([("BBBB",), ("CCCC",)], "site_id string")
+    sites = spark.createDataFrame([("QQ02",), ("QQ03",)], "site_id string")
     out = geo_coverage(g, sites).collect()
-    assert [(r.id, r.west, r.altitude_max) for r in out] == [("BBBB", -82.0, 27.0)]
+    assert [(r.id, r.west, r.altitude_max) for r in out] == [("QQ02", -3.75, 90.0)]
 
 
 def test_contract_and_temporal_coverage(spark):                        # MET-1, MET-2
@@ -107,17 +101,17 @@ def test_month_plan_month_end_and_lag(spark):                          # INC-1
     assert sorted(r.fetch_month for r in plan2) == ["2021-02", "2021-04"]
 
 
-def test_supersede_global_and_per_site(spark):                         # INC-2, B3
-    arch = spark.createDataFrame([("A", D(2021, 1, 31)), ("B", D(2020, 11, 3))],
-                                 "site_id string, time date")
+def test_supersede_per_site(spark):                                    # INC-2, B3
+    arch = spark.createDataFrame([("A", D(2021, 1, 31)), ("B", D(2020, 11, 3)), (None, D(2021, 5, 1))],
+                                 "site string, day date")
     prov = spark.createDataFrame([("A", D(2021, 1, 15)), ("A", D(2021, 2, 1)),
-                                  ("B", D(2020, 12, 5)), ("C", D(2019, 1, 1))],
+                                  ("B", D(2020, 12, 5)), ("C", D(2019, 1, 1)), (None, D(2021, 4, 1))],
                                  "site_id string, time date")
-    glob = sorted((r.site_id, r.time) for r in supersede(prov, arch, "time", "time").collect())
-    assert glob == [("A", D(2021, 2, 1))]
-    per = sorted((r.site_id, r.time) for r in
-                 supersede(prov, arch, "time", "time", keys=["site_id"]).collect())
+    per = sorted((str(r.site_id), r.time) for r in
+                 supersede(prov, arch, "time", "day", {"site_id": "site"}).collect())
     assert per == [("A", D(2021, 2, 1)), ("B", D(2020, 12, 5)), ("C", D(2019, 1, 1))]
+    with pytest.raises(ValueError):
+        supersede(prov, arch, "time", "day", [])
 
 
 def test_stream_ingest_reads_only_new_files(spark, tmp):              # INC-3, INC-4
@@ -174,35 +168,99 @@ def test_forecast_file_roundtrip(spark, tmp):                          # SRC-13,
     assert back.count() == f.count()
 
 
-def test_windowed_daily_stream(spark, tmp):                            # optional watermark rollup
-    from sensorflow.streaming.refresh import windowed_daily
-    schema = "site_id string, ts timestamp, v double"
-    spark.createDataFrame([("A", T(2024, 1, 1, 1), 1.0), ("A", T(2024, 1, 1, 5), 3.0),
-                           ("A", T(2024, 1, 4, 1), 9.0)], schema).write.parquet(f"{tmp}/in")
-    stream = spark.readStream.schema(schema).parquet(f"{tmp}/in")
-    q = (windowed_daily(stream, ["site_id"], "ts", "v").writeStream.outputMode("update")
-         .format("memory").queryName("wd_test").trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = {(r.site_id, r.time): r.observed for r in spark.table("wd_test").collect()}
-    assert got[("A", D(2024, 1, 1))] == 2.0 and got[("A", D(2024, 1, 4))] == 9.0
-
-
-def test_stream_rollup_updates_open_days_across_batches(spark, tmp):    # watermark
-    import time as _time
-
-    from sensorflow.streaming.refresh import latest_rollup, stream_rollup
+def test_late_records_add_up_exactly(spark, tmp):
+    """A record of a day that later batches have long passed still reaches its day."""
     schema = "site_id string, ts timestamp_ntz, v double"
-    spark.createDataFrame([("A", T(2024, 1, 10, 6), 1.0), ("A", T(2024, 1, 10, 8), 3.0)],
-                          schema).coalesce(1).write.parquet(f"{tmp}/in/b1")
-    _time.sleep(1.1)   # the file source orders files by modification time
-    spark.createDataFrame([("A", T(2024, 1, 9, 6), 6.0),        # within 48 h: kept
-                           ("A", T(2024, 1, 10, 9), 8.0)],      # updates an open day
-                          schema).coalesce(1).write.parquet(f"{tmp}/in/b2")
-    sink = stream_rollup(spark, f"{tmp}/in", schema, lambda s: s, ["site_id"], "ts", "v",
-                         watermark="48 hours", sink=f"{tmp}/sink", checkpoint=f"{tmp}/ck",
-                         max_files_per_trigger=1)
-    parts = spark.read.parquet(sink)
-    assert parts.select("batch_id").distinct().count() == 2     # two micro-batches
-    got = {r.time: r.observed for r in latest_rollup(spark, sink, ["site_id"]).collect()}
-    # the open day carries all its records across batches: mean(1, 3, 8) = 4
-    assert got == {D(2024, 1, 10): 4.0, D(2024, 1, 9): 6.0}
+    args = (spark, f"{tmp}/in", schema, lambda b: daily_partials(b, ["site_id"], "ts", "v"), f"{tmp}/s", f"{tmp}/c")
+    for i, rows in enumerate([[("A", T(2024, 1, 10, 6), 38.0)], [("A", T(2024, 3, 1, 6), 1.0)],
+                              [("A", T(2024, 1, 10, 7), 39.0)]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp}/in/b{i}")
+        stream_ingest(*args)
+    got = {r.time: r.observed for r in combine_daily(spark.read.parquet(f"{tmp}/s"), ["site_id"]).collect()}
+    assert got == {D(2024, 1, 10): 38.5, D(2024, 3, 1): 1.0}
+
+
+def curated(folder, name, lines):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+def test_csv_columns_go_by_name(spark, tmp):                           # SRC-8, SRC-9, SRC-11
+    curated(f"{tmp}/c", "p.BARC.csv", ["note,waterTemp,sensorDepth,extra,startDate,siteID",
+                                       "x,4.5,0.5,9,2020-01-01 00:10,BARC"])
+    r = readers.read_curated_csv(spark, f"{tmp}/c").first()
+    assert (r.siteID, r.startDate, r.sensorDepth, r.waterTemp) == ("BARC", T(2020, 1, 1, 0, 10), 0.5, 4.5)
+    curated(tmp, "sites.csv", ["field_domain_id,aquatics,field_site_id,field_site_subtype", "D03,1,BARC,Lake"])
+    assert tuple(readers.read_sites(spark, f"{tmp}/sites.csv").first()) == ("BARC", "Lake", 1)
+    curated(tmp, "t.csv", ["observed,variable,site_id,time", "1.5,oxygen,BARC,2020-01-02"])
+    assert tuple(readers.read_targets(spark, f"{tmp}/t.csv", "csv").first()) == (D(2020, 1, 2), "BARC", "oxygen", 1.5)
+    # each path may have its own order; a missing column is an error
+    curated(f"{tmp}/d", "p.CRAM.csv", ["siteID,startDate,sensorDepth,waterTemp", "CRAM,2020-01-01 01:00,1,5"])
+    both = readers.read_curated_csv(spark, [f"{tmp}/c", f"{tmp}/d"])
+    assert {r.siteID: r.waterTemp for r in both.collect()} == {"BARC": 4.5, "CRAM": 5.0}
+    curated(f"{tmp}/e", "p.csv", ["siteID,startDate,sensorDepth", "CRAM,2020-01-01 01:00,1"])
+    with pytest.raises(ValueError, match="waterTemp"):
+        readers.read_curated_csv(spark, f"{tmp}/e")
+
+
+def test_forecast_contract_is_checked_on_the_file(spark, tmp):         # MET-1, SRC-13
+    curated(tmp, "ens.csv", ["time,start_time,site_id,variable,ensemble,predicted", "2020-01-02,2020-01-01,A,oxygen,1,2.5"])
+    with pytest.raises(ValueError):
+        readers.read_forecast(spark, f"{tmp}/ens.csv", schemas.CLIMATOLOGY_FORECAST)
+    assert readers.read_forecast(spark, f"{tmp}/ens.csv").first()["ensemble"] == 1
+    with pytest.raises(ValueError):
+        check_columns(readers.forecast_columns(spark, f"{tmp}/ens.csv"), schemas.CLIMATOLOGY_FORECAST.fieldNames())
+    curated(tmp, "odd.csv", ["a,b", "1,2"])
+    with pytest.raises(ValueError, match="contract"):
+        readers.read_forecast(spark, f"{tmp}/odd.csv")
+
+
+def test_product_is_not_read_from_the_root(spark, tmp):                # SRC-6
+    rec = [("BARC", "finalQF", T(2024, 1, 1), None, 0, "501", "101", "030")]
+    root = f"{tmp}/load-20288/prov"
+    spark.createDataFrame(rec, schemas.PROVISIONAL).write.parquet(f"{root}/product=20053/site=BARC/ms=2024-01")
+    assert readers.read_provisional(spark, root, "20288", fmt="parquet").count() == 0
+    assert readers.read_provisional(spark, root, "20053", fmt="parquet").count() == 1
+
+
+def test_refresh_job_reads_only_new_files_and_prunes(spark, tmp):      # INC-1, INC-3, INC-5
+    from sensorflow.plans.jobs import run_refresh
+    from tests.test_plans import plan
+
+    def arrive(name, site, day):
+        rec = [(site, "finalQF", day, None, 0, "501", "101", "030")]
+        spark.createDataFrame(rec, schemas.PROVISIONAL).coalesce(1).write.parquet(f"{tmp}/in/{name}")
+
+    arrive("a", "BARC", T(2024, 1, 5))
+    arrive("b", "MAYF", T(2024, 2, 5))
+    args = (spark, f"{tmp}/in", f"{tmp}/land", f"{tmp}/ck", "20053")
+    run_refresh(*args)
+    assert readers.read_provisional(spark, f"{tmp}/land", "20053", fmt="parquet").count() == 2
+    arrive("c", "MAYF", T(2024, 2, 6))
+    run_refresh(*args)
+    run_refresh(*args)
+    landed = readers.read_provisional(spark, f"{tmp}/land", "20053", fmt="parquet", sites=["MAYF"], months=["2024-02"])
+    assert sorted(r.startDate for r in landed.collect()) == [T(2024, 2, 5), T(2024, 2, 6)]
+    filters = [x for x in plan(landed).splitlines() if "PartitionFilters" in x][0]
+    assert all(c in filters for c in ("product", "site", "ms"))
+
+
+def test_zoned_times_become_utc_days(spark, tmp):                      # FN-6, FN-7
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    row = ("A", "0.5", "1.0", "0.1", 0, "1", "0.1", 0)
+    spark.sql("SELECT timestamp'2024-01-01 02:00:00Z' AS t").selectExpr(
+        f"'{row[0]}' AS siteID", "t AS startDateTime", "'0.5' AS sensorDepth", "'1.0' AS dissolvedOxygen",
+        "'0.1' AS dissolvedOxygenExpUncert", "0 AS dissolvedOxygenFinalQF", "'1' AS chlorophyll",
+        "'0.1' AS chlorophyllExpUncert", "0 AS chlorophyllFinalQF", "1 AS extra").write.parquet(f"{tmp}/wq")
+    try:
+        for z in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            df = readers.read_archive(spark, f"{tmp}/wq", schemas.ARCHIVE_WATER_QUALITY)
+            assert df.first()["startDateTime"] == T(2024, 1, 1, 2), z
+            text = spark.createDataFrame([("2024-03-10 02:30",), ("2024-03-10T02:30:15Z",), ("x",)], "c string")
+            from sensorflow.functions.timefmt import parse_timestamp
+            assert [r[0] for r in text.select(parse_timestamp("c")).collect()] == [
+                T(2024, 3, 10, 2, 30), T(2024, 3, 10, 2, 30, 15), None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
