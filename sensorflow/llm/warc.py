@@ -29,24 +29,20 @@ DATE = "1970-01-01T00:00:00Z"
 READ_BYTES = 1 << 20
 
 
-def with_record_types(pages: DataFrame, id_col: str, payload: Column, url_col: str) -> DataFrame:
-    """id, url, payload, digest (hex SHA-1) and refers_to: of equal payloads of at least
-    REVISIT_BYTES the record with the largest id is the response that others refer to."""
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"),
-                        payload.cast("binary").alias("payload"))
-    rows = rows.withColumn("digest", F.sha1("payload")).withColumn("bytes", F.octet_length("payload"))
-    # digest and length together, and only where two rows at least share them
-    groups = (rows.filter((F.col("bytes") >= REVISIT_BYTES) & F.col("id").isNotNull())
-              .groupBy("digest", "bytes").agg(F.max("id").alias("last"), F.min("id").alias("first"))
+def revisits(rows: DataFrame) -> DataFrame:
+    """(id, digest, refers_to) of the rows (id, digest, bytes) that revisit another: of equal
+    payloads of at least REVISIT_BYTES the one with the largest id is the response."""
+    rows = rows.filter((F.col("bytes") >= REVISIT_BYTES) & F.col("id").isNotNull())
+    groups = (rows.groupBy("digest", "bytes").agg(F.max("id").alias("last"), F.min("id").alias("first"))
               .filter("last <> first"))
+    # a new key, so that AQE may split the rows of one large group
     groups = groups.select(F.struct("digest", "bytes").alias("_k"), "last")
-    joined = rows.withColumn("_k", F.struct("digest", "bytes")).join(groups, "_k", "left")
-    refers = F.when(F.col("id") != F.col("last"), F.col("last"))
-    return joined.select("id", "url", "payload", "digest", refers.alias("refers_to"))
+    return (rows.withColumn("_k", F.struct("digest", "bytes")).join(groups, "_k").filter("id <> last")
+            .select("id", "digest", F.col("last").alias("refers_to")).distinct())
 
 
 def shard_of(rows: DataFrame, shard_bytes: int) -> Column:
-    """The shard of an id: equal-width id ranges, cut by their payload bytes.
+    """The shard of an id of ``rows`` (id, bytes): equal-width id ranges, cut by payload bytes.
 
     The driver gets one sum per range, ID_RANGES at most.  A range heavier than a shard is cut
     into narrower ones of equal width.  NULL ids form a shard of their own at the end.
@@ -57,7 +53,7 @@ def shard_of(rows: DataFrame, shard_bytes: int) -> Column:
     width = (hi - lo) // ID_RANGES + 1
     place = F.floor((F.col("id") - lo) / width).cast("int")
     sums = {r[0]: r[1] for r in rows.filter("id IS NOT NULL").groupBy(place.alias("r"))
-            .agg(F.sum(F.octet_length("payload") + 500)).collect()}
+            .agg(F.sum(F.col("bytes") + 500)).collect()}
     first, cuts, shard, filled = [], [], 0, 0
     for r in range(ID_RANGES):
         size = sums.get(r, 0)
@@ -157,15 +153,21 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     NULL html is an empty payload; NULL ids come last and are never referred to; repeated rows
     give a record each, and of equal payloads all rows with the largest id are responses.
     """
-    rows = with_record_types(pages, id_col, F.coalesce(F.col(html_col), F.lit("")), url_col)
-    sized = pages.select(F.col(id_col).alias("id"),
-                         F.coalesce(F.col(html_col), F.lit("")).cast("binary").alias("payload"))
-    rows = rows.withColumn("shard", shard_of(sized, shard_bytes))
+    payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"),
+                        F.sha1(payload).alias("digest"))
+    narrow = pages.select(F.col(id_col).alias("id"), F.octet_length(payload).alias("bytes"),
+                          F.sha1(payload).alias("digest"))
+    shard = shard_of(narrow, shard_bytes)
+    # What a row refers to travels to its shard and is sorted right before it, so payloads are
+    # shuffled once and need no join.
+    rows = rows.unionByName(revisits(narrow), allowMissingColumns=True).withColumn("shard", shard)
     local, path = filesystem(folder)
     local.create_dir(f"{path}/_temporary", recursive=True)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files: ShardFiles | None = None
+        about, refers = None, {}  # of the current id: what its digests refer to
 
         def manifest(done: list[dict]) -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist(done, schema=pa.schema(
@@ -179,12 +181,18 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
                         files.close()
                         yield manifest(files.done)
                     files = ShardFiles(folder, r["shard"], file_bytes)
-                files.add(record(r["id"], r["url"], r["payload"], r["digest"], r["refers_to"]))
+                if r["id"] != about:
+                    about, refers = r["id"], {}
+                if r["refers_to"] is not None:
+                    refers[r["digest"]] = r["refers_to"]
+                else:
+                    files.add(record(r["id"], r["url"], r["payload"], r["digest"], refers.get(r["digest"])))
         if files is not None:
             files.close()
             yield manifest(files.done)
 
-    (rows.repartition("shard").sortWithinPartitions("shard", F.col("id").asc_nulls_last(), "url", "digest")
+    (rows.repartition("shard")
+     .sortWithinPartitions("shard", F.col("id").asc_nulls_last(), F.col("refers_to").asc_nulls_last(), "url", "digest")
      .mapInArrow(write, "file string, records long, bytes long, sha1 string")
      .write.mode("overwrite").parquet(f"{folder}/_manifest"))
     local.delete_dir(f"{path}/_temporary")
