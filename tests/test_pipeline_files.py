@@ -58,6 +58,11 @@ def test_targets_job_from_files(spark):
            "archive_tsd": f"{root}/tsd", "archive_tsw": f"{root}/tsw",
            "provisional_root": f"{root}/prov", "provisional_format": "parquet",
            "curated_lake": f"{root}/curated_lake", "curated_river": f"{root}/curated_river"}
+    # rules as inputs: no mask, and the depth corrections of the package as a file
+    with open(f"{root}/masks.csv", "w") as f:
+        f.write("site_id,variable,date_from,date_to,bad_below,bad_above\n")
+        f.write("NONE,oxygen,NA,NA,NA,NA\n")
+    cfg |= {"masks": f"{root}/masks.csv", "accept_failed_after": "2020-07-01", "stream_positions": ["101", "111"]}
     with open(f"{root}/inputs.json", "w") as f:
         json.dump(cfg, f)
 
@@ -79,5 +84,16 @@ def test_targets_job_from_files(spark):
     prof = {(r.site_id, r.depth): r.observed
             for r in spark.read.parquet(f"{root}/out/expanded_profile").collect()}
     assert prof == {("BARC", 0.6): 22.0, ("BARC", 0.05): 5.0}
+    # the days do not depend on the session's zone
+    from sensorflow.__main__ import _inputs
+    from sensorflow.plans.jobs import run_targets
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        paths = run_targets(spark, _inputs(spark, cfg), f"{root}/out2", csv=False)
+        assert {(r.site_id, r.time, r.variable): r.observed
+                for r in spark.read.parquet(paths["targets"]).collect()} == got
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
     csv = spark.read.option("header", True).csv(f"{root}/out/aquatics-targets.csv.gz")
     assert csv.count() == len(got) and csv.where("observed = 'NA'").count() == 2
