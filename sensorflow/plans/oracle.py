@@ -719,3 +719,15 @@ reg("qc_incremental", f"""SELECT q.time, q.site_id, q.variable, {r6('q.observed'
           ['time', 'site_id', 'variable'])} q
   JOIN (SELECT site_id, variable, min(time) AS first FROM {NEW_ROWS} n GROUP BY 1, 2) f
     ON q.site_id = f.site_id AND q.variable = f.variable AND q.time >= f.first""")
+
+# --- files and column choice --------------------------------------------------------------
+
+reg("keep_existing_columns", f"""SELECT {r6('chlorophyll')} AS chlorophyll, siteID, startDateTime
+  FROM {ARCHIVE_WQ} w""")
+reg("drop_matching_columns", f"""SELECT event_id, siteID, startDateTime,
+  {r6('sensorDepth')} AS sensorDepth, {r6('dissolvedOxygen')} AS dissolvedOxygen,
+  {r6('chlorophyll')} AS chlorophyll FROM {ARCHIVE_WQ} w""")
+reg("curated_csv_hourly", ORACLE["curated_hourly_strict"])
+reg("targets_csv_roundtrip", f"""SELECT time, site_id, variable, {r6('observed')} AS observed
+  FROM {DAILY} d""")
+reg("forecast_file_roundtrip", ORACLE["rw_analytic"])

@@ -23,7 +23,8 @@ from sensorflow.operators.quality import (
     rate_of_change,
 )
 from sensorflow.operators.reshape import (
-    coalesce_value, empty_frame, terms_to_columns, to_long, union_all,
+    coalesce_value, drop_matching, empty_frame, keep_existing, terms_to_columns, to_long,
+    union_all,
 )
 from sensorflow.operators.rollup import daily_mean, hourly_mean
 from sensorflow.plans import targets as tg
@@ -184,6 +185,51 @@ def q_empty_source_union(spark, d):
     return finish(union_all(a, b, e))
 
 
+@query("keep_existing_columns")
+def q_keep_existing_columns(spark, d):
+    wanted = ["chlorophyll", "column_of_another_release", "siteID", "startDateTime"]
+    return finish(keep_existing(demo.archive_wq(spark, d), wanted))
+
+
+@query("drop_matching_columns")
+def q_drop_matching_columns(spark, d):
+    return finish(drop_matching(demo.archive_wq(spark, d), "Uncert|QF$"))
+
+
+# --- files --------------------------------------------------------------------------------
+
+@query("curated_csv_hourly")
+def q_curated_csv_hourly(spark, d):
+    """Curated CSV files with columns in another order and one more, read by name."""
+    from sensorflow.sources.readers import read_curated_csv
+    folder = shared_path(spark, "curated", uuid.uuid4().hex)
+    c = demo.curated_profile(spark, d)
+    (c.select(F.lit("n").alias("note"), "waterTemp", "sensorDepth",
+              F.date_format("startDate", "yyyy-MM-dd HH:mm").alias("startDate"), "siteID")
+     .write.option("header", True).option("nullValue", "NA").csv(folder))
+    return finish(tg.curated_lake_hourly(read_curated_csv(spark, folder), _sites(spark)))
+
+
+@query("targets_csv_roundtrip")
+def q_targets_csv_roundtrip(spark, d):
+    from sensorflow.sources.readers import read_targets
+    from sensorflow.sources.sinks import write_csv_gz
+    folder = shared_path(spark, "targets", uuid.uuid4().hex)
+    path = write_csv_gz(demo.daily_series(spark, d), f"{folder}/{rules.TARGETS_FILE}",
+                        sort_by=("site_id", "time", "variable"))
+    return finish(read_targets(spark, path, "csv"))
+
+
+@query("forecast_file_roundtrip")
+def q_forecast_file_roundtrip(spark, d):
+    from sensorflow.operators.randomwalk import rw_analytic
+    from sensorflow.sources.readers import read_forecast
+    from sensorflow.sources.sinks import write_forecast
+    f = rw_analytic(demo.daily_series(spark, d), SERIES_AS_OF, rules.HORIZON_DAYS)
+    folder = shared_path(spark, "forecast", uuid.uuid4().hex)
+    return finish(read_forecast(spark, write_forecast(f, folder, rules.THEME, "persistence")))
+
+
 # --- rollups ----------------------------------------------------------------------------
 
 @query("qf_mask_daily")

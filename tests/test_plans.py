@@ -12,7 +12,8 @@ from sensorflow.plans.queries import QUERIES
 from sensorflow.sources import readers, rules, schemas
 
 SMALL = "/root/testdata/sf0.001"
-EXECUTES_AT_BUILD = {"stream_ingest_daily", "refresh_landing"}
+EXECUTES_AT_BUILD = {"stream_ingest_daily", "refresh_landing", "curated_csv_hourly",
+                     "targets_csv_roundtrip", "forecast_file_roundtrip"}
 
 
 def plan(df, mode="formatted") -> str:
