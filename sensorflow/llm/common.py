@@ -40,6 +40,12 @@ def union_parts(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once: a lambda's argument is, while an expression
+    that is written inside a lambda is computed again for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def in_bucket(id_col: str | Column, parts: int, part: int) -> Column:
     """crc32 of the id as text, modulo ``parts``, equals ``part``; false where the id is NULL."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col

@@ -10,6 +10,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import bound
+
 #: Kind, pattern, the group whose length counts, its least length.
 BASE_KINDS = [
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
@@ -43,35 +45,37 @@ class EntropyParams:
 def matches(text: Column, pattern: str, group: int, least: int) -> Column:
     """Spans (start, end) in code points of the leftmost non-overlapping matches whose group has
     at least ``least`` characters.  The text between matches gives their places."""
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    between = F.split(text, pattern, -1)
-    start = F.aggregate(
-        F.sequence(F.lit(1), F.size(whole)),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out")),
-        lambda s, i: F.struct(
-            (s["at"] + F.length(F.element_at(between, i)) + F.length(F.element_at(whole, i))).alias("at"),
-            F.when(F.length(F.element_at(part, i)) >= least, F.concat(s["out"], F.array(F.struct(
-                (s["at"] + F.length(F.element_at(between, i))).cast("int").alias("start"),
-                (s["at"] + F.length(F.element_at(between, i)) + F.length(F.element_at(whole, i)))
-                .cast("int").alias("end"))))).otherwise(s["out"]).alias("out")),
-        lambda s: s["out"])
+    found = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("whole"),
+                     F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("part"),
+                     F.split(text, pattern, -1).alias("between"))
     none = F.array().cast("array<struct<start:int,end:int>>")
-    return F.when(text.rlike(pattern), start).otherwise(none)
+
+    def places(m: Column) -> Column:
+        def step(s: Column, i: Column) -> Column:
+            start = s["at"] + F.length(F.element_at(m["between"], i))
+            end = start + F.length(F.element_at(m["whole"], i))
+            span = F.array(F.struct(start.cast("int").alias("start"), end.cast("int").alias("end")))
+            long_enough = F.length(F.element_at(m["part"], i)) >= least
+            return F.struct(end.alias("at"), F.when(long_enough, F.concat(s["out"], span)).otherwise(s["out"]).alias("out"))
+
+        return F.aggregate(F.sequence(F.lit(1), F.size(m["whole"])),
+                           F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda s: s["out"])
+
+    return F.when(text.rlike(pattern), bound(found, places)).otherwise(none)
 
 
 def random_part(string: Column, bits: Column, window: int) -> Column:
     """(start, end) from the first to the last window of at least ``bits`` per character, NULL
     if there is none.  Counts and the sum of c log c change with the character that enters the
     window and the one that leaves it."""
-    codes = F.transform(F.split(string, ""), lambda c: F.instr(F.lit(ALPHABET), c))
+    all_codes = F.transform(F.split(string, ""), lambda c: F.instr(F.lit(ALPHABET), c))
     c_log_c = F.array(*[F.lit(0.0)], *[F.lit(c).cast("double") * F.log2(F.lit(c).cast("double"))
                                        for c in range(1, window + 2)])
 
     def f(count: Column) -> Column:
         return F.element_at(c_log_c, count + 1)
 
-    def step(s: Column, i: Column) -> Column:
+    def step(codes: Column, s: Column, i: Column) -> Column:
         enters = F.element_at(codes, i)
         leaves = F.when(i > window, F.element_at(codes, i - window)).otherwise(0)
         plus = F.element_at(s["counts"], enters)
@@ -86,21 +90,26 @@ def random_part(string: Column, bits: Column, window: int) -> Column:
 
     begin = F.struct(F.array_repeat(F.lit(0), len(ALPHABET)).alias("counts"), F.lit(0.0).alias("total"),
                      F.lit(-1).alias("lo"), F.lit(-1).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.size(codes)), begin, step,
-                       lambda s: F.when(s["lo"] >= 0, F.struct(s["lo"].alias("lo"), s["hi"].alias("hi"))))
+    return bound(all_codes, lambda codes: F.aggregate(
+        F.sequence(F.lit(1), F.size(codes)), begin, lambda s, i: step(codes, s, i),
+        lambda s: F.when(s["lo"] >= 0, F.struct(s["lo"].alias("lo"), s["hi"].alias("hi")))))
 
 
 def entropy_spans(text: Column, base: Column, p: EntropyParams) -> Column:
     """Random parts of the candidates that no allowed pattern covers and no base span touches."""
     def judge(span: Column) -> Column:
-        string = F.substr(text, span["start"] + 1, span["end"] - span["start"])
+        return bound(F.substr(text, span["start"] + 1, span["end"] - span["start"]),
+                     lambda string: random_span(span, string))
+
+    def random_span(span: Column, string: Column) -> Column:
         digit_and_letter = string.rlike("[0-9]") & string.rlike("[A-Za-z]")
         allowed = F.lit(False)
         for pattern in ALLOWED:
             allowed = allowed | string.rlike(pattern)
         bits = F.when(string.rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.lit(p.hex_bits)).otherwise(F.lit(p.mixed_bits))
         part = F.when(digit_and_letter & ~allowed, random_part(string, bits, p.window))
-        return F.struct((span["start"] + part["lo"]).alias("start"), (span["start"] + part["hi"]).alias("end"))
+        return bound(part, lambda x: F.struct((span["start"] + x["lo"]).alias("start"),
+                                              (span["start"] + x["hi"]).alias("end")))
 
     free = F.filter(F.transform(matches(text, CANDIDATE, 0, p.window), judge),
                     lambda s: s["start"].isNotNull())

@@ -109,6 +109,7 @@ def test_entropy_adds_random_strings_only(spark):
     low = ["a1" * 20, "donaudampfschifffahrtsgesellschaft1", "1" * 40, "A" * 24 + "b2"]
     partly = "k9" * 15 + mixed[0][:26] + "9k" * 15
     allowed = "123e4567-e89b-12d3-a456-426614174000"
+    mixed.append("".join(rng.choice(string.ascii_letters + string.digits) for _ in range(8_000)))
     rows = [(i, f"ré {s} end") for i, s in enumerate([*mixed, *low, partly, allowed])]
     rows.append((99, "secret = " + mixed[1]))  # the base span stays, and no other covers it
     got = {r["doc_id"]: (r["a"], r["b"]) for r in scan_secrets(documents(spark, rows)).select(
