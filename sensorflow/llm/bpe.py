@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from itertools import islice
 from operator import itemgetter
 
@@ -17,9 +18,9 @@ from .common import map_texts, ranges
 
 #: Pieces known to a worker; beyond it the older half is forgotten and encoded again if met.
 CACHED_PIECES = 300_000
-#: Intermediate rows of one query at most, and characters of text in one step of a worker.
+#: Intermediate rows of one query at most, and bytes of text in one step of a worker.
 QUERY_ROWS = 3_000_000
-STEP_CHARS = 4_000_000
+STEP_BYTES = 4_000_000
 #: A recursive query keeps every intermediate row, about half the square of a piece's bytes;
 #: longer pieces than this are contracted with a heap instead, to the same ids.
 LONG_PIECE = 96
@@ -65,18 +66,22 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
 class Codec:
     """Encodes pieces and decodes ids of one vocabulary."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cached_pieces: int = CACHED_PIECES,
+                 query_rows: int = QUERY_ROWS):
+        self.ranks, self.cached_pieces, self.query_rows = ranks, cached_pieces, query_rows
         self.split = regex.compile(pattern).findall
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        halves = [(ranks.get(t[:i]), ranks.get(t[i:]), r)
-                  for t, r in ranks.items() for i in range(1, len(t))]
-        merges = [(a << 32 | b, r) for a, b, r in halves if a is not None and b is not None]
+        pair, rank = array("q"), array("q")
+        for t, r in ranks.items():
+            for i in range(1, len(t)):
+                a, b = ranks.get(t[:i]), ranks.get(t[i:])
+                if a is not None and b is not None:
+                    pair.append(a << 32 | b)
+                    rank.append(r)
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "600MB"})
         # the queries below read the Arrow tables of these names
-        pairs = pa.table({"pair": pa.array([m[0] for m in merges], pa.int64()),  # noqa: F841
-                          "rank": pa.array([m[1] for m in merges], pa.int64())})
-        tokens = pa.table({"token": pa.array(list(ranks.values()), pa.int32()),  # noqa: F841
+        pairs = pa.table({"pair": np.array(pair), "rank": np.array(rank)})  # noqa: F841
+        tokens = pa.table({"token": np.fromiter(ranks.values(), np.int32),  # noqa: F841
                            "hex": [t.hex() for t in ranks]})
         self.con.execute("CREATE TABLE merges AS SELECT * FROM pairs")
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM tokens")
@@ -95,7 +100,7 @@ class Codec:
             elif p:
                 todo.append(i)
         todo.sort(key=lambda i: len(pieces[i]))
-        for a, b in ranges([len(pieces[i]) ** 2 // 2 for i in todo], QUERY_ROWS):
+        for a, b in ranges([len(pieces[i]) ** 2 // 2 for i in todo], self.query_rows):
             block = todo[a:b]
             for i, ids in zip(block, self._contract_all([pieces[i] for i in block])):
                 out[i] = ids
@@ -118,7 +123,7 @@ class Codec:
     def decode(self, sequences: list[bytes]) -> list[bytes]:
         """Bytes of each sequence of packed ids."""
         out = [b""] * len(sequences)
-        for a, b in ranges([len(x) // 4 for x in sequences], QUERY_ROWS):
+        for a, b in ranges([len(x) // 4 for x in sequences], self.query_rows):
             size = [len(x) // 4 for x in sequences[a:b]]
             flat = np.frombuffer(b"".join(sequences[a:b]), "<u4").astype(np.int32)
             ids = pa.table({"word": np.repeat(np.arange(a, b), size),  # noqa: F841
@@ -133,8 +138,8 @@ class Codec:
         split = [self.split(t) for t in texts]
         met = set().union(*split)
         new = list(met - self.known.keys())
-        if len(self.known) + len(new) > CACHED_PIECES:
-            keep = max(0, CACHED_PIECES // 2 - len(new))
+        if len(self.known) + len(new) > self.cached_pieces:
+            keep = max(0, self.cached_pieces // 2 - len(new))
             self.known = dict(islice(self.known.items(), max(0, len(self.known) - keep), None))
             new = list(met - self.known.keys())
         ids = self.encode_pieces([p.encode() for p in new])
@@ -182,14 +187,18 @@ _CODECS: dict[int, Codec] = {}
 
 
 def bpe_round_trip(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id",
-                   text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+                   text_col: str = "text", carry: tuple[str, ...] = (),
+                   cached_pieces: int = CACHED_PIECES, query_rows: int = QUERY_ROWS,
+                   step_bytes: int = STEP_BYTES) -> DataFrame:
     """One row per input row: id, the ``carry`` columns, n_tokens, ids (packed little-endian
     unsigned 32-bit) and decoded bytes.
 
     ``vocabulary`` is the path of a rank file, read on the driver and broadcast (its size is
     that of one vocabulary); ``pattern`` splits a text into pieces that are encoded alone.
     Each worker keeps the pieces that it has met, encodes new ones with one recursive DuckDB
-    query and decodes their ids with an ordered aggregation.  NULL text counts as empty, and
+    query and decodes their ids with an ordered aggregation.  ``cached_pieces``,
+    ``query_rows`` and ``step_bytes`` bound a worker's memory: smaller ones cost time and change
+    no result.  NULL text counts as empty, and
     an empty text has no tokens.
     """
     with open(vocabulary, "rb") as f:
@@ -197,13 +206,14 @@ def bpe_round_trip(docs: DataFrame, vocabulary: str, pattern: str, id_col: str =
 
     def work(texts: list[str]) -> list:
         data, split = shared.value
-        key = hash((data, split))
+        key = hash((data, split, cached_pieces, query_rows))
         if key not in _CODECS:
-            _CODECS[key] = Codec(read_ranks(data), split)
+            _CODECS.clear()
+            _CODECS[key] = Codec(read_ranks(data), split, cached_pieces, query_rows)
         found = _CODECS[key].both(texts)
         return [pa.array([len(ids) // 4 for ids, _ in found], pa.int64()),
                 pa.array([ids for ids, _ in found], pa.binary()),
                 pa.array([decoded for _, decoded in found], pa.binary())]
 
     return map_texts(docs, id_col, text_col, "n_tokens long, ids binary, decoded binary", work,
-                     STEP_CHARS, carry)
+                     step_bytes, carry)

@@ -6,10 +6,13 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+ARROW_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+ARROW_BYTES = "8m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,26 +68,37 @@ def ranges(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
+def smaller_batches(spark: SparkSession) -> None:
+    """Arrow batches of ARROW_BYTES, unless the session says otherwise: a row holds a whole
+    text here, and each running task keeps a batch in the JVM and one in Python."""
+    if ARROW_KEY not in spark.conf.getAll:
+        spark.conf.set(ARROW_KEY, ARROW_BYTES)
+
+
 def map_texts(df: DataFrame, id_col: str, text_col: str, fields: str,
               work: Callable[[list[str]], list], block_chars: int,
               carry: tuple[str, ...] = ()) -> DataFrame:
     """The id and ``carry`` columns beside what ``work`` returns for the texts, in blocks of
-    about ``block_chars``.
+    about ``block_chars`` bytes.
 
     ``work`` gets texts (NULL as empty) and returns one sequence per field of ``fields`` (DDL).
     Ids pass through as Arrow arrays, so NULL and large ones stay as they are.
     """
+    smaller_batches(df.sparkSession)
     names = [f.split()[0] for f in fields.split(",")]
     kept = [f"c{i}" for i in range(len(carry) + 1)]
     read = f"c{carry.index(text_col) + 1}" if text_col in carry else "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(read).to_pylist()]
-            for a, b in ranges([len(t) for t in texts], block_chars):
+            column = batch.column(read)
+            sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+            for a, b in ranges(sizes, block_chars):
+                texts = [t or "" for t in column.slice(a, b - a).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(k).slice(a, b - a) for k in kept),
-                     *map(pa.array, work(texts[a:b]))], [*kept, *names])
+                    [*(batch.column(k).slice(a, b - a) for k in kept), *map(pa.array, work(texts))],
+                    [*kept, *names])
+        pa.default_memory_pool().release_unused()  # workers outlive their tasks
 
     kinds = dict(df.dtypes)
     own = [id_col, *carry]

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 from .common import map_texts
 
-#: Labelled characters per language that its automaton is built from (a bounded sample).
-TRAIN_CHARS = 40_000
+#: Labelled characters per language that its automaton is built from (a bounded sample), and
+#: of all languages together, which bounds the broadcast automata.
+TRAIN_CHARS = 24_000
+ALL_CHARS = 1_600_000
 #: Labelled documents aimed at per language when drawing that sample.
 TRAIN_DOCS = 64
 #: Symbols: end of text, anything but a letter, a letter unseen in the labelled text, letters.
@@ -133,6 +135,7 @@ class LanguageModel:
 def train(samples: dict[str, list[str]], chars: int = TRAIN_CHARS) -> LanguageModel:
     """Automata of at most ``chars`` folded characters per language, taken evenly from its texts."""
     folded: dict[str, np.ndarray] = {}
+    chars = max(1, min(chars, ALL_CHARS // max(1, len(samples))))
     for lang in sorted(samples):
         texts = [x for x in (fold(t) for t in samples[lang]) if len(x)]
         share = max(1, chars // max(1, len(texts)))
