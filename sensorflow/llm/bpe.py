@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from .common import map_texts, ranges
 
 #: Pieces known to a worker; beyond it the older half is forgotten and encoded again if met.
-CACHED_PIECES = 300_000
+CACHED_PIECES = 500_000
 #: Intermediate rows of one query at most, and bytes of text in one step of a worker.
 QUERY_ROWS = 3_000_000
 STEP_BYTES = 4_000_000
