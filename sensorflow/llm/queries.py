@@ -40,7 +40,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), short_inside=True)
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
