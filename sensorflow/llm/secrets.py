@@ -5,6 +5,8 @@ DataFrame operations only.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -21,7 +23,13 @@ BASE_KINDS = [
 ]
 ENTROPY_KIND = "entropy"
 #: Candidate strings: runs of the characters that keys are written in.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{24,}"
+LEAST = 16
+CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
+#: Maximal runs inside candidates that are judged by their own bits.  Runs of lower-case
+#: hexadecimal digits need none here: from 16 on each is a base span.
+UPPER_HEX = r"[0-9A-F]{16,}"
+LETTERS = r"[A-Za-z]{16,}"
+CASE_CHANGE = r"(?<=[a-z])[A-Z]|(?<=[A-Z])[a-z]"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Strings that look random and are none: UUIDs, dates with times, dashes and underscores as rules.
 ALLOWED = [
@@ -34,8 +42,9 @@ ALLOWED = [
 @dataclass(frozen=True)
 class EntropyParams:
     """Window length, and bits per character from which a window of a class counts as random:
-    hexadecimal candidates (16 symbols, with a digit and a letter) and other ones with a digit
-    and a letter (random text of 24 characters has about 3.4 and 4.3 bits, words about 3.4)."""
+    upper-case hexadecimal runs (16 symbols), and other candidates and runs of letters (random
+    text of 24 characters has about 3.4 and 4.3 bits, words about 3.4).  A shorter run is one
+    window, whose bits are scaled by the logarithm of its length."""
 
     window: int = 24
     hex_bits: float = 3.1
@@ -64,13 +73,19 @@ def matches(text: Column, pattern: str, group: int, least: int) -> Column:
     return F.when(text.rlike(pattern), bound(found, places)).otherwise(none)
 
 
-def random_part(string: Column, bits: Column, window: int) -> Column:
+def random_part(string: Column, bits: float, longest: int) -> Column:
     """(start, end) from the first to the last window of at least ``bits`` per character, NULL
     if there is none.  Counts and the sum of c log c change with the character that enters the
-    window and the one that leaves it."""
+    window and the one that leaves it.  A string shorter than ``longest`` is one window, and its
+    bits are scaled by the logarithm of its length."""
+    return bound(F.least(F.length(string), F.lit(longest)), lambda window: _random_part(
+        string, F.lit(bits / math.log2(longest)) * F.log2(window.cast("double")), window, longest))
+
+
+def _random_part(string: Column, bits: Column, window: Column, longest: int) -> Column:
     all_codes = F.transform(F.split(string, ""), lambda c: F.instr(F.lit(ALPHABET), c))
     c_log_c = F.array(*[F.lit(0.0)], *[F.lit(c).cast("double") * F.log2(F.lit(c).cast("double"))
-                                       for c in range(1, window + 2)])
+                                       for c in range(1, longest + 2)])
 
     def f(count: Column) -> Column:
         return F.element_at(c_log_c, count + 1)
@@ -83,7 +98,7 @@ def random_part(string: Column, bits: Column, window: int) -> Column:
         total = F.when(enters == leaves, s["total"]).otherwise(
             s["total"] + f(plus + 1) - f(plus) + F.when(leaves > 0, f(F.greatest(minus - 1, F.lit(0))) - f(minus)).otherwise(0.0))
         counts = F.transform(s["counts"], lambda c, k: c + (k + 1 == enters).cast("int") - (k + 1 == leaves).cast("int"))
-        random = (i >= window) & (F.lit(window).cast("double") * (F.log2(F.lit(float(window))) - bits) >= total - 1e-9)
+        random = (i >= window) & (window.cast("double") * (F.log2(window.cast("double")) - bits) >= total - 1e-9)
         return F.struct(counts.alias("counts"), total.alias("total"),
                         F.when(random & (s["lo"] < 0), i - window).otherwise(s["lo"]).alias("lo"),
                         F.when(random, i).otherwise(s["hi"]).alias("hi"))
@@ -95,25 +110,54 @@ def random_part(string: Column, bits: Column, window: int) -> Column:
         lambda s: F.when(s["lo"] >= 0, F.struct(s["lo"].alias("lo"), s["hi"].alias("hi")))))
 
 
+def merged(spans: Column) -> Column:
+    """Overlapping spans as one, in order."""
+    def step(out: Column, s: Column) -> Column:
+        last = F.element_at(out, -1)
+        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        return F.when((F.size(out) > 0) & (s["start"] < F.get(out, F.size(out) - 1)["end"]),
+                      F.concat(F.slice(out, 1, F.size(out) - 1), F.array(joined))).otherwise(F.concat(out, F.array(s)))
+
+    return F.aggregate(F.array_sort(spans), F.array().cast("array<struct<start:int,end:int>>"), step)
+
+
 def entropy_spans(text: Column, base: Column, p: EntropyParams) -> Column:
-    """Random parts of the candidates that no allowed pattern covers and no base span touches."""
-    def judge(span: Column) -> Column:
-        return bound(F.substr(text, span["start"] + 1, span["end"] - span["start"]),
-                     lambda string: random_span(span, string))
+    """Random parts of the candidates that no allowed pattern covers and no base span touches.
+
+    A candidate with a digit and a letter is judged as a whole, and each maximal run of one class
+    in it by that class's bits.  Runs of letters are told from words by their case: all of one
+    case and at least a window long, or changing it more often than every fourth character.
+    """
+    digit = "[0-9]"
 
-    def random_span(span: Column, string: Column) -> Column:
-        digit_and_letter = string.rlike("[0-9]") & string.rlike("[A-Za-z]")
+    def judged(pattern: str, bits: float, wanted: Callable[[Column], Column]) -> Column:
+        def judge(span: Column) -> Column:
+            return bound(F.substr(text, span["start"] + 1, span["end"] - span["start"]),
+                         lambda string: random_span(span, string))
+
+        def random_span(span: Column, string: Column) -> Column:
+            part = F.when(wanted(string), random_part(string, bits, p.window))
+            return bound(part, lambda x: F.struct((span["start"] + x["lo"]).cast("int").alias("start"),
+                                                  (span["start"] + x["hi"]).cast("int").alias("end")))
+
+        return F.filter(F.transform(matches(text, pattern, 0, LEAST), judge), lambda s: s["start"].isNotNull())
+
+    def mixed(string: Column) -> Column:
         allowed = F.lit(False)
         for pattern in ALLOWED:
             allowed = allowed | string.rlike(pattern)
-        bits = F.when(string.rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.lit(p.hex_bits)).otherwise(F.lit(p.mixed_bits))
-        part = F.when(digit_and_letter & ~allowed, random_part(string, bits, p.window))
-        return bound(part, lambda x: F.struct((span["start"] + x["lo"]).alias("start"),
-                                              (span["start"] + x["hi"]).alias("end")))
-
-    free = F.filter(F.transform(matches(text, CANDIDATE, 0, p.window), judge),
-                    lambda s: s["start"].isNotNull())
-    return F.filter(free, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+        return string.rlike(digit) & string.rlike("[A-Za-z]") & ~allowed
+
+    def upper_hex(string: Column) -> Column:
+        return string.rlike(digit) & string.rlike("[A-F]")
+
+    def letters(string: Column) -> Column:
+        one_case = string.rlike("^([a-z]+|[A-Z]+)$") & (F.length(string) >= p.window)
+        return one_case | (F.regexp_count(string, F.lit(CASE_CHANGE)) * 4 > F.length(string))
+
+    free = F.concat(judged(CANDIDATE, p.mixed_bits, mixed), judged(UPPER_HEX, p.hex_bits, upper_hex),
+                    judged(LETTERS, p.mixed_bits, letters))
+    return merged(F.filter(free, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

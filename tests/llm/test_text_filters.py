@@ -122,6 +122,29 @@ def test_entropy_adds_random_strings_only(spark):
     assert got[99][0] == "" and got[99][1] == "assign:0:49"
 
 
+def found_secrets(spark, texts):
+    got = scan_secrets(documents(spark, list(enumerate(texts)))).select("doc_id", listed(F.col("added")).alias("a")).collect()
+    return [a for _, a in sorted((r["doc_id"], r["a"]) for r in got)]
+
+
+def test_classes_are_judged_by_run_and_short_keys_are_found(spark):
+    rng = random.Random(8)
+
+    def key(alphabet, n):
+        return "".join(rng.choice(alphabet) for _ in range(n))
+
+    hexes = [f"{glue}{key('0123456789ABCDEF', n)}" for glue in ("k=", "/v1/", "id=", "SIGNING_KEY=", "")
+             for n in (20, 40, 40) for _ in range(4)]
+    short = [f"{glue}{key(string.ascii_letters + string.digits, n)}" for glue in ("", "k=") for n in (18, 20, 22) for _ in range(8)]
+    only = [key(string.ascii_letters, 40) for _ in range(8)]
+    words_ = ["acknowledgements", "donaudampfschifffahrtsgesellschaft", "addEventListener", "aaaaaaaabbbbbbbb12", "1234567890123456789012"]
+    got = found_secrets(spark, [*hexes, *short, *only, *words_])
+    a, b, c = len(hexes), len(hexes) + len(short), len(hexes) + len(short) + len(only)
+    assert sum(map(bool, got[:a])) >= 0.95 * a
+    assert sum(map(bool, got[a:b])) >= 0.85 * len(short)
+    assert all(got[b:c]) and not any(got[c:])
+
+
 def labelled_docs(rng):
     rows, labels = [], []
     for i in range(300):
