@@ -31,11 +31,13 @@ UPPER_HEX = r"[0-9A-F]{16,}"
 LETTERS = r"[A-Za-z]{16,}"
 CASE_CHANGE = r"(?<=[a-z])[A-Z]|(?<=[A-Z])[a-z]"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-#: Strings that look random and are none: UUIDs, dates with times, dashes and underscores as rules.
+#: Parts that look random and are not: UUIDs, dates with times, dashes and underscores as rules.
+#: They and the base spans are cut out of the candidates; what is left of these is judged.
 ALLOWED = [
-    r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T_-].*$",
-    r"^[-_=+/]+$",
+    r"(?<![0-9A-Za-z])[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}(?![0-9A-Za-z])",
+    r"(?<![0-9A-Za-z])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-SU-Za-z])"
+    r"(?:[T_-][0-9]{2}(?:-?[0-9]{2}){0,2}(?:Z|[+-][0-9]{2}-?[0-9]{2})?(?![0-9A-Za-z]))?",
+    r"[-_=+/]{16,}",
 ]
 
 
@@ -121,13 +123,31 @@ def merged(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), F.array().cast("array<struct<start:int,end:int>>"), step)
 
 
+def without(text: Column, spans: Column) -> Column:
+    """The text with blanks in place of the spans (in order, apart from each other)."""
+    def kept(s: Column, i: Column) -> Column:
+        before = F.when(i == 0, F.lit(0)).otherwise(F.get(spans, i - 1)["end"])
+        return F.concat(F.substr(text, before + 1, s["start"] - before), F.repeat(F.lit(" "), s["end"] - s["start"]))
+
+    tail = F.substr(text, F.element_at(spans, -1)["end"] + 1)
+    return F.when(F.size(spans) == 0, text).otherwise(
+        F.concat(F.array_join(F.transform(spans, kept), ""), tail))
+
+
 def entropy_spans(text: Column, base: Column, p: EntropyParams) -> Column:
-    """Random parts of the candidates that no allowed pattern covers and no base span touches.
+    """Random parts of the candidates, from which base spans and allowed patterns are cut out.
 
     A candidate with a digit and a letter is judged as a whole, and each maximal run of one class
     in it by that class's bits.  Runs of letters are told from words by their case: all of one
     case and at least a window long, or changing it more often than every fourth character.
     """
+    cut = F.concat(F.transform(base, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))),
+                   *[matches(text, pattern, 0, 1) for pattern in ALLOWED])
+    return bound(merged(cut), lambda spans: bound(without(text, spans), lambda rest: random_spans(rest, p)))
+
+
+def random_spans(text: Column, p: EntropyParams) -> Column:
+    """Random parts of the candidates of a text."""
     digit = "[0-9]"
 
     def judged(pattern: str, bits: float, wanted: Callable[[Column], Column]) -> Column:
@@ -143,10 +163,7 @@ def entropy_spans(text: Column, base: Column, p: EntropyParams) -> Column:
         return F.filter(F.transform(matches(text, pattern, 0, LEAST), judge), lambda s: s["start"].isNotNull())
 
     def mixed(string: Column) -> Column:
-        allowed = F.lit(False)
-        for pattern in ALLOWED:
-            allowed = allowed | string.rlike(pattern)
-        return string.rlike(digit) & string.rlike("[A-Za-z]") & ~allowed
+        return string.rlike(digit) & string.rlike("[A-Za-z]")
 
     def upper_hex(string: Column) -> Column:
         return string.rlike(digit) & string.rlike("[A-F]")
@@ -155,9 +172,8 @@ def entropy_spans(text: Column, base: Column, p: EntropyParams) -> Column:
         one_case = string.rlike("^([a-z]+|[A-Z]+)$") & (F.length(string) >= p.window)
         return one_case | (F.regexp_count(string, F.lit(CASE_CHANGE)) * 4 > F.length(string))
 
-    free = F.concat(judged(CANDIDATE, p.mixed_bits, mixed), judged(UPPER_HEX, p.hex_bits, upper_hex),
-                    judged(LETTERS, p.mixed_bits, letters))
-    return merged(F.filter(free, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))))
+    return merged(F.concat(judged(CANDIDATE, p.mixed_bits, mixed), judged(UPPER_HEX, p.hex_bits, upper_hex),
+                           judged(LETTERS, p.mixed_bits, letters)))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -145,6 +145,19 @@ def test_classes_are_judged_by_run_and_short_keys_are_found(spark):
     assert all(got[b:c]) and not any(got[c:])
 
 
+def test_dates_and_base_spans_are_cut_out_of_candidates(spark):
+    rng = random.Random(9)
+    key = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(40))
+    texts = [f"2024-01-15_{key}", f"2024-01-15T10-30-00Z-{key}", f"api_key=abcdefghijklm.{key}", f"{'0' * 20}/Z_{key}",
+             f"123e4567-e89b-12d3-a456-426614174000/{key}", "2024-01-15T103000+0100", "2024-01-15_10-30-00-2024-01-16",
+             f"é {key}"]
+    got = found_secrets(spark, texts)
+    for t, spans in zip(texts[:2] + texts[3:5] + texts[7:], got[:2] + got[3:5] + got[7:]):
+        kind, start, end = spans.split(":")
+        assert abs(int(start) - t.index(key)) <= 4 and int(end) >= len(t) - 2, (t, spans)
+    assert got[2] == "" and got[5:7] == ["", ""]  # the base span covers the key; nothing but times
+
+
 def labelled_docs(rng):
     rows, labels = [], []
     for i in range(300):
