@@ -32,6 +32,14 @@ SURROUNDINGS = frozenset("""ad ads advert advertisement advertising banner bread
     toolbar topbar widget""".split())
 #: Elements that name the main text themselves.
 MAIN = frozenset(("article", "main"))
+#: Elements that are text blocks or rows of them, never the region; a cell is one if it is one line.
+TEXT_BLOCKS = frozenset("""address blockquote caption dd dl dt figcaption h1 h2 h3 h4 h5 h6 legend li
+    menu ol option p pre summary table tbody tfoot thead tr ul""".split())
+CELLS = frozenset(("td", "th"))
+#: Characters that a line counts for at most, so that one long paragraph does not hide short ones.
+LINE_CHARS = 200
+#: Lines, mostly links, between content and a cluster that is clearly apart from it.
+GAP_LINES = 3
 FEED_CHARS = 65_536
 SPACE = re.compile(r"\s+")
 
@@ -143,13 +151,39 @@ def smooth(values: list[float], sigma: float = 1.0) -> list[float]:
     return out
 
 
+def clusters(content: list[int], found: list[tuple[str, Line]], own: list[int]) -> list[list[int]]:
+    """Content lines, cut where GAP_LINES or more others lie between that are mostly links."""
+    out = [content[:1]]
+    for a, b in zip(content, content[1:]):
+        between = range(a + 1, b)
+        chars = sum(len(found[i][0]) for i in between)
+        if len(between) >= GAP_LINES and 2 * sum(own[i] for i in between) < chars:
+            out.append([])
+        out[-1].append(b)
+    return out
+
+
+def region_of(lines: list[tuple[int, ...]], kinds: dict[int, str]) -> int | None:
+    """The deepest element around all the lines that is no text block; None is the whole page."""
+    shared = lines[0]
+    for path in lines[1:]:
+        n = next((i for i, (x, y) in enumerate(zip(shared, path)) if x != y), min(len(shared), len(path)))
+        shared = shared[:n]
+    depth = len(shared)
+    while depth and (kinds[shared[depth - 1]] in TEXT_BLOCKS
+                     or (kinds[shared[depth - 1]] in CELLS and len(lines) == 1)):
+        depth -= 1
+    return shared[depth - 1] if depth else None
+
+
 def main_text(html: str) -> str:
     """Blocks of the content region, one per line.
 
     Lines whose smoothed text-to-tag ratio reaches the threshold (half the mean, in which link
-    text does not count) are content.  An article or main element that holds content is the
-    region; without one it is the smallest element that holds nine tenths of the content's
-    characters.  All lines of the region stay, short ones too.
+    text does not count and a long line counts for LINE_CHARS) are content.  An article or main
+    element that holds content is the region; without one it is the smallest container of all
+    content but clusters clearly apart that hold less than a tenth of its characters; a text
+    block is no container.  All lines of the region stay, short ones too.
     """
     parser = Lines()
     for a in range(0, len(html), FEED_CHARS):
@@ -162,26 +196,21 @@ def main_text(html: str) -> str:
             found.append((text, line))
     if not found:
         return ""
+    named = {n for _, line in found for n in line.inside if parser.kinds[n] in MAIN}
     own = [max(0, len(t) - line.link_chars) for t, line in found]
-    ratio = smooth([n / max(1, line.tags) for n, (_, line) in zip(own, found)])
+    ratio = smooth([min(LINE_CHARS, n / max(1, line.tags)) for n, (_, line) in zip(own, found)])
     threshold = sum(ratio) / len(ratio) / 2
     content = [i for i, r in enumerate(ratio) if r >= threshold]
-    held: dict[int, int] = {}
-    for i in content:
-        for n in found[i][1].inside:
-            held[n] = held.get(n, 0) + own[i]
-    named = {n for n in held if parser.kinds[n] in MAIN and held[n] > 0}
-    if not named:
-        named = {n for n, line in ((n, line) for _, line in found for n in line.inside)
-                 if parser.kinds[n] in MAIN}
     if named:
-        return "\n".join(t for t, line in found if named & set(line.inside))
-    total = sum(own[i] for i in content)
-    region = max((n for n, chars in held.items() if chars * 10 >= total * 9), default=None)
-    if region is None:
-        first, last = content[0], content[-1]
-        return "\n".join(t for t, _ in found[first:last + 1])
-    return "\n".join(t for t, line in found if region in line.inside)
+        held = {n for i in content if own[i] for n in found[i][1].inside} & named
+        return "\n".join(t for t, line in found if (held or named) & set(line.inside))
+    # a line of links beside long text is content by smoothing only
+    content = [i for i in content if 2 * own[i] >= len(found[i][0])] or content
+    groups = clusters(content, found, own)
+    sizes = [sum(own[i] for i in g) for g in groups]
+    kept = [i for g, n in zip(groups, sizes) if n * 10 >= sum(sizes) for i in g]
+    region = region_of([found[i][1].inside for i in kept], parser.kinds)
+    return "\n".join(t for t, line in found if region is None or region in line.inside)
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",

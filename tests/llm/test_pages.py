@@ -45,6 +45,32 @@ def test_main_text(html, text):
     assert html_text.main_text(html) == text
 
 
+def paragraphs(n, chars):
+    return [(f"Paragraph {i} " + LONG * (chars // len(LONG) + 1))[:chars].strip() for i in range(n)]
+
+
+@pytest.mark.parametrize("wrap", ["<body><div>{}</div></body>", "<body>{}</body>", "{}",
+                                  "<body><div id=menu-x><ul><li><a href=a>Home page</a><li><a href=b>Other pages</a>"
+                                  "</ul></div><div>{}</div></body>"])
+@pytest.mark.parametrize("tag", ["p", "pre", "blockquote", "div"])
+@pytest.mark.parametrize("n,long", [(20, 8_000), (60, 20_000), (0, 900)])
+def test_one_long_paragraph_among_short_ones_without_article(wrap, tag, n, long):
+    short, big = paragraphs(n, 200), paragraphs(1, long)[0]
+    blocks = [*(f"<p>{t}</p>" for t in short[:n // 2]), f"<{tag}>{big}</{tag}>", *(f"<p>{t}</p>" for t in short[n // 2:])]
+    got = html_text.main_text(wrap.format("<h1>Title</h1>" + "".join(blocks))).split("\n")
+    want = ["Title", *short[:n // 2], big, *short[n // 2:]]
+    assert got == want
+
+
+def test_a_tenth_beside_a_nested_wrapper_stays_and_a_cluster_apart_does_not():
+    links = "".join(f"<li><a href=x{i}>Another page of this site</a>" for i in range(6))
+    body = "".join(f"<p>{t}</p>" for t in paragraphs(10, 300))
+    near = html_text.main_text(f"<body><div><div>{body}</div><div><p>{LONG}</p></div></div></body>")
+    assert near.split("\n") == [*paragraphs(10, 300), LONG.strip()]
+    apart = html_text.main_text(f"<body><div>{body}</div><ul>{links}</ul><div><p>{LONG}</p></div></body>")
+    assert apart.split("\n") == paragraphs(10, 300)
+
+
 def test_extraction_keeps_every_row(spark):
     rows = [(i, f"u{i}", h) for i, (h, _) in enumerate(CASES)]
     big = "<article>" + "<p>word</p>" * 30_000 + "</article>"
