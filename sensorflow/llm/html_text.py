@@ -30,6 +30,11 @@ SURROUNDINGS = frozenset("""ad ads advert advertisement advertising banner bread
     notices notification pagination popup promo promoted promotion recommended related replies reply
     respond search share sharing sidebar signup skip social sponsor sponsored subscribe tags teaser
     toolbar topbar widget""".split())
+#: Of these, words of what holds articles of its own beside the main one.
+REPEATING = frozenset("""comment comments commentlist disqus recommended related replies reply respond
+    teaser""".split())
+#: Text in a marked element counts for a tenth of other text in deciding whether it is the page itself.
+PENALTY = 10
 #: Elements that name the main text themselves.
 MAIN = frozenset(("article", "main"))
 #: Elements that are text blocks or rows of them, never the region; a cell is one if it is one line.
@@ -44,6 +49,16 @@ FEED_CHARS = 65_536
 SPACE = re.compile(r"\s+")
 
 
+@dataclass
+class Marked:
+    """A skipped element whose marks alone speak against it."""
+    repeating: bool
+    in_main: bool
+    #: characters outside links that it holds, and those of them in an article or main inside it
+    chars: int = 0
+    main_chars: int = 0
+
+
 @dataclass
 class Line:
     text: list[str] = field(default_factory=list)
@@ -54,13 +69,17 @@ class Line:
 
 
 class Lines(HTMLParser):
-    """Collects one line per run of text between block boundaries; skipped elements give none."""
+    """Collects one line per run of text between block boundaries; skipped elements give none.
+    The marks of elements with the numbers ``exempt`` do not count."""
 
-    def __init__(self):
+    def __init__(self, exempt: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
+        self.exempt = exempt
         self.lines = [Line()]
-        #: tag, number, skipped, inside a link, numbers of the block elements down to it
-        self.open: list[tuple[str, int, bool, bool, tuple[int, ...]]] = []
+        #: tag, number, skipped, inside a link, numbers of the block elements down to it, number of
+        #: the marked element that it is skipped for (0: none)
+        self.open: list[tuple[str, int, bool, bool, tuple[int, ...], int]] = []
+        self.marked: dict[int, Marked] = {}
         self.kinds: dict[int, str] = {}
         self.count = 0
 
@@ -96,13 +115,21 @@ class Lines(HTMLParser):
         marks = re.split(r"[^a-z0-9]+", marks.lower()) if marks else ()
         hidden = any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs)
         path = self.open[-1][4] if self.open else ()
-        titled = tag == "header" and any(self.kinds[n] in MAIN for n in path)  # an article's own
-        skipped = (self._skipping() or (tag in SKIPPED and not titled) or hidden
-                   or (tag not in ("html", "body", *MAIN) and any(m in SURROUNDINGS for m in marks)))
+        in_main = any(self.kinds[n] in MAIN for n in path)
+        titled = tag == "header" and in_main  # an article's own
+        root = self.open[-1][5] if self.open else 0
         self.count += 1
         self.kinds[self.count] = tag
+        skipped = self._skipping() or (tag in SKIPPED and not titled) or hidden
+        if (tag in SKIPPED and not titled) or hidden:
+            root = 0
+        elif not skipped and tag not in ("html", "body", *MAIN) and self.count not in self.exempt:
+            words = SURROUNDINGS.intersection(marks)
+            if words and not (in_main and words == {"header"}):
+                skipped, root = True, self.count
+                self.marked[root] = Marked(bool(REPEATING & words), in_main)
         self.open.append((tag, self.count, skipped, tag == "a" or bool(self.open and self.open[-1][3]),
-                          (*path, self.count) if tag in BLOCKS else path))
+                          (*path, self.count) if tag in BLOCKS else path, root))
 
     def _end_nearest(self, tag: str, fences: tuple[str, ...]) -> None:
         for i in range(len(self.open) - 1, -1, -1):
@@ -126,8 +153,36 @@ class Lines(HTMLParser):
             if tag not in BLOCKS and tag not in SKIPPED and self.open[i][0] in BLOCKS:
                 return
 
+    def _count_marked(self, data: str) -> None:
+        _, _, _, link, path, root = self.open[-1] if self.open else ("", 0, False, False, (), 0)
+        if root and not link:
+            chars = len(data.strip())
+            self.marked[root].chars += chars
+            if any(n > root and self.kinds[n] in MAIN for n in path):
+                self.marked[root].main_chars += chars
+
+    def wrongly_marked(self) -> set[int]:
+        """Marked elements that hold the article, or nearly all text of the page or of its article."""
+        plain = main = 0
+        named = False
+        for line in self.lines:
+            chars = max(0, sum(len(t.strip()) for t in line.text) - line.link_chars)
+            plain += chars
+            if any(self.kinds[n] in MAIN for n in line.inside):
+                main, named = main + chars, True
+        hold = {n for n, m in self.marked.items()
+                if m.main_chars and (main == 0 or (not m.repeating and m.main_chars >= main))}
+        own = {n for n in hold if not self.marked[n].repeating}
+        if hold:
+            return own or hold
+        rest = [(m.chars, n) for n, m in self.marked.items() if m.in_main or not named]
+        besides = main if named else plain
+        most = max(((c, n) for c, n in rest if not self.marked[n].repeating or besides == 0), default=(0, 0))
+        return {most[1]} if most[0] > PENALTY * besides else set()
+
     def handle_data(self, data):
         if self._skipping() or not data:
+            self._count_marked(data)
             return
         line = self.lines[-1]
         if not line.text and not data.strip():
@@ -151,6 +206,20 @@ def smooth(values: list[float], sigma: float = 1.0) -> list[float]:
     return out
 
 
+def parsed(html: str) -> Lines:
+    """The page's lines; it is parsed again where marks hid the page itself."""
+    exempt: frozenset[int] = frozenset()
+    while True:
+        parser = Lines(exempt)
+        for a in range(0, len(html), FEED_CHARS):
+            parser.feed(html[a:a + FEED_CHARS])
+        parser.close()
+        more = parser.wrongly_marked() if parser.marked else set()
+        if not more:
+            return parser
+        exempt |= more
+
+
 def clusters(content: list[int], found: list[tuple[str, Line]], own: list[int]) -> list[list[int]]:
     """Content lines, cut where GAP_LINES or more others lie between that are mostly links."""
     out = [content[:1]]
@@ -185,10 +254,7 @@ def main_text(html: str) -> str:
     content but clusters clearly apart that hold less than a tenth of its characters; a text
     block is no container.  All lines of the region stay, short ones too.
     """
-    parser = Lines()
-    for a in range(0, len(html), FEED_CHARS):
-        parser.feed(html[a:a + FEED_CHARS])
-    parser.close()
+    parser = parsed(html)
     found = []
     for line in parser.lines:
         text = SPACE.sub(" ", "".join(line.text)).strip()

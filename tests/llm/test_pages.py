@@ -45,6 +45,29 @@ def test_main_text(html, text):
     assert html_text.main_text(html) == text
 
 
+MARKED = [
+    ("<div class='has-sidebar'><article><p>Body</p></article></div>", "Body"),
+    ("<body><div id='page' class='site share'><header>Site</header><div class='no-sidebar'><main><p>Body</p></main></div>"
+     "<div class=sidebar><p>" + LONG + "</div></div></body>", "Body"),
+    ("<div class='has-sidebar'><article><p>" + LONG + "</p></article></div><article><p>Other</p></article>",
+     LONG.strip() + "\nOther"),
+    ("<article><header class='entry-header'><h1>Title</h1></header><p>Body</p></article>", "Title\nBody"),
+    ("<article><h1 class='post-header'>Title</h1><p>Body</p><div class='share'>Share</div></article>", "Title\nBody"),
+    ("<main><div class='site share'><p>" + LONG + "</p></div><p>x</p></main>", LONG.strip() + "\nx"),
+    ("<div class='site has-sidebar'><h2>Title</h2><p>" + LONG + "</p><p>" + LONG + "</p></div><p>c</p>",
+     f"Title\n{LONG.strip()}\n{LONG.strip()}\nc"),
+    ("<div class=post><p>Short</p></div><div class=comments><p>" + LONG * 9 + "</p></div>", "Short"),
+    ("<article><p>Short</p></article><ol class=comments><li><article><p>" + LONG + "</p></article></ol>", "Short"),
+    ("<article><p>" + LONG + "</p></article><div class=sidebar><article>Other</article></div>", LONG.strip()),
+    ("<article><p>in <span class=share>Share</span> line</p></article>", "in line"),
+]
+
+
+@pytest.mark.parametrize("html,text", MARKED)
+def test_marks_do_not_hide_the_page_itself(html, text):
+    assert html_text.main_text(html) == text
+
+
 def paragraphs(n, chars):
     return [(f"Paragraph {i} " + LONG * (chars // len(LONG) + 1))[:chars].strip() for i in range(n)]
 
