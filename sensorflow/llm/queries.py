@@ -16,9 +16,11 @@ from .html_text import extract_text
 from .language import identify_language
 from .near_dedup import NearParams, near_duplicates
 from .secrets import listed, scan_secrets
+from .token_counts import count_tokens
 from .toxicity import learn, score_toxicity
 from .url_filter import judge_urls
 from .warc import read_warc, warc_folder, write_warc
+from .whitening import whiten
 
 
 def held_out() -> Column:
@@ -84,6 +86,14 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_warc": op2_warc,
@@ -95,6 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_secret_scan": op9_secret_scan,
     "op10_html_extraction": op10_html_extraction,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_token_counts": op13_token_counts,
 }
 
 ORACLE: dict[str, str] = {
