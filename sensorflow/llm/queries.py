@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip
 from .common import in_bucket, table
+from .conversation_trie import conversation_trie
 from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
 from .html_text import extract_text
@@ -86,6 +87,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_secret_scan": op9_secret_scan,
     "op10_html_extraction": op10_html_extraction,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_token_counts": op13_token_counts,
 }
@@ -127,4 +133,42 @@ ORACLE: dict[str, str] = {
                coalesce(doc_id = min(doc_id) OVER (PARTITION BY t), FALSE) AS kept,
                sha256(t) AS text_sha256
         FROM d""",
+    "op11_conversation_trie": r"""
+        WITH c AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p
+                   FROM conversations WHERE conv_id IS NOT NULL),
+        ids AS (SELECT conv_id, xor(list_reduce(
+                    list_prepend(4294967295::UBIGINT, list_transform(string_split(conv_id::VARCHAR, ''),
+                                                                     lambda s: ascii(s)::UBIGINT)),
+                    lambda crc, b: list_reduce(list_prepend(xor(crc, b), range(8)::UBIGINT[]),
+                        lambda x, i: xor(x >> 1, (x & 1) * 3988292384::UBIGINT))), 4294967295::UBIGINT) % 4 AS h
+                FROM (SELECT DISTINCT conv_id FROM c)),
+        turns AS (SELECT i.conv_id, c.p, c.role, c.text FROM ids i
+                  JOIN c ON c.conv_id = i.conv_id - i.conv_id % 20 AND c.p <= i.h
+                  UNION ALL
+                  SELECT i.conv_id, c.p, c.role, c.text FROM ids i JOIN c ON c.conv_id = i.conv_id AND c.p > i.h),
+        prefixes AS (SELECT conv_id, row_number() OVER w AS depth,
+                            string_agg(md5(strlen(role)::VARCHAR || ':' || role || text), '') OVER w AS k,
+                            len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+                     FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY p)),
+        members AS (SELECT conv_id, depth, k, words FROM prefixes
+                    UNION ALL SELECT conv_id, 0, '', 0 FROM ids),
+        nodes AS (SELECT depth, k, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(words) AS own
+                  FROM members GROUP BY depth, k),
+        ended AS (SELECT depth, k, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends
+                  FROM (SELECT conv_id, max(depth) AS depth, max_by(k, depth) AS k FROM members GROUP BY conv_id)
+                  GROUP BY depth, k),
+        degrees AS (SELECT left(k, 32 * (depth - 1)) AS k, depth - 1 AS depth, count(*) AS n_children
+                    FROM nodes WHERE depth > 0 GROUP BY ALL),
+        full_nodes AS (SELECT n.*, coalesce(g.n_children, 0) AS n_children
+                       FROM nodes n LEFT JOIN degrees g ON g.k = n.k AND g.depth = n.depth),
+        subtrees AS (SELECT a AS depth, left(k, 32 * a) AS k, sum(own) AS saved,
+                            count(*) FILTER (WHERE n_children = 0) AS n_leaves
+                     FROM (SELECT *, unnest(range(depth + 1)) AS a FROM full_nodes) GROUP BY ALL)
+        SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+               n.n_children::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens,
+               coalesce(e.ends, sha256('')) AS ends_sha256
+        FROM full_nodes n JOIN subtrees s ON s.k = n.k AND s.depth = n.depth
+        LEFT JOIN nodes p ON p.k = left(n.k, 32 * (n.depth - 1)) AND p.depth = n.depth - 1
+        LEFT JOIN ended e ON e.k = n.k AND e.depth = n.depth""",
 }
