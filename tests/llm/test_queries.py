@@ -8,6 +8,7 @@ import __spark_entry__ as entry_mod
 import corpus_pipeline
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from sensorflow.llm import queries
 from sensorflow.plans.compare import compare
@@ -119,6 +120,21 @@ def test_stages_keep_the_columns_and_null_ids(spark, tmp_path):
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
 
 
+def test_stages_with_clashing_columns(spark, tmp_path):
+    rng = random.Random(23)
+    rows = [(i, " ".join(words(rng, 20)), "aa") for i in range(6)]
+    d = write(spark, tmp_path, [*rows, (6, rows[0][1], "aa")], [(1, rows[2][1])])
+    docs = documents(spark, [*rows, (6, rows[0][1], "aa")], clashing=True).withColumns(
+        {"lang_pred": F.lit("x"), "_sha": F.lit(1), "held_out": F.lit(True), "odd`name and space": F.lit(2), "row": F.lit(3)})
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, d)
+        assert out.columns == docs.columns
+        docs = spark.createDataFrame(out.collect(), docs.schema)
+    assert sorted(r["doc_id"] for r in docs.collect()) == [0, 1, 3, 4, 5]
+    assert {(r["lang_pred"], r["score"], r["odd`name and space"]) for r in docs.collect()} == {("x", 0.5, 2)}
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, d).count() == 5
+
+
 def test_pipeline_of_an_empty_table(spark, tmp_path):
     assert corpus_pipeline.run(spark, write(spark, tmp_path, [], [])).count() == 0
 
