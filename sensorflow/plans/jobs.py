@@ -56,9 +56,12 @@ def run_refresh(spark: SparkSession, incoming: str, landing: str, checkpoint: st
 
     The file stream's checkpoint remembers the files read, so a second run with the same
     ``checkpoint`` reads only new ones.  Records go to ``product=/site=/ms=`` directories,
-    which later runs of the targets job prune by.  Returns the landing.
+    which later runs of the targets job prune by.  A batch is named by the stream's own id and
+    its number, so streams with checkpoints of their own may fill one landing.  Returns the
+    landing.
     """
-    from sensorflow.sources.landing import land
+    from sensorflow.sources.landing import land, with_origin
+    from sensorflow.streaming.refresh import stream_id
 
     reader = spark.readStream.format(fmt).schema(PROVISIONAL).option("recursiveFileLookup", "true")
     if name_glob:
@@ -67,9 +70,9 @@ def run_refresh(spark: SparkSession, incoming: str, landing: str, checkpoint: st
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
 
     def write_batch(batch, batch_id: int) -> None:
-        land(batch, landing, f"{product}-{batch_id}", product)
+        land(batch, landing, f"{product}-{stream_id(spark, checkpoint)}-{batch_id}", product)
 
-    q = (reader.load(incoming).writeStream.foreachBatch(write_batch)
+    q = (with_origin(reader.load(incoming)).writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return landing

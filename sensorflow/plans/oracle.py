@@ -271,16 +271,18 @@ reg("curated_hourly_strict", f"""SELECT time, site_id, {r6('depth')} AS depth,
   {r6('observed')} AS observed, 'temperature' AS variable FROM {CUR_LAKE} h""")
 
 
+def not_held(rows: str, archive: str, time: str, same: str) -> str:
+    """Rows ``p`` whose month no known row ``a`` of the archive with the same key has."""
+    return f"""(SELECT p.* FROM {rows} p WHERE NOT EXISTS (SELECT 1 FROM {archive} a WHERE {same}
+  AND a.observed IS NOT NULL AND date_trunc('month', a.time) = date_trunc('month', p.{time})))"""
+
+
 def fresh(product: str) -> str:
-    """Provisional records of months after the latest one that the site's archive fills."""
-    archive = {"20288": f"SELECT site_id, time, observed FROM {WQ_DAILY} a",
-               "20264": f"SELECT site_id, time, observed FROM {LAKE_HOURLY_RAW} a "
-                        f"UNION ALL SELECT site_id, time, observed FROM {RIVER_RAW} b",
-               "20053": f"SELECT site_id, time, observed FROM {STREAM_RAW} a"}[product]
-    latest = f"""(SELECT site_id, date_trunc('month', max(time)) AS latest FROM ({archive}) e
-  WHERE observed IS NOT NULL GROUP BY site_id)"""
-    return f"""(SELECT p.* FROM {provisional(product)} p LEFT JOIN {latest} a ON p.siteName = a.site_id
-  WHERE a.latest IS NULL OR date_trunc('month', p.startDate) > a.latest)"""
+    """Provisional records of the months that the site's archive does not fill."""
+    archive = {"20264": f"(SELECT site_id, time, observed FROM {LAKE_HOURLY_RAW} x "
+                        f"UNION ALL SELECT site_id, time, observed FROM {RIVER_RAW} y)",
+               "20053": STREAM_RAW}[product]
+    return not_held(provisional(product), archive, "startDate", "a.site_id = p.siteName")
 
 
 def _prov_selected(product: str, thirty: bool, is_fresh: bool = False) -> str:
@@ -409,14 +411,17 @@ reg("mask_rules", f"""SELECT d.time, d.site_id, d.variable,
 
 def wq_prov(is_fresh: bool = False) -> str:
     wide = f"""(SELECT * FROM ({_wide_sql('20288', ['siteName', 'startDate'],
-  _prov_selected('20288', False, is_fresh) + ' p')}) w WHERE {_any_flag('20288')})"""
+  _prov_selected('20288', False) + ' p')}) w WHERE {_any_flag('20288')})"""
     long = f"""(SELECT time, site_id, variable, observed FROM (
   SELECT CAST(startDate AS DATE) AS time, siteName AS site_id,
          avg(dissolvedOxygen) AS oxygen, avg(chlorophyll) AS chla
   FROM {wide} w GROUP BY 1, 2) x
   UNPIVOT INCLUDE NULLS (observed FOR variable IN (oxygen, chla)))"""
-    return f"""(SELECT * FROM {long} l
+    rows = f"""(SELECT * FROM {long} l
   WHERE NOT (variable = 'chla' AND site_id IN {site_class('Wadeable Stream')}))"""
+    if not is_fresh:
+        return rows
+    return not_held(rows, WQ_DAILY, "time", "a.site_id = p.site_id AND a.variable = p.variable")
 
 
 WQ_PROV = wq_prov()
@@ -519,12 +524,17 @@ reg("month_plan", f"""SELECT DISTINCT site_id, strftime(mx, '%Y-%m') AS latest_m
 
 reg("supersede_provisional", f"""SELECT p.site_id, count(*) AS n, min(p.time) AS first_time,
   {r6('avg(p.observed)')} AS mean_observed
-  FROM (SELECT CAST(startDateTime AS DATE) AS time, siteID AS site_id,
-               avg(tsdWaterTempMean) AS observed FROM {ARCHIVE_TSD} t GROUP BY 1, 2) p
-  LEFT JOIN (SELECT site_id, date_trunc('month', max(time) + to_years({demo.TSD_YEARS})) AS latest
-             FROM {DAILY} d GROUP BY site_id) a ON p.site_id = a.site_id
-  WHERE a.latest IS NULL OR date_trunc('month', p.time) > a.latest
-  GROUP BY p.site_id""")
+  FROM {not_held(f"""(SELECT CAST(startDateTime AS DATE) AS time, siteID AS site_id,
+               avg(tsdWaterTempMean) AS observed FROM {ARCHIVE_TSD} t GROUP BY 1, 2)""",
+                 f"(SELECT site_id, time + to_years({demo.TSD_YEARS}) AS time, observed FROM {DAILY} d)",
+                 "time", "a.site_id = p.site_id")} p GROUP BY p.site_id""")
+
+# the archive lacks every third month, another one for each variable, and knows no value in June
+reg("supersede_by_month", f"""SELECT p.time, p.site_id, p.variable, {r6('p.observed')} AS observed
+  FROM {not_held(DAILY, f"""(SELECT time, site_id, variable,
+    CASE WHEN month(time) <> 6 THEN observed END AS observed FROM {DAILY} d
+    WHERE (month(time) + ascii(variable)) % 3 <> 0)""", "time",
+                 "a.site_id = p.site_id AND a.variable = p.variable")} p""")
 
 reg("stream_ingest_daily", f"""SELECT {site_of('user_id')} AS site_id, CAST(ts AS DATE) AS time,
   {r6('avg(value * ' + OXY + ')')} AS observed FROM events GROUP BY 1, 2""")
@@ -731,3 +741,11 @@ reg("curated_csv_hourly", ORACLE["curated_hourly_strict"])
 reg("targets_csv_roundtrip", f"""SELECT time, site_id, variable, {r6('observed')} AS observed
   FROM {DAILY} d""")
 reg("forecast_file_roundtrip", ORACLE["rw_analytic"])
+
+_KEY = "siteName, termName, verticalIndex, horizontalIndex, temporalIndex, startDate"
+reg("latest_records", f"""SELECT {_KEY}, {r6('doubleValue')} AS doubleValue, CAST(intValue AS BIGINT) AS intValue
+  FROM (SELECT *, rank() OVER (PARTITION BY {_KEY} ORDER BY issue DESC) AS r FROM (
+    SELECT *, 1 AS issue FROM {provisional('20053')} a
+    UNION ALL SELECT * REPLACE (doubleValue + 1 AS doubleValue), 2 AS issue FROM {provisional('20053')} b
+    WHERE hour(startDate) % 3 = 0) u) v WHERE r = 1""")
+reg("compacted_landing", ORACLE["latest_records"])

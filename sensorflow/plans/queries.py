@@ -435,6 +435,21 @@ def q_supersede_provisional(spark, d):
                        F.avg("observed").alias("mean_observed")))
 
 
+@query("supersede_by_month")
+def q_supersede_by_month(spark, d):
+    """Daily rows against a coverage map kept as a table and merged from two halves."""
+    from sensorflow.streaming.coverage_map import coverage_map, merge_coverage, not_covered
+    s = demo.daily_series(spark, d)
+    arch = s.where((F.month("time") + F.ascii("variable")) % 3 != 0).withColumn(
+        "observed", F.when(F.month("time") != 6, F.col("observed")))
+    early = F.year("time") < 1995
+    keys = ["site_id", "variable"]
+    path = shared_path(spark, "coverage", uuid.uuid4().hex)
+    merge_coverage(coverage_map(arch.where(early), keys, "time", "observed"),
+                   coverage_map(arch.where(~early), keys, "time", "observed")).write.parquet(path)
+    return finish(not_covered(s, spark.read.parquet(path), "time", {k: k for k in keys}))
+
+
 @query("stream_ingest_daily")
 def q_stream_ingest_daily(spark, d):
     from sensorflow.streaming.refresh import combine_daily, daily_partials, stream_ingest
@@ -603,22 +618,64 @@ def q_coverage_geo(spark, d):
     return finish(geo_coverage(geo, listed))
 
 
+def _arrive(spark, records, folder, landing, checkpoint):
+    """Files of records arrive in ``folder`` and are landed."""
+    from sensorflow.plans.jobs import run_refresh
+    from sensorflow.sources.schemas import PROVISIONAL
+    records.select(*PROVISIONAL.fieldNames()).write.mode("append").parquet(folder)
+    run_refresh(spark, folder, landing, checkpoint, "20053")
+
+
 @query("refresh_landing")
 def q_refresh_landing(spark, d):
-    """Provisional files landed by the refresh job, read back for three sites and one month."""
+    """Two streams with checkpoints of their own fill one landing, one of them again after its
+    checkpoint is lost; read back for three sites and one month."""
     from sensorflow.operators.provisional import provisional_point_daily
     from sensorflow.plans.jobs import run_refresh
     from sensorflow.sources.readers import read_provisional
-    from sensorflow.sources.schemas import PROVISIONAL
     run = shared_path(spark, "refresh", uuid.uuid4().hex)
-    (demo.provisional(spark, d, "20053").select(*PROVISIONAL.fieldNames())
-     .write.parquet(f"{run}/incoming"))
-    run_refresh(spark, f"{run}/incoming", f"{run}/landing", f"{run}/checkpoint", "20053")
+    p = demo.provisional(spark, d, "20053")
+    first = F.dayofmonth("startDate") % 2 == 0
+    _arrive(spark, p.where(first), f"{run}/a", f"{run}/landing", f"{run}/checkpoint-a")
+    _arrive(spark, p.where(~first), f"{run}/b", f"{run}/landing", f"{run}/checkpoint-b")
+    run_refresh(spark, f"{run}/a", f"{run}/landing", f"{run}/checkpoint-c", "20053")
     long = read_provisional(spark, f"{run}/landing", "20053", fmt="parquet",
                             sites=["BARC", "MAYF", "TOMB"], months=["2024-01"])
     return finish(provisional_point_daily(long))
 
 
+def _reissued(spark, d):
+    """A landing whose records of every third hour were issued twice."""
+    run = shared_path(spark, "reissued", uuid.uuid4().hex)
+    p = demo.provisional(spark, d, "20053")
+    again = p.where(F.hour("startDate") % 3 == 0).withColumn("doubleValue", F.col("doubleValue") + 1)
+    for records in (p, again):
+        _arrive(spark, records, f"{run}/incoming", f"{run}/landing", f"{run}/checkpoint")
+    return f"{run}/landing"
+
+
+def _landed_records(spark, landing):
+    from sensorflow.sources.readers import read_provisional
+    return finish(read_provisional(spark, landing, "20053", fmt="parquet").select(
+        "siteName", "termName", "verticalIndex", "horizontalIndex", "temporalIndex", "startDate",
+        "doubleValue", "intValue"))
+
+
+@query("latest_records")
+def q_latest_records(spark, d):
+    """Merged on read: of each record the issue that arrived last."""
+    return _landed_records(spark, _reissued(spark, d))
+
+
+@query("compacted_landing")
+def q_compacted_landing(spark, d):
+    """The same after the months with several issues were rewritten."""
+    from sensorflow.sources.landing import compact
+    landing = _reissued(spark, d)
+    compact(spark, landing)
+    return _landed_records(spark, landing)
+
+
 @query("qc_incremental")
 def q_qc_incremental(spark, d):
     """New rows after the old ones and, one day in seven, between them."""

@@ -10,7 +10,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.functions.missing import nan_to_null
@@ -27,7 +27,7 @@ from sensorflow.operators.rollup import daily_mean, hourly_mean, merge_sources
 from sensorflow.sources.rules import (
     ACCEPT_FAILED_AFTER, STREAM_POSITIONS, qc_params, qc_setting,
 )
-from sensorflow.streaming.refresh import supersede
+from sensorflow.streaming.coverage_map import coverage_map, not_covered
 
 LAKE = "Lake"
 RIVER = "Non-wadeable River"
@@ -237,6 +237,7 @@ class TargetInputs:
     qc_params: DataFrame | None = None
     accept_failed_after: dt.date = ACCEPT_FAILED_AFTER
     stream_positions: Sequence[str] = STREAM_POSITIONS
+    coverage: DataFrame | None = None
 
     def qc(self) -> DataFrame:
         """Per-source QC parameters (source, lo, hi, spike, by_depth)."""
@@ -254,16 +255,43 @@ class TargetInputs:
     def stream_daily(self) -> DataFrame:
         return archive_stream_daily(self.archive_tsw, qc=RAW, positions=self.stream_positions)
 
-    def fresh(self, provisional: DataFrame, entering: DataFrame) -> DataFrame:
-        """Provisional records of months after the latest one that a site's archive fills.
-
-        ``entering`` holds the archive rows of the same site class that enter the target;
-        rows without a value fill nothing.  Sites that the archive lacks keep all records.
-        """
+    def fresh(self, product: str, provisional: DataFrame, time: str, site: str,
+              variable: str | Column = "variable") -> DataFrame:
+        """Provisional rows of the (site, variable, month)s that the product's archive does not hold."""
         if not self.supersede:
             return provisional
-        known = entering.where(F.col("observed").isNotNull())
-        return supersede(provisional, known, "startDate", "time", {"siteName": "site_id"})
+        held = (self.coverage if self.coverage is not None else archive_coverage(self)).where(
+            F.col("product") == product)
+        return not_covered(provisional, held, time, {"site_id": site, "variable": variable})
+
+
+def archive_coverage(inp: TargetInputs) -> DataFrame:
+    """(product, site_id, variable, month_bucket, months): the months that the archives fill.
+
+    From the rows that enter the target, before any aggregation: one map-side aggregate over a
+    few columns.  A run that keeps it as a table and passes it as ``TargetInputs.coverage`` scans
+    each archive once.
+    """
+    wq = archive_wq_scan(inp.archive_wq, inp.sites).select(
+        "site_id", "startDateTime", qf_mask("dissolvedOxygen", "dissolvedOxygenFinalQF").alias("oxygen"),
+        qf_mask("chla", "chlorophyllFinalQF").alias("chla"))
+    wq = to_long(wq, ["site_id", "startDateTime"], ["oxygen", "chla"])
+    wq = drop_variable_for_class(wq, inp.sites, STREAM, ["chla"])
+
+    def rows(d: DataFrame, product: str, variable: str | None, value: str, site: str = "siteID") -> DataFrame:
+        kept = d.select(F.lit(product).alias("product"), F.col(site).alias("site_id"),
+                        (F.lit(variable) if variable else F.col("variable")).alias("variable"), "startDateTime",
+                        nan_to_null(F.col(value)).alias("v"))
+        return coverage_map(kept, ["product", "site_id", "variable"], "startDateTime", "v")
+
+    lake = qf_or_after_date(in_sites(inp.archive_tsd, inp.sites, LAKE, "siteID"), "tsdWaterTempFinalQF",
+                            "startDateTime", inp.accept_failed_after)
+    river = in_sites(inp.archive_tsd, inp.sites, RIVER, "siteID").where(F.col("tsdWaterTempFinalQF") == 0)
+    stream = inp.archive_tsw.where(F.col("horizontalPosition").isin(*inp.stream_positions) & (F.col("finalQF") == 0))
+    return union_all(rows(wq, "20288", None, "observed", "site_id"),
+                     rows(lake, "20264", "temperature", "tsdWaterTempMean"),
+                     rows(river, "20264", "temperature", "tsdWaterTempMean"),
+                     rows(stream, "20053", "temperature", "surfWaterTempMean"))
 
 
 def _tag(df: DataFrame, source: str, cols: list[str]) -> DataFrame:
@@ -277,8 +305,8 @@ def build_expanded_profile(inp: TargetInputs) -> DataFrame:
     u = union_all(
         _tag(inp.lake_hourly(), "lake_portal", cols),
         _tag(curated_lake_hourly(inp.curated_lake, inp.sites, qc=RAW), "lake_curated", cols),
-        _tag(provisional_lake_hourly(inp.fresh(inp.provisional_tsd, inp.lake_hourly()),
-                                     inp.sites, inp.depth_lookup, qc=RAW),
+        _tag(provisional_lake_hourly(inp.fresh("20264", inp.provisional_tsd, "startDate", "siteName",
+                                               F.lit("temperature")), inp.sites, inp.depth_lookup, qc=RAW),
              "lake_provisional", cols))
     q = qc_by_source(u, inp.qc(), ["source", "site_id", "depth"])
     return profile_merge(q.select(*cols))
@@ -293,13 +321,13 @@ def build_temperature(inp: TargetInputs, profile: DataFrame | None = None) -> Da
     cols = ["time", "site_id", "variable", "observed"]
     u = union_all(
         _tag(inp.stream_daily(), "stream_portal", cols),
-        _tag(provisional_stream_daily(inp.fresh(inp.provisional_prt, inp.stream_daily()),
-                                      qc=RAW), "stream_provisional", cols),
+        _tag(provisional_stream_daily(inp.fresh("20053", inp.provisional_prt, "startDate", "siteName",
+                                                F.lit("temperature")), qc=RAW), "stream_provisional", cols),
         _tag(inp.river_daily(), "river_portal", cols),
         _tag(curated_river_daily(inp.curated_river, inp.sites, qc=RAW), "river_curated",
              cols),
-        _tag(provisional_river_daily(inp.fresh(inp.provisional_tsd, inp.river_daily()),
-                                     inp.sites, inp.depth_lookup, qc=RAW),
+        _tag(provisional_river_daily(inp.fresh("20264", inp.provisional_tsd, "startDate", "siteName",
+                                               F.lit("temperature")), inp.sites, inp.depth_lookup, qc=RAW),
              "river_provisional", cols))
     q = qc_by_source(u, inp.qc(), ["source", "site_id"])
     return temperature_targets([surface_daily(prof), q.select(*cols)], inp.ranges,
@@ -309,7 +337,7 @@ def build_temperature(inp: TargetInputs, profile: DataFrame | None = None) -> Da
 def build_targets(inp: TargetInputs, profile: DataFrame | None = None) -> DataFrame:
     """The whole targets table.  Pass ``profile`` to reuse a materialised hourly profile."""
     archived = archive_wq_daily(inp.archive_wq, inp.sites)
-    wq = wq_targets(archived, provisional_wq_daily(inp.fresh(inp.provisional_wq, archived),
-                                                   inp.sites),
-                    inp.ranges, inp.masks)
+    # days are superseded, not records: a row's flags decide for both of its variables
+    fresh = inp.fresh("20288", provisional_wq_daily(inp.provisional_wq, inp.sites), "time", "site_id")
+    wq = wq_targets(archived, fresh, inp.ranges, inp.masks)
     return finalize_targets(wq, build_temperature(inp, profile))

@@ -1,13 +1,43 @@
-"""Landing of provisional records: Parquet under ``product=/site=/ms=``, so that later reads
-prune by product, site and month before they list files."""
+"""Landing of provisional records: Parquet under ``product=/site=/ms=/batch=``, so that later reads
+prune by product, site and month before they list files, and a ledger of committed batches.
+
+A batch's data is written first, its ledger entry last, as one file.  Readers take committed
+batches only, so a run that dies in between leaves nothing that counts, and its repetition
+overwrites the same directories.  The ledger knows every landed file by path, length and
+modification time, so a stream that starts anew from a lost or second checkpoint skips
+what is landed.  One stream at a time may land the files of one folder.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Partition columns, outermost first; ``ms`` is the month of the record, yyyy-MM.
 PARTITIONS = ("product", "site", "ms")
+#: Where a landed record comes from: the file, and when it was last written.
+ORIGIN = "source_path string, source_length long, arrived timestamp"
+LEDGER = ("batch string, product string, site string, ms string, source_path string, source_length long, "
+          "arrived timestamp, records long, replaces string")
+#: What makes two records versions of one.
+RECORD_KEY = ("product", "siteName", "termName", "verticalIndex", "horizontalIndex", "temporalIndex", "startDate")
+
+
+def ledger_path(root: str) -> str:
+    return root.rstrip("/") + "_ledger"
+
+
+def read_ledger(spark: SparkSession, root: str) -> DataFrame | None:
+    """The ledger's rows; None where there is no ledger (records of another writer)."""
+    try:
+        return spark.read.schema(LEDGER).parquet(f"{ledger_path(root)}/*")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def with_partitions(records: DataFrame, product: str | None = None) -> DataFrame:
@@ -16,13 +46,101 @@ def with_partitions(records: DataFrame, product: str | None = None) -> DataFrame
     return d.withColumns({"site": F.col("siteName"), "ms": F.date_format("startDate", "yyyy-MM")})
 
 
+def with_origin(records: DataFrame) -> DataFrame:
+    """Records of files with the file's path, length and modification time."""
+    m = F.col("_metadata")
+    return records.select("*", m["file_path"].alias("source_path"), m["file_size"].alias("source_length"),
+                          m["file_modification_time"].alias("arrived"))
+
+
 def land(records: DataFrame, root: str, batch: str, product: str | None = None) -> str:
-    """Adds one batch of records to the landing.
+    """Adds one batch of records (with ORIGIN columns) to the landing and commits it.
 
-    The batch is a directory level of its own below the month, overwritten when the batch is
-    repeated, so a retried batch leaves one copy.
+    Records of files that the ledger holds already are left out.  The batch is a directory level
+    of its own below the month, overwritten when the batch is repeated.  Rows are dealt by
+    product, site and month, and a month that holds most of them is split over tasks.
     """
-    d = with_partitions(records, product).withColumn("batch", F.lit(batch))
-    (d.repartition(*PARTITIONS).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS, "batch").parquet(root))
+    spark = records.sparkSession
+    known = read_ledger(spark, root)
+    d = with_partitions(records, product)
+    if known is not None:
+        files = ["source_path", "source_length", "arrived"]
+        old = known.where(F.col("replaces").isNull()).select(*[F.col(c).alias(f"__{c}") for c in files]).distinct()
+        d = d.join(old, [F.col(c) == F.col(f"__{c}") for c in files], "left_anti")
+    entry = d.groupBy(*PARTITIONS, "source_path", "source_length", "arrived").agg(F.count(F.lit(1)).alias("records"))
+    entry = [r for r in entry.collect()]  # one row per file and month
+    if entry:
+        (d.withColumn("batch", F.lit(batch)).hint("rebalance", *PARTITIONS).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS, "batch").parquet(root))
+        commit(spark, root, batch, [(batch, *r, None) for r in entry])
     return root
+
+
+def commit(spark: SparkSession, root: str, batch: str, rows: list[tuple]) -> None:
+    """The batch's ledger entry, one file that appears whole or not at all."""
+    (spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("overwrite")
+     .parquet(f"{ledger_path(root)}/entry={batch}"))
+
+
+def live_batches(ledger: DataFrame) -> DataFrame:
+    """(product, site, ms, batch, issues): the batches that count in each month, and how many files' versions
+    of a record they may hold."""
+    replaced = ledger.where(F.col("replaces").isNotNull()).select(
+        *PARTITIONS, F.col("replaces").alias("batch")).distinct()
+    issue = F.coalesce("source_path", "batch")
+    return (ledger.groupBy(*PARTITIONS, "batch").agg(F.count_distinct(issue).alias("issues"))
+            .join(replaced, [*PARTITIONS, "batch"], "left_anti"))
+
+
+def committed(records: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Landed records of the batches that count."""
+    return records.join(live_batches(ledger), [*PARTITIONS, "batch"], "left_semi")
+
+
+def latest_records(records: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Of several issues of a record, the rows of the file that arrived last (ties: the last path).
+
+    Only months that more than one file filled are merged; the others pass without a shuffle.
+    Rows that one file repeats stay, as readers average them.
+    """
+    several = (live_batches(ledger).groupBy(*PARTITIONS).agg(F.sum("issues").alias("n"))
+               .where("n > 1").select(*PARTITIONS))
+    issue = F.struct("arrived", "source_path")
+    last = F.max(issue).over(Window.partitionBy(*PARTITIONS, *[c for c in RECORD_KEY if c not in PARTITIONS]))
+    merged = (records.join(several, list(PARTITIONS), "left_semi").withColumn("__last", last)
+              .where(F.col("__last").eqNullSafe(issue)).drop("__last"))
+    return records.join(several, list(PARTITIONS), "left_anti").unionByName(merged)
+
+
+def compact(spark: SparkSession, root: str) -> list[tuple[str, str, str]]:
+    """Rewrites the months that hold several issues as one batch of latest records, and returns them.
+
+    The entry that commits the new batch names the ones it replaces, so readers change from
+    the old to the new at once; other months are not touched.
+    """
+    ledger = read_ledger(spark, root)
+    if ledger is None:
+        return []
+    live = live_batches(ledger)
+    total = live.groupBy(*PARTITIONS).agg(F.sum("issues").alias("n")).where("n > 1").select(*PARTITIONS)
+    old = [tuple(r) for r in live.join(total, list(PARTITIONS)).select(*PARTITIONS, "batch").collect()]
+    if not old:
+        return []
+    batch = f"compact-{uuid.uuid4().hex}"
+    rows = landed(spark, root)
+    for i, c in enumerate(PARTITIONS):
+        rows = rows.where(F.col(c).isin(sorted({o[i] for o in old})))
+    rows = latest_records(committed(rows, ledger), ledger).join(total, list(PARTITIONS), "left_semi")
+    (rows.withColumn("batch", F.lit(batch)).hint("rebalance", *PARTITIONS).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS, "batch").parquet(root))
+    commit(spark, root, batch, [(batch, *o[:3], None, None, None, None, o[3]) for o in old])
+    return sorted({o[:3] for o in old})
+
+
+def landed(spark: SparkSession, root: str) -> DataFrame:
+    """All landed rows, committed or not, partition columns as text."""
+    from sensorflow.sources.schemas import PROVISIONAL
+
+    fields = ", ".join(f"{c} string" for c in (*PARTITIONS, "batch"))
+    records = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in PROVISIONAL.fields)
+    return spark.read.schema(f"{records}, {ORIGIN}, {fields}").parquet(root)

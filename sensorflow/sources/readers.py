@@ -69,11 +69,20 @@ def read_provisional(spark: SparkSession, root: str, product: str | None = None,
     Files lie under ``product=/site=/ms=`` (as ``landing.land`` writes them), any of these
     left out; what the directories carry prunes them before files are listed.  Where the
     product is no directory, the file name has to have it as a part of its own.  A site is
-    the directory's or, without one, the record's.  ``fmt`` is ``avro`` in production (needs
+    the directory's or, without one, the record's.  Of a landing with a ledger only committed
+    batches are read, and of several issues of a record the latest.  ``fmt`` is ``avro`` in production (needs
     the spark-avro package) and ``parquet``/``json`` elsewhere.
     """
     if product is not None and product not in PRODUCTS:
         raise ValueError(f"no provisional reader for product {product!r}")
+    ledger = landing.read_ledger(spark, root)
+    if ledger is not None:
+        df = landing.landed(spark, root)
+        for c, wanted in (("product", [product] if product else None), ("site", sites), ("ms", months)):
+            if wanted:
+                df = df.where(F.col(c).isin(list(wanted)))
+                ledger = ledger.where(F.col(c).isin(list(wanted)))
+        return landing.latest_records(landing.committed(df, ledger), ledger).drop("batch", "source_length", "arrived")
     df = spark.read.format(fmt).schema(schema).load(root)
     found = [c for c in landing.PARTITIONS if c in df.columns]
     if found:  # as text, whatever their values look like

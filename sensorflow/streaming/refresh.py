@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sensorflow.streaming.coverage_map import coverage_map, not_covered
+
 
 def _d(v):
     return v if not isinstance(v, str) else F.to_date(F.lit(v))
@@ -32,24 +34,21 @@ def month_plan(archive: DataFrame, time: str, as_of, lag_days: int = 2,
 
 def supersede(provisional: DataFrame, archive: DataFrame, prov_time: str, arch_time: str,
               keys: Mapping[str, str] | Sequence[str]) -> DataFrame:
-    """Drop provisional rows of months that the archive already covers for their series.
+    """Drop provisional rows of the months that the archive holds for their series.
 
     ``keys`` maps provisional columns to archive columns (or lists names that both share),
-    e.g. the site.  A row survives when its month is later than the latest archived month of
-    its key, or when the archive has nothing of that key.  Nothing is deleted; superseded
-    rows are just not read.  Pass the archive rows that really enter the target.
+    e.g. site and variable.  Only a month that the archive holds itself is superseded: a hole
+    before its latest month keeps its provisional rows.  Nothing is deleted; superseded rows
+    are just not read.  Pass the archive rows that really enter the target.
     """
     pairs = dict(keys) if isinstance(keys, Mapping) else {k: k for k in keys}
-    if not pairs:
-        raise ValueError("superseding needs a key: one latest month must not decide for all sites")
-    latest = archive.groupBy(*[F.col(a).alias(f"__a_{p}") for p, a in pairs.items()]).agg(
-        F.date_trunc("month", F.max(arch_time)).cast("date").alias("__latest"))
-    same = reduce(lambda x, y: x & y,
-                  [F.col(p).eqNullSafe(F.col(f"__a_{p}")) for p in pairs])
-    month = F.date_trunc("month", F.col(prov_time)).cast("date")
-    d = provisional.join(latest, same, "left")
-    keep = F.col("__latest").isNull() | (month > F.col("__latest"))
-    return d.where(keep).drop("__latest", *[f"__a_{p}" for p in pairs])
+    return not_covered(provisional, coverage_map(archive, list(pairs.values()), arch_time), prov_time,
+                       {a: p for p, a in pairs.items()})
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps in its checkpoint over all its runs."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
 
 def stream_ingest(spark: SparkSession, source: str, schema: T.StructType | str,
@@ -72,9 +71,10 @@ def stream_ingest(spark: SparkSession, source: str, schema: T.StructType | str,
     stream = reader.load(source)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # one directory per micro-batch, overwritten on a retry: at-least-once delivery
-        # of a batch still leaves exactly one copy of its rows
-        batch_fn(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        # one directory per stream and micro-batch, overwritten on a retry: at-least-once
+        # delivery of a batch still leaves exactly one copy of its rows
+        name = f"{stream_id(spark, checkpoint)}-{batch_id}"
+        batch_fn(batch).write.mode("overwrite").parquet(f"{sink}/batch_id={name}")
 
     q = (stream.writeStream.foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -12,6 +12,7 @@ from sensorflow.operators.coverage import check_columns, geo_coverage, temporal_
 from sensorflow.operators.provisional import provisional_wq_daily, read_product
 from sensorflow.sources import demo, readers, schemas
 from sensorflow.sources.sinks import write_csv_gz, write_forecast
+from sensorflow.streaming.coverage_map import coverage_map, covered_months, merge_coverage
 from sensorflow.streaming.refresh import (
     combine_daily, daily_partials, month_plan, stream_ingest, supersede,
 )
@@ -101,19 +102,53 @@ def test_month_plan_month_end_and_lag(spark):                          # INC-1
     assert sorted(r.fetch_month for r in plan2) == ["2021-02", "2021-04"]
 
 
-def test_supersede_per_site(spark):                                    # INC-2, B3
-    arch = spark.createDataFrame([("A", D(2021, 1, 31)), ("B", D(2020, 11, 3)), (None, D(2021, 5, 1))],
-                                 "site string, day date")
-    prov = spark.createDataFrame([("A", D(2021, 1, 15)), ("A", D(2021, 2, 1)),
-                                  ("B", D(2020, 12, 5)), ("C", D(2019, 1, 1)), (None, D(2021, 4, 1))],
+def test_supersede_by_site_and_month(spark):                          # INC-2, B3
+    arch = spark.createDataFrame([("A", D(2021, 1, 31)), ("A", D(2021, 3, 1)), ("B", D(2020, 11, 3)),
+                                  (None, D(2021, 5, 1))], "site string, day date")
+    prov = spark.createDataFrame([("A", D(2021, 1, 15)), ("A", D(2021, 2, 1)), ("A", D(2021, 3, 31)),
+                                  ("A", D(2021, 4, 1)), ("B", D(2020, 12, 5)), ("C", D(2019, 1, 1)),
+                                  (None, D(2021, 5, 9)), (None, D(2021, 4, 1)), ("A", None)],
                                  "site_id string, time date")
-    per = sorted((str(r.site_id), r.time) for r in
+    per = sorted((str(r.site_id), str(r.time)) for r in
                  supersede(prov, arch, "time", "day", {"site_id": "site"}).collect())
-    assert per == [("A", D(2021, 2, 1)), ("B", D(2020, 12, 5)), ("C", D(2019, 1, 1))]
+    assert per == [("A", "2021-02-01"), ("A", "2021-04-01"), ("A", "None"), ("B", "2020-12-05"),
+                   ("C", "2019-01-01"), ("None", "2021-04-01")]
     with pytest.raises(ValueError):
         supersede(prov, arch, "time", "day", [])
 
 
+def test_coverage_map_merges_and_lists_months(spark):
+    rows = spark.createDataFrame([("A", "oxygen", D(2021, 1, 5), 1.0), ("A", "oxygen", D(2021, 3, 5), None),
+                                  ("A", "chla", D(1999, 12, 31), 2.0), ("A", "oxygen", D(2021, 1, 9), 2.0),
+                                  ("A", "oxygen", None, 2.0)], "site string, variable string, day date, v double")
+    one = coverage_map(rows, ["site", "variable"], "day", "v")
+    assert sorted(tuple(r) for r in covered_months(one).collect()) == [("A", "chla", "1999-12"), ("A", "oxygen", "2021-01")]
+    more = coverage_map(spark.createDataFrame([("A", "oxygen", D(2021, 12, 1))], "site string, variable string, day date"),
+                        ["site", "variable"], "day")
+    both = covered_months(merge_coverage(one, more)).where("variable = 'oxygen'").collect()
+    assert sorted(r.ms for r in both) == ["2021-01", "2021-12"]
+
+
+def test_hole_and_variable_keep_their_provisional_rows(spark):        # INC-2
+    import dataclasses
+
+    from sensorflow.plans import targets as tg
+    from sensorflow.plans.queries import target_inputs
+    day = [T(2024, m, 3, 1) for m in (1, 2, 3, 4)]
+    wq = spark.createDataFrame([("BARC", t, "0.5", "8.0", "0.1", 0, None, "0.1", 0) for t in (day[0], day[2])],
+                               schemas.ARCHIVE_WATER_QUALITY)
+    recs = [("BARC", term, t, v, q, "501", "103", "030") for t in day for term, v, q in (
+        ("dissolvedOxygen", 9.0, None), ("chlorophyll", 3.0, None), ("dissolvedOxygenFinalQF", None, 0),
+        ("chlorophyllFinalQF", None, 1))]
+    none = {k: getattr(target_inputs(spark, "/root/testdata/sf0.001"), k).limit(0)
+            for k in ("archive_tsd", "archive_tsw", "provisional_tsd", "provisional_prt", "curated_lake", "curated_river")}
+    inp = dataclasses.replace(target_inputs(spark, "/root/testdata/sf0.001"), archive_wq=wq,
+                              provisional_wq=spark.createDataFrame(recs, schemas.PROVISIONAL), **none)
+    got = {(r.time.month, r.variable): r.observed for r in tg.build_targets(inp).where("observed IS NOT NULL").collect()}
+    assert got == {(1, "oxygen"): 8.0, (2, "oxygen"): 9.0, (3, "oxygen"): 8.0, (4, "oxygen"): 9.0,
+                   **{(m, "chla"): 3.0 for m in (1, 2, 3, 4)}}
+
+
 def test_stream_ingest_reads_only_new_files(spark, tmp):              # INC-3, INC-4
     src, sink, ck = f"{tmp}/landing", f"{tmp}/sink", f"{tmp}/ck"
     schema = "site_id string, ts timestamp_ntz, v double"
@@ -264,3 +299,67 @@ def test_zoned_times_become_utc_days(spark, tmp):                      # FN-6, F
                 T(2024, 3, 10, 2, 30), T(2024, 3, 10, 2, 30, 15), None]
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def issue(spark, folder, rows):
+    spark.createDataFrame([("BARC", "surfWaterTempMean", t, v, None, "501", "101", "030") for t, v in rows],
+                          schemas.PROVISIONAL).coalesce(1).write.mode("append").parquet(folder)
+
+
+def values(spark, root):
+    return sorted((r.startDate.day, r.doubleValue) for r in
+                  readers.read_provisional(spark, root, "20053", fmt="parquet").collect())
+
+
+def test_two_checkpoints_fill_one_landing(spark, tmp):                 # INC-3
+    from sensorflow.plans.jobs import run_refresh
+    issue(spark, f"{tmp}/a", [(T(2024, 1, k), 1.0) for k in (1, 2, 3)])
+    issue(spark, f"{tmp}/b", [(T(2024, 1, k), 2.0) for k in (4, 5, 6, 7, 8)])
+    for folder, checkpoint in (("a", "c1"), ("b", "c2"), ("a", "c3")):  # c3: the first one's is lost
+        run_refresh(spark, f"{tmp}/{folder}", f"{tmp}/land", f"{tmp}/{checkpoint}", "20053")
+    assert values(spark, f"{tmp}/land") == [(k, 1.0 if k < 4 else 2.0) for k in range(1, 9)]
+
+
+def test_a_batch_counts_once_it_is_committed(spark, tmp, monkeypatch):  # INC-3
+    from sensorflow.plans.jobs import run_refresh
+    from sensorflow.sources import landing
+    issue(spark, f"{tmp}/a", [(T(2024, 1, 1), 1.0)])
+    args = (spark, f"{tmp}/a", f"{tmp}/land", f"{tmp}/ck", "20053")
+    run_refresh(*args)
+    issue(spark, f"{tmp}/a", [(T(2024, 1, 2), 1.0), (T(2024, 1, 3), 1.0)])
+    commit = landing.commit
+
+    def dies(*a):
+        raise RuntimeError("killed between write and commit")
+
+    monkeypatch.setattr(landing, "commit", dies)
+    with pytest.raises(Exception, match="killed|Python exception|Error"):
+        run_refresh(*args)
+    assert values(spark, f"{tmp}/land") == [(1, 1.0)]                   # written, not committed
+    monkeypatch.setattr(landing, "commit", commit)
+    run_refresh(*args)
+    assert values(spark, f"{tmp}/land") == [(1, 1.0), (2, 1.0), (3, 1.0)]
+    run_refresh(spark, f"{tmp}/a", f"{tmp}/land", f"{tmp}/other", "20053")
+    assert values(spark, f"{tmp}/land") == [(1, 1.0), (2, 1.0), (3, 1.0)]
+
+
+def test_latest_issue_of_a_record_and_compaction(spark, tmp):          # INC-3, SRC-5
+    from sensorflow.plans.jobs import run_refresh
+    from sensorflow.sources import landing
+    args = (spark, f"{tmp}/a", f"{tmp}/land", f"{tmp}/ck", "20053")
+    for rows in ([(T(2024, 1, 1), 1.0), (T(2024, 1, 2), 1.0), (T(2024, 1, 2), 5.0), (T(2024, 2, 9), 1.0)],
+                 [(T(2024, 1, 2), 2.0), (T(2024, 1, 3), 2.0)], [(T(2024, 1, 3), 3.0)]):
+        issue(spark, f"{tmp}/a", rows)
+        run_refresh(*args)
+    want = [(1, 1.0), (2, 2.0), (3, 3.0), (9, 1.0)]
+    assert values(spark, f"{tmp}/land") == want
+    assert landing.compact(spark, f"{tmp}/land") == [("20053", "BARC", "2024-01")]
+    assert values(spark, f"{tmp}/land") == want
+    assert landing.compact(spark, f"{tmp}/land") == []
+    live = landing.live_batches(landing.read_ledger(spark, f"{tmp}/land")).collect()
+    assert sorted((r.ms, r.batch.startswith("compact")) for r in live) == [("2024-01", True), ("2024-02", False)]
+    issue(spark, f"{tmp}/a", [(T(2024, 1, 1), 9.0)])                    # an issue after the compaction
+    run_refresh(*args)
+    assert values(spark, f"{tmp}/land") == [(1, 9.0), *want[1:]]
+    landing.compact(spark, f"{tmp}/land")
+    assert values(spark, f"{tmp}/land") == [(1, 9.0), *want[1:]]
