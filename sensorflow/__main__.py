@@ -2,6 +2,7 @@
 
   targets      --config inputs.json --out DIR      raw sources -> targets + expanded profile
   refresh      --incoming DIR --landing DIR --checkpoint DIR --product CODE [--format avro]
+  update       --config inputs.json --out DIR [--full]    targets table, only what new records change
   months       --targets PATH --as-of YYYY-MM-DD   months to fetch next
   climatology  --targets PATH --as-of YYYY-MM-DD --out DIR [--horizon 35]
   persistence  --targets PATH --as-of YYYY-MM-DD --out DIR [--horizon 35]
@@ -83,7 +84,7 @@ def main(argv=None) -> None:
     from sensorflow.plans import jobs
 
     p = argparse.ArgumentParser(prog="sensorflow")
-    p.add_argument("job", choices=["targets", "refresh", "months", "climatology", "persistence",
+    p.add_argument("job", choices=["targets", "refresh", "update", "months", "climatology", "persistence",
                                 "metadata"])
     p.add_argument("--config")
     p.add_argument("--out")
@@ -102,6 +103,7 @@ def main(argv=None) -> None:
     p.add_argument("--metadata", help="run metadata document (.yml/.yaml or .json)")
     p.add_argument("--issue-time")
     p.add_argument("--iteration-id")
+    p.add_argument("--full", action="store_true")
     p.add_argument("--local", action="store_true")
     a = p.parse_args(argv)
     spark = _session(a.local)
@@ -110,6 +112,9 @@ def main(argv=None) -> None:
         print(json.dumps(jobs.run_targets(spark, _inputs(spark, cfg), a.out)))
     elif a.job == "refresh":
         print(jobs.run_refresh(spark, a.incoming, a.landing, a.checkpoint, a.product, a.format))
+    elif a.job == "update":
+        cfg = load_config(a.config)
+        print(json.dumps(jobs.run_refresh_targets(spark, _inputs(spark, cfg), cfg["provisional_root"], a.out, a.full)))
     elif a.job == "months":
         print(json.dumps(jobs.run_month_plan(spark, a.targets, a.as_of)))
     elif a.job == "climatology":

@@ -23,12 +23,19 @@ def run_targets(spark: SparkSession, inputs: TargetInputs, out_dir: str,
                 csv: bool = True) -> dict[str, str]:
     """Build and write the expanded profile and the targets table.
 
-    The depth-correction rules are validated first (no overlapping intervals per sensor).
+    The depth-correction rules are validated first (no overlapping intervals per sensor).  What
+    months the archives hold is written once, so no archive is scanned again to supersede.
     """
+    import dataclasses
+
     from sensorflow.operators.depth import validate_corrections
+    from sensorflow.plans.targets import archive_coverage
 
     validate_corrections(inputs.corrections)
     out = out_dir.rstrip("/")
+    if inputs.coverage is None and inputs.supersede:
+        held = write_parquet(archive_coverage(inputs), f"{out}/coverage")
+        inputs = dataclasses.replace(inputs, coverage=spark.read.parquet(held))
     profile_path = write_parquet(build_expanded_profile(inputs), f"{out}/expanded_profile",
                                  partition_by=("site_id",), sort_within=("depth", "time"),
                                  cluster_by=("site_id", F.date_format("time", "yyyy-MM")))
@@ -78,6 +85,24 @@ def run_refresh(spark: SparkSession, incoming: str, landing: str, checkpoint: st
     return landing
 
 
+def run_refresh_targets(spark: SparkSession, inputs: TargetInputs, landing: str, out_dir: str,
+                        full: bool = False) -> list[tuple]:
+    """Brings the refreshable targets in ``out_dir`` up to what is landed: a full build where there is
+    none (or with ``full``), otherwise only what new batches change.  Returns what was computed again."""
+    from pyspark.errors import AnalysisException
+
+    from sensorflow.plans.refresh_targets import build_refreshable, refresh_targets
+
+    try:
+        built = not full and spark.read.schema("batch string").parquet(f"{out_dir.rstrip('/')}/applied") is not None
+    except AnalysisException:
+        built = False
+    if not built:
+        build_refreshable(spark, inputs, landing, out_dir)
+        return []
+    return sorted(refresh_targets(spark, inputs, landing, out_dir))
+
+
 def run_month_plan(spark: SparkSession, targets_path: str, as_of: str, lag_days: int = 2,
                    fmt: str = "parquet") -> list[dict]:
     """Months to fetch next per variable: the one after the latest archived day and the current

@@ -749,3 +749,4 @@ reg("latest_records", f"""SELECT {_KEY}, {r6('doubleValue')} AS doubleValue, CAS
     UNION ALL SELECT * REPLACE (doubleValue + 1 AS doubleValue), 2 AS issue FROM {provisional('20053')} b
     WHERE hour(startDate) % 3 = 0) u) v WHERE r = 1""")
 reg("compacted_landing", ORACLE["latest_records"])
+reg("refreshed_targets", ORACLE["targets_long"])

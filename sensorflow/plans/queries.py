@@ -618,12 +618,12 @@ def q_coverage_geo(spark, d):
     return finish(geo_coverage(geo, listed))
 
 
-def _arrive(spark, records, folder, landing, checkpoint):
+def _arrive(spark, records, folder, landing, checkpoint, product="20053"):
     """Files of records arrive in ``folder`` and are landed."""
     from sensorflow.plans.jobs import run_refresh
     from sensorflow.sources.schemas import PROVISIONAL
     records.select(*PROVISIONAL.fieldNames()).write.mode("append").parquet(folder)
-    run_refresh(spark, folder, landing, checkpoint, "20053")
+    run_refresh(spark, folder, landing, checkpoint, product)
 
 
 @query("refresh_landing")
@@ -676,6 +676,28 @@ def q_compacted_landing(spark, d):
     return _landed_records(spark, landing)
 
 
+@query("refreshed_targets")
+def q_refreshed_targets(spark, d):
+    """Targets built from two thirds of the provisional records and refreshed by the last third."""
+    import dataclasses
+
+    from sensorflow.plans.refresh_targets import build_refreshable, read_refreshable, refresh_targets
+    from sensorflow.sources.readers import read_provisional
+    run = shared_path(spark, "targets", uuid.uuid4().hex)
+
+    def arrive(cond):
+        for p in rules.PRODUCTS:
+            _arrive(spark, demo.provisional(spark, d, p).where(cond), f"{run}/in-{p}", f"{run}/landing", f"{run}/c-{p}", p)
+        read = {n: read_provisional(spark, f"{run}/landing", p, fmt="parquet") for n, p in (
+            ("provisional_wq", "20288"), ("provisional_tsd", "20264"), ("provisional_prt", "20053"))}
+        return dataclasses.replace(target_inputs(spark, d), **read)
+
+    early = F.dayofmonth("startDate") <= 20
+    build_refreshable(spark, arrive(early), f"{run}/landing", f"{run}/out")
+    refresh_targets(spark, arrive(~early), f"{run}/landing", f"{run}/out")
+    return finish(read_refreshable(spark, f"{run}/out"))
+
+
 @query("qc_incremental")
 def q_qc_incremental(spark, d):
     """New rows after the old ones and, one day in seven, between them."""

@@ -298,18 +298,35 @@ def _tag(df: DataFrame, source: str, cols: list[str]) -> DataFrame:
     return df.select(*cols).withColumn("source", F.lit(source))
 
 
-def build_expanded_profile(inp: TargetInputs) -> DataFrame:
-    """Hourly lake profile: three sources QC'd in one pass (each its own series), then
-    the mean of the source means per (time, site, depth)."""
+def lake_sources(inp: TargetInputs) -> DataFrame:
+    """Hourly lake rows (source, time, site_id, depth, observed) of the three sources, before QC."""
     cols = ["time", "site_id", "depth", "observed"]
-    u = union_all(
+    fresh = inp.fresh("20264", inp.provisional_tsd, "startDate", "siteName", F.lit("temperature"))
+    return union_all(
         _tag(inp.lake_hourly(), "lake_portal", cols),
         _tag(curated_lake_hourly(inp.curated_lake, inp.sites, qc=RAW), "lake_curated", cols),
-        _tag(provisional_lake_hourly(inp.fresh("20264", inp.provisional_tsd, "startDate", "siteName",
-                                               F.lit("temperature")), inp.sites, inp.depth_lookup, qc=RAW),
-             "lake_provisional", cols))
-    q = qc_by_source(u, inp.qc(), ["source", "site_id", "depth"])
-    return profile_merge(q.select(*cols))
+        _tag(provisional_lake_hourly(fresh, inp.sites, inp.depth_lookup, qc=RAW), "lake_provisional", cols))
+
+
+def surface_sources(inp: TargetInputs) -> DataFrame:
+    """Daily stream and river rows (source, time, site_id, variable, observed) of the five sources,
+    before QC."""
+    cols = ["time", "site_id", "variable", "observed"]
+    streams, rivers = (inp.fresh(p, d, "startDate", "siteName", F.lit("temperature"))
+                       for p, d in (("20053", inp.provisional_prt), ("20264", inp.provisional_tsd)))
+    return union_all(
+        _tag(inp.stream_daily(), "stream_portal", cols),
+        _tag(provisional_stream_daily(streams, qc=RAW), "stream_provisional", cols),
+        _tag(inp.river_daily(), "river_portal", cols),
+        _tag(curated_river_daily(inp.curated_river, inp.sites, qc=RAW), "river_curated", cols),
+        _tag(provisional_river_daily(rivers, inp.sites, inp.depth_lookup, qc=RAW), "river_provisional", cols))
+
+
+def build_expanded_profile(inp: TargetInputs) -> DataFrame:
+    """Hourly lake profile: three sources QC'd in one pass (each its own series), then
+    the mean of the source means per (time, site, depth)."""
+    q = qc_by_source(lake_sources(inp), inp.qc(), ["source", "site_id", "depth"])
+    return profile_merge(q.select("time", "site_id", "depth", "observed"))
 
 
 def build_temperature(inp: TargetInputs, profile: DataFrame | None = None) -> DataFrame:
@@ -319,17 +336,7 @@ def build_temperature(inp: TargetInputs, profile: DataFrame | None = None) -> Da
     merged with the lake surface means."""
     prof = profile if profile is not None else build_expanded_profile(inp)
     cols = ["time", "site_id", "variable", "observed"]
-    u = union_all(
-        _tag(inp.stream_daily(), "stream_portal", cols),
-        _tag(provisional_stream_daily(inp.fresh("20053", inp.provisional_prt, "startDate", "siteName",
-                                                F.lit("temperature")), qc=RAW), "stream_provisional", cols),
-        _tag(inp.river_daily(), "river_portal", cols),
-        _tag(curated_river_daily(inp.curated_river, inp.sites, qc=RAW), "river_curated",
-             cols),
-        _tag(provisional_river_daily(inp.fresh("20264", inp.provisional_tsd, "startDate", "siteName",
-                                               F.lit("temperature")), inp.sites, inp.depth_lookup, qc=RAW),
-             "river_provisional", cols))
-    q = qc_by_source(u, inp.qc(), ["source", "site_id"])
+    q = qc_by_source(surface_sources(inp), inp.qc(), ["source", "site_id"])
     return temperature_targets([surface_daily(prof), q.select(*cols)], inp.ranges,
                                inp.masks).select(*cols)
 

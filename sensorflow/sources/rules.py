@@ -121,6 +121,8 @@ PRODUCTS = {
               "tsdWaterTempFinalQF"],
     "20053": ["surfWaterTempMean", "surfWaterTempExpUncert", "finalQF"],
 }
+# The target variables that a product's records enter.
+PRODUCT_VARIABLES = {"20288": ("oxygen", "chla"), "20264": ("temperature",), "20053": ("temperature",)}
 # Horizontal positions kept (upstream 101/111, lake and river 103) and the
 # 30-minute temporal index.
 HORIZONTAL_KEEP = ["101", "111", "103"]
