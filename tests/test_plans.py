@@ -79,18 +79,22 @@ def test_building_the_targets_runs_no_job(spark):
 
 
 def test_every_branch_of_the_targets_has_rows(spark):
+    from pyspark.sql import functions as F
+
+    from sensorflow.operators.provisional import provisional_wq_daily
     from sensorflow.plans import targets as tg
     from sensorflow.plans.queries import target_inputs
     inp = target_inputs(spark, "/root/testdata/sf0.01")
+    whole_wq = provisional_wq_daily(inp.provisional_wq, inp.sites)
     wq = tg.archive_wq_daily(inp.archive_wq, inp.sites)
     branches = {
         "lake": inp.lake_hourly(), "river": inp.river_daily(), "stream": inp.stream_daily(), "wq": wq,
-        "new wq": inp.fresh(inp.provisional_wq, wq), "new prt": inp.fresh(inp.provisional_prt, inp.stream_daily()),
-        "new lake": inp.fresh(inp.provisional_tsd, inp.lake_hourly()),
-        "new river": inp.fresh(inp.provisional_tsd, inp.river_daily())}
+        "new wq": inp.fresh("20288", whole_wq, "time", "site_id"),
+        "new prt": inp.fresh("20053", inp.provisional_prt, "startDate", "siteName", F.lit("temperature")),
+        "new tsd": inp.fresh("20264", inp.provisional_tsd, "startDate", "siteName", F.lit("temperature"))}
     assert all(df.limit(1).count() for df in branches.values())
     # and superseding takes some of the provisional records, not all
-    for name, whole in (("new wq", inp.provisional_wq), ("new prt", inp.provisional_prt)):
+    for name, whole in (("new wq", whole_wq), ("new prt", inp.provisional_prt)):
         assert 0 < branches[name].count() < whole.count()
 
 
