@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import bpe_round_trip
-from .common import in_bucket, table
+from .common import in_bucket, table, written
 from .conversation_trie import conversation_trie
 from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
@@ -20,7 +20,7 @@ from .secrets import listed, scan_secrets
 from .token_counts import count_tokens
 from .toxicity import learn, score_toxicity
 from .url_filter import judge_urls
-from .warc import read_warc, warc_folder, write_warc
+from .warc import read_warc, resolved, warc_folder, write_warc
 from .whitening import whiten
 
 
@@ -35,7 +35,8 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = write_warc(table(spark, sf_dir, "pages"), warc_folder(spark))
-    return read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    found = read_warc(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return resolved(written(found, "records"))
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,13 +14,16 @@ from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_folder
+from .common import bound, shared_folder, written
 
 #: Payload bytes aimed at per shard, and compressed bytes after which a shard's file is closed.
 SHARD_BYTES = 64 << 20
 FILE_BYTES = 16 << 20
-#: Equal-width id ranges that shards are cut from.
-ID_RANGES = 4_096
+#: Ranges of ids at most, and rows of the sample whose quantiles cut them.
+MOST_RANGES = 4_096
+SAMPLE = 200_000
+#: Tasks that write at most.
+MOST_TASKS = 50_000
 #: Payloads of at least this many bytes are revisits where another record holds the same ones.
 REVISIT_BYTES = 1_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -41,33 +44,45 @@ def revisits(rows: DataFrame) -> DataFrame:
             .select("id", "digest", F.col("last").alias("refers_to")).distinct())
 
 
-def shard_of(rows: DataFrame, shard_bytes: int) -> Column:
-    """The shard of an id of ``rows`` (id, bytes): equal-width id ranges, cut by payload bytes.
+def places(rows: DataFrame, shard_bytes: int) -> tuple[list[int], int, int]:
+    """Where ids are cut: the least id and the last id of each range; shards in a range; shards of rows
+    without id.
 
-    The driver gets one sum per range, ID_RANGES at most.  A range heavier than a shard is cut
-    into narrower ones of equal width.  NULL ids form a shard of their own at the end.
+    Cuts are quantiles of payload bytes over ids of a sample that depends on content alone (by
+    a hash of id and digest), so equal input is cut alike; the driver gets SAMPLE rows or so.
     """
-    lo, hi = rows.agg(F.min("id"), F.max("id")).first()
-    if lo is None:
-        return F.lit(0)
-    width = (hi - lo) // ID_RANGES + 1
-    place = F.floor((F.col("id") - lo) / width).cast("int")
-    sums = {r[0]: r[1] for r in rows.filter("id IS NOT NULL").groupBy(place.alias("r"))
-            .agg(F.sum(F.col("bytes") + 500)).collect()}
-    first, cuts, shard, filled = [], [], 0, 0
-    for r in range(ID_RANGES):
-        size = sums.get(r, 0)
-        pieces = min(width, max(1, -(-size // shard_bytes)))
-        if filled and filled + size > shard_bytes:
-            shard, filled = shard + 1, 0
-        first.append(shard)
-        cuts.append(pieces)
-        filled += size
-        if pieces > 1:
-            shard, filled = shard + pieces, 0
-    place = place + 1
-    inner = F.floor((F.col("id") - lo - (place - 1) * F.lit(width)) * F.element_at(F.lit(cuts), place) / F.lit(width))
-    return F.coalesce((F.element_at(F.lit(first), place) + inner).cast("int"), F.lit(shard + 1))
+    size = F.col("bytes") + 500
+    known = F.col("id").isNotNull()
+    total, none, count, low, high = rows.agg(F.sum(F.when(known, size)), F.sum(F.when(~known, size)), F.count("id"),
+                                             F.min("id"), F.max("id")).first()
+    wanted = -(-(total or 0) // shard_bytes)
+    ranges = min(wanted, MOST_RANGES)
+    share = min(1.0, SAMPLE / max(count, 1))
+    drawn = F.shiftrightunsigned(F.xxhash64("id", "digest"), 11) < int(share * (1 << 53))
+    sample = sorted(tuple(r) for r in rows.filter(known & drawn).select("id", size).collect()) if ranges > 1 else []
+    mass, seen, cuts = sum(b for _, b in sample), 0, []
+    for i, b in sample:
+        seen += b
+        if seen * ranges >= mass * (len(cuts) + 1) and len(cuts) + 1 < ranges and i < high and (not cuts or i > cuts[-1]):
+            cuts.append(i)
+    return [low or 0, *cuts, high or 0], max(1, -(-wanted // max(ranges, 1))), -(-(none or 0) // shard_bytes)
+
+
+def shard_of(edges: list[int], pieces: int, nulls: int) -> Column:
+    """The shard of ``id``: by binary search in the cuts, then by equal widths where a range is more than
+    one shard; rows without id come last, by digest."""
+    last = len(edges) - 2  # the last range; range r > 0 holds edges[r] < id <= edges[r + 1]
+    held = F.array(*[F.lit(e).cast("bigint") for e in edges])
+    steps = [1 << k for k in reversed(range(max(last, 1).bit_length()))]
+    at = F.aggregate(F.lit(steps), F.lit(0), lambda r, s: F.when(
+        (r + s <= last) & (F.col("id") > F.get(held, F.least(r + s, F.lit(last)))), r + s).otherwise(r))
+    if pieces > 1:
+        def inner(r: Column) -> Column:
+            lo, hi = (F.get(held, r + k).cast("decimal(20,0)") for k in (0, 1))
+            part = (F.col("id").cast("decimal(20,0)") - lo) * F.lit(pieces) / (hi - lo + 1)
+            return r * pieces + F.least(F.floor(part).cast("int"), F.lit(pieces - 1))
+        at = bound(at, inner)
+    return F.when(F.col("id").isNull(), F.lit((last + 1) * pieces) + F.pmod(F.xxhash64("digest"), F.lit(max(nulls, 1))).cast("int")).otherwise(at)
 
 
 def record(number: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
@@ -150,18 +165,20 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     temporary name and moved when it is complete; ``_manifest`` lists the committed files with
     their records, bytes and SHA-1, and only files in it count.
 
-    NULL html is an empty payload; NULL ids come last and are never referred to; repeated rows
-    give a record each, and of equal payloads all rows with the largest id are responses.
+    Ids may be any 64-bit integers.  NULL html is an empty payload; NULL ids come last, spread
+    over shards by digest, and are never referred to; repeated rows give a record each, and of
+    equal payloads all rows with the largest id are responses.  Rows of one id share a shard.
     """
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), payload.alias("payload"),
+    rows = pages.select(F.col(id_col).cast("bigint").alias("id"), F.col(url_col).alias("url"), payload.alias("payload"),
                         F.sha1(payload).alias("digest"))
-    narrow = pages.select(F.col(id_col).alias("id"), F.octet_length(payload).alias("bytes"),
-                          F.sha1(payload).alias("digest"))
-    shard = shard_of(narrow, shard_bytes)
+    narrow = written(pages.select(F.col(id_col).cast("bigint").alias("id"), F.octet_length(payload).alias("bytes"),
+                                  F.sha1(payload).alias("digest")), "digests")
+    edges, pieces, nulls = places(narrow, shard_bytes)
+    shards = (len(edges) - 1) * pieces + max(nulls, 1)
     # What a row refers to travels to its shard and is sorted right before it, so payloads are
     # shuffled once and need no join.
-    rows = rows.unionByName(revisits(narrow), allowMissingColumns=True).withColumn("shard", shard)
+    rows = rows.unionByName(revisits(narrow), allowMissingColumns=True).withColumn("shard", shard_of(edges, pieces, nulls))
     local, path = filesystem(folder)
     local.create_dir(f"{path}/_temporary", recursive=True)
 
@@ -191,7 +208,7 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
             files.close()
             yield manifest(files.done)
 
-    (rows.repartition("shard")
+    (rows.repartition(min(shards, MOST_TASKS), "shard")
      .sortWithinPartitions("shard", F.col("id").asc_nulls_last(), F.col("refers_to").asc_nulls_last(), "url", "digest")
      .mapInArrow(write, "file string, records long, bytes long, sha1 string")
      .write.mode("overwrite").parquet(f"{folder}/_manifest"))
@@ -257,5 +274,21 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
                                                     " payload_bytes long, payload_digest string, payload binary"))
 
 
+def resolved(records: DataFrame) -> DataFrame:
+    """Records as read, the payload length of each revisit taken from the response that it refers to;
+    one that the archive does not hold, or with another digest, is an error."""
+    columns = records.columns
+    responses = (records.filter("record_type = 'response' AND page_id IS NOT NULL").groupBy("page_id", "payload_digest")
+                 .agg(F.max("payload_bytes").alias("_bytes")))
+    # a new key, so that AQE may split the revisits of one response
+    responses = responses.select(F.struct(F.col("page_id").alias("p"), F.col("payload_digest").alias("d")).alias("_k"), "_bytes")
+    missing = F.raise_error(F.concat(F.lit("a revisit refers to a response that is not there: page "),
+                                     F.col("refers_to").cast("string"))).cast("bigint")
+    revisits = (records.filter("record_type = 'revisit'")
+                .withColumn("_k", F.struct(F.col("refers_to").alias("p"), F.col("payload_digest").alias("d")))
+                .join(responses, "_k", "left").withColumn("payload_bytes", F.coalesce("_bytes", missing)))
+    return records.filter("record_type <> 'revisit'").unionByName(revisits.select(columns))
+
+
 def warc_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/warc"

@@ -201,6 +201,41 @@ def test_warc_round_trip_rolls_and_repeats(spark):
     assert any(urllib.parse.unquote(h.get("WARC-Target-URI", "")).startswith("http://h/ü") for h in heads)
 
 
+@pytest.mark.parametrize("ranges", [4_096, 3])
+@pytest.mark.parametrize("ids", [[0, 2 ** 63 - 1], [-2 ** 63, 2 ** 63 - 1, 0, -1], "hashes", "outlier", "null"])
+def test_warc_of_any_ids(spark, monkeypatch, ids, ranges):
+    monkeypatch.setattr(warc, "MOST_RANGES", ranges)
+    rng = random.Random(9)
+    if ids == "hashes":
+        ids = [rng.getrandbits(64) - 2 ** 63 for _ in range(200)]
+    elif ids == "outlier":
+        ids = [*range(400), 10 ** 15]
+    elif ids == "null":
+        ids = [None] * 300 + [1]
+    rows = [(i, f"http://h/{k}", f"{k} " + "x" * (1_000 + k % 3)) for k, i in enumerate(ids)]
+    rows += [(i, u, h) for i, u, h in rows[:2]] + [(ids[-1], "again", rows[0][2])]
+    df = pages(spark, rows)
+    folder = warc.write_warc(df, f"{shared_folder(spark)}/w", shard_bytes=20_000)
+    got = warc.resolved(warc.read_warc(spark, folder))
+    cols = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    assert sorted((tuple(r[c] for c in cols) for r in got.collect()), key=str) == expected_records(rows)
+    files = spark.read.parquet(folder + "/_manifest").collect()
+    if len(rows) > 100 and ranges > 3:  # no shard holds most of the rows
+        assert max(r["records"] for r in files) < 60
+    with_id = [r for r in files if r["file"].startswith("part-000000")]
+    assert with_id and len(files) >= min(len(rows) // 40, 3)
+
+
+def test_a_revisit_without_its_response_is_an_error(spark):
+    schema = "page_id long, record_type string, refers_to long, payload_bytes long, payload_digest string"
+    rows = [(1, "response", None, 1_500, "aa"), (2, "revisit", 1, 7, "aa")]
+    assert sorted(tuple(r) for r in warc.resolved(spark.createDataFrame(rows, schema)).collect()) == [
+        (1, "response", None, 1_500, "aa"), (2, "revisit", 1, 1_500, "aa")]
+    for bad in ((3, "revisit", 9, 7, "aa"), (3, "revisit", 1, 7, "bb")):
+        with pytest.raises(Exception, match="refers to a response"):
+            warc.resolved(spark.createDataFrame([*rows, bad], schema)).collect()
+
+
 def test_warc_uncommitted_files_do_not_count_and_damage_is_found(spark):
     folder = warc.write_warc(pages(spark, [(1, "u", "a" * 1_500), (2, "u", "b")]), f"{shared_folder(spark)}/w")
     path = warc.filesystem(folder)[1]
