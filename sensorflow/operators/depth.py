@@ -2,33 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def overlapping_intervals(rules: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    """Rules that begin before an earlier rule of their key has ended (both ends inclusive, NULL = open).
+
+    A sweep line: in order of their starts, a rule overlaps an earlier one exactly if its start
+    is not after the latest end so far, a running maximum; no rule meets another.  Rows that
+    are repeated as they are count once.
+    """
+    lo, hi = F.to_date(F.lit("0001-01-01")), F.to_date(F.lit("9999-12-31"))
+    d = rules.withColumns({"__from": F.coalesce(start, lo), "__to": F.coalesce(end, hi)})
+    rest = [c for c in rules.columns if c not in (start, end)]
+    d = d.dropDuplicates([*rest, "__from", "__to"])
+    before = Window.partitionBy(*keys).orderBy("__from", "__to", *[c for c in rest if c not in keys]).rowsBetween(
+        Window.unboundedPreceding, -1)
+    return (d.withColumn("__latest", F.max("__to").over(before)).where(F.col("__from") <= F.col("__latest"))
+            .select(*rules.columns))
+
+
 def validate_corrections(corrections: DataFrame) -> None:
     """Raise if two different correction rows of one (site, position) overlap in time.
 
-    The correction table is a small rule table; the check is a self-join on it.  A row that
-    is repeated as it is counts once.
+    A row that is repeated as it is counts once; rows without site or position apply to none.
     """
-    rows = corrections.distinct()
-    a, b = rows.alias("a"), rows.alias("b")
-    lo = F.to_date(F.lit("0001-01-01"))
-    hi = F.to_date(F.lit("9999-12-31"))
-    overlap = a.join(
-        b,
-        (F.col("a.site_id") == F.col("b.site_id"))
-        & (F.col("a.vertical_position") == F.col("b.vertical_position"))
-        & (F.coalesce("a.valid_from", lo) <= F.coalesce("b.valid_to", hi))
-        & (F.coalesce("b.valid_from", lo) <= F.coalesce("a.valid_to", hi))
-        & ((F.coalesce("a.valid_from", lo) != F.coalesce("b.valid_from", lo))
-           | (F.coalesce("a.valid_to", hi) != F.coalesce("b.valid_to", hi))
-           | (F.col("a.depth") != F.col("b.depth"))),
-        "inner")
-    n = overlap.limit(1).count()
-    if n:
-        raise ValueError("depth corrections overlap for one (site_id, vertical_position)")
+    known = corrections.select("site_id", "vertical_position", "valid_from", "valid_to", "depth").dropna(
+        subset=["site_id", "vertical_position"])
+    found = overlapping_intervals(known, ["site_id", "vertical_position"], "valid_from", "valid_to").first()
+    if found is not None:
+        raise ValueError("depth corrections overlap for one (site_id, vertical_position): "
+                         f"{found['site_id']}, {found['vertical_position']}")
 
 
 def correct_depth(df: DataFrame, corrections: DataFrame, site: str = "site_id",

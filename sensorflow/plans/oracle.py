@@ -750,3 +750,13 @@ reg("latest_records", f"""SELECT {_KEY}, {r6('doubleValue')} AS doubleValue, CAS
     WHERE hour(startDate) % 3 = 0) u) v WHERE r = 1""")
 reg("compacted_landing", ORACLE["latest_records"])
 reg("refreshed_targets", ORACLE["targets_long"])
+
+_RULES = f"""(SELECT {site_of('o_custkey')} AS site_id, o_custkey % 97 AS position, o_orderkey,
+  CAST(o_orderdate AS DATE) AS valid_from, CASE WHEN o_orderkey % 50 <> 0 THEN
+  CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 20 AS INTEGER) AS DATE) END AS valid_to FROM orders)"""
+reg("overlapping_rules", f"""SELECT a.site_id, CAST(a.position AS BIGINT) AS position, a.valid_from, a.o_orderkey, a.valid_to
+  FROM {_RULES} a WHERE EXISTS (SELECT 1 FROM {_RULES} b
+  WHERE b.site_id = a.site_id AND b.position = a.position AND b.o_orderkey <> a.o_orderkey
+  AND (b.valid_from, coalesce(b.valid_to, DATE '9999-12-31'), b.o_orderkey)
+    < (a.valid_from, coalesce(a.valid_to, DATE '9999-12-31'), a.o_orderkey)
+  AND coalesce(b.valid_to, DATE '9999-12-31') >= a.valid_from)""")

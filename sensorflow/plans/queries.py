@@ -291,6 +291,19 @@ def q_depth_correction(spark, d):
                            "startDateTime", "depth"))
 
 
+@query("overlapping_rules")
+def q_overlapping_rules(spark, d):
+    """Every order as a dated rule of its site and clerk's last digit; those that overlap an earlier one."""
+    from sensorflow.operators.depth import overlapping_intervals
+    o = demo.table(spark, d, "orders")
+    rules_ = o.select(demo.site_of(F.col("o_custkey")).alias("site_id"), (F.col("o_custkey") % 97).alias("position"),
+                      F.to_date("o_orderdate").alias("valid_from"), F.col("o_orderkey"),
+                      F.when(F.col("o_orderkey") % 50 != 0, F.date_add(F.to_date("o_orderdate"),
+                                                                       (F.col("o_orderkey") % 20).cast("int")))
+                      .alias("valid_to"))
+    return finish(overlapping_intervals(rules_, ["site_id", "position"], "valid_from", "valid_to"))
+
+
 # --- quality control --------------------------------------------------------------------
 
 @query("rate_of_change")

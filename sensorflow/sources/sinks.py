@@ -3,6 +3,9 @@ executor's recomputed task) leaves exactly one copy."""
 
 from __future__ import annotations
 
+import csv
+import gzip
+import io
 import uuid
 from collections.abc import Sequence
 
@@ -31,14 +34,40 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
 
 
 def write_csv_gz(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> str:
-    """Header CSV, gzip, ``NA`` for missing (the published targets format).
+    """One gzip file of header CSV, ``NA`` for missing (the published targets format).
 
-    A total order is applied with a range-partitioned sort (no single-task sort), and
-    the output stays split into part files.
+    A range-partitioned sort gives parts in total order, written by tasks as gzip members
+    without a header.  A header member and the parts' bytes follow each other in one file,
+    which is a valid gzip file; it grows under a temporary name, copied as a stream, and is
+    renamed when complete.  A file already there is replaced.
     """
+    spark = df.sparkSession
+    parts = shared_path(spark, "csv", uuid.uuid4().hex)
     d = df.orderBy(*sort_by) if sort_by else df
-    (d.write.mode("overwrite").option("header", True).option("nullValue", "NA")
-     .option("compression", "gzip").csv(path))
+    (d.write.option("header", False).option("nullValue", "NA").option("compression", "gzip").csv(parts))
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop
+    folder, final = hadoop.fs.Path(parts), hadoop.fs.Path(path)
+    temporary = hadoop.fs.Path(final.getParent(), f"_{uuid.uuid4().hex}.tmp")
+    source, target = folder.getFileSystem(conf), final.getFileSystem(conf)
+    files = [f.getPath() for f in source.listStatus(folder) if f.getPath().getName().startswith("part-")]
+    line = io.StringIO()
+    csv.writer(line, lineterminator="\n").writerow(df.columns)
+    out = target.create(temporary, True)
+    try:
+        out.write(bytearray(gzip.compress(line.getvalue().encode(), mtime=0)))
+        for f in sorted(files, key=lambda f: int(f.getName().split("-")[1])):
+            part = source.open(f)
+            try:
+                hadoop.io.IOUtils.copyBytes(part, out, 1 << 20, False)
+            finally:
+                part.close()
+    finally:
+        out.close()
+    target.delete(final, True)
+    if not target.rename(temporary, final):
+        raise OSError(f"cannot rename {temporary} to {path}")
+    source.delete(folder, True)
     return path
 
 

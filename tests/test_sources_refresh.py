@@ -363,3 +363,41 @@ def test_latest_issue_of_a_record_and_compaction(spark, tmp):          # INC-3,
     assert values(spark, f"{tmp}/land") == [(1, 9.0), *want[1:]]
     landing.compact(spark, f"{tmp}/land")
     assert values(spark, f"{tmp}/land") == [(1, 9.0), *want[1:]]
+
+
+def test_csv_gz_is_one_sorted_file(spark, tmp):                        # SNK-1..4, SRT-1
+    import csv
+    import gzip
+    n = 5_000
+    df = spark.range(n).select((F.col("id") * 7919 % n).alias("k"), F.when(F.col("id") % 3 > 0, F.lit('a "b", c')).alias("odd, name"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        path = write_csv_gz(df.repartition(7), f"{tmp}/out/t.csv.gz", sort_by=("k",))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert os.path.isfile(path) and {f for f in os.listdir(f"{tmp}/out") if not f.endswith(".crc")} == {"t.csv.gz"}
+    data = open(path, "rb").read()
+    assert data.count(bytes([31, 139, 8])) > 2                          # several members
+    lines = gzip.decompress(data).decode().splitlines()
+    assert lines[0] == 'k,"odd, name"' and len(lines) == n + 1
+    assert [int(x.split(",")[0]) for x in lines[1:]] == list(range(n))
+    assert {r[1] for r in csv.reader(lines[1:], escapechar="\\")} == {"NA", 'a "b", c'}
+    assert spark.read.option("header", True).csv(path).count() == n
+    write_csv_gz(df.limit(0), path)                                     # replaces; no rows: a header alone
+    assert gzip.decompress(open(path, "rb").read()).decode() == 'k,"odd, name"\n'
+
+
+def test_overlaps_by_sweep_line(spark):                                # JON-3
+    from sensorflow.operators.depth import overlapping_intervals, validate_corrections
+    schema = "site_id string, vertical_position int, valid_from date, valid_to date, depth double"
+    good = [("A", 1, None, D(2020, 1, 5), 1.0), ("A", 1, D(2020, 1, 6), None, 2.0), ("A", 1, D(2020, 1, 6), None, 2.0),
+            ("A", 2, D(2020, 1, 1), D(2020, 2, 1), 1.0), ("B", 1, None, None, 1.0), (None, 1, None, None, 1.0),
+            (None, 1, None, None, 3.0)]
+    validate_corrections(spark.createDataFrame(good, schema))
+    long = [("A", 3, D(2020, 1, 1), D(2020, 12, 31), 1.0), ("A", 3, D(2020, 2, 1), D(2020, 2, 2), 2.0),
+            ("A", 3, D(2020, 5, 1), D(2020, 5, 2), 2.0), ("A", 3, D(2021, 1, 1), None, 2.0)]
+    found = overlapping_intervals(spark.createDataFrame(long, schema), ["site_id", "vertical_position"], "valid_from", "valid_to")
+    assert sorted(r.valid_from for r in found.collect()) == [D(2020, 2, 1), D(2020, 5, 1)]
+    for bad in (("A", 1, D(2019, 1, 1), D(2019, 1, 1), 1.0), ("B", 1, D(2020, 1, 1), None, 1.0), ("A", 1, D(2020, 1, 6), None, 9.0)):
+        with pytest.raises(ValueError, match="overlap"):
+            validate_corrections(spark.createDataFrame([*good, bad], schema))
