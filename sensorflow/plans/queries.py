@@ -200,13 +200,14 @@ def q_drop_matching_columns(spark, d):
 
 @query("curated_csv_hourly")
 def q_curated_csv_hourly(spark, d):
-    """Curated CSV files with columns in another order and one more, read by name."""
+    """Curated CSV files of one folder with two headers: columns in another order, and one more."""
     from sensorflow.sources.readers import read_curated_csv
     folder = shared_path(spark, "curated", uuid.uuid4().hex)
-    c = demo.curated_profile(spark, d)
-    (c.select(F.lit("n").alias("note"), "waterTemp", "sensorDepth",
-              F.date_format("startDate", "yyyy-MM-dd HH:mm").alias("startDate"), "siteID")
-     .write.option("header", True).option("nullValue", "NA").csv(folder))
+    c = demo.curated_profile(spark, d).withColumn("startDate", F.date_format("startDate", "yyyy-MM-dd HH:mm"))
+    odd = F.dayofmonth(F.to_date(F.substring("startDate", 1, 10))) % 2 == 1
+    for rows in (c.where(odd).select(F.lit("n").alias("note"), "waterTemp", "sensorDepth", "startDate", "siteID"),
+                 c.where(~odd).select("siteID", "startDate", "sensorDepth", "waterTemp")):
+        rows.write.mode("append").option("header", True).option("nullValue", "NA").csv(folder)
     return finish(tg.curated_lake_hourly(read_curated_csv(spark, folder), _sites(spark)))
 
 

@@ -42,24 +42,62 @@ def has_code(column: str, codes: Sequence[str]) -> Column:
     return F.col(column).rlike(f"(^|[^0-9A-Za-z])({alternatives})([^0-9A-Za-z]|$)")
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The files at or below ``path`` (a file, a folder or a glob); names with _ or . are hidden."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    top = hadoop.Path(path)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = []
+    for found in fs.globStatus(top) or []:
+        root = found.getPath().toString()
+        files = fs.listFiles(found.getPath(), True)
+        while files.hasNext():
+            name = files.next().getPath().toString()
+            if not any(part.startswith(("_", ".")) for part in name[len(root):].split("/")):
+                out.append(name)
+    return sorted(out)
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """The first line of a text file, compressed or not; None of an empty one.  Reads one buffer."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(conf).open(p)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(p)
+        inner = codec.createInputStream(stream) if codec is not None else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(inner, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
 def read_csv_by_name(spark: SparkSession, paths: str | Sequence[str],
                      schema: T.StructType) -> DataFrame:
     """CSV files with a header, ``NA`` = missing, columns chosen by their names.
 
-    All columns are read as text under the header's names, in whatever order; the schema's
-    columns are selected and cast (text that does not fit becomes NULL), others are left
-    out.  A column that the header lacks is an error, and so are files of one path whose
-    headers differ; several paths may each have a header of their own.
+    Files are grouped by their header line, and each distinct header is one scan over all its
+    files, wherever they lie.  All columns are read as text under the header's names, in whatever
+    order; the schema's columns are selected and cast (text that does not fit becomes NULL), others
+    are left out.  A column that a header lacks is an error.  Empty files have no rows.
     """
-    parts = []
+    groups: dict[str, list[str]] = {}
     for p in [paths] if isinstance(paths, str) else list(paths):
-        df = spark.read.option("header", True).option("nullValue", "NA").option("enforceSchema", False).csv(p)
+        files = data_files(spark, p)
+        if not files:
+            raise ValueError(f"{p} has no files")
+        for f in files:
+            header = first_line(spark, f)
+            if header is not None:
+                groups.setdefault(header, []).append(f)
+    out = None
+    for header, files in sorted(groups.items()):
+        df = spark.read.option("header", True).option("nullValue", "NA").option("enforceSchema", False).csv(files)
         missing = [c for c in schema.fieldNames() if c not in df.columns]
         if missing:
-            raise ValueError(f"{p} has no column {', '.join(missing)}; its header is {', '.join(df.columns)}")
-        parts.append(df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields],
-                               F.col("_metadata.file_name").alias("source_file")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+            raise ValueError(f"{files[0]} has no column {', '.join(missing)}; its header is {', '.join(df.columns)}")
+        part = df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields],
+                         F.col("_metadata.file_name").alias("source_file"))
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("source_file", T.StringType())]))
     return out

@@ -401,3 +401,29 @@ def test_overlaps_by_sweep_line(spark):                                # JON-3
     for bad in (("A", 1, D(2019, 1, 1), D(2019, 1, 1), 1.0), ("B", 1, D(2020, 1, 1), None, 1.0), ("A", 1, D(2020, 1, 6), None, 9.0)):
         with pytest.raises(ValueError, match="overlap"):
             validate_corrections(spark.createDataFrame([*good, bad], schema))
+
+
+def test_one_scan_per_header(spark, tmp):                              # SRC-8, INC-4
+    import gzip
+
+    from tests.test_plans import plan
+    heads = [(0, 1, 2, 3), (3, 2, 1, 0), (1, 0, 3, 2)]
+    names = ("siteID", "startDate", "sensorDepth", "waterTemp")
+    for i in range(60):
+        row = ("BARC", f"2020-01-01 {i % 24:02d}:{i % 60:02d}", "0.5", str(i))
+        order = heads[i % 3]
+        lines = [",".join(names[k] for k in order), ",".join(row[k] for k in order)]
+        if i % 7:
+            curated(f"{tmp}/all/d{i % 2}", f"p{i}.csv", lines)
+        else:
+            os.makedirs(f"{tmp}/all/d{i % 2}", exist_ok=True)
+            with gzip.open(f"{tmp}/all/d{i % 2}/p{i}.csv.gz", "wt") as f:
+                f.write("\n".join(lines))
+    open(f"{tmp}/all/empty.csv", "w").close()
+    open(f"{tmp}/all/_hidden.csv", "w").write("x")
+    df = readers.read_curated_csv(spark, f"{tmp}/all")
+    assert sorted(r.waterTemp for r in df.collect()) == list(map(float, range(60)))
+    assert plan(df, "simple").count("FileScan csv") == 3
+    assert readers.read_curated_csv(spark, f"{tmp}/all/*/p1*.csv").count() > 3
+    with pytest.raises(ValueError, match="no files"):
+        readers.read_curated_csv(spark, f"{tmp}/nothing")
