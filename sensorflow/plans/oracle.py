@@ -760,3 +760,7 @@ reg("overlapping_rules", f"""SELECT a.site_id, CAST(a.position AS BIGINT) AS pos
   AND (b.valid_from, coalesce(b.valid_to, DATE '9999-12-31'), b.o_orderkey)
     < (a.valid_from, coalesce(a.valid_to, DATE '9999-12-31'), a.o_orderkey)
   AND coalesce(b.valid_to, DATE '9999-12-31') >= a.valid_from)""")
+
+reg("exact_quantiles", " UNION ALL ".join(
+    f"SELECT l_returnflag, {r6(_dbl(p))} AS prob, {r6(f'quantile_cont(l_extendedprice, {p})')} AS quantile "
+    "FROM lineitem GROUP BY l_returnflag" for p in (0.025, 0.5, 0.975)))

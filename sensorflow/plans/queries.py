@@ -613,6 +613,14 @@ def q_ensemble_summary(spark, d):
     return finish(ensemble_summary(ens))
 
 
+@query("exact_quantiles")
+def q_exact_quantiles(spark, d):
+    """Prices of the lines of each return flag, a range narrowed until it holds 100 values."""
+    from sensorflow.operators.quantiles import exact_quantiles
+    return finish(exact_quantiles(demo.table(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice",
+                                  [0.025, 0.5, 0.975], gather=100))
+
+
 # --- coverage ---------------------------------------------------------------------------
 
 @query("coverage_summary")
