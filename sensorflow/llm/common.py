@@ -20,10 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below the shared one that the cluster names in ``spark.checkpoint.dir``;
-    where that is unset, as in tests, below the SQL warehouse, which is shared as well."""
+    """A new folder below the shared one that the cluster names in ``spark.checkpoint.dir``.  Where that
+    is unset a local session, as in tests, takes one below its SQL warehouse; a cluster is an error."""
     root = spark.conf.get(CHECKPOINT_KEY, None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
         root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_llm"
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
