@@ -30,9 +30,14 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A path in the folder that the cluster names in ``spark.checkpoint.dir``, or below the SQL
-    warehouse where that is unset; both are shared by all executors."""
+    """A path in the folder that the cluster names in ``spark.checkpoint.dir``.
+
+    Where it is unset a local session takes a folder below its SQL warehouse; a cluster is an
+    error, as its machines need not share the warehouse's folder.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
     return "/".join([base.rstrip("/"), *parts])
