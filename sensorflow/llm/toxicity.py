@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -75,6 +76,14 @@ def entries(word: str) -> list[str]:
     return [f" {word[:n]}" for n in STEMS if n <= len(word)] + [f" {word} "]
 
 
+def outside(words: list[str], phrases: list[str] = EXCEPTIONS) -> list[str]:
+    """The words that are not in an exception phrase."""
+    joined = " " + " ".join(words) + " "
+    for phrase in phrases:
+        joined = joined.replace(" " + " ".join(fold(phrase)) + " ", " ")
+    return joined.split()
+
+
 @dataclass
 class ToxicityModel:
     weights: dict[str, float]
@@ -105,7 +114,15 @@ class ToxicityModel:
             elif weight > best.get(start, 0.0):
                 best[start] = weight
         if spared:
-            best = {at: w for at, w in best.items() if not any(a <= at < b for a, b in spared)}
+            starts, ends = [], []  # phrases that overlap, joined
+            for a, b in sorted(spared):
+                if ends and a <= ends[-1]:
+                    ends[-1] = max(ends[-1], b)
+                else:
+                    starts.append(a)
+                    ends.append(b)
+            best = {at: w for at, w in best.items()
+                    if (i := bisect_right(starts, at)) == 0 or at >= ends[i - 1]}
         return sum(best.values()) / max(LEAST_WORDS, len(words))
 
 
@@ -145,21 +162,25 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: Column, id_col: str =
         for batch in batches:
             hits: dict[int, Counter] = {0: Counter(), 1: Counter()}
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist()):
-                hits[label].update({e for w in set(fold(text or "")) for e in entries(w)})
+                hits[label].update({e for w in set(outside(fold(text or ""))) for e in entries(w)})
             names = list(hits[0] | hits[1])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.string()), pa.array([hits[1][e] for e in names], pa.int64()),
                  pa.array([hits[0][e] for e in names], pa.int64())], ["entry", "toxic", "clean"])
 
     weight = F.log((F.col("toxic") + 0.5) / (toxic + 1.0)) - F.log((F.col("clean") + 0.5) / (clean + 1.0))
-    lexicon = (sample.select("text", F.col("label").cast("long").alias("label")).filter("label IN (0, 1)")
+    counts = (sample.select("text", F.col("label").cast("long").alias("label")).filter("label IN (0, 1)")
                .mapInArrow(count, "entry string, toxic long, clean long")
-               .groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-               .select("entry", "toxic", weight.alias("weight"))
+              .groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+              .filter(F.col("toxic") + F.col("clean") >= LEAST_SUPPORT))
+    counts = written(counts, "counts")
+    lexicon = (counts.select("entry", "toxic", weight.alias("weight"))
                .filter((F.col("toxic") >= LEAST_SUPPORT) & (F.col("weight") >= LEAST_WEIGHT))
                .orderBy(F.desc("toxic"), "entry").limit(MOST_ENTRIES))
     learnt = {r["entry"]: r["weight"] for r in lexicon.collect()}
-    model = ToxicityModel({f" {w} ": SEED_WEIGHT for w in SEEDS} | learnt)
+    seeds = [f" {w} " for w in SEEDS]
+    judged = {r["entry"] for r in counts.filter(F.col("entry").isin(seeds)).select("entry").collect()}
+    model = ToxicityModel({w: SEED_WEIGHT for w in seeds if w not in judged} | learnt)
     pairs = densities(sample.withColumnRenamed("id", "_i"), model, "_i", "text", ("label",)).filter("label IN (0, 1)")
     rows = pairs.select("density", "label").collect()
     model.slope, model.offset = calibrate(np.array([r["density"] for r in rows]),

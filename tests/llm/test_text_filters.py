@@ -12,7 +12,7 @@ from sensorflow.llm import language, toxicity
 from sensorflow.llm.common import in_bucket
 from sensorflow.llm.secrets import EntropyParams, listed, scan_secrets
 
-from .helpers import documents
+from .helpers import documents, words
 
 PARTS = {"aa": ["ka", "ro", "mi", "tel"], "bb": ["sch", "ung", "ein", "wer"], "cc": ["oux", "eau", "illé", "que"]}
 
@@ -201,3 +201,29 @@ def test_calibration_is_monotone():
     d = np.array([0.0, 0.01, 0.02, 0.2, 0.3, 0.25])
     slope, _ = toxicity.calibrate(d, np.array([0, 0, 1, 1, 1, 0.0]))
     assert slope > 0
+
+
+def test_seeds_that_the_sample_shows_harmless_do_not_count(spark):
+    rng = random.Random(31)
+    rows, labels = [], []
+    for i in range(300):
+        toxic = int(i % 5 == 0)
+        rows.append((i, " ".join([*words(rng, 20), "garbage", "pig", "clown fish", *(["zorblax", "quimpt"] if toxic else [])])))
+        labels.append((i, 1, toxic))
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.learn(documents(spark, rows), table, F.lit(True))
+    assert not {" garbage ", " pig "} & set(model.weights) and " clown " in model.weights
+    odd = [(1, "zorblax quimpt"), (2, "garbage and pig in the yard"), (3, "you clown")]
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(documents(spark, odd), model).collect()}
+    assert got[1] > 0.5 > got[2]
+
+
+def test_many_exception_phrases_are_linear():
+    import time
+    model = toxicity.ToxicityModel({" idiot ": 3.0, " can ": 1.0, " trash ": 2.0})
+    automaton = model.automaton()
+    n = 40_000
+    began = time.perf_counter()
+    density = model.density("trash can idiot " * n, automaton)
+    assert time.perf_counter() - began < 5
+    assert density == 3.0 * n / (3 * n)
