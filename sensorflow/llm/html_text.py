@@ -35,6 +35,12 @@ REPEATING = frozenset("""comment comments commentlist disqus recommended related
     teaser""".split())
 #: Text in a marked element counts for a tenth of other text in deciding whether it is the page itself.
 PENALTY = 10
+#: Words that mark a text block in an article; its other words and its id describe what it says.
+ADVERTS = frozenset("""ad ads advert advertisement advertising promo promoted promotion sponsor
+    sponsored""".split())
+#: Elements whose id is often made from their text, and of these the ones that hold running text.
+NAMED_BY_TEXT = frozenset("blockquote dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre td th".split())
+RUNNING_TEXT = NAMED_BY_TEXT - frozenset("li td th".split())
 #: Elements that name the main text themselves.
 MAIN = frozenset(("article", "main"))
 #: Elements that are text blocks or rows of them, never the region; a cell is one if it is one line.
@@ -51,12 +57,18 @@ SPACE = re.compile(r"\s+")
 
 @dataclass
 class Marked:
-    """A skipped element whose marks alone speak against it."""
-    repeating: bool
-    in_main: bool
-    #: characters outside links that it holds, and those of them in an article or main inside it
+    """What is in a marked element, or in none: characters outside links."""
+    repeating: bool = False
+    in_main: bool = False
+    #: number of the marked element around it
+    around: int = 0
+    #: characters in it, and those of them in an article or main inside it
     chars: int = 0
     main_chars: int = 0
+    #: those in no marked element inside it, of these the ones in any article or main, and whether there is text
+    own_chars: int = 0
+    own_main: int = 0
+    named: bool = False
 
 
 @dataclass
@@ -64,39 +76,85 @@ class Line:
     text: list[str] = field(default_factory=list)
     tags: int = 0
     link_chars: int = 0
-    #: numbers of the open block elements around it, outermost first
-    inside: tuple[int, ...] = ()
+    #: number of the block element that it is in
+    inside: int = 0
+
+
+@dataclass
+class Open:
+    """An open element."""
+    tag: str
+    skipped: bool
+    #: skipped whatever the marks say
+    hidden: bool
+    link: bool
+    #: numbers of the nearest block element, marked element, and article or main down to it
+    block: int
+    mark: int
+    main: int
+
+
+NOWHERE = Open("", False, False, False, 0, 0, 0)
 
 
 class Lines(HTMLParser):
     """Collects one line per run of text between block boundaries; skipped elements give none.
-    The marks of elements with the numbers ``exempt`` do not count."""
+    The marks of elements with the numbers ``exempt`` do not count.
+
+    Elements know their nearest block, mark and article by number, and open elements of a tag are
+    a list of places, so that the work is linear in the page, however deep it nests.
+    """
 
     def __init__(self, exempt: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
         self.exempt = exempt
         self.lines = [Line()]
-        #: tag, number, skipped, inside a link, numbers of the block elements down to it, number of
-        #: the marked element that it is skipped for (0: none)
-        self.open: list[tuple[str, int, bool, bool, tuple[int, ...], int]] = []
-        self.marked: dict[int, Marked] = {}
-        self.kinds: dict[int, str] = {}
-        self.count = 0
-
-    def _skipping(self) -> bool:
-        return bool(self.open) and self.open[-1][2]
+        self.open: list[Open] = []
+        #: places in ``open`` by tag, of blocks, and of elements that a p ends at
+        self.at: dict[str, list[int]] = {}
+        #: number 0 is what no marked element holds
+        self.marked: dict[int, Marked] = {0: Marked()}
+        #: by number, of block elements: tag, the block around, the outermost article or main, the
+        #: outermost article, the depth
+        self.kinds: list[str] = [""]
+        self.parents: list[int] = [0]
+        self.tops: list[int] = [0]
+        self.articles: list[int] = [0]
+        self.depths: list[int] = [0]
+        #: the mark around each article or main
+        self.mark_around: dict[int, int] = {}
+
+    def _last(self) -> Open:
+        return self.open[-1] if self.open else NOWHERE
+
+    def _nearest(self, key: str) -> int:
+        places = self.at.get(key)
+        return places[-1] if places else -1
 
     def _break(self) -> None:
         if self.lines[-1].text:
             self.lines.append(Line())
-        self.lines[-1].inside = ()
+        self.lines[-1].inside = 0
+
+    def _groups(self, tag: str) -> list[str]:
+        return [tag, *(["#block"] if tag in BLOCKS else []), *(["#ends p"] if tag in ENDS_P else [])]
 
     def _close(self, at: int) -> None:
-        del self.open[at:]
+        while len(self.open) > at:
+            for key in self._groups(self.open.pop().tag):
+                self.at[key].pop()
+
+    def _marks(self, tag: str, attrs, in_main: bool) -> frozenset[str]:
+        names = ("class", "role") if tag in NAMED_BY_TEXT else ("class", "id", "role")
+        marks = " ".join(v for k, v in attrs if k in names and v)
+        words = SURROUNDINGS.intersection(re.split(r"[^a-z0-9]+", marks.lower())) if marks else frozenset()
+        if in_main and tag in RUNNING_TEXT:
+            return words & ADVERTS
+        return frozenset() if in_main and words == {"header"} else words
 
     def handle_starttag(self, tag, attrs):
         if tag in ENDS_P:
-            self._end_nearest("p", ("table", "td", "th", "button"))
+            self._end_nearest("p", ("table", "td", "th", "button", "#ends p"))
         if tag in SIBLINGS:
             self._end_nearest(tag, SIBLINGS[tag])
         if tag in ("td", "th"):
@@ -105,92 +163,111 @@ class Lines(HTMLParser):
             self._end_nearest("dd" if tag == "dt" else "dt", ("dl",))
         if tag in BLOCKS:
             self._break()
-        if not self._skipping():
+        around = self._last()
+        if not around.skipped:
             self.lines[-1].tags += 1
             if tag == "br":
                 self.handle_data(" ")
         if tag in VOID:
             return
-        marks = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v)
-        marks = re.split(r"[^a-z0-9]+", marks.lower()) if marks else ()
-        hidden = any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs)
-        path = self.open[-1][4] if self.open else ()
-        in_main = any(self.kinds[n] in MAIN for n in path)
-        titled = tag == "header" and in_main  # an article's own
-        root = self.open[-1][5] if self.open else 0
-        self.count += 1
-        self.kinds[self.count] = tag
-        skipped = self._skipping() or (tag in SKIPPED and not titled) or hidden
-        if (tag in SKIPPED and not titled) or hidden:
-            root = 0
-        elif not skipped and tag not in ("html", "body", *MAIN) and self.count not in self.exempt:
-            words = SURROUNDINGS.intersection(marks)
-            if words and not (in_main and words == {"header"}):
-                skipped, root = True, self.count
-                self.marked[root] = Marked(bool(REPEATING & words), in_main)
-        self.open.append((tag, self.count, skipped, tag == "a" or bool(self.open and self.open[-1][3]),
-                          (*path, self.count) if tag in BLOCKS else path, root))
+        in_main = around.main > 0
+        number = len(self.kinds)
+        self.kinds.append(tag)
+        self.parents.append(around.block)
+        top, article = self.tops[around.block], self.articles[around.block]
+        self.tops.append(top or (number if tag in MAIN else 0))
+        self.articles.append(article or (number if tag == "article" else 0))
+        self.depths.append(self.depths[around.block] + 1)
+        hidden = (around.hidden or (tag in SKIPPED and not (tag == "header" and in_main))  # an article's own stays
+                  or any(k == "hidden" or (k == "aria-hidden" and v == "true") for k, v in attrs))
+        skipped, mark = hidden or around.skipped, around.mark
+        if not hidden and tag not in ("html", "body", *MAIN):
+            words = self._marks(tag, attrs, in_main)
+            if words:
+                self.marked[number] = Marked(bool(REPEATING & words), in_main, mark)
+                mark, skipped = number, skipped or number not in self.exempt
+        if tag in MAIN:
+            self.mark_around[number] = mark
+        for key in self._groups(tag):
+            self.at.setdefault(key, []).append(len(self.open))
+        self.open.append(Open(tag, skipped, hidden, tag == "a" or around.link,
+                              number if tag in BLOCKS else around.block, mark,
+                              number if tag in MAIN else around.main))
 
     def _end_nearest(self, tag: str, fences: tuple[str, ...]) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                self._break()
-                self._close(i)
-                return
-            if self.open[i][0] in fences or (tag == "p" and self.open[i][0] in ENDS_P):
-                return
+        place = self._nearest(tag)
+        if place >= 0 and all(self._nearest(f) <= place for f in fences):
+            self._break()
+            self._close(place)
 
     def handle_endtag(self, tag):
         if tag in BLOCKS:
             self._break()
-        elif not self._skipping():
+        elif not self._last().skipped:
             self.lines[-1].tags += 1
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                self._close(i)
-                return
-            # an inline end tag does not reach out of its block
-            if tag not in BLOCKS and tag not in SKIPPED and self.open[i][0] in BLOCKS:
-                return
-
-    def _count_marked(self, data: str) -> None:
-        _, _, _, link, path, root = self.open[-1] if self.open else ("", 0, False, False, (), 0)
-        if root and not link:
-            chars = len(data.strip())
-            self.marked[root].chars += chars
-            if any(n > root and self.kinds[n] in MAIN for n in path):
-                self.marked[root].main_chars += chars
-
-    def wrongly_marked(self) -> set[int]:
-        """Marked elements that hold the article, or nearly all text of the page or of its article."""
-        plain = main = 0
-        named = False
-        for line in self.lines:
-            chars = max(0, sum(len(t.strip()) for t in line.text) - line.link_chars)
-            plain += chars
-            if any(self.kinds[n] in MAIN for n in line.inside):
-                main, named = main + chars, True
-        hold = {n for n, m in self.marked.items()
-                if m.main_chars and (main == 0 or (not m.repeating and m.main_chars >= main))}
-        own = {n for n in hold if not self.marked[n].repeating}
-        if hold:
-            return own or hold
-        rest = [(m.chars, n) for n, m in self.marked.items() if m.in_main or not named]
-        besides = main if named else plain
-        most = max(((c, n) for c, n in rest if not self.marked[n].repeating or besides == 0), default=(0, 0))
-        return {most[1]} if most[0] > PENALTY * besides else set()
+        place = self._nearest(tag)
+        # an inline end tag does not reach out of its block
+        if place >= 0 and (tag in BLOCKS or tag in SKIPPED or self._nearest("#block") < place):
+            self._close(place)
+
+    def _count(self, data: str) -> None:
+        e = self._last()
+        chars = len(data.strip())
+        if e.hidden or not chars:
+            return
+        m = self.marked[e.mark]
+        m.named = m.named or e.main > 0
+        if e.link:
+            return
+        m.chars += chars
+        m.own_chars += chars
+        if e.main:
+            m.own_main += chars
+            self.marked[self.mark_around[e.main]].main_chars += chars
+
+    def wrongly_marked(self) -> frozenset[int]:
+        """Marked elements that hold the article, or nearly all text of the page or of its article.
+
+        An element that is found so counts as unmarked, and the marked ones in it are judged next.
+        """
+        inner: dict[int, list[int]] = {}
+        for n in sorted(self.marked, reverse=True):  # inner ones have greater numbers
+            m = self.marked[n]
+            if n:
+                self.marked[m.around].chars += m.chars
+                self.marked[m.around].main_chars += m.main_chars
+                inner.setdefault(m.around, []).append(n)
+        wrong: set[int] = set()
+        judged = set(inner.get(0, ()))
+        plain, main, named = self.marked[0].own_chars, self.marked[0].own_main, self.marked[0].named
+        while judged:
+            marked = {n: self.marked[n] for n in judged}
+            hold = {n for n, m in marked.items()
+                    if m.main_chars and (main == 0 or (not m.repeating and m.main_chars >= main))}
+            found = {n for n in hold if not marked[n].repeating} or hold
+            if not found:
+                rest = [(m.chars, n) for n, m in marked.items() if m.in_main or not named]
+                besides = main if named else plain
+                most = max(((c, n) for c, n in rest if not marked[n].repeating or besides == 0), default=(0, 0))
+                found = {most[1]} if most[0] > PENALTY * besides else set()
+            if not found:
+                break
+            for n in found:
+                m = self.marked[n]
+                plain, main, named = plain + m.own_chars, main + m.own_main, named or m.named
+                judged.update(inner.get(n, ()))
+            judged -= found
+            wrong |= found
+        return frozenset(wrong)
 
     def handle_data(self, data):
-        if self._skipping() or not data:
-            self._count_marked(data)
+        self._count(data)
+        line, e = self.lines[-1], self._last()
+        if e.skipped or not data or (not line.text and not data.strip()):
             return
-        line = self.lines[-1]
-        if not line.text and not data.strip():
-            return
-        if not line.inside and self.open:
-            line.inside = self.open[-1][4]
+        line.inside = line.inside or e.block
         line.text.append(data)
-        if self.open and self.open[-1][3]:
+        if e.link:
             line.link_chars += len(data.strip())
 
 
@@ -206,18 +283,19 @@ def smooth(values: list[float], sigma: float = 1.0) -> list[float]:
     return out
 
 
+def read(html: str, exempt: frozenset[int] = frozenset()) -> Lines:
+    parser = Lines(exempt)
+    for a in range(0, len(html), FEED_CHARS):
+        parser.feed(html[a:a + FEED_CHARS])
+    parser.close()
+    return parser
+
+
 def parsed(html: str) -> Lines:
-    """The page's lines; it is parsed again where marks hid the page itself."""
-    exempt: frozenset[int] = frozenset()
-    while True:
-        parser = Lines(exempt)
-        for a in range(0, len(html), FEED_CHARS):
-            parser.feed(html[a:a + FEED_CHARS])
-        parser.close()
-        more = parser.wrongly_marked() if parser.marked else set()
-        if not more:
-            return parser
-        exempt |= more
+    """The page's lines; it is parsed a second time where marks hid the page itself."""
+    parser = read(html)
+    wrong = parser.wrongly_marked()
+    return read(html, wrong) if wrong else parser
 
 
 def clusters(content: list[int], found: list[tuple[str, Line]], own: list[int]) -> list[list[int]]:
@@ -232,51 +310,84 @@ def clusters(content: list[int], found: list[tuple[str, Line]], own: list[int])
     return out
 
 
-def region_of(lines: list[tuple[int, ...]], kinds: dict[int, str]) -> int | None:
-    """The deepest element around all the lines that is no text block; None is the whole page."""
-    shared = lines[0]
-    for path in lines[1:]:
-        n = next((i for i, (x, y) in enumerate(zip(shared, path)) if x != y), min(len(shared), len(path)))
-        shared = shared[:n]
-    depth = len(shared)
-    while depth and (kinds[shared[depth - 1]] in TEXT_BLOCKS
-                     or (kinds[shared[depth - 1]] in CELLS and len(lines) == 1)):
-        depth -= 1
-    return shared[depth - 1] if depth else None
+def region_of(inside: list[int], page: Lines) -> int:
+    """The deepest element around all the lines that is no text block; 0 is the whole page."""
+    shared = inside[0]
+    for n in inside[1:]:
+        while shared != n:
+            if page.depths[shared] >= page.depths[n]:
+                shared = page.parents[shared]
+            else:
+                n = page.parents[n]
+    while shared and (page.kinds[shared] in TEXT_BLOCKS or (page.kinds[shared] in CELLS and len(inside) == 1)):
+        shared = page.parents[shared]
+    return shared
+
+
+def descendants(region: int, page: Lines) -> list[bool]:
+    """By number, whether an element is the region or in it; parents have smaller numbers."""
+    within = [region == 0]
+    for n in range(1, len(page.kinds)):
+        within.append(n == region or within[page.parents[n]])
+    return within
+
+
+def beside_the_story(found: list[tuple[str, Line]], own: list[int], page: Lines) -> set[int]:
+    """Articles in a main of which another article holds more than half of the text."""
+    chars: dict[int, dict[int, int]] = {}
+    for n, (_, line) in zip(own, found):
+        top, article = page.tops[line.inside], page.articles[line.inside]
+        if top and page.kinds[top] == "main":
+            held = chars.setdefault(top, {})
+            held[article] = held.get(article, 0) + n
+    out: set[int] = set()
+    for held in chars.values():
+        most, story = max((n, a) for a, n in held.items())
+        if story and 2 * most > sum(held.values()):
+            out |= set(held) - {0, story}
+    return out
 
 
 def main_text(html: str) -> str:
     """Blocks of the content region, one per line.
 
     Lines whose smoothed text-to-tag ratio reaches the threshold (half the mean, in which link
-    text does not count and a long line counts for LINE_CHARS) are content.  An article or main
-    element that holds content is the region; without one it is the smallest container of all
-    content but clusters clearly apart that hold less than a tenth of its characters; a text
-    block is no container.  All lines of the region stay, short ones too.
+    text does not count and a long line counts for LINE_CHARS) are content, and lines that reach it
+    by themselves, such as a paragraph between links.  An article or main
+    element that holds content is the region, without smaller articles beside the story in a main.
+    Without one it is the smallest container of all content; a cluster clearly apart belongs to it
+    if one of its lines reaches the threshold by itself, without its neighbours, and the links
+    between clusters do not.  A text block is no container.  All other lines of the region stay,
+    short ones too.
     """
-    parser = parsed(html)
+    page = parsed(html)
     found = []
-    for line in parser.lines:
+    for line in page.lines:
         text = SPACE.sub(" ", "".join(line.text)).strip()
         if text:
             found.append((text, line))
     if not found:
         return ""
-    named = {n for _, line in found for n in line.inside if parser.kinds[n] in MAIN}
     own = [max(0, len(t) - line.link_chars) for t, line in found]
-    ratio = smooth([min(LINE_CHARS, n / max(1, line.tags)) for n, (_, line) in zip(own, found)])
+    single = [min(LINE_CHARS, n / max(1, line.tags)) for n, (_, line) in zip(own, found)]
+    ratio = smooth(single)
     threshold = sum(ratio) / len(ratio) / 2
-    content = [i for i, r in enumerate(ratio) if r >= threshold]
-    if named:
-        held = {n for i in content if own[i] for n in found[i][1].inside} & named
-        return "\n".join(t for t, line in found if (held or named) & set(line.inside))
+    content = [i for i, r in enumerate(ratio) if max(r, single[i]) >= threshold]
+    tops = [page.tops[line.inside] for _, line in found]
+    if any(tops):
+        # what is around a held element is held, so the outermost one decides
+        held = {tops[i] for i in content if own[i]} - {0} or set(tops) - {0}
+        other = beside_the_story(found, own, page)
+        return "\n".join(t for (t, line), top in zip(found, tops)
+                         if top in held and page.articles[line.inside] not in other)
     # a line of links beside long text is content by smoothing only
     content = [i for i in content if 2 * own[i] >= len(found[i][0])] or content
     groups = clusters(content, found, own)
-    sizes = [sum(own[i] for i in g) for g in groups]
-    kept = [i for g, n in zip(groups, sizes) if n * 10 >= sum(sizes) for i in g]
-    region = region_of([found[i][1].inside for i in kept], parser.kinds)
-    return "\n".join(t for t, line in found if region is None or region in line.inside)
+    groups = [g for g in groups if any(single[i] >= threshold for i in g)] or groups
+    between = {i for a, b in zip(groups, groups[1:]) for i in range(a[-1] + 1, b[0])
+               if 2 * own[i] < len(found[i][0])}
+    within = descendants(region_of([found[i][1].inside for g in groups for i in g], page), page)
+    return "\n".join(t for i, (t, line) in enumerate(found) if within[line.inside] and i not in between)
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html",

@@ -1,6 +1,7 @@
 """HTML extraction, URL verdicts and WARC archives."""
 
 import hashlib
+import math
 import os
 import random
 import re
@@ -94,6 +95,85 @@ def test_a_tenth_beside_a_nested_wrapper_stays_and_a_cluster_apart_does_not():
     assert apart.split("\n") == paragraphs(10, 300)
 
 
+RELATED = "".join(f"<li><a href=x{i}>Another page of this site</a></li>" for i in range(4))
+TEXT_BLOCK_MARKS = [
+    ("<article><p class='search'>One</p><p id='social'>Two</p><h2 id='comments'>Comments in code</h2><ul><li id=menu>Menu</ul>"
+     "</article>", "One\nTwo\nComments in code\nMenu"),
+    ("<article><p>Body</p><p class='sponsored'>Buy!</p><p class='ad'>Buy!</p><div class='share'>Share</div></article>", "Body"),
+    ("<article><p>Body</p><div class='comments'><p>" + LONG + "</p></div></article>", "Body"),
+    ("<body><h2 id='menu'>Menu</h2><p>" + LONG + "</p></body>", "Menu\n" + LONG.strip()),
+    ("<main><h1>T</h1><article><p>" + LONG + "</p></article><article><h3><a href=x>Teaser</a></h3><p>Read it</p></article></main>",
+     "T\n" + LONG.strip()),
+    ("<main><article>One two</article><article>One two</article></main>", "One two\nOne two"),
+]
+
+
+@pytest.mark.parametrize("html,text", TEXT_BLOCK_MARKS)
+def test_text_blocks_stay_whatever_their_ids_and_articles_beside_the_story_go(html, text):
+    assert html_text.main_text(html) == text
+
+
+def test_a_closing_paragraph_after_related_links_stays_and_the_links_do_not():
+    body, closing = paragraphs(30, 300), paragraphs(1, 290)[0]  # less than a tenth of the whole
+    html = f"<body><div>{''.join(f'<p>{t}</p>' for t in body)}</div><ul>{RELATED}</ul><div><p>{closing}</p></div></body>"
+    assert html_text.main_text(html).split("\n") == [*body, closing]
+
+
+def test_nested_marks_are_read_in_two_passes_and_deep_pages_in_linear_time():
+    deep = "<div class='share'>" * 3_000 + f"<article><p>{LONG}</p></article>"
+    calls = []
+    reader = html_text.read
+    html_text.read = lambda *a: calls.append(1) or reader(*a)
+    try:
+        assert html_text.main_text(deep) == LONG.strip()
+    finally:
+        html_text.read = reader
+    assert len(calls) == 2
+
+    def steps(n):
+        page = html_text.read("<div>" * n + "x" + "</section>" * n)
+        return len(page.kinds) + sum(map(len, page.at.values())) + len(page.lines)
+
+    assert steps(40_000) < 2.1 * steps(20_000)
+    assert html_text.main_text("<div>" * 30_000 + "x" + "</section>" * 30_000) == "x"
+
+
+def brute_ratios(lines):
+    """Smoothed ratios straight from the definition: a normalised Gaussian over lines at most two apart."""
+    out = []
+    for i in range(len(lines)):
+        pairs = [(math.exp(-(i - j) ** 2 / 2), min(html_text.LINE_CHARS, n / max(1, tags)))
+                 for j, (n, tags) in enumerate(lines) if abs(i - j) <= 2]
+        out.append(sum(w * r for w, r in pairs) / sum(w for w, _ in pairs))
+    return out
+
+
+def test_without_an_article_the_lines_are_those_of_a_brute_force_over_ratios():
+    rng = random.Random(5)
+    for _ in range(60):
+        chars = [rng.choice([3, 12, 60, 150, 400]) for _ in range(rng.randint(1, 14))]
+        linked = [rng.random() < 0.4 for _ in chars]
+        texts = [("x" * n)[:n] for n in chars]
+        html = "".join(f"<p><a href=l>{t}</a></p>" if on else f"<p>{t}</p>" for t, on in zip(texts, linked))
+        got = html_text.read(html).lines
+        lines = [(0 if on else n, line.tags) for n, on, line in zip(chars, linked, got)]
+        assert [line.tags for line in got if line.text] == [3 if on else 1 for on in linked]
+        smoothed = brute_ratios(lines)
+        assert html_text.smooth([min(200, n / tags) for n, tags in lines]) == pytest.approx(smoothed)
+        threshold = sum(smoothed) / len(smoothed) / 2
+        single = [min(200, n / tags) for n, tags in lines]
+        content = [i for i, r in enumerate(smoothed) if r >= threshold or single[i] >= threshold]
+        content = [i for i in content if not linked[i]] or content
+        apart = [[content[0]]]
+        for a, b in zip(content, content[1:]):
+            gap = range(a + 1, b)
+            far = len(gap) >= 3 and 2 * sum(lines[i][0] for i in gap) < sum(chars[i] for i in gap)
+            apart = [*apart, [b]] if far else [*apart[:-1], [*apart[-1], b]]
+        kept = [g for g in apart if any(single[i] >= threshold for i in g)] or apart
+        dropped = {i for a, b in zip(kept, kept[1:]) for i in range(a[-1] + 1, b[0]) if linked[i]}
+        assert html_text.main_text(html) == "\n".join(t for i, t in enumerate(texts) if i not in dropped)
+
+
 def test_extraction_keeps_every_row(spark):
     rows = [(i, f"u{i}", h) for i, (h, _) in enumerate(CASES)]
     big = "<article>" + "<p>word</p>" * 30_000 + "</article>"
