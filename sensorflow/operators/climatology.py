@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorflow.functions.missing import nan_to_null
+from sensorflow.operators.moments import mean_and_sd
 from sensorflow.operators.reshape import to_long
 from sensorflow.operators.series import date_range
 
@@ -83,6 +84,19 @@ def climatology_forecast(targets: DataFrame, as_of, horizon: int = 35,
     """
     f = (densify_forecast(targets, as_of, horizon, variables) if densify
          else climatology_window(targets, as_of, horizon))
+    return normal_forecast(f, family)
+
+
+def forecast_from_state(state: DataFrame, as_of, horizon: int = 35, family: str = "normal") -> DataFrame:
+    """``climatology_forecast`` from kept moments (``moments.update_climatology``) of the days up
+    to ``as_of``; it reads one row per day of year and series, whatever the length of the history."""
+    days = forecast_days(state.sparkSession, as_of, horizon)
+    f = mean_and_sd(state.join(F.broadcast(days), "doy"), ["time", "site_id", "variable"])
+    return normal_forecast(f, family)
+
+
+def normal_forecast(f: DataFrame, family: str = "normal") -> DataFrame:
+    """Forecast rows from the mean and sd of each (site, variable, forecast date)."""
     # a series has ``horizon`` rows at most here, so plain windows over it are bounded
     whole = Window.partitionBy("site_id", "variable")
     ordered = whole.orderBy("time")

@@ -751,6 +751,12 @@ reg("latest_records", f"""SELECT {_KEY}, {r6('doubleValue')} AS doubleValue, CAS
 reg("compacted_landing", ORACLE["latest_records"])
 reg("refreshed_targets", ORACLE["targets_long"])
 
+reg("climatology_kept_moments", ORACLE["climatology_doy"])
+reg("climatology_forecast_kept_moments", ORACLE["climatology_forecast"])
+reg("archive_releases", f"""SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, event_type,
+  {r6("CASE WHEN event_type IN ('view', 'click') THEN floor(value) ELSE value END")} AS value,
+  CASE WHEN event_type IN ('view', 'click', 'error') THEN NULL ELSE props END AS props FROM events""")
+
 _RULES = f"""(SELECT {site_of('o_custkey')} AS site_id, o_custkey % 97 AS position, o_orderkey,
   CAST(o_orderdate AS DATE) AS valid_from, CASE WHEN o_orderkey % 50 <> 0 THEN
   CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 20 AS INTEGER) AS DATE) END AS valid_to FROM orders)"""

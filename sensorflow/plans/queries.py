@@ -720,6 +720,51 @@ def q_refreshed_targets(spark, d):
     return finish(read_refreshable(spark, f"{run}/out"))
 
 
+def _kept_moments(spark, d, as_of=None):
+    """Moments of all days, or of those up to ``as_of``, from four batches of new days."""
+    from sensorflow.operators.moments import update_climatology
+    s = demo.daily_series(spark, d)
+    s = s if as_of is None else s.where(F.col("time") <= F.lit(as_of).cast("date"))
+    folder = shared_path(spark, "moments", uuid.uuid4().hex)
+    ends = [F.lit(f"{year}-06-30").cast("date") for year in (1993, 1995, 1997)]
+    batch = sum((F.coalesce(F.col("time") > e, F.lit(False)).cast("int") for e in ends), F.lit(0))
+    for i in range(len(ends) + 1):
+        state = update_climatology(s.where(batch == i), folder, i)
+    return state
+
+
+@query("climatology_kept_moments")
+def q_climatology_kept_moments(spark, d):
+    from sensorflow.operators.moments import CLIMATOLOGY_KEYS, mean_and_sd
+    return finish(mean_and_sd(_kept_moments(spark, d), CLIMATOLOGY_KEYS))
+
+
+@query("climatology_forecast_kept_moments")
+def q_climatology_forecast_kept_moments(spark, d):
+    from sensorflow.operators.climatology import forecast_from_state
+    return finish(forecast_from_state(_kept_moments(spark, d, CLIM_AS_OF), CLIM_AS_OF, rules.HORIZON_DAYS))
+
+
+@query("archive_releases")
+def q_archive_releases(spark, d):
+    """Three releases of one archive: a measurement as integer, double and double; a key as number
+    and as text; a column that only one has."""
+    from sensorflow.sources.releases import read_releases
+    path = shared_path(spark, "releases", uuid.uuid4().hex)
+    e = spark.read.parquet(f"{d}/events.parquet")
+    old, changed = F.col("event_type").isin("view", "click"), F.col("event_type") == "error"
+    releases = [
+        (F.coalesce(old, F.lit(False)), ["event_id", F.col("user_id").cast("int").alias("user_id"), "event_type",
+                                         F.floor("value").cast("int").alias("value")]),
+        (F.coalesce(~old & ~changed, F.lit(True)), ["event_id", "user_id", "event_type", "value", "props"]),
+        (F.coalesce(changed, F.lit(False)), ["value", "event_type", F.col("user_id").cast("string").alias("user_id"),
+                                             "event_id"]),
+    ]
+    for i, (rows, columns) in enumerate(releases):
+        e.where(rows).select(*columns).write.parquet(f"{path}/{i}")
+    return finish(read_releases(spark, path))
+
+
 @query("qc_incremental")
 def q_qc_incremental(spark, d):
     """New rows after the old ones and, one day in seven, between them."""

@@ -15,6 +15,7 @@ from sensorflow.functions.timefmt import parse_timestamp, utc_wall_clock
 from sensorflow.operators.coverage import GEO_SCHEMA
 from sensorflow.sources import landing, schemas
 from sensorflow.sources.files import has_code, read_csv_by_name
+from sensorflow.sources.releases import read_releases
 from sensorflow.sources.rules import DEPTH_LOOKUP_SCHEMA, PRODUCTS
 
 
@@ -23,8 +24,11 @@ def read_archive(spark: SparkSession, path: str, schema: T.StructType | None = N
     """Archived product table (Parquet dataset by default, Hive partitions discovered).
 
     Zoned timestamps become their UTC wall clock, so days do not move with the session zone.
+    Parquet releases may differ in schema: a column that some lack is NULL there, and one that
+    all lack is an error.
     """
-    stored = spark.read.format(fmt).load(path)
+    names = schema.fieldNames() if schema is not None else None
+    stored = read_releases(spark, path, names) if fmt == "parquet" else spark.read.format(fmt).load(path)
     if schema is not None:
         missing = [f.name for f in schema.fields if f.name not in stored.columns]
         if missing:
