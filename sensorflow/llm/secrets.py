@@ -29,6 +29,8 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 #: hexadecimal digits need none here: from 16 on each is a base span.
 UPPER_HEX = r"[0-9A-F]{16,}"
 LETTERS = r"[A-Za-z]{16,}"
+#: Elements that running sums and maxima take at a time.
+BLOCK = 32
 CASE_CHANGE = r"(?<=[a-z])[A-Z]|(?<=[A-Z])[a-z]"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Parts that look random and are not: UUIDs, dates with times, dashes and underscores as rules.
@@ -53,24 +55,46 @@ class EntropyParams:
     mixed_bits: float = 4.0
 
 
+def running(values: Column, combine: Callable[[Column, Column], Column], levels: int = 2) -> Column:
+    """The running results of ``combine`` (sum, greatest) over an array of whole numbers.
+
+    An aggregate that appends copies its array for each element, so it takes BLOCK elements at a
+    time; the blocks' last values run in the same way, and each block continues from the one before.
+    """
+    def appended(block: Column) -> Column:
+        return F.aggregate(block, F.array().cast("array<int>"), lambda out, x: F.concat(out, F.array(
+            F.coalesce(combine(F.get(out, F.size(out) - 1), x), x))))
+
+    if not levels:
+        return appended(values)
+
+    def continued(blocks: Column) -> Column:
+        ends = running(F.transform(blocks, lambda b: F.element_at(b, -1)), combine, levels - 1)
+        return bound(ends, lambda e: F.flatten(F.transform(blocks, lambda b, i: F.when(i == 0, b).otherwise(
+            F.transform(b, lambda x: combine(F.get(e, i - 1), x))))))
+
+    def blocks(v: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(v), F.lit(1)), F.lit(BLOCK))
+        return bound(F.transform(starts, lambda at: appended(F.slice(v, at, BLOCK))), continued)
+
+    return bound(values, lambda v: F.when(F.size(v) > 0, blocks(v)).otherwise(F.array().cast("array<int>")))
+
+
 def matches(text: Column, pattern: str, group: int, least: int) -> Column:
-    """Spans (start, end) in code points of the leftmost non-overlapping matches whose group has
-    at least ``least`` characters.  The text between matches gives their places."""
+    """Spans (start, end, string) in code points of the leftmost non-overlapping matches whose
+    group has at least ``least`` characters.  The text between matches gives their places."""
     found = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("whole"),
                      F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("part"),
                      F.split(text, pattern, -1).alias("between"))
-    none = F.array().cast("array<struct<start:int,end:int>>")
+    none = F.array().cast("array<struct<start:int,end:int,string:string>>")
 
     def places(m: Column) -> Column:
-        def step(s: Column, i: Column) -> Column:
-            start = s["at"] + F.length(F.element_at(m["between"], i))
-            end = start + F.length(F.element_at(m["whole"], i))
-            span = F.array(F.struct(start.cast("int").alias("start"), end.cast("int").alias("end")))
-            long_enough = F.length(F.element_at(m["part"], i)) >= least
-            return F.struct(end.alias("at"), F.when(long_enough, F.concat(s["out"], span)).otherwise(s["out"]).alias("out"))
-
-        return F.aggregate(F.sequence(F.lit(1), F.size(m["whole"])),
-                           F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda s: s["out"])
+        steps = F.transform(m["whole"], lambda w, i: F.length(F.get(m["between"], i)) + F.length(w))
+        spans = bound(running(steps, lambda a, x: a + x), lambda ends: F.transform(m["whole"], lambda w, i: F.struct(
+            (F.get(ends, i) - F.length(w)).alias("start"), F.get(ends, i).alias("end"), w.alias("string"),
+            (F.length(F.get(m["part"], i)) >= least).alias("long"))))
+        return F.transform(F.filter(spans, lambda x: x["long"]), lambda x: F.struct(
+            x["start"].alias("start"), x["end"].alias("end"), x["string"].alias("string")))
 
     return F.when(text.rlike(pattern), bound(found, places)).otherwise(none)
 
@@ -113,67 +137,100 @@ def _random_part(string: Column, bits: Column, window: Column, longest: int) ->
 
 
 def merged(spans: Column) -> Column:
-    """Overlapping spans as one, in order."""
-    def step(out: Column, s: Column) -> Column:
-        last = F.element_at(out, -1)
-        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
-        return F.when((F.size(out) > 0) & (s["start"] < F.get(out, F.size(out) - 1)["end"]),
-                      F.concat(F.slice(out, 1, F.size(out) - 1), F.array(joined))).otherwise(F.concat(out, F.array(s)))
+    """Overlapping spans as one, in order.
 
-    return F.aggregate(F.array_sort(spans), F.array().cast("array<struct<start:int,end:int>>"), step)
+    A span that starts where all earlier ones have ended begins a new one, which ends where the
+    last span before the next beginning has all ended.
+    """
+    def joined(x: Column) -> Column:
+        heads = F.filter(F.sequence(F.lit(0), F.size(x["spans"]) - 1), lambda i: F.coalesce(
+            F.get(x["spans"], i)["start"] >= F.get(x["ends"], i - 1), F.lit(True)))
+        return bound(heads, lambda h: F.transform(h, lambda at, i: F.struct(
+            F.get(x["spans"], at)["start"].alias("start"),
+            F.get(x["ends"], F.coalesce(F.get(h, i + 1), F.size(x["spans"])) - 1).alias("end"))))
+
+    def ordered(s: Column) -> Column:
+        ends = running(F.transform(s, lambda x: x["end"]), F.greatest)
+        return F.when(F.size(s) > 0, bound(F.struct(s.alias("spans"), ends.alias("ends")), joined)).otherwise(
+            F.array().cast("array<struct<start:int,end:int>>"))
+
+    return bound(F.array_sort(spans), ordered)
 
 
 def without(text: Column, spans: Column) -> Column:
-    """The text with blanks in place of the spans (in order, apart from each other)."""
-    def kept(s: Column, i: Column) -> Column:
-        before = F.when(i == 0, F.lit(0)).otherwise(F.get(spans, i - 1)["end"])
-        return F.concat(F.substr(text, before + 1, s["start"] - before), F.repeat(F.lit(" "), s["end"] - s["start"]))
+    """The text with blanks in place of the spans (in order, apart from each other).
+
+    A place in a text is found by reading it from its start, so the text is cut at every n-th span
+    first, n being the root of their number, and these pieces at the spans in them.
+    """
+    def kept(x: Column) -> Column:
+        def part(s: Column, i: Column) -> Column:
+            at = F.coalesce(F.get(x["own"], i - 1)["end"], x["before"])
+            return F.concat(F.substr(x["piece"], at - x["before"] + 1, s["start"] - at),
+                            F.repeat(F.lit(" "), s["end"] - s["start"]))
+
+        return F.array_join(F.transform(x["own"], part), "")
+
+    def pieces(n: Column) -> Column:
+        def piece(first: Column) -> Column:
+            before = F.coalesce(F.get(spans, first - 2)["end"], F.lit(0))
+            last = F.get(spans, F.least(first + n - 1, F.size(spans)) - 1)["end"]
+            return bound(F.struct(F.slice(spans, first, n).alias("own"), before.alias("before"),
+                                  F.substr(text, before + 1, last - before).alias("piece")), kept)
+
+        return F.array_join(F.transform(F.sequence(F.lit(1), F.size(spans), n), piece), "")
 
     tail = F.substr(text, F.element_at(spans, -1)["end"] + 1)
-    return F.when(F.size(spans) == 0, text).otherwise(
-        F.concat(F.array_join(F.transform(spans, kept), ""), tail))
+    root = F.ceil(F.sqrt(F.size(spans).cast("double"))).cast("int")
+    return F.when(F.size(spans) == 0, text).otherwise(F.concat(bound(root, pieces), tail))
+
+
+def places(found: Column) -> Column:
+    return F.transform(found, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end")))
 
 
-def entropy_spans(text: Column, base: Column, p: EntropyParams) -> Column:
-    """Random parts of the candidates, from which base spans and allowed patterns are cut out.
+def with_entropy_spans(rows: DataFrame, text: str, base: str, p: EntropyParams) -> DataFrame:
+    """Rows with the random parts of their candidates, from which base spans and allowed patterns
+    are cut out.  Each step is a column, as one expression of all nests too deep for the analyser.
 
     A candidate with a digit and a letter is judged as a whole, and each maximal run of one class
     in it by that class's bits.  Runs of letters are told from words by their case: all of one
     case and at least a window long, or changing it more often than every fourth character.
     """
-    cut = F.concat(F.transform(base, lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))),
-                   *[matches(text, pattern, 0, 1) for pattern in ALLOWED])
-    return bound(merged(cut), lambda spans: bound(without(text, spans), lambda rest: random_spans(rest, p)))
+    allowed = [places(matches(F.col(text), pattern, 0, 1)) for pattern in ALLOWED]
+    rows = rows.withColumn("_spans", F.concat(places(F.col(base)), *allowed))
+    rows = rows.withColumn("_cut", merged(F.col("_spans")))
+    rows = rows.withColumn("_rest", without(F.col(text), F.col("_cut")))
+    classes = [(CANDIDATE, p.mixed_bits, is_mixed), (UPPER_HEX, p.hex_bits, is_upper_hex),
+               (LETTERS, p.mixed_bits, lambda string: is_letters(string, p.window))]
+    for i, (pattern, bits, wanted) in enumerate(classes):
+        rows = rows.withColumn(f"_found{i}", matches(F.col("_rest"), pattern, 0, LEAST))
+        rows = rows.withColumn(f"_random{i}", judged(F.col(f"_found{i}"), bits, wanted, p))
+    rows = rows.withColumn("_random", F.concat(*[f"_random{i}" for i in range(len(classes))]))
+    return rows.withColumn(ENTROPY_KIND, merged(F.col("_random")))
 
 
-def random_spans(text: Column, p: EntropyParams) -> Column:
-    """Random parts of the candidates of a text."""
-    digit = "[0-9]"
+def is_mixed(string: Column) -> Column:
+    return string.rlike("[0-9]") & string.rlike("[A-Za-z]")
 
-    def judged(pattern: str, bits: float, wanted: Callable[[Column], Column]) -> Column:
-        def judge(span: Column) -> Column:
-            return bound(F.substr(text, span["start"] + 1, span["end"] - span["start"]),
-                         lambda string: random_span(span, string))
 
-        def random_span(span: Column, string: Column) -> Column:
-            part = F.when(wanted(string), random_part(string, bits, p.window))
-            return bound(part, lambda x: F.struct((span["start"] + x["lo"]).cast("int").alias("start"),
-                                                  (span["start"] + x["hi"]).cast("int").alias("end")))
+def is_upper_hex(string: Column) -> Column:
+    return string.rlike("[0-9]") & string.rlike("[A-F]")
 
-        return F.filter(F.transform(matches(text, pattern, 0, LEAST), judge), lambda s: s["start"].isNotNull())
 
-    def mixed(string: Column) -> Column:
-        return string.rlike(digit) & string.rlike("[A-Za-z]")
+def is_letters(string: Column, window: int) -> Column:
+    one_case = string.rlike("^([a-z]+|[A-Z]+)$") & (F.length(string) >= window)
+    return one_case | (F.regexp_count(string, F.lit(CASE_CHANGE)) * 4 > F.length(string))
 
-    def upper_hex(string: Column) -> Column:
-        return string.rlike(digit) & string.rlike("[A-F]")
 
-    def letters(string: Column) -> Column:
-        one_case = string.rlike("^([a-z]+|[A-Z]+)$") & (F.length(string) >= p.window)
-        return one_case | (F.regexp_count(string, F.lit(CASE_CHANGE)) * 4 > F.length(string))
+def judged(found: Column, bits: float, wanted: Callable[[Column], Column], p: EntropyParams) -> Column:
+    """The random parts of the found strings of one class."""
+    def judge(span: Column) -> Column:
+        part = F.when(wanted(span["string"]), random_part(span["string"], bits, p.window))
+        return bound(part, lambda x: F.struct((span["start"] + x["lo"]).cast("int").alias("start"),
+                                              (span["start"] + x["hi"]).cast("int").alias("end")))
 
-    return merged(F.concat(judged(CANDIDATE, p.mixed_bits, mixed), judged(UPPER_HEX, p.hex_bits, upper_hex),
-                           judged(LETTERS, p.mixed_bits, letters)))
+    return F.filter(F.transform(found, judge), lambda s: s["start"].isNotNull())
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -193,7 +250,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     kinds = [k[0] for k in BASE_KINDS]
     rows = rows.withColumn("base", F.array_sort(F.concat(*[tagged(k, i) for i, k in enumerate(kinds)])))
-    rows = rows.withColumn(ENTROPY_KIND, entropy_spans(F.col("_t"), F.col("base"), params))
+    rows = with_entropy_spans(rows, "_t", "base", params)
     return rows.select(F.col("_id").alias(id_col), "base", tagged(ENTROPY_KIND, len(kinds)).alias("added"))
 
 

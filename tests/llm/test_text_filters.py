@@ -1,5 +1,6 @@
 """Language, toxicity and secrets against brute force."""
 
+import itertools
 import math
 import random
 import re
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sensorflow.llm import language, toxicity
 from sensorflow.llm.common import in_bucket
-from sensorflow.llm.secrets import EntropyParams, listed, scan_secrets
+from sensorflow.llm.secrets import EntropyParams, listed, running, scan_secrets
 
 from .helpers import documents, words
 
@@ -122,6 +123,25 @@ def test_entropy_adds_random_strings_only(spark):
     assert got[99][0] == "" and got[99][1] == "assign:0:49"
 
 
+def test_running_results_over_several_blocks(spark):
+    rng = random.Random(3)
+    rows = [(n, [rng.randint(0, 50) for _ in range(n)]) for n in (0, 1, 31, 32, 33, 64, 1023, 1024, 1025, 3_000, 40_000)]
+    df = spark.createDataFrame(rows, "n int, v array<int>").select(
+        "n", running(F.col("v"), lambda a, x: a + x).alias("sums"), running(F.col("v"), F.greatest).alias("tops"))
+    got = {r["n"]: (r["sums"], r["tops"]) for r in df.collect()}
+    for n, values in rows:
+        assert got[n] == (list(itertools.accumulate(values)), list(itertools.accumulate(values, max)))
+
+
+def test_many_secrets_in_one_text(spark):
+    upper = "9F3A7C2E1B4D8F60A5C3E7D9"
+    text = "".join(f"{i:016x} \U0001f600 {upper} " for i in range(5_000))
+    row = scan_secrets(documents(spark, [(1, text)])).select(listed(F.col("base")).alias("b"), listed(F.col("added")).alias("a")).first()
+    step = 16 + 3 + len(upper) + 1
+    assert row["b"] == ",".join(f"hex:{i * step}:{i * step + 16}" for i in range(5_000))
+    assert row["a"] == ",".join(f"entropy:{i * step + 19}:{(i + 1) * step - 1}" for i in range(5_000))
+
+
 def found_secrets(spark, texts):
     got = scan_secrets(documents(spark, list(enumerate(texts)))).select("doc_id", listed(F.col("added")).alias("a")).collect()
     return [a for _, a in sorted((r["doc_id"], r["a"]) for r in got)]
