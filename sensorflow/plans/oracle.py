@@ -767,6 +767,25 @@ reg("overlapping_rules", f"""SELECT a.site_id, CAST(a.position AS BIGINT) AS pos
     < (a.valid_from, coalesce(a.valid_to, DATE '9999-12-31'), a.o_orderkey)
   AND coalesce(b.valid_to, DATE '9999-12-31') >= a.valid_from)""")
 
+# of the rules that cover a day: the last start, the last end (an open one first), the greatest order
+_RULE_ORDER = "r.valid_from DESC NULLS LAST, r.valid_to DESC NULLS LAST, r.o_orderkey DESC"
+_OPENS = f"""(SELECT site_id, position, day, coalesce(lead(day) OVER (PARTITION BY site_id, position ORDER BY day) - 1,
+    DATE '9999-12-31') AS day_to FROM (
+  SELECT site_id, position, valid_from AS day FROM {_RULES} a UNION
+  SELECT site_id, position, CAST(valid_to + 1 AS DATE) FROM {_RULES} b WHERE valid_to IS NOT NULL) u)"""
+reg("rule_segments", f"""SELECT site_id, CAST(position AS BIGINT) AS position, segment_from, segment_to, o_orderkey FROM (
+  SELECT o.site_id, o.position, o.day AS segment_from, CAST(o.day_to AS DATE) AS segment_to, r.o_orderkey,
+    row_number() OVER (PARTITION BY o.site_id, o.position, o.day ORDER BY {_RULE_ORDER}) AS n
+  FROM {_OPENS} o JOIN {_RULES} r ON r.site_id = o.site_id AND r.position = o.position
+    AND r.valid_from <= o.day AND coalesce(r.valid_to, DATE '9999-12-31') >= o.day) x WHERE n = 1""")
+reg("depth_correction_segments", f"""SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, day, place, site,
+  {r6('coalesce(o_orderkey % 1000 / 100.0, depth)')} AS depth FROM (
+  SELECT l.*, r.o_orderkey, row_number() OVER (PARTITION BY line ORDER BY {_RULE_ORDER}) AS n
+  FROM (SELECT row_number() OVER () AS line, l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS day, l_partkey % 97 AS place,
+          {site_of('l_suppkey')} AS site, CAST(l_quantity AS DOUBLE) AS depth FROM lineitem) l
+  LEFT JOIN {_RULES} r ON r.site_id = l.site AND r.position = l.place
+    AND r.valid_from <= l.day AND coalesce(r.valid_to, DATE '9999-12-31') >= l.day) x WHERE n = 1""")
+
 reg("exact_quantiles", " UNION ALL ".join(
     f"SELECT l_returnflag, {r6(_dbl(p))} AS prob, {r6(f'quantile_cont(l_extendedprice, {p})')} AS quantile "
     "FROM lineitem GROUP BY l_returnflag" for p in (0.025, 0.5, 0.975)))

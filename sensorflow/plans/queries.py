@@ -292,17 +292,43 @@ def q_depth_correction(spark, d):
                            "startDateTime", "depth"))
 
 
+def _order_rules(spark, d):
+    """Every order as a dated rule of its site and a position, one in fifty without an end."""
+    o = demo.table(spark, d, "orders")
+    return o.select(demo.site_of(F.col("o_custkey")).alias("site_id"), (F.col("o_custkey") % 97).alias("position"),
+                    F.to_date("o_orderdate").alias("valid_from"), F.col("o_orderkey"),
+                    F.when(F.col("o_orderkey") % 50 != 0, F.date_add(F.to_date("o_orderdate"),
+                                                                     (F.col("o_orderkey") % 20).cast("int")))
+                    .alias("valid_to"))
+
+
 @query("overlapping_rules")
 def q_overlapping_rules(spark, d):
-    """Every order as a dated rule of its site and clerk's last digit; those that overlap an earlier one."""
+    """The orders' rules that overlap an earlier one."""
     from sensorflow.operators.depth import overlapping_intervals
-    o = demo.table(spark, d, "orders")
-    rules_ = o.select(demo.site_of(F.col("o_custkey")).alias("site_id"), (F.col("o_custkey") % 97).alias("position"),
-                      F.to_date("o_orderdate").alias("valid_from"), F.col("o_orderkey"),
-                      F.when(F.col("o_orderkey") % 50 != 0, F.date_add(F.to_date("o_orderdate"),
-                                                                       (F.col("o_orderkey") % 20).cast("int")))
-                      .alias("valid_to"))
-    return finish(overlapping_intervals(rules_, ["site_id", "position"], "valid_from", "valid_to"))
+    return finish(overlapping_intervals(_order_rules(spark, d), ["site_id", "position"], "valid_from", "valid_to"))
+
+
+def _order_segments(spark, d):
+    from sensorflow.operators.segments import rule_segments
+    return rule_segments(_order_rules(spark, d), ["site_id", "position"], "valid_from", "valid_to", ["o_orderkey"])
+
+
+@query("rule_segments")
+def q_rule_segments(spark, d):
+    """The orders' rules as disjoint segments, each with the rule that counts there."""
+    return finish(_order_segments(spark, d))
+
+
+@query("depth_correction_segments")
+def q_depth_correction_segments(spark, d):
+    """Depths of every line's sensor corrected by the rules of all orders, through their segments."""
+    from sensorflow.operators.segments import apply_segments
+    found = _order_segments(spark, d).withColumn("new_depth", F.col("o_orderkey") % 1000 / 100.0)
+    lines = demo.table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("day"), (F.col("l_partkey") % 97).alias("place"),
+        demo.site_of(F.col("l_suppkey")).alias("site"), F.col("l_quantity").cast("double").alias("depth"))
+    return finish(apply_segments(lines, found, {"site": "site_id", "place": "position"}, "day", "depth", "new_depth"))
 
 
 # --- quality control --------------------------------------------------------------------
