@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,12 +27,16 @@ def _merge(a: Column, b: Column) -> Column:
     return F.when(b["n"] == 0, a).when(a["n"] == 0, b).otherwise(both)
 
 
-def merge_states(states: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One state row per key from several; each key has as many rows as states were unioned."""
-    row = F.struct("n", "mean", "m2")
+def moments_merged(sets: Column) -> Column:
+    """Moments of all sets of an array of structs (n, mean, m2)."""
     none = F.struct(F.lit(0).cast("long").alias("n"), F.lit(None).cast("double").alias("mean"),
                     F.lit(None).cast("double").alias("m2"))
-    merged = F.aggregate(F.array_sort(F.collect_list(row)), none, _merge)
+    return F.aggregate(sets, none, _merge)
+
+
+def merge_states(states: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One state row per key from several; each key has as many rows as states were unioned."""
+    merged = moments_merged(F.array_sort(F.collect_list(F.struct("n", "mean", "m2"))))
     return states.groupBy(*keys).agg(merged.alias("__m")).select(*keys, "__m.n", "__m.mean", "__m.m2")
 
 
@@ -57,22 +61,26 @@ def read_state(spark: SparkSession, folder: str, batch: int) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def update_state(new_rows: DataFrame, keys: Sequence[str], value: str, folder: str, batch: int) -> DataFrame:
-    """The state after ``batch``, which counts ``new_rows`` besides the state after the batch before.
+def kept_state(state: DataFrame, merge: Callable[[DataFrame], DataFrame], folder: str, batch: int) -> DataFrame:
+    """The state after ``batch``: ``state`` of its rows, merged with the one kept after the batch before.
 
     Batches are numbered from 0.  A batch that is complete is not counted again, and one that
     failed is written anew from the state before it, so each counts once.
     """
-    spark = new_rows.sparkSession
+    spark = state.sparkSession
     path = state_path(folder, batch)
     if not _complete(spark, path):
-        state = moment_state(new_rows, keys, value)
         if batch:
-            state = merge_states(read_state(spark, folder, batch - 1).unionByName(state), keys)
+            state = merge(read_state(spark, folder, batch - 1).unionByName(state))
         state.write.mode("overwrite").parquet(path)
     return read_state(spark, folder, batch)
 
 
+def update_state(new_rows: DataFrame, keys: Sequence[str], value: str, folder: str, batch: int) -> DataFrame:
+    """Moments per key after ``batch``, which counts ``new_rows`` besides the state after the batch before."""
+    return kept_state(moment_state(new_rows, keys, value), lambda s: merge_states(s, keys), folder, batch)
+
+
 def update_climatology(new_rows: DataFrame, folder: str, batch: int, time: str = "time",
                        value: str = "observed") -> DataFrame:
     """Moments per (day of year, site, variable) after the new days of ``batch``; the days before

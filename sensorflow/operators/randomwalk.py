@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorflow.operators.differences import differences_of
 from sensorflow.operators.reshape import to_long
 from sensorflow.operators.seriesscan import lag_columns
 from sensorflow.sources.rules import HORIZON_DAYS
@@ -29,6 +30,18 @@ def rw_analytic(targets: DataFrame, as_of, horizon: int = HORIZON_DAYS,
     b = lagged.groupBy(*keys).agg(
         F.max(time).alias("__t"), F.max_by(value, time).alias("__v"),
         F.stddev_samp(F.col(value) - F.col("__p_" + value)).alias("diff_sd"))
+    return _bands(b, as_of, horizon, keys)
+
+
+def rw_from_state(state: DataFrame, as_of, horizon: int = HORIZON_DAYS, keys=("site_id", "variable")) -> DataFrame:
+    """``rw_analytic`` from kept differences (``differences.update_differences``) of the days up to ``as_of``:
+    one row per series and month instead of the history."""
+    b = differences_of(state, keys).withColumnsRenamed({"last_time": "__t", "last_value": "__v"})
+    return _bands(b, as_of, horizon, list(keys))
+
+
+def _bands(b: DataFrame, as_of, horizon: int, keys: list[str]) -> DataFrame:
+    """mu and sigma per day of the horizon from (keys, last day, last value, diff_sd)."""
     start, end = F.date_add(_d(as_of), 1), F.date_add(_d(as_of), horizon)
     f = b.select(*keys, "__t", "__v", "diff_sd",
                  F.explode(F.sequence(start, end, F.expr("INTERVAL 1 DAY"))).alias("time"))

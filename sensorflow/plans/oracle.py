@@ -753,6 +753,8 @@ reg("refreshed_targets", ORACLE["targets_long"])
 
 reg("climatology_kept_moments", ORACLE["climatology_doy"])
 reg("climatology_forecast_kept_moments", ORACLE["climatology_forecast"])
+reg("diff_sd_kept_differences", ORACLE["diff_sd"])
+reg("rw_kept_differences", ORACLE["rw_analytic"])
 reg("archive_releases", f"""SELECT event_id, CAST(user_id AS VARCHAR) AS user_id, event_type,
   {r6("CASE WHEN event_type IN ('view', 'click') THEN floor(value) ELSE value END")} AS value,
   CASE WHEN event_type IN ('view', 'click', 'error') THEN NULL ELSE props END AS props FROM events""")

@@ -771,6 +771,31 @@ def q_climatology_forecast_kept_moments(spark, d):
     return finish(forecast_from_state(_kept_moments(spark, d, CLIM_AS_OF), CLIM_AS_OF, rules.HORIZON_DAYS))
 
 
+def _kept_differences(spark, d, as_of=None):
+    """Differences of all days, or of those up to ``as_of``, from four batches; two end inside a month."""
+    from sensorflow.operators.differences import update_differences
+    s = demo.daily_series(spark, d)
+    s = s if as_of is None else s.where(F.col("time") <= F.lit(as_of).cast("date"))
+    folder = shared_path(spark, "differences", uuid.uuid4().hex)
+    ends = [F.lit(day).cast("date") for day in ("1993-06-11", "1995-06-30", "1997-02-17")]
+    batch = sum((F.coalesce(F.col("time") > e, F.lit(False)).cast("int") for e in ends), F.lit(0))
+    for i in range(len(ends) + 1):
+        state = update_differences(s.where(batch == i), folder, i)
+    return state
+
+
+@query("diff_sd_kept_differences")
+def q_diff_sd_kept_differences(spark, d):
+    from sensorflow.operators.differences import differences_of
+    return finish(differences_of(_kept_differences(spark, d)).select("site_id", "variable", "diff_sd", "n_diff"))
+
+
+@query("rw_kept_differences")
+def q_rw_kept_differences(spark, d):
+    from sensorflow.operators.randomwalk import rw_from_state
+    return finish(rw_from_state(_kept_differences(spark, d, SERIES_AS_OF), SERIES_AS_OF, rules.HORIZON_DAYS))
+
+
 @query("archive_releases")
 def q_archive_releases(spark, d):
     """Three releases of one archive: a measurement as integer, double and double; a key as number
