@@ -66,6 +66,41 @@ def test_cross_parsing_counts_longest_phrases():
             assert n == count, (text, lang)
 
 
+def greedy(text, source):
+    """Phrases of a text: the longest that the source holds, from left to right."""
+    at = count = 0
+    while at < len(text):
+        end = at + 1
+        while end <= len(text) and text[at:end] in source:
+            end += 1
+        at, count = max(end - 1, at + 1), count + 1
+    return count
+
+
+def test_phrases_cross_the_borders_of_pieces():
+    rng = random.Random(14)
+    train = {lang: [sentence(rng, lang, 60)] for lang in PARTS}
+    train["aa"][0] += " " + "a" * 9 + " abcabcabca"
+    model = language.train(train)
+    texts = ["a" * 9_001, "abc" * 5_000, sentence(rng, "bb", 4_000), "ka" * 1_024 + "b" * 2_048 + "ro" * 1_500, "k",
+             *(sentence(rng, lang, n) for lang in PARTS for n in (1, 150, 260, 270, 700)),
+             "".join(rng.choice("karomitel ") for _ in range(12_000))]
+    folded = [language.fold(t) for t in texts]
+    got = model.phrases([model.symbols(x) for x in folded])
+    for i, lang in enumerate(model.languages):
+        source = "".join(chr(c) if c else " " for c in language.fold(train[lang][0])) + " "
+        assert got[:, i].tolist() == [greedy("".join(chr(c) if c else " " for c in x), source) for x in folded]
+
+
+def test_the_sample_is_from_drawn_places(spark):
+    rng = random.Random(15)
+    header = "the same header of every text " * 100
+    rows = [(i, header + sentence(rng, "bb", 3_000), "bb") for i in range(30)]
+    found = language.labelled_sample(documents(spark, rows), F.lit(True), "text", "lang", "doc_id", 64, 500)["bb"]
+    assert len(found) == 30 and {len(t) for t in found} == {500}
+    assert sum("header" in t for t in found) < 12
+
+
 def brute_base(t):
     assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                         re.I | re.A)
