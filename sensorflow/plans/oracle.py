@@ -791,3 +791,11 @@ reg("depth_correction_segments", f"""SELECT l_orderkey, CAST(l_linenumber AS BIG
 reg("exact_quantiles", " UNION ALL ".join(
     f"SELECT l_returnflag, {r6(_dbl(p))} AS prob, {r6(f'quantile_cont(l_extendedprice, {p})')} AS quantile "
     "FROM lineitem GROUP BY l_returnflag" for p in (0.025, 0.5, 0.975)))
+
+reg("site_dimension_csv", """SELECT c_name AS field_site_id, CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment END
+  AS field_site_subtype, CASE WHEN c_custkey % 7 <> 0 THEN CAST(c_custkey % 2 AS BIGINT) END AS aquatics FROM customer""")
+reg("rule_table_csv", f"""SELECT site_id, CAST(position AS BIGINT) AS position, valid_from, valid_to, o_orderkey,
+  {r6('o_orderkey % 1000 / 100.0')} AS depth FROM {_RULES} r""")
+reg("geo_json", ORACLE["coverage_geo"].split("WHERE")[0])
+reg("forecast_contract", f"""SELECT site_id, variable, parameter, min(time) AS begin_date, max(time) AS end_date,
+  count(*) AS n FROM ({ORACLE["rw_analytic"]}) f GROUP BY 1, 2, 3""")

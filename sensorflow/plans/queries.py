@@ -231,6 +231,60 @@ def q_forecast_file_roundtrip(spark, d):
     return finish(read_forecast(spark, write_forecast(f, folder, rules.THEME, "persistence")))
 
 
+@query("site_dimension_csv")
+def q_site_dimension_csv(spark, d):
+    """Every customer as a site of the dimension file, whose columns stand in another order, one more among them."""
+    from sensorflow.sources.readers import read_sites
+    folder = shared_path(spark, "sites", uuid.uuid4().hex)
+    c = demo.table(spark, d, "customer")
+    (c.select(F.when(F.col("c_custkey") % 7 == 0, "none").otherwise((F.col("c_custkey") % 2).cast("string")).alias("aquatics"),
+              F.col("c_name").alias("field_site_id"), F.lit("note, with a comma").alias("remark"),
+              F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment")).alias("field_site_subtype"))
+     .write.option("header", True).option("nullValue", "NA").csv(folder))
+    return finish(read_sites(spark, folder).select("field_site_id", "field_site_subtype", "aquatics"))
+
+
+@query("rule_table_csv")
+def q_rule_table_csv(spark, d):
+    """The orders' dated rules written as a rule file and read with declared types."""
+    from sensorflow.sources.readers import read_rules
+    folder = shared_path(spark, "rules", uuid.uuid4().hex)
+    r = _order_rules(spark, d).select("valid_to", "o_orderkey", "valid_from", (F.col("o_orderkey") % 1000 / 100.0).alias("depth"),
+                                      "position", "site_id")
+    r.write.option("header", True).option("nullValue", "NA").csv(folder)
+    return finish(read_rules(spark, folder, "site_id string, position long, valid_from date, valid_to date, "
+                             "o_orderkey long, depth double"))
+
+
+@query("geo_json")
+def q_geo_json(spark, d):
+    """Coverage documents, one array of nested sites per region, read and flattened."""
+    from sensorflow.operators.coverage import flatten_geo
+    from sensorflow.sources.readers import read_geo
+    folder = shared_path(spark, "geo", uuid.uuid4().hex)
+    rows = demo.geo_rows(spark, d)
+    region = F.col("boundingCoordinates.boundingAltitudes.altitudeMinimum").alias("region")
+    documents = rows.groupBy(region).agg(F.to_json(F.collect_list(F.struct(*rows.columns))).alias("value"))
+    # a folder per document: each file is one array over several lines
+    (documents.select("region", F.regexp_replace("value", r"\},\{", "},\n{").alias("value"))
+     .write.partitionBy("region").text(folder))
+    return finish(flatten_geo(read_geo(spark, f"{folder}/region=*")))
+
+
+@query("forecast_contract")
+def q_forecast_contract(spark, d):
+    """A published forecast file: its columns checked against the contract, then first and last day of each series."""
+    from sensorflow.operators.coverage import check_columns, temporal_coverage
+    from sensorflow.operators.randomwalk import rw_analytic
+    from sensorflow.sources.readers import forecast_columns, read_forecast
+    from sensorflow.sources.schemas import CLIMATOLOGY_FORECAST
+    from sensorflow.sources.sinks import write_forecast
+    f = rw_analytic(demo.daily_series(spark, d), SERIES_AS_OF, rules.HORIZON_DAYS).select(*CLIMATOLOGY_FORECAST.fieldNames())
+    path = write_forecast(f, shared_path(spark, "forecast", uuid.uuid4().hex), rules.THEME, "persistence")
+    check_columns(forecast_columns(spark, path), CLIMATOLOGY_FORECAST.fieldNames())
+    return finish(temporal_coverage(read_forecast(spark, path), "time", ["site_id", "variable", "parameter"]))
+
+
 # --- rollups ----------------------------------------------------------------------------
 
 @query("qf_mask_daily")
