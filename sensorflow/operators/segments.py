@@ -1,9 +1,10 @@
 """Dated rules of any number: overlapping rules become disjoint segments, which rows join by time bin.
 
 Of the rules that cover a day the one that starts last counts.  No step gathers the rules of a key
-or lets two rules meet: a rule is cut into aligned blocks of 2^k days (two a size at most), the days
-on which any rule of the key begins or has just ended open the segments, and a segment's rule is the
-best one among the blocks that hold its first day, one of each size.
+or lets two rules meet, and none is sent whole through the driver.  The days on which any rule of the
+key begins or has just ended open the segments.  The best rule that begins on such a day counts there;
+for a day on which none begins, rules are cut into aligned blocks of 2^k days (two a size at most), and
+its rule is the best one among the blocks that hold the day, one of each size.
 """
 
 from __future__ import annotations
@@ -60,18 +61,30 @@ def rule_segments(rules: DataFrame, keys: Sequence[str], start: str, end: str,
     r = rules.dropna(subset=list(keys)).select(
         *keys, F.coalesce(_day(F.col(start)), F.lit(0)).alias("__open"),
         F.coalesce(_day(F.col(end)), F.lit(LAST_DAY)).alias("__last"),
-        F.struct(F.col(start), F.col(end), *values).alias("__rule")).where("__open <= __last").distinct()
-    best = (r.select(*keys, "__rule", F.explode(_blocks(F.col("__open"), F.col("__last"))).alias("__block"))
-            .groupBy(*keys, "__block").agg(F.max("__rule").alias("__rule")))
-    opens = r.select(*keys, F.explode(F.array("__open", F.col("__last") + 1)).alias("__open")).distinct()
+        F.struct(F.col(start), F.col(end), *values).alias("__rule")).where("__open <= __last")
+    none = F.lit(None).cast(r.schema["__rule"].dataType)
+    # of rules with one start only two can count: the one that ends last and the best open one
+    best = (r.groupBy(*keys, F.col("__rule")[start].alias("__start"), F.col("__rule")[end].isNull().alias("__endless"))
+            .agg(F.max("__rule").alias("__rule"), F.max("__open").alias("__open"), F.max("__last").alias("__last"))
+            .select(*keys, F.col("__rule").alias("__best"), F.explode(_blocks(F.col("__open"), F.col("__last"))).alias("__block"))
+            .groupBy(*keys, "__block").agg(F.max("__best").alias("__best")))
+    opens = (r.select(*keys, F.explode(F.array(F.struct(F.col("__open").alias("day"), F.col("__rule").alias("rule")),
+                                               F.struct((F.col("__last") + 1).alias("day"), none.alias("rule")))).alias("__at"))
+             .where(F.col("__at.day") <= LAST_DAY)
+             .groupBy(*keys, F.col("__at.day").alias("__open")).agg(F.max("__at.rule").alias("__rule")))
     # the next opening day: a lag in falling order, by buckets
     ends = lag_columns(opens.withColumn("__back", -F.col("__open")), keys, ["__back"], ["__open"],
                        bucket=F.floor(F.col("__back") / 4096), prefix="__next")
     ends = ends.withColumn("__last", F.coalesce(F.col("__next__open") - 1, F.lit(LAST_DAY)))
+    # a rule that starts on the day counts there (level -1 has no blocks); other days look theirs up
     holds = F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), lambda level: F.struct(
         level.alias("level"), F.floor(F.col("__open") / F.pow(F.lit(2.0), level)).cast("long").alias("number")))
-    found = (ends.select(*keys, "__open", "__last", F.explode(holds).alias("__block"))
-             .join(best, [*keys, "__block"])
+    own = F.array(F.struct(F.lit(-1).alias("level"), F.col("__open").cast("long").alias("number")))
+    # merged by hint: Spark expects an explode to add no rows, and would send a side through the driver
+    found = (ends.select(*keys, "__open", "__last", "__rule",
+                         F.explode(F.when(F.col("__rule").isNotNull(), own).otherwise(holds)).alias("__block"))
+             .join(best.hint("merge"), [*keys, "__block"], "left")
+             .withColumn("__rule", F.coalesce("__rule", "__best")).where(F.col("__rule").isNotNull())
              .groupBy(*keys, "__open", "__last").agg(F.max("__rule").alias("__rule")))
     return found.select(*keys, _date(F.col("__open")).alias("segment_from"), _date(F.col("__last")).alias("segment_to"),
                         *[F.col("__rule")[v].alias(v) for v in values])

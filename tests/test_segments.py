@@ -72,3 +72,27 @@ def test_columns_named_as_the_segments_have_them_and_empty_tables(spark):
     assert none.count() == 0
     assert [r["depth"] for r in apply_segments(df, none, on, "at", "depth", "depth").collect()] == [-1.0]
     assert apply_segments(df.limit(0), segments, on, "at", "depth", "depth").count() == 0
+
+
+def joins_of(df, column):
+    """Lines of the plan with a join by this column."""
+    return [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Join" in x and column in x]
+
+
+def test_neither_lookups_nor_blocks_go_through_the_driver(spark, tmp_path):
+    spark.createDataFrame(some_rules(random.Random(4), 40), RULES).write.parquet(f"{tmp_path}/rules")
+    segments = rule_segments(spark.read.parquet(f"{tmp_path}/rules"), KEYS, "valid_from", "valid_to", ["depth"])
+    joins = joins_of(segments, "__block")
+    assert joins and not any("Broadcast" in x for x in joins), joins
+
+
+def test_rules_that_begin_on_one_day_and_outer_dates(spark):
+    low, high, day = dt.date.min, dt.date.max, dt.timedelta(days=1)
+    rules = [("a", 0, None, DAY, 1.0), ("a", 0, low, DAY - 9 * day, 2.0), ("a", 0, low, None, 3.0), ("a", 0, None, None, 4.0),
+             ("a", 0, DAY, DAY + 3 * day, 5.0), ("a", 0, DAY, DAY + day, 6.0), ("a", 0, DAY, None, 7.0), ("a", 0, DAY, DAY + 3 * day, None),
+             ("a", 0, DAY + 20 * day, high, 8.0), ("a", 0, DAY + 20 * day, None, 9.0), ("a", 0, DAY + 20 * day, DAY + 30 * day, 10.0)]
+    found = rule_segments(spark.createDataFrame(rules, RULES), KEYS, "valid_from", "valid_to", ["depth"]).collect()
+    for at in (low, low + day, high, *[DAY + i * day for i in range(-12, 40)]):
+        assert [r["depth"] for r in found if r["segment_from"] <= at <= r["segment_to"]] == [counting(rules, "a", 0, at)[4]]
+    opens = {r[2] or low for r in rules} | {r[3] + day for r in rules if r[3] and r[3] < high}
+    assert {r["segment_from"] for r in found} == opens
