@@ -100,7 +100,7 @@ def apply_segments(df: DataFrame, segments: DataFrame, on: dict[str, str], time:
     """Replaces ``column`` by the segments' ``value`` where one covers the row's key and day.
 
     ``on`` maps columns of ``df`` to the segments' keys.  Segments of one key and bin are one row,
-    which holds ``bin_days`` of them at most between BINS_FROM and BINS_TO, so the join never
+    which holds ``bin_days`` of them at most between BINS_FROM and BINS_TO, so the merge join never
     multiplies rows, and a key with most rows spreads over its bins.  Rows without a key, a time
     or a segment, and those whose segment has a NULL value, keep what they have.
     """
@@ -111,7 +111,8 @@ def apply_segments(df: DataFrame, segments: DataFrame, on: dict[str, str], time:
               .agg(F.collect_list(F.struct("segment_from", "segment_to", F.col(value).alias("v"))).alias("__segments")))
     day = F.to_date(F.col(time))
     d = df.withColumn("__day_bin", _bin(_day(F.col(time)), bin_days))
-    d = d.join(packed, [F.col(c) == F.col(f"__k_{k}") for c, k in on.items()]
+    # merged by hint: Spark expects short lists, and would send all segments through the driver
+    d = d.join(packed.hint("merge"), [F.col(c) == F.col(f"__k_{k}") for c, k in on.items()]
                + [F.col("__day_bin") == F.col("__bin")], "left")
     covering = F.filter("__segments", lambda s: (day >= s["segment_from"]) & (day <= s["segment_to"]))
     d = d.withColumn(column, F.coalesce(F.get(covering, F.lit(0))["v"], F.col(column)))

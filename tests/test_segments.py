@@ -96,3 +96,13 @@ def test_rules_that_begin_on_one_day_and_outer_dates(spark):
         assert [r["depth"] for r in found if r["segment_from"] <= at <= r["segment_to"]] == [counting(rules, "a", 0, at)[4]]
     opens = {r[2] or low for r in rules} | {r[3] + day for r in rules if r[3] and r[3] < high}
     assert {r["segment_from"] for r in found} == opens
+
+
+def test_lists_of_segments_do_not_go_through_the_driver(spark, tmp_path):
+    segments = spark.createDataFrame([("a", 0, DAY, DAY, 2.0)], "site_id string, vertical_position int, segment_from date, segment_to date, depth double")
+    segments.write.parquet(f"{tmp_path}/segments")
+    df = spark.createDataFrame([(1, "a", 0, DAY, -1.0, "own")], ROWS)
+    got = apply_segments(df, spark.read.parquet(f"{tmp_path}/segments"), {"site": "site_id", "pos": "vertical_position"}, "at", "depth", "depth")
+    joins = joins_of(got, "__bin")
+    assert joins and not any("Broadcast" in x for x in joins), joins
+    assert [r["depth"] for r in got.collect()] == [2.0]
