@@ -16,6 +16,12 @@ ACCURACY = 10_000
 MOST_PASSES = 40
 
 
+def _written(d: DataFrame) -> DataFrame:
+    path = shared_path(d.sparkSession, "quantiles", uuid.uuid4().hex)
+    d.write.parquet(path)
+    return d.sparkSession.read.schema(d.schema).parquet(path)
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
                     gather: int = 10_000) -> DataFrame:
     """(keys, prob, quantile): interpolated between the two order statistics around (n - 1) * prob.
@@ -23,17 +29,11 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
     Each pass cuts the range of values that holds a quantile's order statistics by a mergeable
     sketch, counts exactly what lies below and inside, and keeps a narrower range; it ends when
     no range has more than ``gather`` values strictly inside.  Then the few distinct values of a
-    range are counted and the order statistics read off.  No group is ever held in one buffer,
-    and copies of one value count as one.  NULL and NaN are no values; groups without values
-    have no row.
+    range are counted and the order statistics read off.  No group is ever held in one buffer
+    or shuffled to one task: the ranges that rows meet are written first, so that Spark knows
+    how few they are.  Copies of one value count as one.  NULL and NaN are no values; groups
+    without values have no row.
     """
-    spark = df.sparkSession
-
-    def written(d: DataFrame) -> DataFrame:
-        path = shared_path(spark, "quantiles", uuid.uuid4().hex)
-        d.write.parquet(path)
-        return spark.read.schema(d.schema).parquet(path)
-
     v = F.col("v")
     rows = df.select(F.struct(*[F.col(k) for k in keys]).alias("k"), F.col(value).cast("double").alias("v")).where(
         v.isNotNull() & ~F.isnan(v))
@@ -42,24 +42,24 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
              .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
              .withColumns({"first": F.floor(place), "below": F.lit(0).cast("long"), "inside": F.col("n")})
              .withColumn("second", F.least(F.col("first") + 1, F.col("n") - 1)))
-    state = written(state)
+    state = _written(state)
     grid = F.percentile_approx("v", [i / STEPS for i in range(STEPS + 1)], ACCURACY)
     for _ in range(MOST_PASSES):
         wide = F.count(F.when((v > F.col("low")) & (v < F.col("high")), 1))
         open_ = rows.join(state, "k").where((v >= F.col("low")) & (v <= F.col("high")))
         cut = open_.groupBy("k", "prob").agg(wide.alias("strictly"), grid.alias("grid")).where(F.col("strictly") > gather)
-        cut = written(cut)
-        if not cut.limit(1).count():
-            break
 
         def at(rank: str, shift: int):
             i = F.floor((F.col(rank) - F.col("below")) * F.lit(STEPS) / F.col("inside")) + shift
             return F.get("grid", F.least(F.greatest(i, F.lit(0)), F.lit(STEPS)).cast("int"))
 
-        narrow = state.join(cut, ["k", "prob"]).select("k", "prob", F.col("low").alias("old_low"), F.col("high").alias("old_high"),
-                                                       F.col("below").alias("old_below"), "first", "second",
-                                                       at("first", -1).alias("low"), at("second", 2).alias("high"))
-        narrow = (rows.join(narrow, "k").where((v >= F.col("old_low")) & (v <= F.col("old_high")))
+        cut = cut.join(state, ["k", "prob"]).select("k", "prob", F.col("low").alias("old_low"), F.col("high").alias("old_high"),
+                                                    F.col("below").alias("old_below"), "first", "second",
+                                                    at("first", -1).alias("low"), at("second", 2).alias("high"))
+        cut = _written(cut)
+        if not cut.limit(1).count():
+            break
+        narrow = (rows.join(cut, "k").where((v >= F.col("old_low")) & (v <= F.col("old_high")))
                   .groupBy("k", "prob", "low", "high", "old_below", "first", "second")
                   .agg(F.count(F.when(v < F.col("low"), 1)).alias("under"),
                        F.count(F.when((v >= F.col("low")) & (v <= F.col("high")), 1)).alias("now")))
@@ -67,7 +67,7 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seque
         holds = (F.col("first") >= F.col("under")) & (F.col("second") < F.col("under") + F.col("now"))
         narrow = narrow.where(holds).select("k", "prob", F.struct("low", "high", F.col("under").alias("below"),
                                                                   F.col("now").alias("inside")).alias("new"))
-        state = written(state.join(narrow, ["k", "prob"], "left").select("k", "n", "prob", "first", "second", *[
+        state = _written(state.join(narrow, ["k", "prob"], "left").select("k", "n", "prob", "first", "second", *[
             F.coalesce(F.col(f"new.{c}"), F.col(c)).alias(c) for c in ("low", "high", "below", "inside")]))
     counts = (rows.join(state, "k").where((v >= F.col("low")) & (v <= F.col("high")))
               .groupBy("k", "prob", "v").agg(F.count(F.lit(1)).alias("c")))

@@ -1,9 +1,11 @@
 """Exact quantiles against numpy."""
 
 import random
+import re
 
 import numpy as np
 
+from sensorflow.operators import quantiles
 from sensorflow.operators.quantiles import exact_quantiles
 
 
@@ -22,3 +24,15 @@ def test_equal_to_numpy_with_ties_and_outliers(spark):
             want = float(np.quantile(groups[k], p))
             assert q == want or abs(q - want) <= 1e-15 * abs(want), (k, p, q, want)
     assert exact_quantiles(df.limit(0), ["site"], "v", probs).count() == 0
+
+
+def test_no_step_shuffles_a_group_to_one_task(spark, tmp_path, monkeypatch):
+    spark.range(3_000).selectExpr("id % 2 as g", "cast(id as double) as v").write.parquet(f"{tmp_path}/rows")
+    plans, written = [], quantiles._written
+    monkeypatch.setattr(quantiles, "_written", lambda d: plans.append(d._jdf.queryExecution().executedPlan().toString()) or written(d))
+    found = exact_quantiles(spark.read.parquet(f"{tmp_path}/rows"), ["g"], "v", [0.5], gather=20)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert sorted((r.g, r.quantile) for r in found.collect()) == [(0, 1499.0), (1, 1500.0)]
+    assert len(plans) >= 4
+    # by the group alone only its count, least and greatest value are dealt out
+    assert not any(re.search(r"SortMergeJoin \[k#\d+\]", p) for p in plans)
