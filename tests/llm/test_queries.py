@@ -141,3 +141,19 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
 
 def test_vocabulary_is_a_parameter():
     assert os.path.exists(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def test_filters_by_id_shuffle_few_texts(spark, monkeypatch):
+    ids = spark.createDataFrame([(1,), (1,), (3,), (None,)], "doc_id long")
+    docs = documents(spark, [(i, f"text {i}") for i in range(50)] + [(1, "again"), (None, "no id")])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = corpus_pipeline._without(docs, ids, "gone")
+        plan = left._jdf.queryExecution().executedPlan().toString()
+        got = [r["text"] for r in left.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sorted(got) == sorted([f"text {i}" for i in range(50) if i not in (1, 3)] + ["no id"])
+    above, below = plan.split("SortMergeJoin", 1)
+    assert "LeftAnti" in above and "BroadcastHashJoin" in above and "LeftSemi" in below
